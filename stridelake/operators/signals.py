@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .sequence import BKT, range_frame, scan
 
 
@@ -105,7 +106,8 @@ def min_spacing(df: DataFrame, keys: Sequence[str], ts: str, gap, bucket_ms: int
     s = (s.withColumnRenamed("cum__new", "_seg").withColumnRenamed("cum__one", "_idx")
           .drop("_one"))
     sizes = s.groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("_n"))
-    s = s.join(sizes, keys + ["_seg"])
+    # written once: both paths below and the emptiness test read this copy
+    s = cut(s.join(sizes, keys + ["_seg"]))
 
     # -- short segments: one fold per segment --------------------------------
     small = s.filter(F.col("_n") <= max_fold)

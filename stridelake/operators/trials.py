@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import StepParams, TrialParams
+from ..session import cut
 from .sequence import BKT, scan
 from .signals import local_peaks, min_spacing, smooth_flags
 
@@ -36,17 +37,24 @@ def smoothed_states(frames: DataFrame, params: TrialParams, key: str = "trial_id
 
 def state_run_tables(states: DataFrame, params: TrialParams, key: str, ts: str,
                      tiebreak: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Runs of the smoothed seated and past states, from one ordered scan."""
+    """Runs of the smoothed seated and past states: one ordered scan, one
+    aggregation for both signals, written once (lineage cut) because the
+    chained event search reads it several times."""
     sc = scan(states, [key], ts, params.bucket_ms, tiebreak=tiebreak, lead=[ts],
               runs=["s_seated", "s_past"], bucket_col=BKT)
-    seated_runs = (sc.groupBy(key, F.col("run_s_seated").alias("run_no"))
-                     .agg(F.max("s_seated").alias("value"), F.min(ts).alias("t_start"),
-                          F.max(ts).alias("t_end")))
-    past_runs = (sc.groupBy(key, F.col("run_s_past").alias("run_no"))
-                   .agg(F.max("s_past").alias("value"), F.min(ts).alias("t_start"),
-                        F.max(ts).alias("t_end"),
-                        # row right after the run's first row (for t4 below)
-                        F.max(F.when(F.col("start_s_past"), F.col(f"next_{ts}"))).alias("t_second")))
+    both = sc.select(key, ts, F.explode(F.array(
+        F.struct(F.lit(0).alias("sig"), F.col("run_s_seated").alias("run_no"),
+                 F.col("s_seated").alias("v"), F.lit(None).cast("long").alias("nx")),
+        F.struct(F.lit(1).alias("sig"), F.col("run_s_past").alias("run_no"),
+                 F.col("s_past").alias("v"),
+                 # row right after the run's first row (needed for t4)
+                 F.when(F.col("start_s_past"), F.col(f"next_{ts}")).alias("nx")))).alias("r"))
+    runs = (both.groupBy(key, F.col("r.sig").alias("sig"), F.col("r.run_no").alias("run_no"))
+                .agg(F.max("r.v").alias("value"), F.min(ts).alias("t_start"),
+                     F.max(ts).alias("t_end"), F.max("r.nx").alias("t_second")))
+    runs = cut(runs)
+    seated_runs = runs.filter(F.col("sig") == 0).drop("sig", "t_second")
+    past_runs = runs.filter(F.col("sig") == 1).drop("sig")
     return seated_runs, past_runs
 
 

@@ -3,8 +3,9 @@ mapping (sources/tables.py) and runs one operator of the engine over the
 whole tables. Keys match ``oracles.SQL``.
 
 Mapping E uses day-scale constants: the events of a user span a month, so
-the 1 s smoothing window becomes 24 h, the frailty cut 12 s becomes 12 days
-(same ratio to the window), and peaks need a value above 28.
+the 1 s smoothing window becomes 24 h, and peaks need a value above 28.
+Finished walks there last 25 to 29 days, so the frailty cut sits at 28 days
+to keep both outcomes present.
 """
 
 from __future__ import annotations
@@ -14,12 +15,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalar import epoch_ms, zero_pad
+from ..operators import quality as Q
+from ..operators import relations as R
+from ..operators import signals as G
 from ..operators import trials as T
-from ..params import StepParams, TrialParams
+from ..operators.pose import pose_features
+from ..operators.sequence import scan
+from ..params import PoseParams, StepParams, TrialParams
 from ..sources import tables as S
+from . import reports as P
 
 DAY_MS = 86_400_000
-E_TRIAL = TrialParams(dwell_ms=DAY_MS, frail_s=12 * 86_400.0, bucket_ms=7 * DAY_MS)
+E_TRIAL = TrialParams(dwell_ms=DAY_MS, frail_s=28 * 86_400.0, bucket_ms=7 * DAY_MS)
 E_STEPS = StepParams(threshold=28.0, min_gap_ms=DAY_MS, bucket_ms=7 * DAY_MS)
 E_TIEBREAK = ["event_id"]
 
@@ -43,6 +51,325 @@ def q_trial_events(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(events_of(spark, sf))
 
 
+def _sm(spark, sf):
+    return G.smooth_flags(S.event_frames(spark, sf), ["trial_id"], "frame_ts_ms",
+                          ["seated", "past"], E_TRIAL.dwell_ms, E_TRIAL.bucket_ms)
+
+
+def q_smooth_state(spark, sf):
+    return _sm(spark, sf).select("trial_id", "frame_ts_ms", "event_id", "s_seated", "s_past")
+
+
+def q_state_runs(spark, sf):
+    return G.state_runs(_sm(spark, sf), ["trial_id"], "frame_ts_ms", "s_seated",
+                        E_TRIAL.bucket_ms, tiebreak=E_TIEBREAK)
+
+
+def q_stand_attempts(spark, sf):
+    return G.transitions(_sm(spark, sf), ["trial_id"], "frame_ts_ms", "s_seated",
+                         E_TRIAL.bucket_ms, tiebreak=E_TIEBREAK, out="attempts")
+
+
+def _samples(spark, sf):
+    return S.event_samples(spark, sf).select(
+        "trial_id", F.col("host_ts_ms").alias("ts_ms"), "event_id",
+        F.col("accel_mag").alias("value"))
+
+
+def _peaks(spark, sf):
+    return G.local_peaks(_samples(spark, sf), ["trial_id"], "ts_ms", "value", E_STEPS.threshold,
+                         E_STEPS.bucket_ms, tiebreak=E_TIEBREAK)
+
+
+def q_local_peaks(spark, sf):
+    return _peaks(spark, sf)
+
+
+def _spaced(spark, sf):
+    return G.min_spacing(_peaks(spark, sf).select("trial_id", "ts_ms", "event_id"), ["trial_id"],
+                         "ts_ms", E_STEPS.min_gap_ms, E_STEPS.bucket_ms, tiebreak=E_TIEBREAK)
+
+
+def q_spaced_peaks(spark, sf):
+    return _spaced(spark, sf)
+
+
+def q_throttle_events(spark, sf):
+    ev = _samples(spark, sf).select("trial_id", "ts_ms", "event_id")
+    return G.min_spacing(ev, ["trial_id"], "ts_ms", E_STEPS.min_gap_ms, E_STEPS.bucket_ms,
+                         tiebreak=E_TIEBREAK)
+
+
+def q_interval_cv(spark, sf):
+    s = scan(_spaced(spark, sf), ["trial_id"], "ts_ms", E_STEPS.bucket_ms, tiebreak=E_TIEBREAK,
+             lag=["ts_ms"])
+    iv = (F.col("ts_ms") - F.col("prev_ts_ms")) / F.lit(1000.0)
+    out = s.groupBy("trial_id").agg(
+        F.count(F.lit(1)).alias("n_peaks"),
+        F.when(F.count(iv) >= 2, F.try_divide(F.stddev_pop(iv), F.avg(iv))).alias("interval_cv"))
+    return round_doubles(out)
+
+
+# -- quality (mapping L) -----------------------------------------------------
+L_KEYS = ["trial_id", "host_timestamp_ms", "imu_timestamp_ms", "l_linenumber", "l_partkey"]
+
+
+def _tagged(spark, sf):
+    return Q.tag_imu(S.lineitem_imu(spark, sf), tiebreak=S.LINEITEM_TIEBREAK)
+
+
+def q_quality_tags(spark, sf):
+    t = _tagged(spark, sf)
+    return t.select(*L_KEYS, F.array_join("reasons", ",").alias("reasons"), "quality_ok")
+
+
+def q_quality_clean(spark, sf):
+    return round_doubles(Q.clean(_tagged(spark, sf)))
+
+
+def q_reject_report(spark, sf):
+    return Q.reject_report(_tagged(spark, sf))
+
+
+def q_quality_counts(spark, sf):
+    return Q.quality_counts(_tagged(spark, sf))
+
+
+def q_dedup_flags(spark, sf):
+    d = Q.duplicate_flag(S.lineitem_imu(spark, sf), ["trial_id", "host_timestamp_ms"],
+                         S.LINEITEM_TIEBREAK)
+    return d.select(*L_KEYS, "is_duplicate")
+
+
+def _mags(spark, sf):
+    li = S.lineitem_imu(spark, sf)
+    return li.select(*L_KEYS, G.magnitude("accel_x_g", "accel_y_g", "accel_z_g").alias("accel_mag"),
+                     G.magnitude("gyro_x_dps", "gyro_y_dps", "gyro_z_dps").alias("gyro_mag"))
+
+
+def q_vector_magnitude(spark, sf):
+    return round_doubles(_mags(spark, sf))
+
+
+YEAR_MS = 365 * DAY_MS
+
+
+def q_window_peak(spark, sf):
+    """Peak gyro magnitude in the first year of each supplier's rows."""
+    m = _mags(spark, sf)
+    t0 = m.groupBy("trial_id").agg(F.min("host_timestamp_ms").alias("t0"))
+    j = m.join(t0, "trial_id")
+    inwin = (F.col("host_timestamp_ms") >= F.col("t0")) & \
+            (F.col("host_timestamp_ms") <= F.col("t0") + F.lit(float(YEAR_MS)))
+    return round_doubles(j.groupBy("trial_id").agg(
+        F.max(F.when(inwin, F.col("gyro_mag"))).alias("peak_gyro")))
+
+
+# -- pose (mapping V) --------------------------------------------------------
+V_POSE = PoseParams(mark_x=0.05, mark_y=-0.03)
+
+
+def _pose(spark, sf):
+    return pose_features(S.embedding_landmarks(spark, sf), V_POSE)
+
+
+def q_pose_angles(spark, sf):
+    p = _pose(spark, sf).select("trial_id", "frame_ts_ms", "angle_left", "angle_right",
+                                "knee_angle")
+    return round_doubles(p, 4)
+
+
+def q_pose_flags(spark, sf):
+    return round_doubles(_pose(spark, sf).select("trial_id", "frame_ts_ms", "seated", "advance",
+                                                 "past"), 4)
+
+
+# -- fusion ------------------------------------------------------------------
+def _metrics(spark, sf, events=None):
+    ev = events if events is not None else events_of(spark, sf)
+    imu = S.event_samples(spark, sf).select("trial_id", "host_ts_ms", "event_id", "accel_mag",
+                                            "gyro_mag")
+    return T.motion_metrics(imu, ev, E_STEPS, ts="host_ts_ms", tiebreak=E_TIEBREAK)
+
+
+def q_motion_metrics(spark, sf):
+    return round_doubles(_metrics(spark, sf))
+
+
+def results_of(spark, sf):
+    ev = events_of(spark, sf)
+    return T.fuse(ev, _metrics(spark, sf, ev)), ev
+
+
+def q_trial_results(spark, sf):
+    return round_doubles(results_of(spark, sf)[0])
+
+
+# -- incremental keys and pending work ---------------------------------------
+RECENT = "2001-06-01"
+
+
+def _done(spark, sf):
+    o = S.table(spark, sf, "orders")
+    return (o.filter(F.col("o_orderdate") >= F.lit(RECENT).cast("timestamp_ntz"))
+             .select(F.col("o_custkey").alias("trial_id")))
+
+
+def q_new_trials(spark, sf):
+    c = S.table(spark, sf, "customer").select(F.col("c_custkey").alias("trial_id"), "c_name")
+    return R.new_keys(c, _done(spark, sf), ["trial_id"])
+
+
+def q_pending_trials(spark, sf):
+    cam = S.table(spark, sf, "customer").select(F.col("c_custkey").alias("trial_id"))
+    imu = S.table(spark, sf, "events").select((F.col("user_id") + F.lit(1400)).alias("trial_id"))
+    return R.pending({"camera": cam, "imu": imu}, _done(spark, sf), "trial_id", "camera")
+
+
+# -- strings -----------------------------------------------------------------
+def q_path_metadata(spark, sf):
+    pg = S.table(spark, sf, "pages").select("page_id", "url")
+    u = F.col("url")
+    return pg.select(
+        "page_id",
+        F.regexp_extract(u, r"/([a-z]+)/([0-9]+)", 1).alias("lang"),
+        F.expr(r"try_cast(regexp_extract(url, '/([a-z]+)/([0-9]+)', 2) AS BIGINT)").alias("item"),
+        F.expr(r"try_cast(regexp_extract(url, 'page=([0-9]+)', 1) AS INT)").alias("page"),
+        F.regexp_extract(u, r"^https?://([^/?#]+)", 1).alias("host"),
+        F.element_at(F.split(F.rtrim(u, F.lit("/")), "/"), -1).alias("last_part"),
+        zero_pad(F.col("page_id"), 16).alias("padded_id"))
+
+
+def q_parse_lines(spark, sf):
+    from ..sources.files import parse_imu_lines
+    li = S.table(spark, sf, "lineitem")
+    last = F.when(F.col("l_linestatus") == "O", F.col("l_returnflag")) \
+            .otherwise(F.col("l_suppkey").cast("string"))
+    line = F.concat(F.concat_ws(",", *[F.col(c).cast("string") for c in
+                                      ("l_orderkey", "l_quantity", "l_discount", "l_tax",
+                                       "l_extendedprice", "l_partkey")], last),
+                    F.when(F.col("l_linenumber") == 7, F.lit(",0")).otherwise(F.lit("")))
+    return round_doubles(parse_imu_lines(li.select(line.alias("value"))))
+
+
+# -- reports -----------------------------------------------------------------
+def q_ranked_results(spark, sf):
+    r = results_of(spark, sf)[0]
+    return round_doubles(P.ranked_results(r).select("trial_id", "duration_s", "rank"))
+
+
+def q_result_labels(spark, sf):
+    return P.result_labels(results_of(spark, sf)[0])
+
+
+def q_phase_marks(spark, sf):
+    return round_doubles(P.phase_marks(events_of(spark, sf)).drop("t0_ms"))
+
+
+def q_phase_shares(spark, sf):
+    return round_doubles(P.phase_shares(events_of(spark, sf)))
+
+
+def q_interpolate_marks(spark, sf):
+    marks = P.phase_marks(events_of(spark, sf))
+    smp = _samples(spark, sf)
+    v = P.values_at_marks(smp, marks, "trial_id", "ts_ms", "value")
+    return round_doubles(v.drop("at_ms"))
+
+
+def q_state_fill(spark, sf):
+    fr = S.event_frames(spark, sf)
+    err = S.table(spark, sf, "events").select("event_id", (F.col("event_type") == "error")
+                                              .alias("_err"))
+    fr = fr.join(err, "event_id")
+    fr = fr.select("trial_id", "frame_ts_ms", "event_id",
+                   F.when(~F.col("_err"), F.col("seated")).alias("seated"),
+                   F.when(~F.col("_err"), F.col("past")).alias("past"))
+    return G.fill_states(fr, ["trial_id"], "frame_ts_ms", ["seated", "past"], E_TRIAL.bucket_ms,
+                         tiebreak=E_TIEBREAK)
+
+
+SESSION_MS = 6 * 3600 * 1000
+
+
+def q_session_samples(spark, sf):
+    ev = S.table(spark, sf, "events").select(
+        F.col("user_id").alias("trial_id"), epoch_ms("ts").alias("ms"), "event_id", "event_type")
+    sessions = ev.filter(F.col("event_type") == "signup").select(
+        "trial_id", F.col("event_id").alias("session_id"), F.col("ms").alias("start_ms"),
+        (F.col("ms") + F.lit(SESSION_MS)).alias("end_ms"))
+    samples = ev.filter(F.col("event_type") != "signup").select(
+        "trial_id", F.col("event_id").alias("sample_id"), "ms")
+    j = R.interval_join(samples, sessions, ["trial_id"], "ms", "start_ms", "end_ms", SESSION_MS)
+    return j.select("trial_id", "session_id", "sample_id")
+
+
+L_BUCKET = 180 * DAY_MS
+
+
+def q_chunk_index(spark, sf):
+    li = S.lineitem_imu(spark, sf).withColumn("_one", F.lit(1).cast("long"))
+    s = scan(li, ["trial_id"], "host_timestamp_ms", L_BUCKET, tiebreak=S.LINEITEM_TIEBREAK,
+             cumsum=["_one"])
+    return s.select(*L_KEYS, F.floor((F.col("cum__one") - 1) / F.lit(500)).cast("long")
+                    .alias("chunk_no"))
+
+
+HOUR_MS = 3_600_000
+
+
+def q_rate_per_hour(spark, sf):
+    ev = S.table(spark, sf, "events").select(F.col("user_id").alias("trial_id"),
+                                             epoch_ms("ts").alias("ms"))
+    hr = (F.col("ms") - F.pmod(F.col("ms"), F.lit(HOUR_MS))).alias("hour_ms")
+    agg = ev.groupBy("trial_id", hr).agg(F.count(F.lit(1)).alias("n_events"))
+    s = scan(agg, ["trial_id"], "hour_ms", 30 * DAY_MS, cumsum=["n_events"])
+    return s.withColumnRenamed("cum_n_events", "running_total")
+
+
+def q_trial_counts(spark, sf):
+    fr = (S.table(spark, sf, "events").groupBy(F.col("user_id").cast("string").alias("trial_id"))
+          .agg(F.count(F.lit(1)).alias("n_frames")))
+    sm = (S.table(spark, sf, "lineitem")
+          .groupBy(F.col("l_suppkey").cast("string").alias("trial_id"))
+          .agg(F.count(F.lit(1)).alias("n_samples")))
+    j = fr.join(sm, "trial_id", "full")
+    return j.select("trial_id", F.coalesce("n_frames", F.lit(0)).alias("n_frames"),
+                    F.coalesce("n_samples", F.lit(0)).alias("n_samples"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trial_events": q_trial_events,
+    "smooth_state": q_smooth_state,
+    "state_runs": q_state_runs,
+    "stand_attempts": q_stand_attempts,
+    "local_peaks": q_local_peaks,
+    "spaced_peaks": q_spaced_peaks,
+    "throttle_events": q_throttle_events,
+    "interval_cv": q_interval_cv,
+    "quality_tags": q_quality_tags,
+    "quality_clean": q_quality_clean,
+    "reject_report": q_reject_report,
+    "quality_counts": q_quality_counts,
+    "dedup_flags": q_dedup_flags,
+    "vector_magnitude": q_vector_magnitude,
+    "window_peak": q_window_peak,
+    "pose_angles": q_pose_angles,
+    "pose_flags": q_pose_flags,
+    "motion_metrics": q_motion_metrics,
+    "trial_results": q_trial_results,
+    "new_trials": q_new_trials,
+    "pending_trials": q_pending_trials,
+    "path_metadata": q_path_metadata,
+    "parse_lines": q_parse_lines,
+    "ranked_results": q_ranked_results,
+    "result_labels": q_result_labels,
+    "phase_marks": q_phase_marks,
+    "phase_shares": q_phase_shares,
+    "interpolate_marks": q_interpolate_marks,
+    "state_fill": q_state_fill,
+    "session_samples": q_session_samples,
+    "chunk_index": q_chunk_index,
+    "rate_per_hour": q_rate_per_hour,
+    "trial_counts": q_trial_counts,
 }

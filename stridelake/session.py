@@ -93,3 +93,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(p))
+
+
+def cut(df):
+    """Materialise ``df`` in the shared checkpoint folder and continue from
+    the written copy: later uses read it instead of recomputing the plan,
+    and a lost executor does not send the job back to the source."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
