@@ -338,6 +338,89 @@ def q_trial_counts(spark, sf):
                     F.coalesce("n_samples", F.lit(0)).alias("n_samples"))
 
 
+# -- inference (UD-3) ---------------------------------------------------------
+def q_detect_landmarks(spark, sf):
+    """Frames carry their embedding as text bytes; the stub detector turns
+    them into landmarks inside a mapInPandas job."""
+    from ..operators.inference import detect_landmarks, stub_detector_factory
+    em = S.table(spark, sf, "embeddings")
+    text = F.concat_ws(",", F.transform("embedding", lambda x: x.cast("string")))
+    frames = em.select(F.col("label").cast("string").alias("trial_id"),
+                       F.col("vec_id").alias("frame_ts_ms"),
+                       F.encode(text, "UTF-8").alias("content"))
+    lm = detect_landmarks(frames, stub_detector_factory())
+    x = lm.select("trial_id", "frame_ts_ms", F.explode("landmarks").alias("l"))
+    return round_doubles(x.select("trial_id", "frame_ts_ms", F.col("l.landmark_id").alias("landmark_id"),
+                                  F.col("l.x").cast("double").alias("x"),
+                                  F.col("l.y").cast("double").alias("y"),
+                                  F.col("l.visibility").cast("double").alias("visibility")))
+
+
+# -- streaming and layers (files derived from the tables) --------------------
+def _export_events_csv(spark, sf):
+    from ..session import scratch_path
+    path = scratch_path(spark, "events-csv")
+    ev = S.table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("trial_id"), epoch_ms("ts").alias("ms"),
+        "event_id", "value")
+    ev.write.partitionBy("trial_id").option("header", True).csv(path)
+    return path
+
+
+EV_CSV_SCHEMA = "ms long, event_id long, value double, trial_id string"
+
+
+def q_stream_ingest(spark, sf):
+    from ..session import scratch_path
+    from ..streaming.ingest import ingest_files
+    src = _export_events_csv(spark, sf)
+    out = ingest_files(spark, src, EV_CSV_SCHEMA, scratch_path(spark, "ingest-sink"),
+                       scratch_path(spark, "ingest-ckpt"))
+    return round_doubles(out.select("trial_id", "ms", "event_id", "value"))
+
+
+def q_stream_rate(spark, sf):
+    """Hourly counts per trial from a watermarked stream, append mode: only
+    windows the watermark (max event time - 1 h) has passed are emitted."""
+    from ..session import scratch_path
+    from ..streaming.ingest import rate_per_window, run_available
+    src = _export_events_csv(spark, sf)
+    st = (spark.readStream.schema(EV_CSV_SCHEMA).option("header", True).csv(src)
+          .withColumn("ts", F.timestamp_millis("ms")))
+    agg = rate_per_window(st, "trial_id", "ts", "1 hour", "1 hour")
+    sink = scratch_path(spark, "rate-sink")
+    run_available(agg, sink, scratch_path(spark, "rate-ckpt"))
+    r = spark.read.parquet(sink)
+    return r.select("trial_id", F.unix_millis("window_start").alias("window_start_ms"), "n_rows")
+
+
+def q_layer_silver(spark, sf):
+    """Bronze -> silver run twice over IMU CSV files exported from lineitem;
+    the second run finds nothing new. Returns the silver table."""
+    from ..plans.layers import read_layer, run_layer
+    from ..session import scratch_path
+    from ..sources.files import read_imu_csv
+    src = scratch_path(spark, "imu-csv")
+    li = S.lineitem_imu(spark, sf)
+    (li.select("host_timestamp_ms", "imu_timestamp_ms", "accel_x_g", "accel_y_g", "accel_z_g",
+               "gyro_x_dps", "gyro_y_dps", "gyro_z_dps", "trial_id")
+       .write.partitionBy("trial_id").option("header", True).csv(src))
+    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+
+    def to_silver(df):
+        return Q.clean(Q.tag_imu(df, tiebreak=["imu_timestamp_ms", "_src_file", "_src_row"])) \
+            .drop("_src_file", "_src_row", "batch_id")
+
+    for run in (1, 2):
+        run_layer(spark, read_imu_csv(spark, src), lambda d: d, bronze, batch_id=f"b{run}",
+                  order=["host_timestamp_ms"])
+        run_layer(spark, S.with_row_identity(read_layer(spark, bronze)), to_silver, silver,
+                  batch_id=f"s{run}",
+                  order=["host_timestamp_ms"])
+    out = spark.read.parquet(silver).drop("batch_id")
+    return round_doubles(out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trial_events": q_trial_events,
     "smooth_state": q_smooth_state,
@@ -372,4 +455,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunk_index": q_chunk_index,
     "rate_per_hour": q_rate_per_hour,
     "trial_counts": q_trial_counts,
+    "detect_landmarks": q_detect_landmarks,
+    "stream_ingest": q_stream_ingest,
+    "stream_rate": q_stream_rate,
+    "layer_silver": q_layer_silver,
 }

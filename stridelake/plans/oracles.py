@@ -462,3 +462,29 @@ s AS (SELECT CAST(l_suppkey AS VARCHAR) AS trial_id, count(*) AS n_samples
 SELECT coalesce(f.trial_id, s.trial_id) AS trial_id, coalesce(n_frames, 0) AS n_frames,
        coalesce(n_samples, 0) AS n_samples
 FROM f FULL OUTER JOIN s ON f.trial_id = s.trial_id"""
+
+SQL["detect_landmarks"] = """
+WITH j AS (SELECT unnest(range(6)) AS j, label, vec_id, embedding FROM embeddings)
+SELECT CAST(label AS VARCHAR) AS trial_id, vec_id AS frame_ts_ms, CAST(23 + j AS BIGINT) AS landmark_id,
+       round(embedding[3 * j + 1]::DOUBLE, 6) AS x, round(embedding[3 * j + 2]::DOUBLE, 6) AS y,
+       round((abs(embedding[3 * j + 3]::DOUBLE) * 10.0)::FLOAT::DOUBLE, 6) AS visibility
+FROM j"""
+
+SQL["stream_ingest"] = """
+SELECT CAST(user_id AS VARCHAR) AS trial_id, epoch_us(ts) // 1000 AS ms, event_id,
+       round(value, 6) AS value
+FROM events"""
+
+SQL["stream_rate"] = """
+WITH e AS (SELECT CAST(user_id AS VARCHAR) AS trial_id, epoch_us(ts) // 1000 AS ms FROM events),
+wm AS (SELECT max(ms) - 3600000 AS wm FROM e),
+h AS (SELECT trial_id, ms - (ms % 3600000) AS window_start_ms, count(*) AS n_rows
+      FROM e GROUP BY trial_id, window_start_ms)
+SELECT trial_id, window_start_ms, n_rows FROM h, wm
+WHERE window_start_ms + 3600000 <= wm.wm"""
+
+SQL["layer_silver"] = "WITH " + TAGGED_L + """
+SELECT host_timestamp_ms, imu_timestamp_ms, """ + _r(
+    ["accel_x_g", "accel_y_g", "accel_z_g", "gyro_x_dps", "gyro_y_dps", "gyro_z_dps"]) + """,
+       trial_id
+FROM tg WHERE reasons = ''"""

@@ -84,3 +84,11 @@ def embedding_landmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return em.select(F.col("label").cast("string").alias("trial_id"),
                      F.col("vec_id").alias("frame_ts_ms"),
                      F.array(*[lm(j) for j in range(6)]).alias("landmarks"))
+
+
+def with_row_identity(df: DataFrame) -> DataFrame:
+    """Add (source file, row index within file) to a Parquet scan: a stable
+    per-row identity that survives recomputation, used as the last tie-break
+    so fully identical rows still rank one after another."""
+    return df.select("*", F.col("_metadata.file_path").alias("_src_file"),
+                     F.col("_metadata.row_index").alias("_src_row"))
