@@ -48,7 +48,7 @@ def frames_from_files(files: DataFrame) -> DataFrame:
     empty id and a null timestamp (kept; callers reject it, D24)."""
     p = F.col("path")
     return files.select(F.regexp_extract(p, FRAME_KEY_PATTERN, 1).alias(KEY),
-                        F.expr(f"try_cast(regexp_extract(path, '{FRAME_TS_PATTERN}', 1) AS BIGINT)")
+                        F.regexp_extract(p, FRAME_TS_PATTERN, 1).try_cast("bigint")
                         .alias("frame_ts_ms"),
                         F.col("content"))
 
