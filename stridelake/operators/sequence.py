@@ -45,6 +45,7 @@ def scan(df: DataFrame, keys: Sequence[str], ts: str, width: int, *,
          ffill: Sequence[str] = (),
          bfill: Sequence[str] = (),
          runs: Sequence[str] = (),
+         gaps: dict[str, object] | None = None,
          bucket_col: str | None = None) -> DataFrame:
     """One ordered pass per key.
 
@@ -57,24 +58,36 @@ def scan(df: DataFrame, keys: Sequence[str], ts: str, width: int, *,
     * ``bfill``:  ``bfill_c`` first non-null value from this row on
     * ``runs``:   ``run_c`` run number (1-based; a run is a maximal stretch
       of equal values, null-safe equality) and ``start_c`` (first row of run)
+    * ``gaps``:   ``{c: g}`` -> ``seg_c`` segment number (1-based; a new
+      segment starts where ``c >= previous c + g``) and ``segstart_c``
 
     ``bucket_col`` names an existing bucket column (same width) so that an
     input already partitioned by ``(keys, bucket)`` is not shuffled again.
     """
     keys = list(keys)
     tiebreak = list(tiebreak)
+    gaps = dict(gaps or {})
+    # (out suffix, column, "starts a new stretch" given current and previous)
+    changes = ([(f"run_{c}", f"start_{c}", c, lambda cur, prev: ~cur.eqNullSafe(prev))
+                for c in runs]
+               + [(f"seg_{c}", f"segstart_{c}", c,
+                   (lambda g: lambda cur, prev: cur >= prev + F.lit(g))(g))
+                  for c, g in gaps.items()])
     d = df
     b = bucket_col or BKT
-    if bucket_col is None:
-        d = d.withColumn(b, bucket_of(ts, width))
     part = keys + [b]
+    if bucket_col is None:
+        # One explicit exchange on (key, bucket): the ordered pass and the
+        # bucket summary below both read it (the exchange is reused), so the
+        # input plan is evaluated once even when scans are stacked.
+        d = d.withColumn(b, bucket_of(ts, width)).repartition(*part)
     w = Window.partitionBy(*part).orderBy(*_order(ts, tiebreak))
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fromhere = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     okey = _okey(ts, tiebreak)
 
     inner = []
-    if lag or runs:
+    if lag or changes:
         inner.append(F.lag(F.lit(True)).over(w).alias("_hp"))
     if lead:
         inner.append(F.lead(F.lit(True)).over(w).alias("_hn"))
@@ -88,15 +101,15 @@ def scan(df: DataFrame, keys: Sequence[str], ts: str, width: int, *,
         inner.append(F.last(c, ignorenulls=True).over(upto).alias(f"_ff_{c}"))
     for c in bfill:
         inner.append(F.first(c, ignorenulls=True).over(fromhere).alias(f"_bf_{c}"))
-    for c in runs:
-        inner.append(F.lag(c).over(w).alias(f"_rp_{c}"))
+    for i, (_, _, c, _) in enumerate(changes):
+        inner.append(F.lag(c).over(w).alias(f"_rp_{i}"))
     base = d
     d = d.select("*", *inner)
-    for c in runs:
+    for i, (_, _, c, brk) in enumerate(changes):
         # change inside the bucket (the first row of a bucket is settled later)
-        chg = F.col("_hp").isNotNull() & ~F.col(c).eqNullSafe(F.col(f"_rp_{c}"))
-        d = d.withColumn(f"_rc_{c}", chg.cast("long"))
-        d = d.withColumn(f"_rn_{c}", F.sum(f"_rc_{c}").over(upto))
+        chg = F.col("_hp").isNotNull() & F.coalesce(brk(F.col(c), F.col(f"_rp_{i}")), F.lit(False))
+        d = d.withColumn(f"_rc_{i}", chg.cast("long"))
+        d = d.withColumn(f"_rn_{i}", F.sum(f"_rc_{i}").over(upto))
 
     # ---- per-bucket summary (one row per key and bucket) -------------------
     aggs = []
@@ -110,15 +123,15 @@ def scan(df: DataFrame, keys: Sequence[str], ts: str, width: int, *,
         aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(f"_lnn_{c}"))
     for c in bfill:
         aggs.append(F.min_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(f"_fnn_{c}"))
-    for c in runs:
-        aggs += [F.min_by(F.col(c), okey).alias(f"_rf_{c}"),
-                 F.max_by(F.col(c), okey).alias(f"_rl_{c}"),
-                 F.sum(f"_rc_{c}").alias(f"_ri_{c}")]
+    for i, (_, _, c, _) in enumerate(changes):
+        aggs += [F.min_by(F.col(c), okey).alias(f"_rf_{i}"),
+                 F.max_by(F.col(c), okey).alias(f"_rl_{i}"),
+                 F.sum(f"_rc_{i}").alias(f"_ri_{i}")]
     if not aggs:
         return d.drop(*[x for x in d.columns if x.startswith("_") and x not in df.columns])
     # Without run counters the summary needs no window output: aggregate the
     # input directly (partial aggregation before the shuffle).
-    summ = (d if runs else base).groupBy(*part).agg(*aggs)
+    summ = (d if changes else base).groupBy(*part).agg(*aggs)
 
     wb = Window.partitionBy(*keys).orderBy(b)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
@@ -135,27 +148,28 @@ def scan(df: DataFrame, keys: Sequence[str], ts: str, width: int, *,
         carry.append(F.last(f"_lnn_{c}", ignorenulls=True).over(before).alias(f"_c_ff_{c}"))
     for c in bfill:
         carry.append(F.first(f"_fnn_{c}", ignorenulls=True).over(after).alias(f"_c_bf_{c}"))
-    s2 = summ.select(*part, *[F.col(f"_rf_{c}") for c in runs],
-                     *[F.col(f"_ri_{c}") for c in runs],
-                     *[F.lag(f"_rl_{c}").over(wb).alias(f"_rpl_{c}") for c in runs],
-                     *([F.lag(F.lit(True)).over(wb).alias("_c_hpb")] if runs else []),
+    idx = range(len(changes))
+    s2 = summ.select(*part, *[F.col(f"_rf_{i}") for i in idx],
+                     *[F.col(f"_ri_{i}") for i in idx],
+                     *[F.lag(f"_rl_{i}").over(wb).alias(f"_rpl_{i}") for i in idx],
+                     *([F.lag(F.lit(True)).over(wb).alias("_c_hpb")] if changes else []),
                      *carry)
-    for c in runs:
-        # does this bucket's first row start a new run?
+    for i, (_, _, _, brk) in enumerate(changes):
+        # does this bucket's first row start a new stretch?
         s2 = s2.withColumn(
-            f"_rb_{c}",
+            f"_rb_{i}",
             (F.col("_c_hpb").isNotNull()
-             & ~F.col(f"_rf_{c}").eqNullSafe(F.col(f"_rpl_{c}"))).cast("long"))
+             & F.coalesce(brk(F.col(f"_rf_{i}"), F.col(f"_rpl_{i}")), F.lit(False))).cast("long"))
         s2 = s2.withColumn(
-            f"_ro_{c}",
-            F.coalesce(F.sum(F.col(f"_ri_{c}") + F.col(f"_rb_{c}")).over(before), F.lit(0))
-            + F.col(f"_rb_{c}"))
+            f"_ro_{i}",
+            F.coalesce(F.sum(F.col(f"_ri_{i}") + F.col(f"_rb_{i}")).over(before), F.lit(0))
+            + F.col(f"_rb_{i}"))
     keep = [x for x in s2.columns if x in part or x.startswith("_c_")
             or x.startswith("_ro_") or x.startswith("_rb_")]
     d = d.join(s2.select(*keep), part, "left")
 
     out = d
-    first_in_bucket = F.col("_hp").isNull() if (lag or runs) else None
+    first_in_bucket = F.col("_hp").isNull() if (lag or changes) else None
     for c in lag:
         out = out.withColumn(f"prev_{c}", F.when(F.col("_hp").isNotNull(), F.col(f"_lag_{c}"))
                              .otherwise(F.col("_c_last")[c]))
@@ -173,13 +187,13 @@ def scan(df: DataFrame, keys: Sequence[str], ts: str, width: int, *,
         out = out.withColumn(f"ffill_{c}", F.coalesce(F.col(f"_ff_{c}"), F.col(f"_c_ff_{c}")))
     for c in bfill:
         out = out.withColumn(f"bfill_{c}", F.coalesce(F.col(f"_bf_{c}"), F.col(f"_c_bf_{c}")))
-    for c in runs:
-        out = out.withColumn(f"run_{c}", F.col(f"_rn_{c}") + F.col(f"_ro_{c}") + F.lit(1))
+    for i, (num, start, _, _) in enumerate(changes):
+        out = out.withColumn(num, F.col(f"_rn_{i}") + F.col(f"_ro_{i}") + F.lit(1))
         out = out.withColumn(
-            f"start_{c}",
+            start,
             F.when(first_in_bucket,
-                   (F.col(f"_rb_{c}") == 1) | F.col("_c_hpb").isNull())
-            .otherwise(F.col(f"_rc_{c}") == 1))
+                   (F.col(f"_rb_{i}") == 1) | F.col("_c_hpb").isNull())
+            .otherwise(F.col(f"_rc_{i}") == 1))
     drop = [x for x in out.columns if x.startswith("_") and x not in df.columns]
     if bucket_col is None:
         drop.append(b)

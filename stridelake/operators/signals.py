@@ -98,16 +98,16 @@ def min_spacing(df: DataFrame, keys: Sequence[str], ts: str, gap, bucket_ms: int
     keys = list(keys)
     tiebreak = list(tiebreak)
     cols = df.columns
-    s = scan(df, keys, ts, bucket_ms, tiebreak=tiebreak, lag=[ts])
-    s = s.withColumn("_new", (~F.col("has_prev")
-                              | (F.col(ts) >= F.col(f"prev_{ts}") + F.lit(gap))).cast("long"))
-    s = s.withColumn("_one", F.lit(1).cast("long")).drop(f"prev_{ts}", "has_prev")
-    s = scan(s, keys, ts, bucket_ms, tiebreak=tiebreak, cumsum=["_new", "_one"])
-    s = (s.withColumnRenamed("cum__new", "_seg").withColumnRenamed("cum__one", "_idx")
-          .drop("_one"))
+    s = scan(df.withColumn("_one", F.lit(1).cast("long")), keys, ts, bucket_ms,
+             tiebreak=tiebreak, gaps={ts: gap}, cumsum=["_one"])
+    s = (s.withColumnRenamed(f"seg_{ts}", "_seg").withColumnRenamed("cum__one", "_idx")
+          .withColumn("_new", F.col(f"segstart_{ts}").cast("long"))
+          .drop("_one", f"segstart_{ts}"))
+    # written once: the size aggregate, both paths below and the emptiness
+    # test read this copy
+    s = cut(s)
     sizes = s.groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("_n"))
-    # written once: both paths below and the emptiness test read this copy
-    s = cut(s.join(sizes, keys + ["_seg"]))
+    s = s.join(sizes, keys + ["_seg"])
 
     # -- short segments: one fold per segment --------------------------------
     small = s.filter(F.col("_n") <= max_fold)
@@ -149,18 +149,19 @@ def _jump_chain(nodes: DataFrame, keys: list[str], ts: str, gap, bucket_ms: int)
              tiebreak=["_kind", "_src", "_node"], bfill=["_node"])
     jump = (u.filter((F.col("_kind") == 0) & F.col("bfill__node").isNotNull())
              .select(*keys, F.col("_src").alias("_idx"), F.col("bfill__node").alias("_to"))
-             .checkpoint(eager=True))
-    reached = base.filter(F.col("_new") == 1).select(*keys, "_idx").checkpoint(eager=True)
+             )
+    jump = cut(jump, "jump")
+    reached = cut(base.filter(F.col("_new") == 1).select(*keys, "_idx"), "reached")
     while True:
         new = reached.join(jump, keys + ["_idx"]).select(*keys, F.col("_to").alias("_idx"))
-        new = new.checkpoint(eager=True)
+        new = cut(new, "reached")
         if new.isEmpty():
             return reached
-        reached = reached.unionByName(new).checkpoint(eager=True)
+        reached = cut(reached.unionByName(new), "reached")
         a, b = jump.alias("a"), jump.alias("b")
         cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("a._to") == F.col("b._idx")]
-        jump = (a.join(b, cond).select(*[F.col(f"a.{k}") for k in keys], F.col("a._idx"),
-                                       F.col("b._to")).checkpoint(eager=True))
+        jump = cut(a.join(b, cond).select(*[F.col(f"a.{k}") for k in keys], F.col("a._idx"),
+                                          F.col("b._to")), "jump")
 
 
 def fill_states(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str],
@@ -188,26 +189,29 @@ def rebase(df: DataFrame, keys: Sequence[str], ts: str, out: str = "t_s",
 
 def interpolate_at(samples: DataFrame, marks: DataFrame, keys: Sequence[str], ts: str,
                    value: str, at: str, mark_cols: Sequence[str] = (),
-                   out: str = "value_at") -> DataFrame:
+                   out: str = "value_at", bucket_ms: int = 7 * 86_400_000) -> DataFrame:
     """Linear interpolation of ``value`` at each mark time ``at``, clamped at
-    both ends like ``np.interp``. As-of in both directions via conditional
-    max_by/min_by per mark: a partial aggregate, no per-key sort."""
+    both ends like ``np.interp`` (JN-6).
+
+    Marks are merged into the sample stream and one ordered scan carries the
+    last sample at or before each mark forward and the first sample after it
+    backward, so the cost is linear in samples + marks whatever the number
+    of marks per key (no sample x mark pairs).
+    """
     keys = list(keys)
-    mk = list(keys) + [at] + list(mark_cols)
-    j = samples.select(*keys, ts, value).join(marks.select(*mk), keys)
-    lo_ok = F.col(ts) <= F.col(at)
-    hi_ok = F.col(ts) >= F.col(at)
-    pt = F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))
-    g = j.groupBy(*mk).agg(
-        F.max_by(pt, F.when(lo_ok, F.col(ts))).alias("lo"),
-        F.min_by(pt, F.when(hi_ok, F.col(ts))).alias("hi"),
-        F.min_by(pt, F.col(ts)).alias("first"),
-        F.max_by(pt, F.col(ts)).alias("last"))
-    lo, hi = F.col("lo"), F.col("hi")
-    span = hi["t"] - lo["t"]
-    frac = F.try_divide((F.col(at) - lo["t"]).cast("double"), span.cast("double"))
-    v = (F.when(lo.isNull(), F.col("first")["v"])
-          .when(hi.isNull(), F.col("last")["v"])
-          .when(span == 0, lo["v"])
+    mark_cols = list(mark_cols)
+    pt = F.struct(F.col(ts).cast("double").alias("t"), F.col(value).cast("double").alias("v"))
+    s = samples.select(*keys, F.col(ts).cast("double").alias("_t"), F.lit(0).alias("_k"),
+                       pt.alias("_s"), *[F.lit(None).cast(marks.schema[c].dataType).alias(c)
+                                         for c in [at] + mark_cols])
+    m = marks.select(*keys, F.col(at).cast("double").alias("_t"), F.lit(1).alias("_k"),
+                     F.lit(None).cast(s.schema["_s"].dataType).alias("_s"), at, *mark_cols)
+    # samples sort before marks at equal times: "last at or before" includes them
+    sc = scan(s.unionByName(m), keys, "_t", bucket_ms, tiebreak=["_k"], ffill=["_s"],
+              bfill=["_s"])
+    lo, hi = F.col("ffill__s"), F.col("bfill__s")
+    frac = F.try_divide(F.col(at).cast("double") - lo["t"], hi["t"] - lo["t"])
+    v = (F.when(lo.isNull(), hi["v"])
+          .when(hi.isNull() | (lo["t"] == F.col(at)), lo["v"])
           .otherwise(lo["v"] + frac * (hi["v"] - lo["v"])))
-    return g.select(*mk, v.alias(out))
+    return sc.filter(F.col("_k") == 1).select(*keys, at, *mark_cols, v.alias(out))

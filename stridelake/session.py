@@ -24,6 +24,11 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from plan-time estimates (derived tables have no proven
+    # size); AQE still turns a join into a broadcast when the measured
+    # shuffle output of one side is below 10 MB.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -95,9 +100,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def cut(df):
-    """Materialise ``df`` in the shared checkpoint folder and continue from
-    the written copy: later uses read it instead of recomputing the plan,
-    and a lost executor does not send the job back to the source."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df, name: str = "cut"):
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and continue from the written copy: later uses read it instead of
+    recomputing the plan, and a lost executor does not send the job back to
+    the source. (Computed once; an un-persisted ``Dataset.checkpoint`` runs
+    the plan twice.)"""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

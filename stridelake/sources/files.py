@@ -61,17 +61,25 @@ def read_frames(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_imu_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """Raw sensor lines ``millis,ax,ay,az,gx,gy,gz``: exactly seven fields,
-    an integer and six numbers; other lines are dropped (SRC-7)."""
-    parts = F.split(F.trim(F.col(value)), ",")
-    fields = [F.expr(f"try_cast(trim(parts[0]) AS BIGINT)").alias("millis")]
+    an integer and six numbers; other lines are dropped (SRC-7).
+
+    The parsed record is kept with ``inline(filter(array(rec), ok))`` rather
+    than select + filter: a filter over the projected fields would be
+    rewritten to re-split the line once per field.
+    """
     names = ["ax", "ay", "az", "gx", "gy", "gz"]
-    fields += [F.expr(f"try_cast(trim(parts[{i + 1}]) AS DOUBLE)").alias(n)
-               for i, n in enumerate(names)]
-    d = lines.select(parts.alias("parts")).filter(F.size("parts") == 7).select(*fields)
-    ok = F.lit(True)
-    for c in ["millis"] + names:
-        ok = ok & F.col(c).isNotNull()
-    return d.filter(ok)
+    parts = F.split(F.trim(F.col(value)), ",")
+    rec = F.struct(F.size(parts).alias("_n"),
+                   F.trim(F.get(parts, 0)).try_cast("bigint").alias("millis"),
+                   *[F.trim(F.get(parts, i + 1)).try_cast("double").alias(n) for i, n in enumerate(names)])
+
+    def ok(r):
+        c = r["_n"] == 7
+        for f in ["millis"] + names:
+            c = c & r[f].isNotNull()
+        return c
+
+    return lines.select(F.inline(F.filter(F.array(rec), ok))).drop("_n")
 
 
 def read_raw_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
