@@ -81,3 +81,19 @@ def pending_report(spark: SparkSession, sources: dict[str, DataFrame], done_path
     if done is None:
         done = spark.createDataFrame([], T.StructType([T.StructField(key, T.StringType())]))
     return pending(sources, done, key, primary).orderBy(key)
+
+
+def write_chunked_csv(df: DataFrame, path: str, key: str = "trial_id",
+                      ts: str = "host_timestamp_ms", rows_per_file: int = 500,
+                      bucket_ms: int = 10 * 60 * 1000) -> None:
+    """IMU samples as CSV files of ``rows_per_file`` rows per trial folder,
+    in time order (SNK-4). Chunk numbers come from the bucketed running
+    count, and files are written by (trial, chunk) tasks, so a very long
+    trial is written by many tasks."""
+    from ..operators.sequence import scan
+    c = scan(df.withColumn("_one", F.lit(1).cast("long")), [key], ts, bucket_ms, cumsum=["_one"])
+    c = c.withColumn("_chunk", F.floor((F.col("cum__one") - 1) / F.lit(rows_per_file)))
+    (c.repartition(key, "_chunk").sortWithinPartitions(key, "_chunk", ts)
+      .drop("_one", "cum__one", "_chunk")
+      .write.mode("append").option("header", True)
+      .option("maxRecordsPerFile", rows_per_file).partitionBy(key).csv(path))

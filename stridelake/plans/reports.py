@@ -70,3 +70,32 @@ def values_at_marks(samples: DataFrame, marks: DataFrame, key: str, ts: str, val
     m = marks.select(key, "phase_no",
                      (F.col("t0_ms") + F.col("t_mark_s") * F.lit(1000.0)).alias("at_ms"))
     return interpolate_at(samples, m, [key], ts, value, "at_ms", ["phase_no"], out=out)
+
+
+# -- per-trial series for the report page (FLT-4, PL-6) ------------------------
+def state_series(gold_camera: DataFrame, events: DataFrame, trial_id: str,
+                 key: str = "trial_id", ts: str = "frame_ts_ms") -> DataFrame:
+    """One trial's states, filled forward then backward, with seconds since
+    the trial's t0 (the same zero as the phase marks). The trial filter is a
+    plain predicate, so it reaches the Parquet scan (row-group statistics of
+    the trial-clustered layer files)."""
+    from ..operators.signals import fill_states
+    one = gold_camera.filter(F.col(key) == F.lit(trial_id))
+    filled = fill_states(one, [key], ts, ["seated", "past"], 10 * 60 * 1000)
+    t0 = events.filter(F.col(key) == F.lit(trial_id)).select(key, "t0_ms")
+    return (filled.join(t0, key, "left")
+                  .withColumn("t_s", (F.col(ts) - F.col("t0_ms")) / F.lit(1000.0))
+                  .drop("t0_ms").orderBy(ts))
+
+
+def imu_series(silver_imu: DataFrame, events: DataFrame, trial_id: str,
+               key: str = "trial_id", ts: str = "host_timestamp_ms") -> DataFrame:
+    """One trial's IMU samples with accel/gyro magnitudes and seconds since t0."""
+    from ..operators.signals import magnitude
+    one = silver_imu.filter(F.col(key) == F.lit(trial_id))
+    t0 = events.filter(F.col(key) == F.lit(trial_id)).select(key, "t0_ms")
+    return (one.join(t0, key, "left")
+               .select("*", ((F.col(ts) - F.col("t0_ms")) / F.lit(1000.0)).alias("t_s"),
+                       magnitude("accel_x_g", "accel_y_g", "accel_z_g").alias("accel_mag"),
+                       magnitude("gyro_x_dps", "gyro_y_dps", "gyro_z_dps").alias("gyro_mag"))
+               .drop("t0_ms").orderBy(ts))
