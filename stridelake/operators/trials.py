@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import StepParams, TrialParams
-from ..session import cut
+from ..session import bounded, cut
 from .sequence import BKT, scan
 from .signals import local_peaks, min_spacing, smooth_flags
 
@@ -36,10 +36,11 @@ def smoothed_states(frames: DataFrame, params: TrialParams, key: str = "trial_id
 
 
 def state_run_tables(states: DataFrame, params: TrialParams, key: str, ts: str,
-                     tiebreak: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+                     tiebreak: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, int]:
     """Runs of the smoothed seated and past states: one ordered scan, one
     aggregation for both signals, written once (lineage cut) because the
-    chained event search reads it several times."""
+    chained event search reads it several times. Also returns the exact
+    number of run rows, an upper bound of every per-trial table below."""
     sc = scan(states, [key], ts, params.bucket_ms, tiebreak=tiebreak, lead=[ts],
               runs=["s_seated", "s_past"], bucket_col=BKT)
     both = sc.select(key, ts, F.explode(F.array(
@@ -52,21 +53,26 @@ def state_run_tables(states: DataFrame, params: TrialParams, key: str, ts: str,
     runs = (both.groupBy(key, F.col("r.sig").alias("sig"), F.col("r.run_no").alias("run_no"))
                 .agg(F.max("r.v").alias("value"), F.min(ts).alias("t_start"),
                      F.max(ts).alias("t_end"), F.max("r.nx").alias("t_second")))
-    runs = cut(runs)
+    runs = cut(runs, "runs")
     seated_runs = runs.filter(F.col("sig") == 0).drop("sig", "t_second")
     past_runs = runs.filter(F.col("sig") == 1).drop("sig")
-    return seated_runs, past_runs
+    return seated_runs, past_runs, runs.count()
 
 
-def event_chain(seated_runs: DataFrame, past_runs: DataFrame, key: str) -> DataFrame:
+def event_chain(seated_runs: DataFrame, past_runs: DataFrame, key: str,
+                bound_rows: int | None = None) -> DataFrame:
     """t0 .. t4 per trial from the run tables.
 
     t1 = start of the last standing run (only if there was at least one
     seated -> standing transition); t2 = first instant >= t1 past the mark;
     t3 = first instant > t2 back before the mark; t4 = first instant > t3
     seated. Timestamps are assumed distinct within a trial (frame names are
-    their timestamps).
+    their timestamps). ``bound_rows`` (rows of the run tables) bounds every
+    per-trial table; under the broadcast limit they are broadcast.
     """
+    def b(df):
+        return df if bound_rows is None else bounded(df, bound_rows)
+
     a = (seated_runs.groupBy(key).agg(
         F.min("t_start").alias("t0"),
         F.count_if(~F.col("value") & (F.col("run_no") > 1)).cast("int").alias("attempts"),
@@ -76,21 +82,21 @@ def event_chain(seated_runs: DataFrame, past_runs: DataFrame, key: str) -> DataF
     t1 = a.filter(F.col("t1").isNotNull()).select(key, "t1")
 
     # t2: inside a past run that ends at/after t1 -> max(start, t1)
-    t2 = (past_runs.filter(F.col("value")).join(t1, key)
+    t2 = (past_runs.filter(F.col("value")).join(b(t1), key)
           .filter(F.col("t_end") >= F.col("t1"))
           .groupBy(key).agg(F.min(F.greatest(F.col("t_start"), F.col("t1"))).alias("t2")))
     # t3: start of the first not-past run after t2, and the row right after it
-    t3 = (past_runs.filter(~F.col("value")).join(t2, key)
+    t3 = (past_runs.filter(~F.col("value")).join(b(t2), key)
           .filter(F.col("t_start") > F.col("t2"))
           .groupBy(key).agg(F.min("t_start").alias("t3"),
                             F.min_by("t_second", "t_start").alias("t3_next")))
     # t4: first seated instant after t3
-    t4 = (seated_runs.filter(F.col("value")).join(t3, key)
+    t4 = (seated_runs.filter(F.col("value")).join(b(t3), key)
           .filter(F.col("t_end") > F.col("t3"))
           .groupBy(key).agg(F.min(F.when(F.col("t_start") > F.col("t3"), F.col("t_start"))
                                   .otherwise(F.col("t3_next"))).alias("t4")))
-    return (a.join(t2, key, "left").join(t3.select(key, "t3"), key, "left")
-             .join(t4, key, "left"))
+    return (a.join(b(t2), key, "left").join(b(t3.select(key, "t3")), key, "left")
+             .join(b(t4), key, "left"))
 
 
 def trial_events(frames: DataFrame, params: TrialParams = TrialParams(), key: str = "trial_id",
@@ -103,9 +109,9 @@ def trial_events(frames: DataFrame, params: TrialParams = TrialParams(), key: st
     """
     trials = frames.select(key).distinct()
     states = smoothed_states(frames, params, key, ts, seated, past, tiebreak)
-    seated_runs, past_runs = state_run_tables(states, params, key, ts, tiebreak)
-    ch = event_chain(seated_runs, past_runs, key)
-    e = trials.join(ch, key, "left")
+    seated_runs, past_runs, n_runs = state_run_tables(states, params, key, ts, tiebreak)
+    ch = event_chain(seated_runs, past_runs, key, n_runs)
+    e = trials.join(bounded(ch, n_runs), key, "left")
 
     def rel(c):  # seconds since t0, as the reference computes them
         return (F.col(c) - F.col("t0")) / F.lit(1000.0)
@@ -136,8 +142,9 @@ def motion_metrics(imu: DataFrame, events: DataFrame, params: StepParams = StepP
     Trials with IMU rows but no t1 get (null, 0, null); trials without IMU
     rows get no row (null after the fuse join).
     """
-    ev = events.select(key, "t0_ms", "t1_ms", "t4_ms")
-    j = imu.select(key, ts, *tiebreak, accel, gyro).join(ev, key)
+    # one row per trial, written once; broadcast when its exact size is small
+    ev = cut(events.select(key, "t0_ms", "t1_ms", "t4_ms"), "bounds")
+    j = imu.select(key, ts, *tiebreak, accel, gyro).join(bounded(ev, ev.count()), key)
     t = F.col(ts)
     peak = j.groupBy(key).agg(F.max(F.when((t >= F.col("t0_ms")) & (t <= F.col("t1_ms")),
                                            F.col(gyro))).alias("peak_standing_dps"))

@@ -110,3 +110,16 @@ def cut(df, name: str = "cut"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+# Explicit broadcasts are only made of tables whose exact row count is known
+# (counted on a materialised copy) and below this bound; beyond it the plan
+# keeps its shuffle join.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def bounded(df, upper_rows: int, max_rows: int = BROADCAST_MAX_ROWS):
+    """``broadcast(df)`` when ``upper_rows`` (a proven upper bound of its
+    row count) is within ``max_rows``; ``df`` unchanged otherwise."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if upper_rows <= max_rows else df
