@@ -66,7 +66,9 @@ def run_layer(spark: SparkSession, upstream: DataFrame | None,
     bid = batch_id or time.strftime("%Y%m%dT%H%M%S", time.gmtime())
     out = out.withColumn(BATCH, F.lit(bid))
     if order:
-        out = out.repartition(key).sortWithinPartitions(key, *order)
+        # range partitioning on (trial, time): files are clustered by trial
+        # and time, and one long trial is split over several tasks
+        out = out.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
     (out.write.format(fmt).mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH).save(target))
