@@ -68,10 +68,11 @@ def parse_imu_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     rewritten to re-split the line once per field.
     """
     names = ["ax", "ay", "az", "gx", "gy", "gz"]
-    parts = F.split(F.trim(F.col(value)), ",")
+    parts = F.col("_parts")
     rec = F.struct(F.size(parts).alias("_n"),
                    F.trim(F.get(parts, 0)).try_cast("bigint").alias("millis"),
-                   *[F.trim(F.get(parts, i + 1)).try_cast("double").alias(n) for i, n in enumerate(names)])
+                   *[F.trim(F.get(parts, i + 1)).try_cast("double").alias(n)
+                     for i, n in enumerate(names)])
 
     def ok(r):
         c = r["_n"] == 7
@@ -79,7 +80,10 @@ def parse_imu_lines(lines: DataFrame, value: str = "value") -> DataFrame:
             c = c & r[f].isNotNull()
         return c
 
-    return lines.select(F.inline(F.filter(F.array(rec), ok))).drop("_n")
+    # split once, build the record once (generated code), then keep it
+    d = lines.select(F.split(F.trim(F.col(value)), ",").alias("_parts"))
+    d = d.select(rec.alias("_rec"))
+    return d.select(F.inline(F.filter(F.array(F.col("_rec")), ok))).drop("_n")
 
 
 def read_raw_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
