@@ -39,3 +39,13 @@ def fmt_or_dash(c: str | Column, fmt: str) -> Column:
 
 def zero_pad(c: str | Column, width: int) -> Column:
     return F.lpad(col(c).cast("string"), width, "0")
+
+
+def frame_file_name(ms: str | Column) -> Column:
+    """``frame_<16-digit ms>.jpg``"""
+    return F.format_string("frame_%016d.jpg", col(ms))
+
+
+def chunk_file_name(first_ms: str | Column, chunk_no: str | Column) -> Column:
+    """``imu_<16-digit ms>_chunk<4-digit>.csv``"""
+    return F.format_string("imu_%016d_chunk%04d.csv", col(first_ms), col(chunk_no))

@@ -89,3 +89,13 @@ def parse_imu_lines(lines: DataFrame, value: str = "value") -> DataFrame:
 def read_raw_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
     r = spark.readStream if streaming else spark.read
     return parse_imu_lines(r.text(path))
+
+
+def source_trial_ids(spark: SparkSession, prefix: str, key: str = KEY) -> DataFrame:
+    """Distinct trial ids present under a source prefix (SRC-6), from file
+    paths only: the ``content`` column of the binary-file source is never
+    read when it is not selected, so this lists, it does not load."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load(prefix).select("path"))
+    ids = F.regexp_extract(F.col("path"), f"{key}=([^/]+)", 1)
+    return files.select(ids.alias(key)).filter(F.col(key) != "").distinct()

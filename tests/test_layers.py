@@ -79,3 +79,29 @@ def test_detector_errors_give_empty_lists(spark):
     assert out[2] == []
     assert out[1][0].landmark_id == 23 and abs(out[1][0].visibility - 0.9) < 1e-6
     assert F is not None
+
+
+def test_source_ids_and_names(spark):
+    from stridelake.functions.scalar import chunk_file_name, frame_file_name
+    from stridelake.sources.files import source_trial_ids
+    root = scratch_path(spark, "ids")
+    write_csv(root, "0007", "a.csv", [(1.0, 1, 0, 0, 1, 0, 0, 0)])
+    write_csv(root, "x", "b.csv", [(1.0, 1, 0, 0, 1, 0, 0, 0)])
+    assert sorted(r.trial_id for r in source_trial_ids(spark, root).collect()) == ["0007", "x"]
+    r = spark.range(1).select(frame_file_name(F.lit(1700000000000)).alias("f"),
+                              chunk_file_name(F.lit(1700000000000), F.lit(3)).alias("c")).first()
+    assert (r.f, r.c) == ("frame_0001700000000000.jpg", "imu_0001700000000000_chunk0003.csv")
+
+
+def test_raw_lines_stream_equals_batch(spark):
+    from stridelake.sources.files import read_raw_lines
+    from stridelake.streaming.ingest import run_available
+    src = scratch_path(spark, "lines")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("100,0.1,0.2,0.3,1.0,2.0,3.0\nbad line\n101,1,1,1,1,1,x\n102,1,1,1,1,1,1\n")
+    sink = scratch_path(spark, "lines-sink")
+    run_available(read_raw_lines(spark, src, streaming=True), sink, scratch_path(spark, "ck"))
+    streamed = sorted(spark.read.parquet(sink).collect())
+    assert streamed == sorted(read_raw_lines(spark, src).collect())
+    assert [r.millis for r in streamed] == [100, 102]
