@@ -46,6 +46,21 @@ def imu_rules(p: QualityParams = QualityParams()) -> list[Rule]:
     ]
 
 
+def _null_safe_key(df: DataFrame, c: str) -> list[Column]:
+    """(is null, value or a filler) as two plain columns: grouping and an
+    ordinary equi-join on them treat null as one value, and the join can use
+    the partitioning of the aggregate (a ``<=>`` join key cannot)."""
+    t = df.schema[c].dataType.typeName()
+    if t == "string":
+        fill = F.lit("")
+    elif t in ("integer", "long", "short", "byte", "double", "float", "decimal", "boolean"):
+        fill = F.lit(0).cast(df.schema[c].dataType)
+    else:
+        return [F.col(c).isNull().alias(f"_gn_{c}"),
+                F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_gv_{c}")]
+    return [F.col(c).isNull().alias(f"_gn_{c}"), F.coalesce(F.col(c), fill).alias(f"_gv_{c}")]
+
+
 def duplicate_flag(df: DataFrame, group: Sequence[str], order: Sequence[str],
                    out: str = "is_duplicate") -> DataFrame:
     """``row_number() over (partition by group order by order) > 1``.
@@ -54,13 +69,12 @@ def duplicate_flag(df: DataFrame, group: Sequence[str], order: Sequence[str],
     as a tie-break). Nulls sort first, null group keys form one group.
     """
     group = list(group)
+    kcols = [x for g in group for x in (f"_gn_{g}", f"_gv_{g}")]
+    d = df.select("*", *[k for g in group for k in _null_safe_key(df, g)])
     okey = F.struct(*[F.col(c) for c in order])
-    first = (df.groupBy(*group).agg(F.min(okey).alias("_first"))
-               .select(*[F.col(g).alias(f"_g_{g}") for g in group], "_first"))
-    cond = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group]
-    j = df.join(first, cond, "left")
-    return (j.withColumn(out, ~okey.eqNullSafe(F.col("_first")))
-             .drop("_first", *[f"_g_{g}" for g in group]))
+    first = d.groupBy(*kcols).agg(F.min(okey).alias("_first"))
+    j = d.join(first, kcols, "left")
+    return j.withColumn(out, ~okey.eqNullSafe(F.col("_first"))).drop("_first", *kcols)
 
 
 def tag_rules(df: DataFrame, rules: Sequence[Rule], duplicate_col: str | None = None,
