@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.inference import Detector, detect_landmarks
@@ -42,13 +42,18 @@ def imu_chain(spark: SparkSession, p: Paths, batch_id: str | None = None,
     out = [run_layer(spark, read_imu_csv(spark, p.imu_source), lambda d: d, p.bronze_imu,
                      order=["host_timestamp_ms"], batch_id=batch_id)]
     bronze = read_layer(spark, p.bronze_imu)
+    obs = Observation("silver_quality")
 
     def to_silver(d: DataFrame) -> DataFrame:
         t = tag_imu(d.drop("batch_id"), qp, tiebreak=["imu_timestamp_ms", "_src_file", "_src_row"])
+        # rows seen / rejected, counted while the silver rows are written
+        t = t.observe(obs, F.count(F.lit(1)).alias("rows"),
+                      F.count_if(~F.col("quality_ok")).alias("rejected"))
         return clean(t).drop("_src_file", "_src_row")
 
     out.append(run_layer(spark, None if bronze is None else with_row_identity(bronze), to_silver,
-                         p.silver_imu, order=["host_timestamp_ms"], batch_id=batch_id))
+                         p.silver_imu, order=["host_timestamp_ms"], batch_id=batch_id,
+                         observation=obs))
     return out
 
 

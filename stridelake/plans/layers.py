@@ -22,13 +22,14 @@ from pyspark.sql import types as T
 from ..session import path_exists
 
 BATCH = "batch_id"
+WRITE_BUCKET_MS = 10 * 60 * 1000
 
 
 @dataclass
 class StepResult:
     status: str  # "missing_upstream" | "nothing_new" | "written"
     batch_id: str | None = None
-    rows: int | None = None
+    metrics: dict | None = None  # observed during the write (no extra pass)
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -54,25 +55,29 @@ def loaded_keys(spark: SparkSession, path: str, key: str = "trial_id",
 def run_layer(spark: SparkSession, upstream: DataFrame | None,
               transform: Callable[[DataFrame], DataFrame], target: str, *,
               key: str = "trial_id", order: list[str] | None = None,
-              batch_id: str | None = None, fmt: str = "parquet") -> StepResult:
-    """One incremental step; see module doc."""
+              batch_id: str | None = None, fmt: str = "parquet",
+              observation=None) -> StepResult:
+    """One incremental step; see module doc. ``observation`` is a
+    ``pyspark.sql.Observation`` the transform attached with ``observe``;
+    its metrics are read after the write (same pass, no second action)."""
     if upstream is None:
         return StepResult("missing_upstream")
     done = loaded_keys(spark, target, key, fmt)
     pending = upstream if done is None else upstream.join(done, key, "left_anti")
-    out = transform(pending)
-    if out.isEmpty():  # one task, not a full count
+    if pending.isEmpty():  # stops at the first row, not a full count
         return StepResult("nothing_new")
+    out = transform(pending)
     bid = batch_id or time.strftime("%Y%m%dT%H%M%S", time.gmtime())
     out = out.withColumn(BATCH, F.lit(bid))
     if order:
-        # range partitioning on (trial, time): files are clustered by trial
-        # and time, and one long trial is split over several tasks
-        out = out.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+        # files clustered by trial and time; hashing on (trial, time bucket)
+        # splits one long trial over several tasks without a sampling pass
+        bucket = F.floor(F.col(order[0]) / F.lit(WRITE_BUCKET_MS))
+        out = out.repartition(key, bucket).sortWithinPartitions(key, *order)
     (out.write.format(fmt).mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH).save(target))
-    return StepResult("written", bid)
+    return StepResult("written", bid, observation.get if observation is not None else None)
 
 
 def pending_report(spark: SparkSession, sources: dict[str, DataFrame], done_path: str,

@@ -45,7 +45,9 @@ def test_chunked_source_files(paths):
 
 
 def test_chains_end_to_end(spark, paths):
-    assert [r.status for r in imu_chain(spark, paths, "1")] == ["written", "written"]
+    imu = imu_chain(spark, paths, "1")
+    assert [r.status for r in imu] == ["written", "written"]
+    assert imu[1].metrics == {"rows": 1400, "rejected": 0}
     st = camera_chain(spark, paths, stub_detector_factory(), "1")
     assert [r.status for r in st] == ["written"] * 3
     assert fusion(spark, paths, "1").status == "written"
