@@ -129,8 +129,9 @@ def scan(df: DataFrame, keys: Sequence[str], ts: str, width: int, *,
                  F.sum(f"_rc_{i}").alias(f"_ri_{i}")]
     if not aggs:
         return d.drop(*[x for x in d.columns if x.startswith("_") and x not in df.columns])
-    # Without run counters the summary needs no window output: aggregate the
-    # input directly (partial aggregation before the shuffle).
+    # Without run counters the summary needs no window output. (Its branch
+    # re-reads the input with fewer columns; callers that follow with a
+    # lineage cut hold an expensive input with ``computed_once``.)
     summ = (d if changes else base).groupBy(*part).agg(*aggs)
 
     wb = Window.partitionBy(*keys).orderBy(b)

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import computed_once, cut
 from .sequence import BKT, range_frame, scan
 
 
@@ -98,14 +98,15 @@ def min_spacing(df: DataFrame, keys: Sequence[str], ts: str, gap, bucket_ms: int
     keys = list(keys)
     tiebreak = list(tiebreak)
     cols = df.columns
-    s = scan(df.withColumn("_one", F.lit(1).cast("long")), keys, ts, bucket_ms,
-             tiebreak=tiebreak, gaps={ts: gap}, cumsum=["_one"])
-    s = (s.withColumnRenamed(f"seg_{ts}", "_seg").withColumnRenamed("cum__one", "_idx")
-          .withColumn("_new", F.col(f"segstart_{ts}").cast("long"))
-          .drop("_one", f"segstart_{ts}"))
-    # written once: the size aggregate, both paths below and the emptiness
-    # test read this copy
-    s = cut(s)
+    with computed_once(df) as src:  # the input is read by both scan branches
+        s = scan(src.withColumn("_one", F.lit(1).cast("long")), keys, ts, bucket_ms,
+                 tiebreak=tiebreak, gaps={ts: gap}, cumsum=["_one"])
+        s = (s.withColumnRenamed(f"seg_{ts}", "_seg").withColumnRenamed("cum__one", "_idx")
+              .withColumn("_new", F.col(f"segstart_{ts}").cast("long"))
+              .drop("_one", f"segstart_{ts}"))
+        # written once: the size aggregate, both paths below and the
+        # emptiness test read this copy
+        s = cut(s)
     sizes = s.groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("_n"))
     s = s.join(sizes, keys + ["_seg"])
 

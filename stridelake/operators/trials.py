@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import StepParams, TrialParams
-from ..session import bounded, cut
+from ..session import bounded, computed_once, cut
 from .sequence import BKT, scan
 from .signals import local_peaks, min_spacing, smooth_flags
 
@@ -41,6 +41,11 @@ def state_run_tables(states: DataFrame, params: TrialParams, key: str, ts: str,
     aggregation for both signals, written once (lineage cut) because the
     chained event search reads it several times. Also returns the exact
     number of run rows, an upper bound of every per-trial table below."""
+    with computed_once(states) as st:  # the smoothing runs once for both scan branches
+        return _run_tables(st, params, key, ts, tiebreak)
+
+
+def _run_tables(states, params, key, ts, tiebreak):
     sc = scan(states, [key], ts, params.bucket_ms, tiebreak=tiebreak, lead=[ts],
               runs=["s_seated", "s_past"], bucket_col=BKT)
     both = sc.select(key, ts, F.explode(F.array(

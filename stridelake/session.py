@@ -123,3 +123,21 @@ def bounded(df, upper_rows: int, max_rows: int = BROADCAST_MAX_ROWS):
     row count) is within ``max_rows``; ``df`` unchanged otherwise."""
     from pyspark.sql import functions as F
     return F.broadcast(df) if upper_rows <= max_rows else df
+
+
+class computed_once:
+    """Keep ``df`` (memory, spilling to disk) only while a block of work
+    that reads it several times runs, typically up to a lineage cut:
+    ``with computed_once(df) as d: out = cut(f(d))``. Lost blocks are
+    recomputed from lineage; the cache is released on exit."""
+
+    def __init__(self, df):
+        from pyspark import StorageLevel
+        self.df = df.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def __enter__(self):
+        return self.df
+
+    def __exit__(self, *exc):
+        self.df.unpersist()
+        return False
