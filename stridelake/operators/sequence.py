@@ -63,6 +63,8 @@ def scan(df: DataFrame, keys: Sequence[str], ts: str, width: int, *,
 
     ``bucket_col`` names an existing bucket column (same width) so that an
     input already partitioned by ``(keys, bucket)`` is not shuffled again.
+    Keys are expected non-null (trial ids always are: an unmatched path gets
+    the empty id); rows are ordered by ``ts`` then ``tiebreak``.
     """
     keys = list(keys)
     tiebreak = list(tiebreak)

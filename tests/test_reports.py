@@ -56,3 +56,20 @@ def test_interpolation(spark):
                                   "k string, at double")
     got = {r.at: r.value_at for r in interpolate_at(smp, marks, ["k"], "t", "v", "at").collect()}
     assert got == {250.0: 2.5, -1000.0: 0.0, 5000.0: 10.0, 1000.0: 10.0}
+
+
+def test_series_for_one_trial(spark):
+    gold = spark.createDataFrame(
+        [("a", 1000, None, None), ("a", 1200, True, False), ("a", 1400, None, True),
+         ("b", 1000, False, False)],
+        "trial_id string, frame_ts_ms long, seated boolean, past boolean")
+    ev = spark.createDataFrame([("a", 1200), ("b", 1000)], "trial_id string, t0_ms long")
+    rows = P.state_series(gold, ev, "a").collect()
+    assert [(r.seated, r.past, r.t_s) for r in rows] == \
+        [(True, False, -0.2), (True, False, 0.0), (True, True, 0.2)]
+    imu = spark.createDataFrame([("a", 1300.0, 0.0, 0.6, 0.8, 3.0, 4.0, 0.0)],
+                                "trial_id string, host_timestamp_ms double, accel_x_g double, "
+                                "accel_y_g double, accel_z_g double, gyro_x_dps double, "
+                                "gyro_y_dps double, gyro_z_dps double")
+    r = P.imu_series(imu, ev, "a").first()
+    assert (r.t_s, r.accel_mag, r.gyro_mag) == (pytest.approx(0.1), pytest.approx(1.0), 5.0)
