@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import computed_once, cut
-from .sequence import BKT, range_frame, scan
+from .sequence import range_frame, scan
 
 
 def magnitude(*cols: str | Column) -> Column:

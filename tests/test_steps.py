@@ -4,8 +4,6 @@ and the motion metrics around trial events."""
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from stridelake.operators.signals import local_peaks, min_spacing
 from stridelake.operators.trials import motion_metrics
 from stridelake.params import StepParams
@@ -77,4 +75,3 @@ def test_two_steps_give_no_cv(spark):
                                "trial_id string, t0_ms long, t1_ms long, t4_ms long")
     r = motion_metrics(imu_df, ev, StepParams(bucket_ms=500)).first()
     assert (r.n_steps, r.step_cv) == (2, None)
-    assert F is not None
