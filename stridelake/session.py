@@ -8,7 +8,6 @@ laptop) do we create one under the system temp dir.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -86,14 +85,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}{sep}stridelake/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence test through Hadoop FS, so it works on any store."""
-    if is_local_path(path):
-        return os.path.exists(path.replace("file:", "", 1))
+    """Existence test through Hadoop's FileSystem, so a path without a
+    scheme resolves against the cluster's default filesystem (not the
+    driver's local disk)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -4,6 +4,7 @@ and the motion metrics around trial events."""
 import random
 
 import pytest
+
 from stridelake.operators.signals import local_peaks, min_spacing
 from stridelake.operators.trials import motion_metrics
 from stridelake.params import StepParams
