@@ -9,6 +9,7 @@ min_spacing     greedy "at least gap after the last accepted" filter (WN-4b,
 fill_states     forward then backward fill (WN-5)
 rebase          time since the first sample of the key (PRJ-10, WN-6)
 interpolate_at  value of a signal at given instants, np.interp style (JN-6)
+window_counts   rows per key and fixed time window, with a running total (AG-14)
 """
 
 from __future__ import annotations
@@ -216,3 +217,16 @@ def interpolate_at(samples: DataFrame, marks: DataFrame, keys: Sequence[str], ts
           .when(hi.isNull() | (lo["t"] == F.col(at)), lo["v"])
           .otherwise(lo["v"] + frac * (hi["v"] - lo["v"])))
     return sc.filter(F.col("_k") == 1).select(*keys, at, *mark_cols, v.alias(out))
+
+
+def window_counts(df: DataFrame, keys: Sequence[str], ts: str, width_ms: int,
+                  bucket_ms: int, out: str = "n_rows") -> DataFrame:
+    """Rows per key and tumbling window of ``width_ms`` (window start in ms),
+    plus the running total per key in window order. The count is a partial
+    aggregate; the running total is an ordered scan over the (much smaller)
+    per-window rows."""
+    keys = list(keys)
+    start = (F.col(ts) - F.pmod(F.col(ts), F.lit(width_ms))).alias("window_start_ms")
+    agg = df.groupBy(*keys, start).agg(F.count(F.lit(1)).alias(out))
+    s = scan(agg, keys, "window_start_ms", bucket_ms, cumsum=[out])
+    return s.withColumnRenamed(f"cum_{out}", "running_total")

@@ -321,10 +321,8 @@ HOUR_MS = 3_600_000
 def q_rate_per_hour(spark, sf):
     ev = S.table(spark, sf, "events").select(F.col("user_id").alias("trial_id"),
                                              epoch_ms("ts").alias("ms"))
-    hr = (F.col("ms") - F.pmod(F.col("ms"), F.lit(HOUR_MS))).alias("hour_ms")
-    agg = ev.groupBy("trial_id", hr).agg(F.count(F.lit(1)).alias("n_events"))
-    s = scan(agg, ["trial_id"], "hour_ms", 30 * DAY_MS, cumsum=["n_events"])
-    return s.withColumnRenamed("cum_n_events", "running_total")
+    r = G.window_counts(ev, ["trial_id"], "ms", HOUR_MS, 30 * DAY_MS, out="n_events")
+    return r.withColumnRenamed("window_start_ms", "hour_ms")
 
 
 def q_trial_counts(spark, sf):

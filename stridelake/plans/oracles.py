@@ -368,7 +368,10 @@ SELECT trial_id,
        CASE WHEN duration_s IS NOT NULL THEN printf('%.1f', round(duration_s, 1)) || 's'
             ELSE '—' END AS duration_txt,
        CASE WHEN frail IS NULL THEN '—' WHEN frail THEN 'yes' ELSE 'no' END AS frail_txt,
-       coalesce(printf('%d', attempts), '—') AS attempts_txt
+       coalesce(printf('%d', attempts), '—') AS attempts_txt,
+       coalesce(printf('%d', n_steps), '—') AS steps_txt,
+       CASE WHEN peak_standing_dps IS NOT NULL
+            THEN printf('%.0f', round(peak_standing_dps, 0)) || '°/s' ELSE '—' END AS peak_txt
 FROM res"""
 
 MARKS_E = EVENTS_E + """,

@@ -34,7 +34,12 @@ def result_labels(results: DataFrame, key: str = "trial_id") -> DataFrame:
         F.when(dur.isNotNull(), F.concat(F.format_string("%.1f", dur), F.lit("s")))
          .otherwise(F.lit("—")).alias("duration_txt"),
         frail_txt.alias("frail_txt"),
-        fmt_or_dash(F.col("attempts"), "%d").alias("attempts_txt"))
+        fmt_or_dash(F.col("attempts"), "%d").alias("attempts_txt"),
+        *([fmt_or_dash(F.col("n_steps"), "%d").alias("steps_txt"),
+           F.when(F.col("peak_standing_dps").isNotNull(),
+                  F.concat(F.format_string("%.0f", F.round(F.col("peak_standing_dps"), 0)),
+                           F.lit("°/s"))).otherwise(F.lit("—")).alias("peak_txt")]
+          if "n_steps" in results.columns else []))
 
 
 def phase_marks(results: DataFrame, key: str = "trial_id") -> DataFrame:
