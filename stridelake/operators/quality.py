@@ -89,12 +89,24 @@ def tag_rules(df: DataFrame, rules: Sequence[Rule], duplicate_col: str | None =
 
 def tag_imu(df: DataFrame, p: QualityParams = QualityParams(), key: str = "trial_id",
             host_ts: str = "host_timestamp_ms", device_ts: str = "imu_timestamp_ms",
-            tiebreak: Sequence[str] = ()) -> DataFrame:
+            tiebreak: Sequence[str] = (), dedup: str = "all_rows") -> DataFrame:
     """The silver IMU rule set: nulls, ranges, duplicate host timestamps.
-    The duplicate rank is taken over all rows, failing ones included (D5)."""
+
+    ``dedup="all_rows"`` (reference behaviour, D5) ranks duplicates over all
+    rows, failing ones included, so a valid row can lose to an invalid one
+    and both go. ``dedup="valid_first"`` ranks rows passing the other rules
+    first, so one valid row of each group survives when there is one.
+    """
+    rules = imu_rules(p)
     order = [device_ts] + [c for c in tiebreak if c != device_ts]
-    d = duplicate_flag(df, [key, host_ts], order, out="_dup")
-    return tag_rules(d, imu_rules(p), duplicate_col="_dup").drop("_dup")
+    d = df
+    if dedup == "valid_first":
+        d = d.withColumn("_fails", F.coalesce(any_of([r.fails for r in rules]), F.lit(False)))
+        order = ["_fails"] + order
+    elif dedup != "all_rows":
+        raise ValueError(f"unknown dedup mode {dedup!r}")
+    d = duplicate_flag(d, [key, host_ts], order, out="_dup")
+    return tag_rules(d, rules, duplicate_col="_dup").drop("_dup", "_fails")
 
 
 def clean(tagged: DataFrame, reasons: str = "reasons", ok: str = "quality_ok") -> DataFrame:

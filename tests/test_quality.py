@@ -58,3 +58,10 @@ def test_duplicate_of_identical_rows_uses_row_identity(spark):
     df = df.withColumn("rid", F.monotonically_increasing_id())
     d = Q.duplicate_flag(df, ["trial_id", "h"], ["i", "rid"])
     assert sorted(r.is_duplicate for r in d.collect()) == [False, True, True]
+
+
+def test_valid_first_dedup_keeps_a_valid_twin(spark):
+    kept = sorted(r.row for r in Q.clean(Q.tag_imu(_df(spark), tiebreak=["row"],
+                                                  dedup="valid_first")).collect())
+    # r8 (valid) now wins over r7 (accel out of range) at host time 1050
+    assert kept == ["r1", "r11", "r13", "r4", "r8"]
