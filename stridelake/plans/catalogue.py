@@ -419,6 +419,80 @@ def q_layer_silver(spark, sf):
     return round_doubles(out)
 
 
+def q_camera_layers(spark, sf):
+    """Frames (embedding text as frame bytes) -> bronze -> landmarks (silver,
+    stub detector) -> per-frame flags (gold), each an incremental layer step
+    run twice; returns the gold table."""
+    from ..operators.inference import detect_landmarks, stub_detector_factory
+    from ..plans.layers import read_layer, run_layer
+    from ..session import scratch_path
+    em = S.table(spark, sf, "embeddings")
+    text = F.concat_ws(",", F.transform("embedding", lambda x: x.cast("string")))
+    frames = em.select(F.col("label").cast("string").alias("trial_id"),
+                       F.col("vec_id").alias("frame_ts_ms"), F.encode(text, "UTF-8").alias("content"))
+    bronze, silver, gold = (scratch_path(spark, n) for n in ("cam-bronze", "cam-silver", "cam-gold"))
+
+    def to_gold(d):
+        return pose_features(d.drop("batch_id"), V_POSE).select("trial_id", "frame_ts_ms",
+                                                                "seated", "past")
+
+    for run in ("1", "2"):
+        run_layer(spark, frames, lambda d: d, bronze, batch_id=run, order=["frame_ts_ms"])
+        run_layer(spark, read_layer(spark, bronze),
+                  lambda d: detect_landmarks(d, stub_detector_factory()), silver, batch_id=run,
+                  order=["frame_ts_ms"])
+        run_layer(spark, read_layer(spark, silver), to_gold, gold, batch_id=run,
+                  order=["frame_ts_ms"])
+    return spark.read.parquet(gold).drop("batch_id")
+
+
+def q_source_trials(spark, sf):
+    """Distinct trial ids under a source folder, from file paths only."""
+    from ..sources.files import source_trial_ids
+    return source_trial_ids(spark, _export_events_csv(spark, sf))
+
+
+def _export_lines(spark, sf):
+    from ..session import scratch_path
+    li = S.table(spark, sf, "lineitem")
+    last = F.when(F.col("l_linestatus") == "O", F.col("l_returnflag")) \
+            .otherwise(F.col("l_suppkey").cast("string"))
+    line = F.concat(F.concat_ws(",", *[F.col(c).cast("string") for c in
+                                      ("l_orderkey", "l_quantity", "l_discount", "l_tax",
+                                       "l_extendedprice", "l_partkey")], last),
+                    F.when(F.col("l_linenumber") == 7, F.lit(",0")).otherwise(F.lit("")))
+    path = scratch_path(spark, "raw-lines")
+    li.select(line.alias("value")).write.text(path)
+    return path
+
+
+def q_stream_lines(spark, sf):
+    """Raw sensor lines read as a stream (availableNow), parsed, bad lines
+    dropped; the sink is returned."""
+    from ..session import scratch_path
+    from ..sources.files import read_raw_lines
+    from ..streaming.ingest import run_available
+    src = _export_lines(spark, sf)
+    sink = scratch_path(spark, "lines-sink")
+    run_available(read_raw_lines(spark, src, streaming=True), sink,
+                  scratch_path(spark, "lines-ckpt"))
+    return round_doubles(spark.read.parquet(sink))
+
+
+def q_chunk_files(spark, sf):
+    """IMU rows written as CSV chunks of 500 rows per trial folder; returns
+    the row count of every written file."""
+    from ..plans.layers import write_chunked_csv
+    from ..session import scratch_path
+    path = scratch_path(spark, "imu-chunks")
+    write_chunked_csv(S.lineitem_imu(spark, sf).select(
+        "trial_id", "host_timestamp_ms", "imu_timestamp_ms", "accel_x_g", "accel_y_g",
+        "accel_z_g", "gyro_x_dps", "gyro_y_dps", "gyro_z_dps"), path, bucket_ms=L_BUCKET)
+    files = spark.read.option("header", True).csv(path).select(
+        "trial_id", F.col("_metadata.file_path").alias("f"))
+    return files.groupBy("trial_id", "f").agg(F.count(F.lit(1)).alias("n_rows")).drop("f")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trial_events": q_trial_events,
     "smooth_state": q_smooth_state,
@@ -457,4 +531,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ingest": q_stream_ingest,
     "stream_rate": q_stream_rate,
     "layer_silver": q_layer_silver,
+    "camera_layers": q_camera_layers,
+    "source_trials": q_source_trials,
+    "stream_lines": q_stream_lines,
+    "chunk_files": q_chunk_files,
 }

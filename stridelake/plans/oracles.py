@@ -491,3 +491,18 @@ SELECT host_timestamp_ms, imu_timestamp_ms, """ + _r(
     ["accel_x_g", "accel_y_g", "accel_z_g", "gyro_x_dps", "gyro_y_dps", "gyro_z_dps"]) + """,
        trial_id
 FROM tg WHERE reasons = ''"""
+
+SQL["camera_layers"] = "WITH " + POSE_V + """
+SELECT trial_id, frame_ts_ms, knee_angle < 120.0 AS seated,
+       (fx - 0.05) * 1.0 + (fy - (-0.03)) * (-2.10) > 0 AS past
+FROM pf"""
+
+SQL["source_trials"] = """
+SELECT DISTINCT CAST(user_id AS VARCHAR) AS trial_id FROM events"""
+
+SQL["stream_lines"] = SQL["parse_lines"]
+
+SQL["chunk_files"] = """
+WITH n AS (SELECT CAST(l_suppkey AS VARCHAR) AS trial_id, count(*) AS n FROM lineitem GROUP BY 1),
+c AS (SELECT trial_id, n, unnest(range(0, CAST(ceil(n / 500.0) AS BIGINT))) AS k FROM n)
+SELECT trial_id, CASE WHEN (k + 1) * 500 <= n THEN 500 ELSE n - k * 500 END AS n_rows FROM c"""
