@@ -213,8 +213,10 @@ def halo(df: DataFrame, ts: str, lower: int, upper: int, width: int,
     t = F.col(ts)
     lo = bucket_of(t - F.lit(upper), width)
     hi = bucket_of(t - F.lit(lower), width)
-    return (df.withColumn(out, F.explode(F.sequence(lo, hi)))
-              .withColumn("_home", F.col(out) == bucket_of(t, width)))
+    # explode_outer + null-safe test: a row without a time keeps one copy
+    # (in the null bucket, like the null peer group of a plain window)
+    return (df.withColumn(out, F.explode_outer(F.sequence(lo, hi)))
+              .withColumn("_home", F.col(out).eqNullSafe(bucket_of(t, width))))
 
 
 def range_frame(df: DataFrame, keys: Sequence[str], ts: str, lower: int, upper: int,

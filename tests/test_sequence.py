@@ -59,3 +59,15 @@ def test_one_hot_key_spreads_over_buckets(spark):
     assert out.agg(F.max("cum_v")).first()[0] == sum(r[3] for r in rows)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "_bkt" in plan
+
+
+def test_range_frame_keeps_rows_without_time(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", None, 0), ("a", 5, 1), ("a", 7, 0)],
+                               "k string, ts long, v int")
+    got = range_frame(df, ["k"], "ts", -2, 2, 10, {"m": F.avg("v"), "n": F.count(F.lit(1))})
+    w = Window.partitionBy("k").orderBy("ts").rangeBetween(-2, 2)
+    ref = df.select("k", "ts", "v", F.avg("v").over(w).alias("m"),
+                    F.count(F.lit(1)).over(w).alias("n"))
+    key = lambda r: (r.ts is not None, r.ts or 0, r.v)
+    assert sorted(got.select("k", "ts", "v", "m", "n").collect(), key=key) == \
+        sorted(ref.collect(), key=key)
