@@ -1,6 +1,7 @@
 """Property tests: random series, many keys per example, checked
 against brute-force Python versions of the semantics."""
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -144,3 +145,82 @@ def test_event_chain_equals_brute_force(spark, keys):
             assert r.frail == ((exp["t4"] - t0) / 1000.0 >= 3.0)
             assert t0 <= exp["t1"] <= exp["t2"] < exp["t3"] < exp["t4"]
             assert r.to_mark_s == (exp["t2"] - t0) / 1000.0 - (exp["t1"] - t0) / 1000.0
+
+
+pts = st.lists(st.tuples(st.integers(1, 400), st.floats(-50, 50, allow_nan=False)),
+               min_size=1, max_size=25)
+
+
+@settings(**SETTINGS)
+@given(keys=st.lists(pts, min_size=1, max_size=4),
+       marks=st.lists(st.floats(-500, 12000, allow_nan=False), min_size=1, max_size=6))
+def test_interpolation_equals_numpy(spark, keys, marks):
+    import numpy as np
+
+    from stridelake.operators.signals import interpolate_at
+    rows, series = [], {}
+    for k, s in enumerate(keys):
+        t = 0
+        for gap, v in s:
+            t += gap
+            rows.append((f"k{k}", t, v))
+            series.setdefault(f"k{k}", []).append((t, v))
+    smp = spark.createDataFrame(rows, "k string, t long, v double")
+    mk = spark.createDataFrame([(k, float(m)) for k in series for m in set(marks)],
+                               "k string, at double")
+    got = {(r.k, r.at): r.value_at for r in
+           interpolate_at(smp, mk, ["k"], "t", "v", "at", bucket_ms=700).collect()}
+    for k, s in series.items():
+        xs, ys = np.array([t for t, _ in s], float), np.array([v for _, v in s])
+        for m in set(marks):
+            assert got[(k, float(m))] == pytest.approx(float(np.interp(m, xs, ys)), abs=1e-9)
+
+
+@settings(**SETTINGS)
+@given(samples=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 5000)), max_size=40),
+       sessions=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 5000),
+                                   st.integers(1, 1500)), max_size=8))
+def test_interval_join_equals_brute_force(spark, samples, sessions):
+    from stridelake.operators.relations import interval_join
+    x = spark.createDataFrame([(f"k{k}", i, t) for i, (k, t) in enumerate(samples)] or
+                              [("z", -1, -10**9)], "k string, sid long, t long")
+    s = spark.createDataFrame([(f"k{k}", j, a, a + d) for j, (k, a, d) in enumerate(sessions)] or
+                              [("y", -1, 0, 1)], "k string, ses long, a long, b long")
+    got = sorted((r.sid, r.ses) for r in interval_join(x, s, ["k"], "t", "a", "b", 1000).collect())
+    exp = sorted((i, j) for i, (k, t) in enumerate(samples)
+                 for j, (k2, a, d) in enumerate(sessions) if k == k2 and a <= t < a + d)
+    assert got == exp
+
+
+@settings(**SETTINGS)
+@given(vals=st.lists(st.one_of(st.none(), st.integers(0, 20)), min_size=1, max_size=60))
+def test_global_rank_equals_sorted_order(spark, vals):
+    from pyspark.sql import functions as F
+
+    from stridelake.operators.relations import global_rank
+    df = spark.createDataFrame(list(enumerate(vals)), "id long, d long")
+    got = {r.id: r.rank for r in
+           global_rank(df, [F.col("d").desc_nulls_last(), F.col("id").asc()], partitions=3)
+           .collect()}
+    order = sorted(range(len(vals)), key=lambda i: (vals[i] is None, -(vals[i] or 0), i))
+    assert got == {i: n + 1 for n, i in enumerate(order)}
+
+
+@settings(**SETTINGS)
+@given(keys=many, width=st.sampled_from([100, 1000]))
+def test_window_counts_equal_brute_force(spark, keys, width):
+    from stridelake.operators.signals import window_counts
+    rows = rows_of(keys)
+    df = spark.createDataFrame([(k, t) for k, t, _, _ in rows], "k string, t long")
+    got = sorted((r.k, r.window_start_ms, r.n_rows, r.running_total)
+                 for r in window_counts(df, ["k"], "t", width, 3 * width).collect())
+    exp = []
+    for k, s in by_key(rows).items():
+        counts = {}
+        for t, _, _ in s:
+            counts[t - t % width] = counts.get(t - t % width, 0) + 1
+        run = 0
+        for w in sorted(counts):
+            run += counts[w]
+            exp.append((k, w, counts[w], run))
+    assert got == sorted(exp)
