@@ -104,3 +104,38 @@ def test_raw_lines_stream_equals_batch(spark):
     streamed = sorted(spark.read.parquet(sink).collect())
     assert streamed == sorted(read_raw_lines(spark, src).collect())
     assert [r.millis for r in streamed] == [100, 102]
+
+
+def test_stream_rate_complete_equals_batch_and_append_closed(spark):
+    from stridelake.operators.signals import window_counts
+    from stridelake.streaming.ingest import rate_per_window, run_available
+    src = scratch_path(spark, "rate-src")
+    rows = [("a", t) for t in range(0, 5 * 3_600_000, 700_000)] + \
+           [("b", t) for t in range(1_000_000, 3 * 3_600_000, 1_300_000)]
+    spark.createDataFrame(rows, "trial_id string, ms long").write.option("header", True) \
+        .partitionBy("trial_id").csv(src)
+    schema = "ms long, trial_id string"
+
+    def stream():
+        return (spark.readStream.schema(schema).option("header", True).csv(src)
+                .withColumn("ts", F.timestamp_millis("ms")))
+
+    batch = {(r.trial_id, r.window_start_ms): r.n_rows for r in window_counts(
+        spark.read.schema(schema).option("header", True).csv(src), ["trial_id"], "ms",
+        3_600_000, 6 * 3_600_000).collect()}
+    name = "rate_complete_test"
+    q = (rate_per_window(stream(), "trial_id", "ts", "1 hour", "1 hour").writeStream
+         .format("memory").queryName(name).outputMode("complete")
+         .option("checkpointLocation", scratch_path(spark, "ck")).trigger(availableNow=True)
+         .start())
+    q.awaitTermination()
+    complete = {(r.trial_id, r.ms): r.n_rows for r in spark.sql(
+        f"SELECT trial_id, unix_millis(window_start) AS ms, n_rows FROM {name}").collect()}
+    assert complete == batch
+    sink = scratch_path(spark, "rate-append")
+    run_available(rate_per_window(stream(), "trial_id", "ts", "1 hour", "1 hour"), sink,
+                  scratch_path(spark, "ck"))
+    appended = {(r.trial_id, r.ms): r.n_rows for r in spark.read.parquet(sink).select(
+        "trial_id", F.unix_millis("window_start").alias("ms"), "n_rows").collect()}
+    watermark = max(t for _, t in rows) - 3_600_000
+    assert appended == {k: v for k, v in batch.items() if k[1] + 3_600_000 <= watermark}
