@@ -19,10 +19,6 @@ from ..session import bounded, computed_once, cut
 from .sequence import BKT, scan
 from .signals import local_peaks, min_spacing, smooth_flags
 
-EVENT_COLS = ["finished", "frail", "attempts", "duration_s", "stand_up_s", "to_mark_s",
-              "turn_back_s", "back_to_chair_s"]
-
-
 def smoothed_states(frames: DataFrame, params: TrialParams, key: str = "trial_id",
                     ts: str = "frame_ts_ms", seated: str = "seated", past: str = "past",
                     tiebreak: Sequence[str] = ()) -> DataFrame:
