@@ -143,22 +143,21 @@ def motion_metrics(imu: DataFrame, events: DataFrame, params: StepParams = StepP
     Trials with IMU rows but no t1 get (null, 0, null); trials without IMU
     rows get no row (null after the fuse join).
     """
-    # one row per trial, written once; broadcast when its exact size is small
+    # one row per trial, written once; broadcast when its exact size is small.
+    # The peak and the step search below each read only their own columns of
+    # the IMU rows (a pruned scan and a broadcast or narrow join), which is
+    # cheaper than holding the joined rows for both.
     ev = cut(events.select(key, "t0_ms", "t1_ms", "t4_ms"), "bounds")
     j = imu.select(key, ts, *tiebreak, accel, gyro).join(bounded(ev, ev.count()), key)
     t = F.col(ts)
-    # The join feeds the peak and the step search; hold it only until both
-    # are written, so the IMU rows are read and joined once.
-    with computed_once(j) as jj:
-        peak = cut(jj.groupBy(key).agg(
-            F.max(F.when((t >= F.col("t0_ms")) & (t <= F.col("t1_ms")), F.col(gyro)))
-            .alias("peak_standing_dps")), "peak")
-        standing = jj.filter(F.col("t1_ms").isNotNull() & (t >= F.col("t1_ms"))
-                             & (F.col("t4_ms").isNull() | (t <= F.col("t4_ms"))))
-        cand = local_peaks(standing.select(key, ts, *tiebreak, accel), [key], ts, accel,
-                           params.threshold, params.bucket_ms, tiebreak)
-        steps = min_spacing(cand.select(key, ts, *tiebreak), [key], ts, params.min_gap_ms,
-                            params.bucket_ms, tiebreak=tiebreak, max_fold=params.max_fold)
+    peak = j.groupBy(key).agg(F.max(F.when((t >= F.col("t0_ms")) & (t <= F.col("t1_ms")),
+                                           F.col(gyro))).alias("peak_standing_dps"))
+    standing = j.filter(F.col("t1_ms").isNotNull() & (t >= F.col("t1_ms"))
+                        & (F.col("t4_ms").isNull() | (t <= F.col("t4_ms"))))
+    cand = local_peaks(standing.select(key, ts, *tiebreak, accel), [key], ts, accel,
+                       params.threshold, params.bucket_ms, tiebreak)
+    steps = min_spacing(cand.select(key, ts, *tiebreak), [key], ts, params.min_gap_ms,
+                        params.bucket_ms, tiebreak=tiebreak, max_fold=params.max_fold)
     iv = scan(steps, [key], ts, params.bucket_ms, tiebreak=tiebreak, lag=[ts])
     iv = iv.withColumn("_iv", (F.col(ts) - F.col(f"prev_{ts}")) / F.lit(1000.0))
     st = iv.groupBy(key).agg(
