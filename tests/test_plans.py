@@ -43,3 +43,30 @@ def test_duplicates_without_group_window(spark):
 def test_sequence_windows_are_bucketed(spark):
     plan = plan_of(C.QUERIES["state_runs"](spark, SF))
     assert "Window" in plan and "_bkt" in plan
+
+
+def test_flagship_exchange_budget(spark):
+    """Guard against regressions: the final flagship plan (after the run
+    table is written) stays within a small, fixed number of shuffles."""
+    import re
+    plan = plan_of(C.QUERIES["trial_events"](spark, SF))
+    shuffles = sum(1 for x in plan.splitlines()
+                   if re.search(r"\bExchange (hash|range|round|Single)", x) and "Broadcast" not in x)
+    assert shuffles <= 12
+
+
+def test_run_table_job_is_bucketed(spark):
+    """The heavy part of the flagship (smoothing + ordered scan + run
+    aggregation) partitions by (trial, bucket) and has no Python."""
+    from stridelake.operators.trials import _run_tables, smoothed_states
+    from stridelake.sources.tables import event_frames
+    st = smoothed_states(event_frames(spark, SF), C.E_TRIAL, tiebreak=["event_id"])
+    seated, past, n = _run_tables(st, C.E_TRIAL, "trial_id", "frame_ts_ms", ["event_id"])
+    assert n > 0
+    from stridelake.operators.sequence import scan
+    from stridelake.operators.sequence import BKT
+    sc = scan(st, ["trial_id"], "frame_ts_ms", C.E_TRIAL.bucket_ms, tiebreak=["event_id"],
+              lead=["frame_ts_ms"], runs=["s_seated", "s_past"], bucket_col=BKT)
+    plan = plan_of(sc)
+    assert "hashpartitioning(trial_id" in plan and "_bkt" in plan
+    assert "SinglePartition" not in plan and not any(p in plan for p in PY_NODES)
