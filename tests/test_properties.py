@@ -224,3 +224,49 @@ def test_window_counts_equal_brute_force(spark, keys, width):
             run += counts[w]
             exp.append((k, w, counts[w], run))
     assert got == sorted(exp)
+
+
+vals_series = st.lists(st.tuples(st.integers(1, 300), st.one_of(st.none(), st.integers(0, 5))),
+                       min_size=1, max_size=40)
+
+
+def rows_vals(keys):
+    out = []
+    for k, s in enumerate(keys):
+        t = 0
+        for gap, v in s:
+            t += gap
+            out.append((f"k{k}", t, v))
+    return out
+
+
+@settings(**SETTINGS)
+@given(keys=st.lists(vals_series, min_size=1, max_size=5))
+def test_fill_equals_pandas(spark, keys):
+    import pandas as pd
+
+    from stridelake.operators.signals import fill_states
+    rows = rows_vals(keys)
+    df = spark.createDataFrame(rows, "k string, t long, v long")
+    got = {(r.k, r.t): r.v for r in fill_states(df, ["k"], "t", ["v"], 500).collect()}
+    for k in {r[0] for r in rows}:
+        sub = [(t, v) for kk, t, v in rows if kk == k]
+        exp = pd.Series([v for _, v in sub], dtype="Float64").ffill().bfill()
+        for (t, _), e in zip(sub, exp):
+            assert got[(k, t)] == (None if pd.isna(e) else int(e))
+
+
+@settings(**SETTINGS)
+@given(keys=st.lists(vals_series, min_size=1, max_size=5), thr=st.sampled_from([0, 2, 4]))
+def test_local_peaks_equal_brute_force(spark, keys, thr):
+    from stridelake.operators.signals import local_peaks
+    rows = [(k, t, 0 if v is None else v) for k, t, v in rows_vals(keys)]
+    df = spark.createDataFrame(rows, "k string, t long, v long")
+    got = sorted((r.k, r.t) for r in local_peaks(df, ["k"], "t", "v", thr, 400).collect())
+    exp = []
+    for k in {r[0] for r in rows}:
+        sub = [(t, v) for kk, t, v in rows if kk == k]
+        for i in range(1, len(sub) - 1):
+            if sub[i][1] > sub[i - 1][1] and sub[i][1] > sub[i + 1][1] and sub[i][1] > thr:
+                exp.append((k, sub[i][0]))
+    assert got == sorted(exp)
