@@ -139,3 +139,17 @@ def test_stream_rate_complete_equals_batch_and_append_closed(spark):
         "trial_id", F.unix_millis("window_start").alias("ms"), "n_rows").collect()}
     watermark = max(t for _, t in rows) - 3_600_000
     assert appended == {k: v for k, v in batch.items() if k[1] + 3_600_000 <= watermark}
+
+
+def test_pending_report(spark):
+    from stridelake.plans.layers import pending_report
+    done = scratch_path(spark, "results")
+    spark.createDataFrame([("a",), ("b",)], "trial_id string").write.parquet(done)
+    cam = spark.createDataFrame([("a",), ("c",), ("c",)], "trial_id string")
+    imu = spark.createDataFrame([("b",), ("c",), ("d",)], "trial_id string")
+    rep = [(r.trial_id, r.reason) for r in
+           pending_report(spark, {"camera": cam, "imu": imu}, done).collect()]
+    assert rep == [("c", "not_processed"), ("d", "no_camera")]
+    # nothing finished yet: everything from the sources is pending
+    rep2 = pending_report(spark, {"camera": cam, "imu": imu}, scratch_path(spark, "none"))
+    assert [r.trial_id for r in rep2.collect()] == ["a", "b", "c", "d"]
