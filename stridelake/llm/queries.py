@@ -18,6 +18,7 @@ from .op5_packing import pack
 from .op6_quality_rules import quality_rules
 from .op7_token_files import token_files
 from .op8_language import language_id
+from .op9_lm import lm_scores
 from .op10_fingerprints import document_fingerprints
 
 
@@ -55,6 +56,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(documents(spark, sf_dir))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(documents(spark, sf_dir))
 
@@ -62,7 +67,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_jaccard_join, op2_token_counts, op3_quality, op4_bpe, op5_packing, op6_quality_rules,
-        op7_token_files, op8_language, op10_fingerprints)
+        op7_token_files, op8_language, op9_lm, op10_fingerprints)
 }
 
 #: The rules' verdict does not depend on their order, so SQL can say it whole.
@@ -72,8 +77,8 @@ with d as (
   select row_number() over () as r, doc_id, coalesce(text, '') as text from documents
 ), w as (
   select r, doc_id, text,
-         list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), x -> x <> '') as words,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]'))
+         list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') as words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))
            as lines
   from d
 ), windows as (
@@ -86,7 +91,7 @@ with d as (
     select r, unnest([i, i + 1, i + 2]) as p from twice) group by r
 ), s as (
   select w.r, doc_id, len(words) as n_words,
-         coalesce(list_sum(list_transform(words, x -> length(x))), 0)::bigint as word_chars,
+         coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::bigint as word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols,
          length(regexp_replace(text, '[^!]', '', 'g')) as n_bangs,
          len(lines) as n_lines,
