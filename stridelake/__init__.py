@@ -9,7 +9,7 @@ Main entry points (see README for the full map):
 from .operators.inference import detect_landmarks, stub_detector_factory
 from .operators.pose import pose_features
 from .operators.quality import clean, reject_report, tag_imu, tag_rules
-from .operators.relations import global_rank, interval_join, pending
+from .operators.relations import active_session, global_rank, pending
 from .operators.sequence import range_frame, scan
 from .operators.signals import (fill_states, interpolate_at, local_peaks, min_spacing,
                                 smooth_flags, state_runs, transitions, window_counts)
@@ -18,8 +18,8 @@ from .params import PoseParams, QualityParams, StepParams, TrialParams
 from .session import get_session
 
 __all__ = [
-    "PoseParams", "QualityParams", "StepParams", "TrialParams", "clean", "detect_landmarks",
-    "fill_states", "fuse", "get_session", "global_rank", "interpolate_at", "interval_join",
+    "PoseParams", "QualityParams", "StepParams", "TrialParams", "active_session", "clean",
+    "detect_landmarks", "fill_states", "fuse", "get_session", "global_rank", "interpolate_at",
     "local_peaks", "min_spacing", "motion_metrics", "pending", "pose_features", "range_frame",
     "reject_report", "scan", "smooth_flags", "state_runs", "stub_detector_factory", "tag_imu",
     "tag_rules", "transitions", "trial_events", "window_counts",

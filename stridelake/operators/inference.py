@@ -57,6 +57,14 @@ def stub_detector_factory(n_points: int = 6, first_id: int = 23) -> Callable[[],
     return factory
 
 
+def rejected_frames(frames: DataFrame, key: str = "trial_id",
+                    ts: str = "frame_ts_ms") -> DataFrame:
+    """The frames that the detection job leaves out (no time), without their
+    content."""
+    return frames.where(F.col(ts).isNull()).select(F.col(key).cast("string").alias("trial_id"),
+                                                   F.lit("no_time").alias("reason"))
+
+
 def detect_landmarks(frames: DataFrame, detector_factory: Callable[[], Detector],
                      key: str = "trial_id", ts: str = "frame_ts_ms",
                      content: str = "content") -> DataFrame:

@@ -1,11 +1,15 @@
 """Per-frame pose features from a landmark array (PRJ-3 .. PRJ-8).
 
-Each landmark is looked up once as a struct (``try_element_at`` of a
-filtered array); the features are plain arithmetic in double precision.
+Each landmark is looked up once as a point: a struct of its place in double
+precision, null unless it is trusted (visibility strictly above the minimum).
+Features of untrusted points are then null by themselves.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,61 +22,56 @@ def landmark(arr: str | Column, landmark_id: int) -> Column:
                             F.lit(1))
 
 
-def _d(c: Column) -> Column:
-    return c.cast("double")
+def trusted_point(mark: Column, visibility_min: float) -> Column:
+    """struct(x, y) of a landmark, null if it is not visible enough."""
+    return F.when(mark["visibility"].cast("double") > F.lit(visibility_min),
+                  F.struct(mark["x"].cast("double").alias("x"),
+                           mark["y"].cast("double").alias("y")))
 
 
-def knee_angle(hip: Column, knee: Column, ankle: Column, p: PoseParams) -> Column:
-    """Hip-knee-ankle angle in degrees; null unless all three points are
-    visible (> visibility_min). A zero-length limb gives 0 degrees like the
-    reference (the cosine is clamped from an unknown to 1), or null with
+def joint_angle(at: Column, one: Column, other: Column, degenerate: str) -> Column:
+    """Degrees between the limbs from ``at`` to two other points, as the
+    angle of (dot product, cross product); null if a point is null. A limb
+    without length has both products zero and so an angle of 0, or null with
     ``degenerate="null"``."""
-    v1x, v1y = _d(hip["x"]) - _d(knee["x"]), _d(hip["y"]) - _d(knee["y"])
-    v2x, v2y = _d(ankle["x"]) - _d(knee["x"]), _d(ankle["y"]) - _d(knee["y"])
-    dot = v1x * v2x + v1y * v2y
-    mags = F.sqrt(v1x * v1x + v1y * v1y) * F.sqrt(v2x * v2x + v2y * v2y)
-    ratio = F.try_divide(dot, mags)
-    if p.degenerate == "reference":
-        # least/greatest skip nulls: an unknown ratio clamps to 1 -> 0 degrees
-        cosv = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), ratio))
-    else:
-        cosv = F.when(ratio.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), ratio)))
-    vis = ((_d(hip["visibility"]) > p.visibility_min)
-           & (_d(knee["visibility"]) > p.visibility_min)
-           & (_d(ankle["visibility"]) > p.visibility_min))
-    return F.when(vis, F.degrees(F.acos(cosv)))
+    limbs = [[p[c] - at[c] for c in ("x", "y")] for p in (one, other)]
+    (ax, ay), (bx, by) = limbs
+    angle = F.degrees(F.atan2(F.abs(ax * by - ay * bx), ax * bx + ay * by))
+    if degenerate == "null":
+        short = reduce(lambda x, y: x | y, ((x == 0) & (y == 0) for x, y in limbs))
+        angle = F.when(~short, angle)
+    return angle
 
 
 def mean_known(*cols: Column) -> Column:
     """Mean of the non-null values, null when none is known (PRJ-5)."""
-    known = F.filter(F.array(*cols), lambda a: a.isNotNull())
-    total = F.aggregate(known, F.lit(0.0), lambda acc, x: acc + x)
-    return F.when(F.size(known) > 0, total / F.size(known))
+    return F.try_divide(reduce(add, (F.coalesce(c, F.lit(0.0)) for c in cols)),
+                        reduce(add, (c.isNotNull().cast("int") for c in cols)))
 
 
 def pose_features(df: DataFrame, p: PoseParams = PoseParams(), landmarks: str = "landmarks",
                   keep: tuple[str, ...] = ("trial_id", "frame_ts_ms")) -> DataFrame:
-    """Angles, seated flag, foot advance and past-the-mark flag per frame."""
-    ids = {"lh": p.hips[0], "rh": p.hips[1], "lk": p.knees[0], "rk": p.knees[1],
-           "la": p.ankles[0], "ra": p.ankles[1]}
-    d = df.select(*keep, *[landmark(landmarks, i).alias(f"_{n}") for n, i in ids.items()])
-    L = {n: F.col(f"_{n}") for n in ids}
-    d = d.select(*keep, *L.values(),
-                 knee_angle(L["lh"], L["lk"], L["la"], p).alias("angle_left"),
-                 knee_angle(L["rh"], L["rk"], L["ra"], p).alias("angle_right"))
-    d = d.withColumn("knee_angle", mean_known(F.col("angle_left"), F.col("angle_right")))
-    d = d.withColumn("seated", F.when(F.col("knee_angle").isNotNull(),
-                                      F.col("knee_angle") < F.lit(p.seated_angle_max)))
-    lok = _d(L["la"]["visibility"]) > p.visibility_min
-    rok = _d(L["ra"]["visibility"]) > p.visibility_min
-    left_ahead = _d(L["la"]["x"]) >= _d(L["ra"]["x"])
-    # the more advanced visible ankle; a tie goes to the left one
-    foot_x = (F.when(lok & rok, F.when(left_ahead, _d(L["la"]["x"])).otherwise(_d(L["ra"]["x"])))
-               .when(lok, _d(L["la"]["x"])).when(rok, _d(L["ra"]["x"])))
-    foot_y = (F.when(lok & rok, F.when(left_ahead, _d(L["la"]["y"])).otherwise(_d(L["ra"]["y"])))
-               .when(lok, _d(L["la"]["y"])).when(rok, _d(L["ra"]["y"])))
-    advance = ((foot_x - F.lit(p.mark_x)) * F.lit(p.dir_x)
-               + (foot_y - F.lit(p.mark_y)) * F.lit(p.dir_y))
-    d = d.withColumn("advance", advance)
-    d = d.withColumn("past", F.when(foot_x.isNotNull(), F.col("advance") > 0))
-    return d.drop(*[f"_{n}" for n in ids])
+    """Angles, seated flag, foot advance and past-the-mark flag per frame.
+
+    The foot that counts is the one further ahead among the trusted ankles; of
+    two level ones the left.
+    """
+    sides = ("left", "right")
+    ids = {f"_{part}_{side}": i for part, pair in
+           (("hip", p.hips), ("knee", p.knees), ("ankle", p.ankles)) for side, i in zip(sides, pair)}
+    d = df.select(*keep, *(trusted_point(landmark(landmarks, i), p.visibility_min).alias(n)
+                           for n, i in ids.items()))
+    feet = [F.col(f"_ankle_{s}") for s in sides]
+    d = d.select(
+        *keep,
+        *(joint_angle(F.col(f"_knee_{s}"), F.col(f"_hip_{s}"), F.col(f"_ankle_{s}"), p.degenerate)
+          .alias(f"angle_{s}") for s in sides),
+        F.when(feet[1].isNull() | (feet[0]["x"] >= feet[1]["x"]), feet[0]).otherwise(feet[1])
+        .alias("_foot"))
+    ahead = ((F.col("_foot.x") - F.lit(p.mark_x)) * F.lit(p.dir_x)
+             + (F.col("_foot.y") - F.lit(p.mark_y)) * F.lit(p.dir_y))
+    d = d.select(*keep, "angle_left", "angle_right",
+                 mean_known(F.col("angle_left"), F.col("angle_right")).alias("knee_angle"),
+                 ahead.alias("advance"))
+    return d.select("*", (F.col("knee_angle") < F.lit(p.seated_angle_max)).alias("seated"),
+                    (F.col("advance") > 0).alias("past"))

@@ -3,9 +3,10 @@ clean rows (FLT-1, FLT-5, WN-1, AG-2).
 
 Duplicate detection is "row_number over (trial, host clock) ordered by the
 device clock > 1". It is computed as a per-group minimum (partial aggregate,
-so a group holding a third of all rows is combined map-side) joined back on
-the group key (a hot key is split by AQE's skew join), instead of a window
-that would sort the whole group in one task.
+so a group holding a third of all rows is combined map-side), written, and
+joined back on the group key (both sides then have a shuffle of their own, and
+AQE's skew join splits a hot key), instead of a window that would sort the
+whole group in one task.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..params import (ACCEL_OUT_OF_RANGE, DUPLICATE_TIMESTAMP, GYRO_OUT_OF_RANGE, NULL_VALUE,
                       QualityParams)
+from ..session import cut
 
 
 @dataclass(frozen=True)
@@ -48,8 +50,7 @@ def imu_rules(p: QualityParams = QualityParams()) -> list[Rule]:
 
 def _null_safe_key(df: DataFrame, c: str) -> list[Column]:
     """(is null, value or a filler) as two plain columns: grouping and an
-    ordinary equi-join on them treat null as one value, and the join can use
-    the partitioning of the aggregate (a ``<=>`` join key cannot)."""
+    ordinary equi-join on them treat null as one value."""
     t = df.schema[c].dataType.typeName()
     if t == "string":
         fill = F.lit("")
@@ -72,7 +73,8 @@ def duplicate_flag(df: DataFrame, group: Sequence[str], order: Sequence[str],
     kcols = [x for g in group for x in (f"_gn_{g}", f"_gv_{g}")]
     d = df.select("*", *[k for g in group for k in _null_safe_key(df, g)])
     okey = F.struct(*[F.col(c) for c in order])
-    first = d.groupBy(*kcols).agg(F.min(okey).alias("_first"))
+    # written, so that AQE can split the join where a group is hot
+    first = cut(d.groupBy(*kcols).agg(F.min(okey).alias("_first")), "first-rows")
     j = d.join(first, kcols, "left")
     return j.withColumn(out, ~okey.eqNullSafe(F.col("_first"))).drop("_first", *kcols)
 

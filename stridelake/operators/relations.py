@@ -1,8 +1,7 @@
 """Relational operators the reference needs beyond plain joins.
 
-interval_join   samples inside [start, end) of a session of the same key
-                (JN-7), as an equi-join on (key, time bucket) plus the range
-                predicate, so a key with many sessions is not a product
+active_session  the session of the same key that a sample falls in (JN-7), by
+                one ordered scan over sessions and samples
 new_keys        rows whose key is not yet in a target (JN-1)
 pending         source keys minus done keys with a reason (SET-1/2, D26)
 global_rank     1..n ranking over the whole table without a single-task
@@ -17,28 +16,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
-from .sequence import bucket_of
+from ..session import cut, per_key
+from .sequence import scan
 
 
-def interval_join(samples: DataFrame, sessions: DataFrame, keys: Sequence[str], ts: str,
-                  start: str, end: str, width: int) -> DataFrame:
-    """All (sample, session) pairs of the same key with start <= ts < end.
+def active_session(samples: DataFrame, sessions: DataFrame, keys: Sequence[str], ts: str,
+                   start: str, end: str, width: int, session: str,
+                   tiebreak: Sequence[str] = ()) -> DataFrame:
+    """The samples that fall in a session of their key, each with the one
+    session active then: the last that started at or before it (of equal
+    starts the greatest ``session``), if that has not ended (start <= ts <
+    end).
 
-    Each session is listed under every time bucket it overlaps (bounded by
-    its length / width + 1), each sample under its own bucket.
+    Sessions are merged into the sample stream and one ordered scan carries
+    the last start forward, so the cost is linear in samples + sessions, and
+    overlapping sessions give no sample twice.
     """
     keys = list(keys)
-    s = sessions.withColumn("_b", F.explode(F.sequence(bucket_of(start, width),
-                                                        bucket_of(F.col(end) - F.lit(1), width))))
-    x = samples.withColumn("_b", bucket_of(ts, width))
-    j = x.join(s, keys + ["_b"])
-    return j.filter((F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end))).drop("_b")
+    kind = {f.name: f.dataType for f in sessions.schema.fields}
+    now = F.struct(*[F.col(c).alias(c) for c in (session, start, end)])
+    a = sessions.select(*keys, F.col(start).alias(ts), F.lit(0).alias("_k"),
+                        F.col(session).alias("_s"), now.alias("_now"),
+                        *[F.lit(None).cast(f.dataType).alias(f.name) for f in samples.schema.fields
+                          if f.name not in (*keys, ts)])
+    # a session sorts before the samples of its first instant
+    b = samples.withColumns({"_k": F.lit(1), "_s": F.lit(None).cast(kind[session]),
+                             "_now": F.lit(None).cast(a.schema["_now"].dataType)})
+    s = scan(a.unionByName(b), keys, ts, width, tiebreak=["_k", "_s", *tiebreak], ffill=["_now"])
+    return (s.where((F.col("_k") == 1) & (F.col(ts) < F.col("ffill__now")[end]))
+            .select(*samples.columns, *[F.col("ffill__now")[c].alias(c)
+                                        for c in (session, start, end)]))
 
 
 def new_keys(df: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is not in ``done`` (left anti join)."""
-    return df.join(done.select(*keys).distinct(), list(keys), "left_anti")
+    return df.join(per_key(done.select(*keys).distinct(), "done"), list(keys), "left_anti")
 
 
 def pending(sources: dict[str, DataFrame], done: DataFrame, key: str,
@@ -55,16 +67,28 @@ def pending(sources: dict[str, DataFrame], done: DataFrame, key: str,
     for p in parts[1:]:
         u = u.unionByName(p)
     u = u.groupBy(key).agg(F.max("_p").alias("_p"))
-    out = u.join(done.select(key).distinct(), key, "left_anti")
+    out = u.join(per_key(done.select(key).distinct(), "done"), key, "left_anti")
     return out.select(key, F.when(F.col("_p"), F.lit("not_processed"))
                       .otherwise(F.lit(f"no_{primary}")).alias("reason"))
 
 
+def row_counts(sources: dict[str, DataFrame], key: str) -> DataFrame:
+    """Rows of each key in several tables, one column each (AG-15); 0 where a
+    table lacks the key. One aggregate over all, no join."""
+    parts = [df.groupBy(key).agg(F.count(F.lit(1)).alias(name)) for name, df in sources.items()]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p, allowMissingColumns=True)
+    return u.groupBy(key).agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in sources))
+
+
 def global_rank(df: DataFrame, order: Sequence[Column], out: str = "rank",
                 partitions: int | None = None) -> DataFrame:
     """Dense 1..n row number in ``order`` (make it total with a tie-break)."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
+    # range partitioning samples its input first: from a written copy, not by
+    # running the plan twice
+    d = cut(df).repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
     d = cut(d)  # one fixed partitioning for both the counts and the ranks
     counts = d.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a proven, small broadcast

@@ -24,9 +24,14 @@ from pyspark.sql import functions as F
 BKT = "_bkt"
 
 
+#: Bucket of rows without a time: before all others, as nulls sort, and no
+#: null itself, so that it is a join key like any other.
+NO_TIME = -(1 << 62)
+
+
 def bucket_of(ts: str | Column, width: int) -> Column:
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(c / F.lit(width)).cast("long")
+    return F.coalesce(F.floor(c / F.lit(width)).cast("long"), F.lit(NO_TIME))
 
 
 def _order(ts: str, tiebreak: Sequence[str]) -> list[Column]:
@@ -213,10 +218,10 @@ def halo(df: DataFrame, ts: str, lower: int, upper: int, width: int,
     t = F.col(ts)
     lo = bucket_of(t - F.lit(upper), width)
     hi = bucket_of(t - F.lit(lower), width)
-    # explode_outer + null-safe test: a row without a time keeps one copy
-    # (in the null bucket, like the null peer group of a plain window)
-    return (df.withColumn(out, F.explode_outer(F.sequence(lo, hi)))
-              .withColumn("_home", F.col(out).eqNullSafe(bucket_of(t, width))))
+    # a row without a time keeps one copy, in the bucket of such rows (the
+    # null peer group of a plain window)
+    return (df.withColumn(out, F.explode(F.sequence(lo, hi)))
+              .withColumn("_home", F.col(out) == bucket_of(t, width)))
 
 
 def range_frame(df: DataFrame, keys: Sequence[str], ts: str, lower: int, upper: int,

@@ -7,6 +7,8 @@ local_peaks     strict local maxima above a threshold (WN-4a)
 min_spacing     greedy "at least gap after the last accepted" filter (WN-4b,
                 WN-7); exact, distributed
 fill_states     forward then backward fill (WN-5)
+peak_in_window  largest value in a window from the key's first row (AG-8)
+interval_variation  count and variation of the intervals between rows (AG-10)
 rebase          time since the first sample of the key (PRJ-10, WN-6)
 interpolate_at  value of a signal at given instants, np.interp style (JN-6)
 window_counts   rows per key and fixed time window, with a running total (AG-14)
@@ -19,7 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import computed_once, cut
+from ..session import cut, per_key
+from . import greedy
 from .sequence import range_frame, scan
 
 
@@ -85,85 +88,65 @@ def local_peaks(df: DataFrame, keys: Sequence[str], ts: str, value: str, thresho
     return s.filter(cond).drop(f"prev_{value}", f"next_{value}", "has_prev", "has_next")
 
 
-def min_spacing(df: DataFrame, keys: Sequence[str], ts: str, gap, bucket_ms: int, *,
-                tiebreak: Sequence[str] = (), max_fold: int = 1000) -> DataFrame:
+def min_spacing(df: DataFrame, keys: Sequence[str], ts: str, gap, *,
+                tiebreak: Sequence[str] = ()) -> DataFrame:
     """Greedy spacing: walk rows in time order, keep a row when it is at
-    least ``gap`` after the last kept one (``t >= last + gap``).
-
-    Exact and distributed. A row more than ``gap`` after its predecessor is
-    always kept, so keys split into independent *segments* there. Segments
-    of at most ``max_fold`` rows are folded in one aggregate; longer ones are
-    solved by pointer jumping over the "next row at or after t + gap" links
-    (log2(length) rounds of joins on a uniformly spread row index).
+    least ``gap`` (> 0) after the last kept one (``t >= last + gap``). Rows
+    without a time are dropped.
+
+    Exact and distributed, with one method for every density. Rows go to
+    buckets of four gaps, so a key of any length is spread over many tasks.
+
+    1. In each bucket, where the walk leaves it (its last kept row) is worked
+       out for every place where it may enter. Walks merge fast, so a bucket
+       gives few (last entry, exit) pairs.
+    2. Per key, the buckets' pairs are followed in order: one small row per
+       bucket, streamed.
+    3. Each bucket, now knowing the last row kept before it, marks its rows.
     """
     keys = list(keys)
-    tiebreak = list(tiebreak)
-    cols = df.columns
-    with computed_once(df) as src:  # the input is read by both scan branches
-        s = scan(src.withColumn("_one", F.lit(1).cast("long")), keys, ts, bucket_ms,
-                 tiebreak=tiebreak, gaps={ts: gap}, cumsum=["_one"])
-        s = (s.withColumnRenamed(f"seg_{ts}", "_seg").withColumnRenamed("cum__one", "_idx")
-              .withColumn("_new", F.col(f"segstart_{ts}").cast("long"))
-              .drop("_one", f"segstart_{ts}"))
-        # written once: the size aggregate, both paths below and the
-        # emptiness test read this copy
-        s = cut(s)
-    sizes = s.groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("_n"))
-    s = s.join(sizes, keys + ["_seg"])
-
-    # -- short segments: one fold per segment --------------------------------
-    small = s.filter(F.col("_n") <= max_fold)
-    ttype = df.schema[ts].dataType
-    item = F.struct(F.col(ts).alias("t"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(tiebreak)],
-                    F.struct(*[F.col(c) for c in cols]).alias("row"))
-    xs = F.sort_array(F.collect_list(item))
-    folded = small.groupBy(*keys, "_seg").agg(xs.alias("_xs"))
-    init = F.struct(F.slice(F.col("_xs"), 1, 0).alias("acc"), F.lit(None).cast(ttype).alias("last"))
-
-    def step(acc, x):
-        keep = acc["last"].isNull() | (x["t"] >= acc["last"] + F.lit(gap))
-        return F.when(keep, F.struct(F.concat(acc["acc"], F.array(x)).alias("acc"),
-                                     x["t"].alias("last"))).otherwise(acc)
-
-    kept = folded.select(F.explode(F.aggregate("_xs", init, step, lambda a: a["acc"])).alias("_x"))
-    kept_small = kept.select(*[F.col("_x.row")[c].alias(c) for c in cols])
-
-    # -- long segments: pointer jumping ---------------------------------------
-    large = s.filter(F.col("_n") > max_fold)
-    if large.isEmpty():
-        return kept_small
-    kept_large = _jump_chain(large, keys, ts, gap, bucket_ms)
-    return kept_small.unionByName(
-        large.join(kept_large, keys + ["_idx"], "left_semi").select(*cols))
-
-
-def _jump_chain(nodes: DataFrame, keys: list[str], ts: str, gap, bucket_ms: int) -> DataFrame:
-    """Indices reachable from each segment head by the "first row at or after
-    t + gap" function, by doubling: S <- S + J(S); J <- J o J."""
-    seg = keys + ["_seg"]
-    base = nodes.select(*seg, ts, "_idx", "_new")
-    probes = base.select(*seg, (F.col(ts) + F.lit(gap)).cast(base.schema[ts].dataType).alias(ts),
-                         F.lit(0).alias("_kind"), F.col("_idx").alias("_src"),
-                         F.lit(None).cast("long").alias("_node"))
-    points = base.select(*seg, ts, F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_src"),
-                         F.col("_idx").alias("_node"))
-    u = scan(probes.unionByName(points), seg, ts, bucket_ms,
-             tiebreak=["_kind", "_src", "_node"], bfill=["_node"])
-    jump = (u.filter((F.col("_kind") == 0) & F.col("bfill__node").isNotNull())
-             .select(*keys, F.col("_src").alias("_idx"), F.col("bfill__node").alias("_to"))
-             )
-    jump = cut(jump, "jump")
-    reached = cut(base.filter(F.col("_new") == 1).select(*keys, "_idx"), "reached")
-    while True:
-        new = reached.join(jump, keys + ["_idx"]).select(*keys, F.col("_to").alias("_idx"))
-        new = cut(new, "reached")
-        if new.isEmpty():
-            return reached
-        reached = cut(reached.unionByName(new), "reached")
-        a, b = jump.alias("a"), jump.alias("b")
-        cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("a._to") == F.col("b._idx")]
-        jump = cut(a.join(b, cond).select(*[F.col(f"a.{k}") for k in keys], F.col("a._idx"),
-                                          F.col("b._to")), "jump")
+    kind = df.schema[ts].dataType.simpleString()
+    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    rows = df.where(F.col(ts).isNotNull()).withColumn(
+        "_b", F.floor(F.col(ts) / F.lit(4 * gap)).cast("long"))
+    part = [*keys, "_b"]
+
+    def in_groups(d: DataFrame, of: Sequence[str], order: Sequence[str]) -> DataFrame:
+        return (d.withColumn("_g", F.xxhash64(*of)).repartition(*of)
+                .sortWithinPartitions(*of, *order))
+
+    times = in_groups(rows.select(*part, ts), part, [ts])
+    ways = times.mapInArrow(
+        lambda batches: greedy.bucket_ways(batches, keys, ts, gap),
+        f"{kinds}, _b bigint, entry array<{kind}>, exit array<{kind}>")
+    entered = in_groups(ways, keys, ["_b"]).mapInArrow(
+        lambda batches: greedy.follow(batches, keys, gap), f"{kinds}, _b bigint, _last {kind}")
+    known = rows.join(per_key(entered, "spacing"), part)
+    out = in_groups(known, part, [ts, *tiebreak])
+    columns = df.columns
+    return out.mapInArrow(lambda batches: greedy.kept_rows(batches, columns, ts, gap), df.schema)
+
+
+def peak_in_window(df: DataFrame, keys: Sequence[str], ts: str, value: str, length,
+                   out: str = "peak") -> DataFrame:
+    """Largest ``value`` of each key within ``length`` of its first row."""
+    keys = list(keys)
+    t0 = per_key(df.groupBy(*keys).agg(F.min(ts).alias("_t0")), "first-times")
+    inside = F.col(ts) <= F.col("_t0") + F.lit(length)
+    return df.join(t0, keys).groupBy(*keys).agg(F.max(F.when(inside, F.col(value))).alias(out))
+
+
+def interval_variation(df: DataFrame, keys: Sequence[str], ts: str, bucket_ms: int, *,
+                       tiebreak: Sequence[str] = (), count: str = "n",
+                       out: str = "cv") -> DataFrame:
+    """Rows of each key, and the variation (population deviation / mean) of
+    the seconds between them, null below two intervals (AG-10)."""
+    s = scan(df, list(keys), ts, bucket_ms, tiebreak=tiebreak, lag=[ts])
+    s = s.withColumn("_iv", (F.col(ts) - F.col(f"prev_{ts}")) / F.lit(1000.0))
+    return s.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(count),
+        F.when(F.count("_iv") >= 2,
+               F.try_divide(F.stddev_pop("_iv"), F.avg("_iv"))).alias(out))
 
 
 def fill_states(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str],
@@ -180,12 +163,13 @@ def rebase(df: DataFrame, keys: Sequence[str], ts: str, out: str = "t_s",
            origin: DataFrame | None = None, origin_col: str = "t0") -> DataFrame:
     """Seconds since the key's origin (default: its first sample).
 
-    The origin is a per-key aggregate joined back, not a window over the key.
+    The origin is a per-key aggregate, written and joined back, not a window
+    over the key.
     """
     keys = list(keys)
     if origin is None:
         origin = df.groupBy(*keys).agg(F.min(ts).alias(origin_col))
-    d = df.join(origin.select(*keys, origin_col), keys, "left")
+    d = df.join(per_key(origin.select(*keys, origin_col), "origin"), keys, "left")
     return d.withColumn(out, (F.col(ts) - F.col(origin_col)) / F.lit(1000.0)).drop(origin_col)
 
 
@@ -202,6 +186,7 @@ def interpolate_at(samples: DataFrame, marks: DataFrame, keys: Sequence[str], ts
     """
     keys = list(keys)
     mark_cols = list(mark_cols)
+    marks = cut(marks, "marks")  # both branches of the scan read them
     pt = F.struct(F.col(ts).cast("double").alias("t"), F.col(value).cast("double").alias("v"))
     s = samples.select(*keys, F.col(ts).cast("double").alias("_t"), F.lit(0).alias("_k"),
                        pt.alias("_s"), *[F.lit(None).cast(marks.schema[c].dataType).alias(c)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..params import StepParams, TrialParams
 from ..session import bounded, computed_once, cut
 from .sequence import BKT, scan
-from .signals import local_peaks, min_spacing, smooth_flags
+from .signals import interval_variation, local_peaks, min_spacing, smooth_flags
 
 def smoothed_states(frames: DataFrame, params: TrialParams, key: str = "trial_id",
                     ts: str = "frame_ts_ms", seated: str = "seated", past: str = "past",
@@ -157,13 +157,10 @@ def motion_metrics(imu: DataFrame, events: DataFrame, params: StepParams = StepP
     cand = local_peaks(standing.select(key, ts, *tiebreak, accel), [key], ts, accel,
                        params.threshold, params.bucket_ms, tiebreak)
     steps = min_spacing(cand.select(key, ts, *tiebreak), [key], ts, params.min_gap_ms,
-                        params.bucket_ms, tiebreak=tiebreak, max_fold=params.max_fold)
-    iv = scan(steps, [key], ts, params.bucket_ms, tiebreak=tiebreak, lag=[ts])
-    iv = iv.withColumn("_iv", (F.col(ts) - F.col(f"prev_{ts}")) / F.lit(1000.0))
-    st = iv.groupBy(key).agg(
-        F.count(F.lit(1)).cast("int").alias("n_steps"),
-        F.when(F.count("_iv") >= 2,
-               F.try_divide(F.stddev_pop("_iv"), F.avg("_iv"))).alias("step_cv"))
+                        tiebreak=tiebreak)
+    st = interval_variation(steps, [key], ts, params.bucket_ms, tiebreak=tiebreak,
+                            count="n_steps", out="step_cv")
+    st = st.withColumn("n_steps", F.col("n_steps").cast("int"))
     return (peak.join(st, key, "left")
                 .select(key, "peak_standing_dps",
                         F.coalesce(F.col("n_steps"), F.lit(0)).alias("n_steps"), "step_cv"))

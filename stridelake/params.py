@@ -69,10 +69,6 @@ class StepParams:
     threshold: float = STEP_THRESHOLD_G
     min_gap_ms: int = int(STEP_MIN_GAP_S * 1000)
     bucket_ms: int = 10 * 60 * 1000
-    # A run of peak candidates, each closer than min_gap to the previous, is
-    # folded in one row when it has at most this many candidates; longer runs
-    # go through the distributed pointer-jumping path (exact either way).
-    max_fold: int = 20_000
 
 
 @dataclass(frozen=True)

@@ -87,7 +87,7 @@ def q_local_peaks(spark, sf):
 
 def _spaced(spark, sf):
     return G.min_spacing(_peaks(spark, sf).select("trial_id", "ts_ms", "event_id"), ["trial_id"],
-                         "ts_ms", E_STEPS.min_gap_ms, E_STEPS.bucket_ms, tiebreak=E_TIEBREAK)
+                         "ts_ms", E_STEPS.min_gap_ms, tiebreak=E_TIEBREAK)
 
 
 def q_spaced_peaks(spark, sf):
@@ -96,18 +96,13 @@ def q_spaced_peaks(spark, sf):
 
 def q_throttle_events(spark, sf):
     ev = _samples(spark, sf).select("trial_id", "ts_ms", "event_id")
-    return G.min_spacing(ev, ["trial_id"], "ts_ms", E_STEPS.min_gap_ms, E_STEPS.bucket_ms,
-                         tiebreak=E_TIEBREAK)
+    return G.min_spacing(ev, ["trial_id"], "ts_ms", E_STEPS.min_gap_ms, tiebreak=E_TIEBREAK)
 
 
 def q_interval_cv(spark, sf):
-    s = scan(_spaced(spark, sf), ["trial_id"], "ts_ms", E_STEPS.bucket_ms, tiebreak=E_TIEBREAK,
-             lag=["ts_ms"])
-    iv = (F.col("ts_ms") - F.col("prev_ts_ms")) / F.lit(1000.0)
-    out = s.groupBy("trial_id").agg(
-        F.count(F.lit(1)).alias("n_peaks"),
-        F.when(F.count(iv) >= 2, F.try_divide(F.stddev_pop(iv), F.avg(iv))).alias("interval_cv"))
-    return round_doubles(out)
+    return round_doubles(G.interval_variation(
+        _spaced(spark, sf), ["trial_id"], "ts_ms", E_STEPS.bucket_ms, tiebreak=E_TIEBREAK,
+        count="n_peaks", out="interval_cv"))
 
 
 # -- quality (mapping L) -----------------------------------------------------
@@ -156,13 +151,8 @@ YEAR_MS = 365 * DAY_MS
 
 def q_window_peak(spark, sf):
     """Peak gyro magnitude in the first year of each supplier's rows."""
-    m = _mags(spark, sf)
-    t0 = m.groupBy("trial_id").agg(F.min("host_timestamp_ms").alias("t0"))
-    j = m.join(t0, "trial_id")
-    inwin = (F.col("host_timestamp_ms") >= F.col("t0")) & \
-            (F.col("host_timestamp_ms") <= F.col("t0") + F.lit(float(YEAR_MS)))
-    return round_doubles(j.groupBy("trial_id").agg(
-        F.max(F.when(inwin, F.col("gyro_mag"))).alias("peak_gyro")))
+    return round_doubles(G.peak_in_window(_mags(spark, sf), ["trial_id"], "host_timestamp_ms",
+                                          "gyro_mag", float(YEAR_MS), out="peak_gyro"))
 
 
 # -- pose (mapping V) --------------------------------------------------------
@@ -206,13 +196,9 @@ def q_trial_results(spark, sf):
 
 
 # -- incremental keys and pending work ---------------------------------------
-RECENT = "2001-06-01"
-
-
 def _done(spark, sf):
-    o = S.table(spark, sf, "orders")
-    return (o.filter(F.col("o_orderdate") >= F.lit(RECENT).cast("timestamp_ntz"))
-             .select(F.col("o_custkey").alias("trial_id")))
+    """Customers with an order stand for finished trials."""
+    return S.table(spark, sf, "orders").select(F.col("o_custkey").alias("trial_id"))
 
 
 def q_new_trials(spark, sf):
@@ -240,8 +226,9 @@ def q_path_metadata(spark, sf):
         zero_pad(F.col("page_id"), 16).alias("padded_id"))
 
 
-def q_parse_lines(spark, sf):
-    from ..sources.files import parse_imu_lines
+def _lines(spark, sf):
+    """Raw sensor lines made of lineitem; some have a letter for a number or
+    one field too many."""
     li = S.table(spark, sf, "lineitem")
     last = F.when(F.col("l_linestatus") == "O", F.col("l_returnflag")) \
             .otherwise(F.col("l_suppkey").cast("string"))
@@ -249,7 +236,12 @@ def q_parse_lines(spark, sf):
                                       ("l_orderkey", "l_quantity", "l_discount", "l_tax",
                                        "l_extendedprice", "l_partkey")], last),
                     F.when(F.col("l_linenumber") == 7, F.lit(",0")).otherwise(F.lit("")))
-    return round_doubles(parse_imu_lines(li.select(line.alias("value"))))
+    return li.select(line.alias("value"))
+
+
+def q_parse_lines(spark, sf):
+    from ..sources.files import parse_imu_lines
+    return round_doubles(parse_imu_lines(_lines(spark, sf)))
 
 
 # -- reports -----------------------------------------------------------------
@@ -278,10 +270,7 @@ def q_interpolate_marks(spark, sf):
 
 
 def q_state_fill(spark, sf):
-    fr = S.event_frames(spark, sf)
-    err = S.table(spark, sf, "events").select("event_id", (F.col("event_type") == "error")
-                                              .alias("_err"))
-    fr = fr.join(err, "event_id")
+    fr = S.event_frames(spark, sf, (F.col("event_type") == "error").alias("_err"))
     fr = fr.select("trial_id", "frame_ts_ms", "event_id",
                    F.when(~F.col("_err"), F.col("seated")).alias("seated"),
                    F.when(~F.col("_err"), F.col("past")).alias("past"))
@@ -300,7 +289,8 @@ def q_session_samples(spark, sf):
         (F.col("ms") + F.lit(SESSION_MS)).alias("end_ms"))
     samples = ev.filter(F.col("event_type") != "signup").select(
         "trial_id", F.col("event_id").alias("sample_id"), "ms")
-    j = R.interval_join(samples, sessions, ["trial_id"], "ms", "start_ms", "end_ms", SESSION_MS)
+    j = R.active_session(samples, sessions, ["trial_id"], "ms", "start_ms", "end_ms",
+                         7 * DAY_MS, "session_id", tiebreak=["sample_id"])
     return j.select("trial_id", "session_id", "sample_id")
 
 
@@ -326,14 +316,11 @@ def q_rate_per_hour(spark, sf):
 
 
 def q_trial_counts(spark, sf):
-    fr = (S.table(spark, sf, "events").groupBy(F.col("user_id").cast("string").alias("trial_id"))
-          .agg(F.count(F.lit(1)).alias("n_frames")))
-    sm = (S.table(spark, sf, "lineitem")
-          .groupBy(F.col("l_suppkey").cast("string").alias("trial_id"))
-          .agg(F.count(F.lit(1)).alias("n_samples")))
-    j = fr.join(sm, "trial_id", "full")
-    return j.select("trial_id", F.coalesce("n_frames", F.lit(0)).alias("n_frames"),
-                    F.coalesce("n_samples", F.lit(0)).alias("n_samples"))
+    return R.row_counts({
+        "n_frames": S.table(spark, sf, "events").select(
+            F.col("user_id").cast("string").alias("trial_id")),
+        "n_samples": S.table(spark, sf, "lineitem").select(
+            F.col("l_suppkey").cast("string").alias("trial_id"))}, "trial_id")
 
 
 # -- inference (UD-3) ---------------------------------------------------------
@@ -341,11 +328,7 @@ def q_detect_landmarks(spark, sf):
     """Frames carry their embedding as text bytes; the stub detector turns
     them into landmarks inside a mapInPandas job."""
     from ..operators.inference import detect_landmarks, stub_detector_factory
-    em = S.table(spark, sf, "embeddings")
-    text = F.concat_ws(",", F.transform("embedding", lambda x: x.cast("string")))
-    frames = em.select(F.col("label").cast("string").alias("trial_id"),
-                       F.col("vec_id").alias("frame_ts_ms"),
-                       F.encode(text, "UTF-8").alias("content"))
+    frames = S.embedding_images(spark, sf)
     lm = detect_landmarks(frames, stub_detector_factory())
     x = lm.select("trial_id", "frame_ts_ms", F.explode("landmarks").alias("l"))
     return round_doubles(x.select("trial_id", "frame_ts_ms", F.col("l.landmark_id").alias("landmark_id"),
@@ -415,8 +398,86 @@ def q_layer_silver(spark, sf):
         run_layer(spark, S.with_row_identity(read_layer(spark, bronze)), to_silver, silver,
                   batch_id=f"s{run}",
                   order=["host_timestamp_ms"])
-    out = spark.read.parquet(silver).drop("batch_id")
-    return round_doubles(out)
+    return round_doubles(read_layer(spark, silver).drop("batch_id"))
+
+
+def q_layer_reuse(spark, sf):
+    """One batch id for two runs: first only the customers of some nations,
+    then all; nothing loaded before is lost."""
+    from ..plans.layers import read_layer, run_layer
+    from ..session import scratch_path
+    c = S.table(spark, sf, "customer").select(F.col("c_custkey").alias("trial_id"), "c_name",
+                                              "c_nationkey")
+    target = scratch_path(spark, "reused")
+    for rows in (c.where("c_nationkey < 10"), c):
+        run_layer(spark, rows, lambda d: d, target, batch_id="same")
+    return read_layer(spark, target).drop("batch_id")
+
+
+def q_fusion_results(spark, sf):
+    """The fusion step itself, on layers written from the events: run before
+    the IMU layer exists (it must write nothing), then after."""
+    from ..plans import chains
+    from ..plans.layers import read_layer, run_layer
+    from ..session import scratch_path
+    p = chains.Paths(*[scratch_path(spark, f"fusion-{n}") for n in
+                       ("imu", "cam", "b-imu", "b-cam", "s-imu", "s-cam", "g-cam", "res")])
+    run_layer(spark, S.event_frames(spark, sf).drop("event_id"), lambda d: d, p.gold_camera,
+              batch_id="1", order=["frame_ts_ms"])
+    before = chains.fusion(spark, p, "1", E_TRIAL, E_STEPS)
+    if before.status != "missing_upstream":
+        raise RuntimeError(f"fusion without an IMU layer: {before.status}")
+    none = F.lit(0.0)
+    imu = S.event_samples(spark, sf).select(
+        "trial_id", F.col("host_ts_ms").cast("double").alias("host_timestamp_ms"),
+        F.col("event_id").alias("imu_timestamp_ms"),
+        F.col("accel_mag").alias("accel_x_g"), none.alias("accel_y_g"), none.alias("accel_z_g"),
+        F.col("gyro_mag").alias("gyro_x_dps"), none.alias("gyro_y_dps"), none.alias("gyro_z_dps"))
+    run_layer(spark, imu, lambda d: d, p.silver_imu, batch_id="1", order=["host_timestamp_ms"])
+    chains.fusion(spark, p, "1", E_TRIAL, E_STEPS)
+    return round_doubles(read_layer(spark, p.results).drop("batch_id"))
+
+
+def q_imu_chain(spark, sf):
+    """The IMU chain itself over CSV files of 500 rows; returns silver."""
+    from ..plans import chains
+    from ..plans.layers import read_layer, write_chunked_csv
+    from ..session import scratch_path
+    p = chains.Paths(*[scratch_path(spark, f"chain-{n}") for n in
+                       ("imu", "cam", "b-imu", "b-cam", "s-imu", "s-cam", "g-cam", "res")])
+    write_chunked_csv(S.lineitem_imu(spark, sf).select(
+        "trial_id", "host_timestamp_ms", "imu_timestamp_ms", "accel_x_g", "accel_y_g",
+        "accel_z_g", "gyro_x_dps", "gyro_y_dps", "gyro_z_dps"), p.imu_source, bucket_ms=L_BUCKET)
+    chains.imu_chain(spark, p, "1")
+    return round_doubles(read_layer(spark, p.silver_imu).drop("batch_id"))
+
+
+def q_camera_chain(spark, sf):
+    """The camera chain itself over frame files (one per frame, named by its
+    time in a folder per trial); returns the gold flags."""
+    from ..operators.inference import stub_detector_factory
+    from ..plans import chains
+    from ..plans.layers import read_layer
+    from ..session import scratch_path
+    from ..sources.files import write_frames
+    p = chains.Paths(*[scratch_path(spark, f"chain-{n}") for n in
+                       ("imu", "cam", "b-imu", "b-cam", "s-imu", "s-cam", "g-cam", "res")])
+    write_frames(S.embedding_images(spark, sf), p.camera_source)
+    chains.camera_chain(spark, p, stub_detector_factory(), "1", V_POSE)
+    return read_layer(spark, p.gold_camera).drop("batch_id")
+
+
+def q_sample_seconds(spark, sf):
+    """Seconds of every sample since its trial's first."""
+    return round_doubles(G.rebase(_samples(spark, sf).select("trial_id", "ts_ms", "event_id"),
+                                  ["trial_id"], "ts_ms"))
+
+
+def q_rejected_lines(spark, sf):
+    """How many raw lines the parser drops, by reason."""
+    from ..sources.files import rejected_imu_lines
+    return (rejected_imu_lines(_lines(spark, sf)).groupBy("reason")
+            .agg(F.count(F.lit(1)).alias("n_lines")))
 
 
 def q_camera_layers(spark, sf):
@@ -426,10 +487,7 @@ def q_camera_layers(spark, sf):
     from ..operators.inference import detect_landmarks, stub_detector_factory
     from ..plans.layers import read_layer, run_layer
     from ..session import scratch_path
-    em = S.table(spark, sf, "embeddings")
-    text = F.concat_ws(",", F.transform("embedding", lambda x: x.cast("string")))
-    frames = em.select(F.col("label").cast("string").alias("trial_id"),
-                       F.col("vec_id").alias("frame_ts_ms"), F.encode(text, "UTF-8").alias("content"))
+    frames = S.embedding_images(spark, sf)
     bronze, silver, gold = (scratch_path(spark, n) for n in ("cam-bronze", "cam-silver", "cam-gold"))
 
     def to_gold(d):
@@ -443,7 +501,7 @@ def q_camera_layers(spark, sf):
                   order=["frame_ts_ms"])
         run_layer(spark, read_layer(spark, silver), to_gold, gold, batch_id=run,
                   order=["frame_ts_ms"])
-    return spark.read.parquet(gold).drop("batch_id")
+    return read_layer(spark, gold).drop("batch_id")
 
 
 def q_source_trials(spark, sf):
@@ -454,15 +512,8 @@ def q_source_trials(spark, sf):
 
 def _export_lines(spark, sf):
     from ..session import scratch_path
-    li = S.table(spark, sf, "lineitem")
-    last = F.when(F.col("l_linestatus") == "O", F.col("l_returnflag")) \
-            .otherwise(F.col("l_suppkey").cast("string"))
-    line = F.concat(F.concat_ws(",", *[F.col(c).cast("string") for c in
-                                      ("l_orderkey", "l_quantity", "l_discount", "l_tax",
-                                       "l_extendedprice", "l_partkey")], last),
-                    F.when(F.col("l_linenumber") == 7, F.lit(",0")).otherwise(F.lit("")))
     path = scratch_path(spark, "raw-lines")
-    li.select(line.alias("value")).write.text(path)
+    _lines(spark, sf).write.text(path)
     return path
 
 
@@ -535,4 +586,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_trials": q_source_trials,
     "stream_lines": q_stream_lines,
     "chunk_files": q_chunk_files,
+    "layer_reuse": q_layer_reuse,
+    "fusion_results": q_fusion_results,
+    "imu_chain": q_imu_chain,
+    "camera_chain": q_camera_chain,
+    "sample_seconds": q_sample_seconds,
+    "rejected_lines": q_rejected_lines,
 }

@@ -20,6 +20,7 @@ from ..operators.signals import magnitude
 from ..operators.trials import fuse, motion_metrics, trial_events
 from ..params import PoseParams, QualityParams, StepParams, TrialParams
 from ..sources.files import read_frames, read_imu_csv
+from ..session import cut
 from ..sources.tables import with_row_identity
 from .layers import StepResult, read_layer, run_layer
 
@@ -79,19 +80,16 @@ def camera_chain(spark: SparkSession, p: Paths, detector_factory: Callable[[], D
 def fusion(spark: SparkSession, p: Paths, batch_id: str | None = None,
            tp: TrialParams = TrialParams(), sp: StepParams = StepParams()) -> StepResult:
     """Gold camera flags + silver IMU -> one result row per new trial. Driven
-    by the camera table; trials with IMU only stay pending (no_camera)."""
+    by the camera table; trials with IMU only stay pending (no_camera). A
+    result is final, so nothing is written before both tables are there."""
     imu = read_layer(spark, p.silver_imu)
     cam = read_layer(spark, p.gold_camera)
-    if cam is None:
+    if cam is None or imu is None:
         return StepResult("missing_upstream")
 
     def to_results(frames: DataFrame) -> DataFrame:
-        ev = trial_events(frames.drop("batch_id"), tp)
-        if imu is None:  # no IMU table yet: metrics unknown
-            return ev.drop("t0_ms", "t1_ms", "t4_ms").select(
-                "*", F.lit(None).cast("double").alias("peak_standing_dps"),
-                F.lit(None).cast("int").alias("n_steps"),
-                F.lit(None).cast("double").alias("step_cv"))
+        # read for the events and again for the fused rows: one written copy
+        ev = cut(trial_events(frames.drop("batch_id"), tp), "events")
         samples = imu.select(
             "trial_id", F.col("host_timestamp_ms").alias("host_ts_ms"), "imu_timestamp_ms",
             magnitude("accel_x_g", "accel_y_g", "accel_z_g").alias("accel_mag"),

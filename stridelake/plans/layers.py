@@ -3,15 +3,21 @@
 A layer step reads its upstream, keeps only trials the target does not have
 yet (left anti join on the trial key), transforms, and appends. It is a
 no-op when the upstream table is missing or nothing is new, and safe to
-re-run: output goes to a ``batch_id`` partition written with dynamic
-partition overwrite, so repeating a batch replaces its own files instead of
-duplicating them. Rows inside a batch are clustered by (trial, time) so
-Parquet min/max statistics prune single-trial reads; no directory per trial.
+re-run: a run writes to a hidden staging folder and publishes it as a
+partition of its own (``batch_id``, ``run_id``) with one rename. Loaded trials
+are never touched, whatever batch id is used again, and a run that fails
+leaves nothing that readers see. Two runs at once on one target are not
+coordinated. Rows inside a run are clustered by (trial, time) so Parquet
+min/max statistics prune single-trial reads; no directory per trial.
+
+What is new is found on the key columns alone: the difference of the two key
+sets is written once, tested, and then picks the rows.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -19,9 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import path_exists
+from ..session import bounded, cut, move, path_exists
 
 BATCH = "batch_id"
+RUN = "run_id"
 WRITE_BUCKET_MS = 10 * 60 * 1000
 
 
@@ -41,7 +48,7 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = Non
             return None
         df = spark.createDataFrame([], schema)
     else:
-        df = spark.read.format(fmt).load(path)
+        df = spark.read.format(fmt).load(path).drop(RUN)
     return df.select(*columns) if columns else df
 
 
@@ -63,20 +70,30 @@ def run_layer(spark: SparkSession, upstream: DataFrame | None,
     if upstream is None:
         return StepResult("missing_upstream")
     done = loaded_keys(spark, target, key, fmt)
-    pending = upstream if done is None else upstream.join(done, key, "left_anti")
-    if pending.isEmpty():  # stops at the first row, not a full count
+    pending = upstream
+    if done is not None:
+        keys = cut(upstream.select(key).distinct().join(cut(done, "done"), key, "left_anti"),
+                   "new-keys")
+        if keys.isEmpty():
+            return StepResult("nothing_new")
+        pending = upstream.join(bounded(keys, keys.count()), key, "left_semi")
+    elif upstream.isEmpty():
         return StepResult("nothing_new")
-    out = transform(pending)
+    out = transform(pending).drop(BATCH, RUN)
     bid = batch_id or time.strftime("%Y%m%dT%H%M%S", time.gmtime())
-    out = out.withColumn(BATCH, F.lit(bid))
+    run = uuid.uuid4().hex
     if order:
         # files clustered by trial and time; hashing on (trial, time bucket)
         # splits one long trial over several tasks without a sampling pass
         bucket = F.floor(F.col(order[0]) / F.lit(WRITE_BUCKET_MS))
         out = out.repartition(key, bucket).sortWithinPartitions(key, *order)
-    (out.write.format(fmt).mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH).save(target))
+    if fmt == "parquet":
+        staged = f"{target}/_staging-{run}"
+        out.write.parquet(staged)
+        move(spark, staged, f"{target}/{BATCH}={bid}/{RUN}={run}")
+    else:  # a format with commits of its own
+        (out.withColumns({BATCH: F.lit(bid), RUN: F.lit(run)}).write.format(fmt).mode("append")
+            .partitionBy(BATCH, RUN).save(target))
     return StepResult("written", bid, observation.get if observation is not None else None)
 
 

@@ -241,11 +241,18 @@ def _angle(h: int, k: int, a: int) -> str:
             f"THEN degrees(acos({cosv})) END")
 
 
-POSE_V = f"""
+EMBEDDING_FRAMES = """
+frames AS (
+  SELECT label, vec_id * 4 + f AS vec_id,
+         list_transform(range(18), lambda k: embedding[(18 * f + k) % 64 + 1]) AS embedding
+  FROM embeddings, range(4) AS r(f)
+)"""
+
+POSE_V = EMBEDDING_FRAMES + f""",
 lmk AS (
   SELECT CAST(label AS VARCHAR) AS trial_id, vec_id AS frame_ts_ms,
          {", ".join(_lm(j) for j in range(6))}
-  FROM embeddings
+  FROM frames
 ),
 ang AS (
   SELECT *, {_angle(0, 2, 4)} AS angle_left, {_angle(1, 3, 5)} AS angle_right FROM lmk
@@ -307,7 +314,7 @@ SELECT trial_id, finished, frail, attempts, """ + _r(
 
 # -- keys and pending work --------------------------------------------------------
 DONE = """
-done AS (SELECT o_custkey AS trial_id FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-01')"""
+done AS (SELECT o_custkey AS trial_id FROM orders)"""
 
 SQL["new_trials"] = "WITH " + DONE + """
 SELECT c_custkey AS trial_id, c_name FROM customer c
@@ -331,8 +338,8 @@ SELECT page_id,
        lpad(CAST(page_id AS VARCHAR), 16, '0') AS padded_id
 FROM pages"""
 
-SQL["parse_lines"] = """
-WITH ln AS (
+LINES_L = """
+ln AS (
   SELECT concat_ws(',', CAST(l_orderkey AS VARCHAR), CAST(l_quantity AS VARCHAR),
                    CAST(l_discount AS VARCHAR), CAST(l_tax AS VARCHAR),
                    CAST(l_extendedprice AS VARCHAR), CAST(l_partkey AS VARCHAR),
@@ -341,7 +348,9 @@ WITH ln AS (
          || CASE WHEN l_linenumber = 7 THEN ',0' ELSE '' END AS line
   FROM lineitem
 ),
-pr AS (SELECT string_split(trim(line), ',') AS p FROM ln),
+pr AS (SELECT string_split(trim(line), ',') AS p FROM ln)"""
+
+SQL["parse_lines"] = "WITH " + LINES_L + """,
 ok AS (
   SELECT TRY_CAST(trim(p[1]) AS BIGINT) AS millis, TRY_CAST(trim(p[2]) AS DOUBLE) AS ax,
          TRY_CAST(trim(p[3]) AS DOUBLE) AS ay, TRY_CAST(trim(p[4]) AS DOUBLE) AS az,
@@ -353,6 +362,15 @@ SELECT millis, """ + _r(["ax", "ay", "az", "gx", "gy", "gz"]) + """ FROM ok
 WHERE millis IS NOT NULL AND ax IS NOT NULL AND ay IS NOT NULL AND az IS NOT NULL
   AND gx IS NOT NULL AND gy IS NOT NULL AND gz IS NOT NULL"""
 
+SQL["rejected_lines"] = "WITH " + LINES_L + """
+SELECT CASE WHEN len(p) <> 7 THEN 'fields' ELSE 'number' END AS reason, count(*) AS n_lines
+FROM pr
+WHERE len(p) <> 7 OR TRY_CAST(trim(p[1]) AS BIGINT) IS NULL OR TRY_CAST(trim(p[2]) AS DOUBLE) IS NULL
+   OR TRY_CAST(trim(p[3]) AS DOUBLE) IS NULL OR TRY_CAST(trim(p[4]) AS DOUBLE) IS NULL
+   OR TRY_CAST(trim(p[5]) AS DOUBLE) IS NULL OR TRY_CAST(trim(p[6]) AS DOUBLE) IS NULL
+   OR TRY_CAST(trim(p[7]) AS DOUBLE) IS NULL
+GROUP BY 1"""
+
 # -- reports ----------------------------------------------------------------------
 SQL["ranked_results"] = "WITH " + RESULTS_E + """
 SELECT trial_id, round(duration_s, 6) AS duration_s,
@@ -435,9 +453,13 @@ SQL["session_samples"] = """
 WITH e AS (SELECT user_id AS trial_id, epoch_us(ts) // 1000 AS ms, event_id, event_type FROM events),
 s AS (SELECT trial_id, event_id AS session_id, ms AS start_ms, ms + 21600000 AS end_ms
       FROM e WHERE event_type = 'signup'),
-x AS (SELECT trial_id, event_id AS sample_id, ms FROM e WHERE event_type <> 'signup')
-SELECT x.trial_id, s.session_id, x.sample_id
-FROM x JOIN s ON x.trial_id = s.trial_id AND x.ms >= s.start_ms AND x.ms < s.end_ms"""
+x AS (SELECT trial_id, event_id AS sample_id, ms FROM e WHERE event_type <> 'signup'),
+last AS (
+  SELECT x.trial_id, x.sample_id, x.ms, s.session_id, s.end_ms,
+         row_number() OVER (PARTITION BY x.sample_id
+                            ORDER BY s.start_ms DESC, s.session_id DESC) AS rn
+  FROM x JOIN s ON x.trial_id = s.trial_id AND x.ms >= s.start_ms)
+SELECT trial_id, session_id, sample_id FROM last WHERE rn = 1 AND ms < end_ms"""
 
 SQL["chunk_index"] = "WITH " + IMU_L + f"""
 SELECT {L_KEYS},
@@ -467,7 +489,8 @@ SELECT coalesce(f.trial_id, s.trial_id) AS trial_id, coalesce(n_frames, 0) AS n_
 FROM f FULL OUTER JOIN s ON f.trial_id = s.trial_id"""
 
 SQL["detect_landmarks"] = """
-WITH j AS (SELECT unnest(range(6)) AS j, label, vec_id, embedding FROM embeddings)
+""" + "WITH " + EMBEDDING_FRAMES + """,
+j AS (SELECT unnest(range(6)) AS j, label, vec_id, embedding FROM frames)
 SELECT CAST(label AS VARCHAR) AS trial_id, vec_id AS frame_ts_ms, CAST(23 + j AS BIGINT) AS landmark_id,
        round(embedding[3 * j + 1]::DOUBLE, 6) AS x, round(embedding[3 * j + 2]::DOUBLE, 6) AS y,
        round((abs(embedding[3 * j + 3]::DOUBLE) * 10.0)::FLOAT::DOUBLE, 6) AS visibility
@@ -506,3 +529,17 @@ SQL["chunk_files"] = """
 WITH n AS (SELECT CAST(l_suppkey AS VARCHAR) AS trial_id, count(*) AS n FROM lineitem GROUP BY 1),
 c AS (SELECT trial_id, n, unnest(range(0, CAST(ceil(n / 500.0) AS BIGINT))) AS k FROM n)
 SELECT trial_id, CASE WHEN (k + 1) * 500 <= n THEN 500 ELSE n - k * 500 END AS n_rows FROM c"""
+
+SQL["layer_reuse"] = "SELECT c_custkey AS trial_id, c_name, c_nationkey FROM customer"
+
+SQL["fusion_results"] = SQL["trial_results"]
+
+SQL["imu_chain"] = SQL["layer_silver"]
+
+SQL["camera_chain"] = SQL["camera_layers"]
+
+SQL["sample_seconds"] = """
+WITH e AS (SELECT user_id AS trial_id, epoch_us(ts) // 1000 AS ts_ms, event_id FROM events)
+SELECT trial_id, ts_ms, event_id,
+       round((ts_ms - min(ts_ms) OVER (PARTITION BY trial_id)) / 1000.0, 6) AS t_s
+FROM e"""

@@ -8,6 +8,8 @@ laptop) do we create one under the system temp dir.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,10 +37,8 @@ SESSION_CONF = {
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session (driver-owned)."""
     for k, v in SESSION_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):  # a static setting of a shared session stays
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: keep theirs
-            pass
     return spark
 
 
@@ -61,20 +61,24 @@ def get_session(app: str = "stridelake", master: str | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and stream state.
 
-    Read from ``spark.checkpoint.dir``; set a private one only when unset.
+    Read from ``spark.checkpoint.dir``. Only a local session, whose driver
+    and executors are one process, gets a private folder when it is unset; it
+    goes when the process ends. On a cluster an unset folder is an error: the
+    executors would not see what the driver or another executor wrote.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir() if hasattr(
             spark.sparkContext, "getCheckpointDir") else None
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="stridelake-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:
-        pass
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
@@ -95,6 +99,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder within one Hadoop filesystem."""
+    jvm = spark.sparkContext._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"can't rename {source} to {target}")
+
+
 def cut(df, name: str = "cut"):
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder
     and continue from the written copy: later uses read it instead of
@@ -120,6 +134,15 @@ def bounded(df, upper_rows: int, max_rows: int = BROADCAST_MAX_ROWS):
     return F.broadcast(df) if upper_rows <= max_rows else df
 
 
+def per_key(df, name: str = "per-key"):
+    """A per-key aggregate as the small side of a join: written once, then
+    broadcast if its counted rows allow. Otherwise both sides of the join have
+    a shuffle of their own, which AQE can split where a key is hot (it can't
+    where an aggregate stands directly under the join)."""
+    df = cut(df, name)
+    return bounded(df, df.count())
+
+
 class computed_once:
     """Keep ``df`` (memory, spilling to disk) only while a block of work
     that reads it several times runs, typically up to a lineage cut:

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalar import frame_file_name
+
 # Columns of an IMU CSV chunk, by position (the header text is not used).
 IMU_CSV_SCHEMA = T.StructType([
     T.StructField("host_timestamp_ms", T.DoubleType()),
@@ -59,6 +61,40 @@ def read_frames(spark: SparkSession, path: str) -> DataFrame:
     return frames_from_files(files)
 
 
+def write_frames(frames: DataFrame, path: str) -> None:
+    """(trial_id, frame_ts_ms, content) as one file per frame, named by its
+    time in a folder per trial (what ``read_frames`` reads). A file written
+    again by a repeated task is the same file."""
+    from pyarrow import fs
+
+    def run(batches):
+        store, top = fs.FileSystem.from_uri(path)
+        made = set()
+        for b in batches:
+            for r in b.to_pylist():
+                folder = f"{top}/{KEY}={r[KEY]}"
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(f"{folder}/{r['name']}") as f:
+                    f.write(r["content"])
+            yield b.select([KEY])
+    (frames.select(F.col(KEY).cast("string").alias(KEY), "content",
+                   frame_file_name(F.col("frame_ts_ms")).alias("name"))
+     .mapInArrow(run, f"{KEY} string").write.format("noop").mode("overwrite").save())
+
+
+def rejected_imu_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """(value, reason) of the lines that ``parse_imu_lines`` drops: ``fields``
+    (not seven) or ``number`` (a field is none)."""
+    d = lines.select(F.col(value).alias("value"), F.split(F.trim(F.col(value)), ",").alias("_p"))
+    number = F.trim(F.get("_p", 0)).try_cast("bigint").isNull() | F.exists(
+        F.slice("_p", 2, 6), lambda x: F.trim(x).try_cast("double").isNull())
+    reason = (F.when(F.coalesce(F.size("_p"), F.lit(0)) != 7, F.lit("fields"))
+               .when(number, F.lit("number")))
+    return d.select("value", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def parse_imu_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """Raw sensor lines ``millis,ax,ay,az,gx,gy,gz``: exactly seven fields,
     an integer and six numbers; other lines are dropped (SRC-7).

@@ -23,15 +23,15 @@ SEATED_TYPES = ("view", "click", "signup")
 PAST_VALUE = 28.0
 
 
-def event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(trial_id, frame_ts_ms, seated, past, event_id) from ``events``."""
+def event_frames(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
+    """(trial_id, frame_ts_ms, seated, past, event_id, *more) from ``events``."""
     ev = table(spark, sf_dir, "events")
     return ev.select(
         F.col("user_id").alias("trial_id"),
         epoch_ms("ts").alias("frame_ts_ms"),
         F.col("event_type").isin(*SEATED_TYPES).alias("seated"),
         (F.col("value") > F.lit(PAST_VALUE)).alias("past"),
-        "event_id")
+        "event_id", *more)
 
 
 def event_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,11 +68,34 @@ LINEITEM_TIEBREAK = ["imu_timestamp_ms", "l_linenumber", "l_partkey", "accel_x_g
 
 
 # -- mapping V: embeddings as pose landmarks ---------------------------------
+FRAME_VALUES = 18  # six landmarks of three values
+FRAMES_PER_VECTOR = 4
+
+
+def embedding_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(trial_id, frame_ts_ms, v): each embedding as four frames of 18 values
+    one after the other, which take every component; the last frame goes on
+    with the first components."""
+    em = table(spark, sf_dir, "embeddings")
+    whole = F.concat("embedding", F.slice("embedding", 1, FRAME_VALUES))
+    return em.select(F.col("label").cast("string").alias("trial_id"), "vec_id",
+                     whole.alias("v"), F.explode(F.array(*map(F.lit, range(FRAMES_PER_VECTOR))))
+                     .alias("f")).select(
+        "trial_id", (F.col("vec_id") * FRAMES_PER_VECTOR + F.col("f")).alias("frame_ts_ms"),
+        F.slice("v", F.col("f") * FRAME_VALUES + 1, F.lit(FRAME_VALUES)).alias("v"))
+
+
+def embedding_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same frames as bytes: their values as text."""
+    text = F.concat_ws(",", F.transform("v", lambda x: x.cast("string")))
+    return embedding_frames(spark, sf_dir).select("trial_id", "frame_ts_ms",
+                                                  F.encode(text, "UTF-8").alias("content"))
+
+
 def embedding_landmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(trial_id, frame_ts_ms, landmarks): landmark 23+j (j = 0..5) has
     x = v[3j+1], y = v[3j+2], visibility = |v[3j+3]| * 10 (1-based)."""
-    em = table(spark, sf_dir, "embeddings")
-    v = F.col("embedding")
+    v = F.col("v")
 
     def lm(j: int) -> Column:
         return F.struct(F.lit(23 + j).cast("long").alias("landmark_id"),
@@ -81,9 +104,8 @@ def embedding_landmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.abs(F.get(v, 3 * j + 2)) * F.lit(10.0)).cast("float").alias("visibility"),
                         F.lit(1.0).cast("float").alias("presence"))
 
-    return em.select(F.col("label").cast("string").alias("trial_id"),
-                     F.col("vec_id").alias("frame_ts_ms"),
-                     F.array(*[lm(j) for j in range(6)]).alias("landmarks"))
+    return embedding_frames(spark, sf_dir).select(
+        "trial_id", "frame_ts_ms", F.array(*[lm(j) for j in range(6)]).alias("landmarks"))
 
 
 def with_row_identity(df: DataFrame) -> DataFrame:

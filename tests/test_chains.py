@@ -2,12 +2,13 @@
 (FIXTURES B3 'complete' trial, B4 step times), re-run writes nothing."""
 
 import os
+from dataclasses import replace
 
 import pytest
 
 from stridelake.operators.inference import stub_detector_factory
 from stridelake.plans.chains import Paths, camera_chain, fusion, imu_chain
-from stridelake.plans.layers import read_layer, write_chunked_csv
+from stridelake.plans.layers import read_layer, run_layer, write_chunked_csv
 from stridelake.session import scratch_path
 
 T0 = 1_700_000_000_000
@@ -44,6 +45,17 @@ def test_chunked_source_files(paths):
     assert len(files) == 3  # 1400 rows in chunks of 500
 
 
+def test_fusion_waits_for_both_layers(spark, paths):
+    camera_only = replace(paths, silver_imu=scratch_path(spark, "none"),
+                          gold_camera=scratch_path(spark, "some-cam"),
+                          results=scratch_path(spark, "none-res"))
+    frames = spark.createDataFrame([("a", 1, True, False)],
+                                   "trial_id string, frame_ts_ms long, seated boolean, past boolean")
+    run_layer(spark, frames, lambda d: d, camera_only.gold_camera)
+    assert fusion(spark, camera_only).status == "missing_upstream"
+    assert read_layer(spark, camera_only.results) is None
+
+
 def test_chains_end_to_end(spark, paths):
     imu = imu_chain(spark, paths, "1")
     assert [r.status for r in imu] == ["written", "written"]

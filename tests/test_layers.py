@@ -153,3 +153,64 @@ def test_pending_report(spark):
     # nothing finished yet: everything from the sources is pending
     rep2 = pending_report(spark, {"camera": cam, "imu": imu}, scratch_path(spark, "none"))
     assert [r.trial_id for r in rep2.collect()] == ["a", "b", "c", "d"]
+
+
+def test_reused_batch_id_keeps_loaded_trials(spark):
+    tgt = scratch_path(spark, "reuse")
+    ab = spark.createDataFrame([("A", 1), ("B", 2)], "trial_id string, v int")
+    abc = ab.union(spark.createDataFrame([("C", 3)], "trial_id string, v int"))
+    assert run_layer(spark, ab, lambda d: d, tgt, batch_id="day1").status == "written"
+    assert run_layer(spark, abc, lambda d: d, tgt, batch_id="day1").status == "written"
+    assert run_layer(spark, abc, lambda d: d, tgt).status == "nothing_new"  # default id
+    got = sorted((r.trial_id, r.v, r.batch_id) for r in read_layer(spark, tgt).collect())
+    assert got == [("A", 1, "day1"), ("B", 2, "day1"), ("C", 3, "day1")]
+
+
+def test_two_runs_in_one_second(spark):
+    tgt = scratch_path(spark, "fast")
+    for k in "AB":
+        run_layer(spark, spark.createDataFrame([(k,)], "trial_id string"), lambda d: d, tgt)
+    assert sorted(r.trial_id for r in read_layer(spark, tgt).collect()) == ["A", "B"]
+
+
+def test_failed_run_leaves_nothing_visible(spark):
+    import pytest
+    tgt = scratch_path(spark, "failed")
+    one = spark.createDataFrame([("A", 1)], "trial_id string, v int")
+    run_layer(spark, one, lambda d: d, tgt, batch_id="x")
+    two = one.union(spark.createDataFrame([("B", 0)], "trial_id string, v int"))
+    with pytest.raises(Exception):
+        run_layer(spark, two, lambda d: d.withColumn("v", F.raise_error(F.lit("no"))), tgt,
+                  batch_id="x")
+    assert read_layer(spark, tgt).count() == 1
+    assert run_layer(spark, two, lambda d: d, tgt, batch_id="x").status == "written"
+    assert sorted(r.trial_id for r in read_layer(spark, tgt).collect()) == ["A", "B"]
+
+
+def test_new_rows_are_found_on_keys_alone(spark):
+    """The upstream's other columns are read once, for the write."""
+    from pyspark.sql import functions as G
+    tgt, src = scratch_path(spark, "keys"), scratch_path(spark, "keys-src")
+    spark.range(100).select(G.col("id").cast("string").alias("trial_id"),
+                            G.lit(b"x" * 100).alias("content")).write.parquet(src)
+    up = spark.read.parquet(src)
+    run_layer(spark, up.where("trial_id < '5'"), lambda d: d, tgt)
+    seen = []
+    run_layer(spark, up, lambda d: seen.append(
+        d._jdf.queryExecution().executedPlan().toString()) or d, tgt)
+    assert "LeftSemi" in seen[0] and "Exchange hashpartitioning" not in seen[0]
+    assert read_layer(spark, tgt).count() == 100
+
+
+def test_rejected_lines_and_frames(spark):
+    from stridelake.operators.inference import rejected_frames
+    from stridelake.sources.files import rejected_imu_lines
+    lines = ["100,0.1,0.2,0.3,1.0,2.0,3.0", "bad", "x,0.1,0.2,0.3,1,2,3", "1,2,3,4,5,6,z",
+             "1,2,3,4,5,6,7,8", "  5,1,1,1,1,1,1  ", None]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = {r.value: r.reason for r in rejected_imu_lines(df).collect()}
+    assert got == {"bad": "fields", "x,0.1,0.2,0.3,1,2,3": "number", "1,2,3,4,5,6,z": "number",
+                   "1,2,3,4,5,6,7,8": "fields", None: "fields"}
+    assert parse_imu_lines(df).count() + len(got) == len(lines)
+    f = spark.createDataFrame([("a", 1), ("b", None)], "trial_id string, frame_ts_ms long")
+    assert [(r.trial_id, r.reason) for r in rejected_frames(f).collect()] == [("b", "no_time")]

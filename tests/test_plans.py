@@ -14,8 +14,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["trial_events", "motion_metrics", "state_runs", "spaced_peaks",
-                                  "quality_tags", "dedup_flags", "state_fill",
+@pytest.mark.parametrize("name", ["trial_events", "state_runs", "quality_tags", "dedup_flags", "state_fill",
                                   "interpolate_marks", "session_samples", "chunk_index"])
 def test_no_python_no_single_partition(spark, name):
     plan = plan_of(C.QUERIES[name](spark, SF))
@@ -23,16 +22,20 @@ def test_no_python_no_single_partition(spark, name):
     assert "SinglePartition" not in plan
 
 
-def test_only_inference_uses_python(spark):
-    plan = plan_of(C.QUERIES["detect_landmarks"](spark, SF))
-    assert "MapInPandas" in plan
+def test_python_nodes(spark):
+    """The detector and the walks of greedy spacing; the latter in Arrow
+    batches, spread by (key, bucket)."""
+    assert "MapInPandas" in plan_of(C.QUERIES["detect_landmarks"](spark, SF))
+    plan = plan_of(C.QUERIES["spaced_peaks"](spark, SF))
+    assert "MapInArrow" in plan and "SinglePartition" not in plan
+    assert not any(n in plan for n in PY_NODES)
 
 
 def test_filter_and_columns_reach_the_scan(spark):
-    df = C.QUERIES["new_trials"](spark, SF)
+    df = C.QUERIES["session_samples"](spark, SF)
     txt = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in txt
-    assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in txt
+    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,signup)]" in txt
+    assert "value:double" not in txt  # a column of events that nothing here reads
 
 
 def test_duplicates_without_group_window(spark):

@@ -71,3 +71,20 @@ def test_range_frame_keeps_rows_without_time(spark):
     key = lambda r: (r.ts is not None, r.ts or 0, r.v)
     assert sorted(got.select("k", "ts", "v", "m", "n").collect(), key=key) == \
         sorted(ref.collect(), key=key)
+
+
+def test_scan_keeps_rows_without_time(spark):
+    df = spark.createDataFrame([("a", None, 1, 5), ("a", 3, 2, 1), ("a", 70, 3, None),
+                                ("b", None, 4, None), ("b", None, 5, 2)],
+                               "k string, ts long, id long, v long")
+    out = scan(df, ["k"], "ts", 10, tiebreak=["id"], cumsum=["v"], lag=["v"], ffill=["v"],
+               runs=["v"])
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    new = ~F.lag("v").over(w).eqNullSafe(F.col("v")) | (F.row_number().over(w) == 1)
+    ref = (df.withColumn("cum_v", F.coalesce(F.sum("v").over(upto), F.lit(0)))
+             .withColumn("prev_v", F.lag("v").over(w))
+             .withColumn("ffill_v", F.last("v", True).over(upto))
+             .withColumn("_n", new.cast("int")).withColumn("run_v", F.sum("_n").over(upto)))
+    cols = ["id", "cum_v", "prev_v", "ffill_v", "run_v"]
+    assert sorted(out.select(*cols).collect()) == sorted(ref.select(*cols).collect())
