@@ -110,7 +110,7 @@ class Trees:
     def text_bits(self, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Code length of each text by language; texts back to back."""
         out = np.zeros((len(off) - 1, len(self.langs)))
-        for i, j in slices(off):
+        for i, j in slices(off, SLICE_BYTES):
             lo, hi = int(off[i]), int(off[j])
             for a in range(lo, hi, 2 * SLICE_BYTES):  # more than once only in one long text
                 b = min(hi, a + 2 * SLICE_BYTES)
@@ -148,7 +148,7 @@ def train(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG, order: int = ORDE
         raw, off = _folded(b.column("text"))
         lang, kinds = pd.factorize(b.column("lang").to_pandas())
         out = {"lang": [], "gram": [], "n": []}
-        for i, j in slices(off):
+        for i, j in slices(off, SLICE_BYTES):
             g = _slice_codes(raw[off[i]:off[j]], off[i:j + 1] - off[i], order)
             of = np.repeat(lang[i:j], np.diff(off[i:j + 1]))
             for x, name in enumerate(kinds):

@@ -1,0 +1,89 @@
+import hashlib
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stridelake.llm import op10_fingerprints as P
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def jaccard(a, b):
+    a, b = Counter(WORD.findall(a)), Counter(WORD.findall(b))
+    return sum((a & b).values()) / (sum((a | b).values()) or 1) if a or b else 1.0
+
+
+def edit(a, b):
+    h = len(a) // 2
+    return a[:len(a) - h] + b[:h]
+
+
+@pytest.mark.parametrize("blocks", [2000, 7])
+def test_against_plain_python(sample, monkeypatch, blocks):
+    monkeypatch.setattr(P, "ROWS_PER_BLOCK", blocks)
+    rows = sorted(((r.doc_id, r.text) for r in sample.collect()), reverse=True)
+    got = {r.doc_id: r for r in P.document_fingerprints(sample).collect()}
+    assert len(got) == len(rows)
+    off = []
+    for (i, t), (_, nxt) in zip(rows, rows[1:] + rows[:1]):
+        r, e = got[i], edit(t, nxt)
+        assert r.n_chars == len(t)
+        assert r.edited_sha256 == hashlib.sha256(e.encode()).hexdigest()
+        off += [(r.near_edited - jaccard(t, e), r.near_next - jaccard(t, nxt))]
+    off = np.array(off)
+    assert abs(off.mean(axis=0)).max() < 0.03 and off.std(axis=0).max() < 0.5 / 32 ** 0.5
+
+
+def test_odd_rows(odd, rows):
+    got = P.document_fingerprints(odd).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in rows)
+    by_text = {}
+    for r in got:
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        assert (r.fingerprint == r.edited_fingerprint) <= (r.near_edited == 1)
+        by_text.setdefault(r.n_chars, set()).add(r.fingerprint)
+    one = {r.doc_id: r for r in got if r.doc_id not in (None, 13)}
+    assert one[10].fingerprint == one[11].fingerprint != one[12].fingerprint
+    assert one[0].fingerprint == one[1].fingerprint == one[2].fingerprint == ""
+    # a row's next: 1 and 0 are both without words
+    assert one[1].near_next == 1.0 and one[3].near_next == 0.0
+    # after the last (null ids) comes the first
+    first = next(r for r in rows if r[0] == 139)[1]
+    last = [r for r in got if r.doc_id is None]
+    texts = [r[1] or "" for r in rows if r[0] is None]
+    shas = {hashlib.sha256(edit(t, n).encode()).hexdigest() for t in texts for n in [*texts, first]}
+    assert {r.edited_sha256 for r in last} <= shas
+    assert any(r.edited_sha256 == hashlib.sha256(edit(t, first).encode()).hexdigest()
+               for r in last for t in texts)
+
+
+def test_collision_rate_is_the_generalised_jaccard(spark):
+    """Many samples: the estimate closes in on the weighted similarity."""
+    a = "x x x x y y z w v u " * 3
+    b = "x x y y y y z t s u " * 3
+    df = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    n = 90
+    f = {r.doc_id: r.fingerprint for r in P.fingerprints(df, ["doc_id"], n).collect()}
+    pair = spark.createDataFrame([(f[1], f[2])], "a string, b string")
+    est = pair.select(P.likeness("a", "b", n)).first()[0]
+    assert est == pytest.approx(jaccard(a, b), abs=0.16)
+    same = spark.createDataFrame([(1, "p q q"), (2, "q p q"), (3, "q p\tq\n")],
+                                 "doc_id long, text string")
+    assert len({r.fingerprint for r in P.fingerprints(same, ["doc_id"]).collect()}) == 1
+
+
+def test_native_and_one_text_shuffle(sample, plan):
+    rows = P.with_next(sample).select("doc_id", "text")
+    text = plan(P.fingerprints(rows, ["doc_id"]))
+    assert "Python" not in text and "Arrow" not in text
+
+
+def test_hot_doc_id_and_empty_table(spark, none):
+    df = spark.range(300).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id"))
+                                 .cast("long").alias("doc_id"),
+                                 F.concat(F.lit("text "), (F.col("id") % 11)).alias("text"))
+    assert P.document_fingerprints(df).count() == 300
+    assert P.document_fingerprints(none).count() == 0

@@ -1,0 +1,82 @@
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from stridelake.llm import op6_quality_rules as R
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    w = WORD.findall(text)
+    tri = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+    n = Counter(tri)
+    covered = {i + k for i, t in enumerate(tri) if n[t] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    s = {"n_words": len(w), "word_chars": sum(map(len, w)),
+         "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+         "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered),
+         "n_lines": len(lines), "n_bangs": text.count("!")}
+    base = s["n_words"] < 50 or 100 * s["n_repeat_words"] > 50 * s["n_words"]
+    kept = not (base or any(eval(r.rejects, {}, s) for r in R.RULES))
+    return s, base, kept
+
+
+@pytest.mark.parametrize("which", ["odd", "sample"])
+def test_against_brute_force(request, which):
+    df = request.getfixturevalue(which)
+    out = R.quality_rules(df)
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    got = sorted(((r.doc_id, *(r[n] for n in names), r.base_failed, r.kept)
+                  for r in out.collect()), key=str)
+    exp = []
+    for r in df.collect():
+        s, base, kept = brute(r.text)
+        exp.append((r.doc_id, *(s[n] for n in names), base, kept))
+    assert got == sorted(exp, key=str)
+
+
+def test_order_does_not_change_the_verdict(odd):
+    a = R.cascade(odd, R.RULES).select("doc_id", "n_words", "kept").collect()
+    b = R.cascade(odd, R.RULES[::-1]).select("doc_id", "n_words", "kept").collect()
+    assert sorted((r.doc_id, r.kept) for r in a if r.doc_id is not None) == \
+        sorted((r.doc_id, r.kept) for r in b if r.doc_id is not None)
+
+
+def test_rules_are_ranked_by_rejections_per_cost(sample):
+    got = R.rank_rules(sample, R.RULES)
+    worth = [x["selectivity"] / x["cost"] for x in got]
+    assert worth == sorted(worth, reverse=True) and len(got) == len(R.RULES)
+
+
+def test_short_circuit(sample, monkeypatch):
+    """Statistics of later rules stay unknown for rejected documents."""
+    rules = [R.Rule("short", ("n_words",), "n_words < 200"), R.RULES[2]]
+    monkeypatch.setattr(R, "rank_rules", lambda d, r, n: [{"rule": x} for x in r])
+    out = R.cascade(sample, rules)
+    assert out.where("n_words < 200 and n_symbols is not null").count() == 0
+    assert out.where("n_words >= 200 and n_symbols is null").count() == 0
+    assert out.where("n_words < 200 and rejected_by <> 'short'").count() == 0
+    whole = R.cascade(sample, rules, complete=True)
+    assert whole.where("n_symbols is null").count() == 0
+    assert sorted(r.doc_id for r in whole.where("kept").collect()) == \
+        sorted(r.doc_id for r in out.where("kept").collect())
+
+
+def test_native(sample, plan):
+    text = plan(R.quality_rules(sample))
+    assert "Python" not in text and "Arrow" not in text and "Exchange" not in text
+
+
+def test_a_long_text(spark):
+    words = " ".join(f"w{i % 50_000}" for i in range(120_000))
+    r = R.quality_rules(spark.createDataFrame([(1, words)], "doc_id long, text string")).first()
+    assert (r.n_words, r.n_repeat_words, r.base_failed) == (120_000, 120_000, True)
+
+
+def test_empty_table(none):
+    assert R.quality_rules(none).count() == 0
+    assert R.quality_rules(none.withColumn("n_words", F.lit(1))).count() == 0

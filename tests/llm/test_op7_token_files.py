@@ -1,0 +1,73 @@
+import zlib
+
+import numpy as np
+import pytest
+from pyarrow import fs
+from tokenizers import Tokenizer
+
+from stridelake.llm import op7_token_files as T
+from stridelake.llm.common import vocabulary
+from stridelake.session import scratch_path
+
+PATH = vocabulary("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def expected(rows, library):
+    """(n_tokens, crc) of each doc_id's documents, in ascending order."""
+    out = []
+    for who, text in rows:
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, T.END_ID], "<u4")
+        out.append((who, len(ids), zlib.crc32(ids.tobytes())))
+    return out
+
+
+@pytest.mark.parametrize("which", ["odd", "sample"])
+def test_read_back(request, which, library):
+    df = request.getfixturevalue(which)
+    got = T.token_files(df).collect()
+    exp = expected([(r.doc_id, r.text) for r in df.collect()], library)
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=str) == \
+        sorted(exp, key=str)
+    at, last = 0, -1
+    for r in sorted(got, key=lambda r: r.start):  # ascending ids, gapless starts
+        who = -1 if r.doc_id is None else r.doc_id
+        assert r.start == at and who >= last
+        at, last = at + r.n_tokens, who
+
+
+def test_single_documents_by_position(spark, sample, library):
+    path = scratch_path(spark, "files-test")
+    files = T.write(sample, path, file_bytes=20_000).collect()
+    assert len(files) > 4 and sum(f.docs for f in files) == sample.count()
+    store, top = fs.FileSystem.from_uri(path)
+    words = store.open_input_file(f"{top}/{files[0].dictionary}.dict").read()
+    assert len(words) > 0
+    texts = {r.doc_id: r.text for r in sample.collect()}
+    for f in files[:3]:
+        r = T.Reader(store.open_input_file(f"{top}/{f.name}"), words)
+        k = len(r) // 2
+        assert r.ids(k).tolist() == [*library.encode(texts[r.doc_ids[k]],
+                                                     add_special_tokens=False).ids, T.END_ID]
+        assert int(r.counts[k]) == len(r.ids(k))
+        with pytest.raises(ValueError, match="dictionary"):
+            T.Reader(store.open_input_file(f"{top}/{f.name}"), b"other")
+    raw = sum(2 * (f.tokens) for f in files)
+    assert sum(f.bytes for f in files) < 0.9 * raw  # it compresses
+
+
+def test_orphans_of_lost_tasks_are_not_read(spark, sample):
+    path = scratch_path(spark, "files-orphan")
+    manifest = T.write(sample, path)
+    store, top = fs.FileSystem.from_uri(path)
+    with store.open_output_stream(f"{top}/000000-000000-lost.tok") as f:
+        f.write(b"half a file")
+    assert T.read(manifest, path).count() == sample.count()
+
+
+def test_empty_table(none):
+    assert T.token_files(none).count() == 0
