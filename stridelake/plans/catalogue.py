@@ -197,8 +197,9 @@ def q_trial_results(spark, sf):
 
 # -- incremental keys and pending work ---------------------------------------
 def _done(spark, sf):
-    """Customers with an order stand for finished trials."""
-    return S.table(spark, sf, "orders").select(F.col("o_custkey").alias("trial_id"))
+    """Customers with a finished order stand for finished trials."""
+    return (S.table(spark, sf, "orders").where("o_orderstatus = 'F'")
+            .select(F.col("o_custkey").alias("trial_id")))
 
 
 def q_new_trials(spark, sf):
@@ -375,6 +376,19 @@ def q_stream_rate(spark, sf):
     return r.select("trial_id", F.unix_millis("window_start").alias("window_start_ms"), "n_rows")
 
 
+def q_stream_rate_all(spark, sf):
+    """The same counts with the windows that are still open."""
+    from ..session import scratch_path
+    from ..streaming.ingest import rate_per_window, run_updates
+    src = _export_events_csv(spark, sf)
+    st = (spark.readStream.schema(EV_CSV_SCHEMA).option("header", True).csv(src)
+          .withColumn("ts", F.timestamp_millis("ms")))
+    r = run_updates(rate_per_window(st, "trial_id", "ts", "1 hour", "1 hour"),
+                    scratch_path(spark, "rate-sink"), scratch_path(spark, "rate-ckpt"),
+                    ["trial_id", "window_start"])
+    return r.select("trial_id", F.unix_millis("window_start").alias("window_start_ms"), "n_rows")
+
+
 def q_layer_silver(spark, sf):
     """Bronze -> silver run twice over IMU CSV files exported from lineitem;
     the second run finds nothing new. Returns the silver table."""
@@ -586,6 +600,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_trials": q_source_trials,
     "stream_lines": q_stream_lines,
     "chunk_files": q_chunk_files,
+    "stream_rate_all": q_stream_rate_all,
     "layer_reuse": q_layer_reuse,
     "fusion_results": q_fusion_results,
     "imu_chain": q_imu_chain,

@@ -314,7 +314,7 @@ SELECT trial_id, finished, frail, attempts, """ + _r(
 
 # -- keys and pending work --------------------------------------------------------
 DONE = """
-done AS (SELECT o_custkey AS trial_id FROM orders)"""
+done AS (SELECT o_custkey AS trial_id FROM orders WHERE o_orderstatus = 'F')"""
 
 SQL["new_trials"] = "WITH " + DONE + """
 SELECT c_custkey AS trial_id, c_name FROM customer c
@@ -543,3 +543,7 @@ WITH e AS (SELECT user_id AS trial_id, epoch_us(ts) // 1000 AS ts_ms, event_id F
 SELECT trial_id, ts_ms, event_id,
        round((ts_ms - min(ts_ms) OVER (PARTITION BY trial_id)) / 1000.0, 6) AS t_s
 FROM e"""
+
+SQL["stream_rate_all"] = """
+WITH e AS (SELECT CAST(user_id AS VARCHAR) AS trial_id, epoch_us(ts) // 1000 AS ms FROM events)
+SELECT trial_id, ms - (ms % 3600000) AS window_start_ms, count(*) AS n_rows FROM e GROUP BY 1, 2"""

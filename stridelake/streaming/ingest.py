@@ -6,7 +6,8 @@ batch step, a late file of an already loaded trial is picked up.
 ``rate_per_window``: per-trial sample counts per event-time window with a
 watermark, in append mode (a window is emitted once the watermark passes
 its end; windows still open at the end of the input stay pending).
-Both run with ``trigger(availableNow=True)``, i.e. as re-runnable batch jobs.
+``run_updates``: the same counts in update mode, open windows included.
+All run with ``trigger(availableNow=True)``, i.e. as re-runnable batch jobs.
 """
 
 from __future__ import annotations
@@ -28,6 +29,24 @@ def run_available(df: DataFrame, sink_path: str, checkpoint: str, mode: str = "a
         raise RuntimeError(str(q.exception()))
 
 
+def run_updates(df: DataFrame, sink_path: str, checkpoint: str, keys: list[str]) -> DataFrame:
+    """Update mode: each micro-batch's changed rows go to a folder of its own
+    (a batch done again replaces it); returns the latest row of each key, open
+    windows included."""
+    def keep(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{sink_path}/batch={batch}")
+
+    q = (df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(keep).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    rest = [c for c in df.columns if c not in keys]
+    rows = df.sparkSession.read.parquet(sink_path)
+    return (rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("batch").cast("long"))
+                                    .alias("_r")).select(*keys, "_r.*"))
+
+
 def ingest_files(spark: SparkSession, source: str, schema: T.StructType, sink: str,
                  checkpoint: str, fmt: str = "csv", header: bool = True,
                  max_files_per_trigger: int | None = None) -> DataFrame:
