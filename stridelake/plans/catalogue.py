@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import epoch_ms, zero_pad
+from ..functions.scalar import epoch_ms, seconds_to_ms, zero_pad
 from ..operators import quality as Q
 from ..operators import relations as R
 from ..operators import signals as G
@@ -23,6 +23,7 @@ from ..operators import trials as T
 from ..operators.pose import pose_features
 from ..operators.sequence import scan
 from ..params import PoseParams, StepParams, TrialParams
+from ..session import cut
 from ..sources import tables as S
 from . import reports as P
 
@@ -187,7 +188,7 @@ def q_motion_metrics(spark, sf):
 
 
 def results_of(spark, sf):
-    ev = events_of(spark, sf)
+    ev = cut(events_of(spark, sf), "events")  # for the metrics' bounds and the fused rows
     return T.fuse(ev, _metrics(spark, sf, ev)), ev
 
 
@@ -482,9 +483,11 @@ def q_camera_chain(spark, sf):
 
 
 def q_sample_seconds(spark, sf):
-    """Seconds of every sample since its trial's first."""
-    return round_doubles(G.rebase(_samples(spark, sf).select("trial_id", "ts_ms", "event_id"),
-                                  ["trial_id"], "ts_ms"))
+    """Seconds of every sample since its trial's first, and those as whole
+    milliseconds."""
+    d = G.rebase(_samples(spark, sf).select("trial_id", "ts_ms", "event_id"), ["trial_id"],
+                 "ts_ms")
+    return round_doubles(d.withColumn("t_ms", seconds_to_ms("t_s")))
 
 
 def q_rejected_lines(spark, sf):

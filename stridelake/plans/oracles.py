@@ -541,7 +541,9 @@ SQL["camera_chain"] = SQL["camera_layers"]
 SQL["sample_seconds"] = """
 WITH e AS (SELECT user_id AS trial_id, epoch_us(ts) // 1000 AS ts_ms, event_id FROM events)
 SELECT trial_id, ts_ms, event_id,
-       round((ts_ms - min(ts_ms) OVER (PARTITION BY trial_id)) / 1000.0, 6) AS t_s
+       round((ts_ms - min(ts_ms) OVER (PARTITION BY trial_id)) / 1000.0::DOUBLE, 6) AS t_s,
+       CAST(floor((ts_ms - min(ts_ms) OVER (PARTITION BY trial_id)) / 1000.0::DOUBLE
+                  * 1000.0::DOUBLE) AS BIGINT) AS t_ms
 FROM e"""
 
 SQL["stream_rate_all"] = """
