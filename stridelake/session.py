@@ -31,6 +31,10 @@ SESSION_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Batches to Python tasks by rows and bytes, so that a worker's memory
+    # does not follow the length of the texts.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
 
