@@ -297,6 +297,9 @@ def q_session_samples(spark, sf):
 
 
 L_BUCKET = 180 * DAY_MS
+#: Orders rows of one host time; equal in all of them, rows are interchangeable.
+L_VALUES = ["imu_timestamp_ms", "accel_x_g", "accel_y_g", "accel_z_g", "gyro_x_dps", "gyro_y_dps",
+            "gyro_z_dps"]
 
 
 def q_chunk_index(spark, sf):
@@ -549,16 +552,20 @@ def q_stream_lines(spark, sf):
 
 def q_chunk_files(spark, sf):
     """IMU rows written as CSV chunks of 500 rows per trial folder; returns
-    the row count of every written file."""
+    the name and sums over the contents of every written file."""
     from ..plans.layers import write_chunked_csv
+    from ..sources.files import read_imu_csv
     from ..session import scratch_path
     path = scratch_path(spark, "imu-chunks")
     write_chunked_csv(S.lineitem_imu(spark, sf).select(
         "trial_id", "host_timestamp_ms", "imu_timestamp_ms", "accel_x_g", "accel_y_g",
-        "accel_z_g", "gyro_x_dps", "gyro_y_dps", "gyro_z_dps"), path, bucket_ms=L_BUCKET)
-    files = spark.read.option("header", True).csv(path).select(
-        "trial_id", F.col("_metadata.file_path").alias("f"))
-    return files.groupBy("trial_id", "f").agg(F.count(F.lit(1)).alias("n_rows")).drop("f")
+        "accel_z_g", "gyro_x_dps", "gyro_y_dps", "gyro_z_dps"), path, bucket_ms=L_BUCKET,
+        tiebreak=L_VALUES)
+    rows = read_imu_csv(spark, path).withColumn("file_name", F.col("_metadata.file_name"))
+    return round_doubles(rows.groupBy("trial_id", "file_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("host_timestamp_ms").alias("first_ms"),
+        F.max("host_timestamp_ms").alias("last_ms"), F.sum("imu_timestamp_ms").alias("sum_imu_ms"),
+        F.sum("gyro_z_dps").alias("sum_gyro_z")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

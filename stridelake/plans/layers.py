@@ -18,13 +18,14 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalar import chunk_file_name
 from ..session import bounded, cut, move, path_exists
 
 BATCH = "batch_id"
@@ -109,15 +110,32 @@ def pending_report(spark: SparkSession, sources: dict[str, DataFrame], done_path
 
 def write_chunked_csv(df: DataFrame, path: str, key: str = "trial_id",
                       ts: str = "host_timestamp_ms", rows_per_file: int = 500,
-                      bucket_ms: int = 10 * 60 * 1000) -> None:
+                      bucket_ms: int = 10 * 60 * 1000, tiebreak: Sequence[str] = ()) -> None:
     """IMU samples as CSV files of ``rows_per_file`` rows per trial folder,
-    in time order (SNK-4). Chunk numbers come from the bucketed running
-    count, and files are written by (trial, chunk) tasks, so a very long
-    trial is written by many tasks."""
+    in time order (SNK-4), named by the chunk's first time and number (from 0).
+    Chunk numbers come from the bucketed running count, and files are written
+    by (trial, chunk) tasks, so a very long trial is written by many tasks. A
+    file written again by a repeated task is the same file."""
+    from ..operators.greedy import whole_groups
     from ..operators.sequence import scan
-    c = scan(df.withColumn("_one", F.lit(1).cast("long")), [key], ts, bucket_ms, cumsum=["_one"])
+    columns = [c for c in df.columns if c != key]
+    c = scan(df.withColumn("_one", F.lit(1).cast("long")), [key], ts, bucket_ms,
+             tiebreak=tiebreak, cumsum=["_one"])
     c = c.withColumn("_chunk", F.floor((F.col("cum__one") - 1) / F.lit(rows_per_file)))
-    (c.repartition(key, "_chunk").sortWithinPartitions(key, "_chunk", ts)
-      .drop("_one", "cum__one", "_chunk")
-      .write.mode("append").option("header", True)
-      .option("maxRecordsPerFile", rows_per_file).partitionBy(key).csv(path))
+    c = (c.withColumn("_g", F.xxhash64(key, "_chunk")).repartition(key, "_chunk")
+         .sortWithinPartitions(key, "_chunk", "cum__one")
+         .withColumn("_name", chunk_file_name(F.coalesce(F.col(ts).cast("bigint"), F.lit(0)),
+                                              "_chunk"))
+         .select(F.col(key).cast("string").alias(key), *columns, "_g", "_name"))
+
+    def write(batches):
+        from pyarrow import csv, fs
+        store, top = fs.FileSystem.from_uri(path)
+        for t, cuts in whole_groups(batches):
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                folder = f"{top}/{key}={t.column(key)[int(a)].as_py()}"
+                store.create_dir(folder, recursive=True)
+                with store.open_output_stream(f"{folder}/{t.column('_name')[int(a)].as_py()}") as f:
+                    csv.write_csv(t.select(columns).slice(a, b - a), f)
+            yield from t.select([key]).to_batches()
+    c.mapInArrow(write, f"{key} string").write.format("noop").mode("overwrite").save()

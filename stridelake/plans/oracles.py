@@ -525,10 +525,17 @@ SELECT DISTINCT CAST(user_id AS VARCHAR) AS trial_id FROM events"""
 
 SQL["stream_lines"] = SQL["parse_lines"]
 
-SQL["chunk_files"] = """
-WITH n AS (SELECT CAST(l_suppkey AS VARCHAR) AS trial_id, count(*) AS n FROM lineitem GROUP BY 1),
-c AS (SELECT trial_id, n, unnest(range(0, CAST(ceil(n / 500.0) AS BIGINT))) AS k FROM n)
-SELECT trial_id, CASE WHEN (k + 1) * 500 <= n THEN 500 ELSE n - k * 500 END AS n_rows FROM c"""
+SQL["chunk_files"] = "WITH " + IMU_L + """,
+n AS (SELECT *, (row_number() OVER (PARTITION BY trial_id ORDER BY host_timestamp_ms NULLS FIRST,
+        imu_timestamp_ms NULLS FIRST, accel_x_g NULLS FIRST, accel_y_g NULLS FIRST,
+        accel_z_g NULLS FIRST, gyro_x_dps NULLS FIRST, gyro_y_dps NULLS FIRST,
+        gyro_z_dps NULLS FIRST) - 1) // 500 AS k
+      FROM imu)
+SELECT trial_id, 'imu_' || lpad(CAST(CAST(min(host_timestamp_ms) AS BIGINT) AS VARCHAR), 16, '0')
+         || '_chunk' || lpad(CAST(k AS VARCHAR), 4, '0') || '.csv' AS file_name,
+       count(*) AS n_rows, min(host_timestamp_ms) AS first_ms, max(host_timestamp_ms) AS last_ms,
+       CAST(sum(imu_timestamp_ms) AS BIGINT) AS sum_imu_ms, round(sum(gyro_z_dps), 6) AS sum_gyro_z
+FROM n GROUP BY trial_id, k"""
 
 SQL["layer_reuse"] = "SELECT c_custkey AS trial_id, c_name, c_nationkey FROM customer"
 
