@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import chunk_file_name
-from ..session import bounded, cut, move, path_exists
+from ..session import bounded, cut, full_uri, move, path_exists
 
 BATCH = "batch_id"
 RUN = "run_id"
@@ -118,6 +118,7 @@ def write_chunked_csv(df: DataFrame, path: str, key: str = "trial_id",
     file written again by a repeated task is the same file."""
     from ..operators.greedy import whole_groups
     from ..operators.sequence import scan
+    path = full_uri(df.sparkSession, path)
     columns = [c for c in df.columns if c != key]
     c = scan(df.withColumn("_one", F.lit(1).cast("long")), [key], ts, bucket_ms,
              tiebreak=tiebreak, cumsum=["_one"])

@@ -103,6 +103,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def full_uri(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority, as Hadoop resolves it: Python tasks
+    that open it themselves then reach the same store, not a local disk."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    uri = fs.makeQualified(p).toString()
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and \
+        not uri.startswith("file://") else uri
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Renames a folder within one Hadoop filesystem."""
     jvm = spark.sparkContext._jvm

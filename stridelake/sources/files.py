@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import frame_file_name
+from ..session import full_uri
 
 # Columns of an IMU CSV chunk, by position (the header text is not used).
 IMU_CSV_SCHEMA = T.StructType([
@@ -66,6 +67,7 @@ def write_frames(frames: DataFrame, path: str) -> None:
     time in a folder per trial (what ``read_frames`` reads). A file written
     again by a repeated task is the same file."""
     from pyarrow import fs
+    path = full_uri(frames.sparkSession, path)
 
     def run(batches):
         store, top = fs.FileSystem.from_uri(path)
