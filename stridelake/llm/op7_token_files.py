@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut, scratch_path
+from ..session import cut, full_uri, scratch_path
 from .common import arrow_out, bounded_sample, byte_bpe, vocabulary
 
 END_ID = 2
@@ -138,6 +138,7 @@ def write(docs: DataFrame, path: str, vocab: str | None = None, end_id: int = EN
     returns their manifest: part, file (their order), name, docs, tokens,
     bytes, dictionary (hash)."""
     vocab = vocab or vocabulary("byte_bpe_50k.json")
+    path = full_uri(docs.sparkSession, path)
     dictionary = train_dictionary(docs, vocab)
     name = hashlib.sha256(dictionary).hexdigest()
     store, top = _open(path)
@@ -182,6 +183,7 @@ def write(docs: DataFrame, path: str, vocab: str | None = None, end_id: int = EN
 
 def read(manifest: DataFrame, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document of the files."""
+    path = full_uri(manifest.sparkSession, path)
     ahead = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.select("name", "dictionary", F.coalesce(  # a row for each file
         F.sum("tokens").over(ahead), F.lit(0)).alias("base"))
