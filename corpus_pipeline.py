@@ -28,25 +28,28 @@ from stridelake.llm.op3_quality import fit, labels_table
 from stridelake.llm.op5_packing import pack
 from stridelake.llm.op8_language import UND, train
 from stridelake.llm.op8_language import classify as classify_language
-from stridelake.session import bounded, cut
+from stridelake.session import bounded, configure, cut
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text has a language."""
+    configure(spark)
     return classify_language(docs, train(docs), COLUMNS).where(
         F.col("lang_pred") != UND).select(*COLUMNS)
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier predicts as label 1."""
+    configure(spark)
     return classify_quality(docs, fit(docs, labels_table(spark, sf_dir)), COLUMNS).where(
         F.col("predicted") == 1).select(*COLUMNS)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates, and all other rows."""
+    configure(spark)
     docs = docs.select(*COLUMNS, F.xxhash64("text").alias("text_hash"))
     me = ["doc_id", "text_hash"]
     linked = cut(jaccard_join(docs, keep=me).where("n_links > 0"), "pipeline-linked")
@@ -70,6 +73,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a packed sequence."""
+    configure(spark)
     return pack(docs)
 
 

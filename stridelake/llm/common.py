@@ -17,7 +17,7 @@ IS_SPACE[list(SPACE_BYTES)] = True
 
 #: Text bytes handled at once by the numpy routines (a longer single text
 #: makes a slice of its own).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
