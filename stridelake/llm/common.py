@@ -3,6 +3,7 @@ routines over Arrow string buffers (words, word hashes, byte slices)."""
 
 from __future__ import annotations
 
+import ctypes
 import functools
 
 import numpy as np
@@ -111,19 +112,43 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix64((sums[ends] - sums[starts]) * down[starts])
 
 
-def arrow_out(fn, df: DataFrame, schema: str) -> DataFrame:
-    """``mapInArrow`` where ``fn`` maps one record batch to columns (a dict)
-    or to None; the output schema is declared once, as Spark DDL."""
+def give_back() -> None:
+    """Returns freed memory to the system: a Python worker outlives its task
+    and would keep it beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def larger(batches, rows: int, size: int = 32 << 20):
+    """Record batches put together to at least so many rows or bytes."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= rows or sum(x.nbytes for x in held) >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def arrow_out(fn, df: DataFrame, schema: str, rows: int = 0) -> DataFrame:
+    """``mapInArrow`` where ``fn`` maps one record batch (of at least ``rows``
+    rows, where there are) to columns (a dict) or to None; the output schema is
+    declared once, as Spark DDL."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
     kind = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches):
-        for b in batches:
+        for b in larger(batches, rows) if rows else batches:
             if b.num_rows and (out := fn(b)) is not None:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[f.name], type=f.type) if not isinstance(out[f.name], pa.Array)
                      else out[f.name].cast(f.type) for f in kind], schema=kind)
+        give_back()
     return df.mapInArrow(run, schema)
 
 

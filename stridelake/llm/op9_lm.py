@@ -32,24 +32,28 @@ from __future__ import annotations
 import functools
 import math
 from collections import Counter
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .common import arrow_out, held_out, mix64, vocabulary
+from .common import arrow_out, held_out, larger, mix64, vocabulary
 
 ROUNDS = 2
 COMMON = 200_000
 #: Distinct words a task counts before it passes them on.
 FLUSH = 400_000
 SMOOTH = 0.01
+#: Distinct words worked out together.
+WORD_ROWS = 100_000
 #: Words up to this many bytes are scored in arrays of equal length.
 ARRAY_BYTES = 48
-ARRAY_CELLS = 1 << 19
+ARRAY_CELLS = 1 << 17
 _TURN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -75,82 +79,100 @@ def piece_list(path: str) -> tuple[list[bytes], np.ndarray]:
 class Lattice:
     """Piece spellings with log probabilities."""
 
+    #: Table values: no entry; the beginning of a piece but none itself.
+    EMPTY, PREFIX = -1, -2
+
     def __init__(self, spell: list[bytes], log_p: np.ndarray):
         self.spell, self.log_p = spell, log_p
         self.most = max(map(len, spell))
         self.at = {b: i for i, b in enumerate(spell)}
-        # an open hash table of the pieces for arrays of words
-        self.bits = max(4, (8 * len(spell)).bit_length())
+        # an open hash table of pieces and their beginnings, for arrays of words
+        entries = {b[:k]: self.PREFIX for b in spell for k in range(1, len(b))} | self.at
+        self.bits = max(4, (8 * len(entries)).bit_length())
         self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
-        self.values = np.full(1 << self.bits, -1, dtype=np.int32)
-        for i, b in enumerate(spell):
-            k = self.hashes(np.frombuffer(b, np.uint8)[None, :])[-1][0]
+        self.values = np.full(1 << self.bits, self.EMPTY, dtype=np.int32)
+        for b, v in entries.items():
+            h = np.full(1, 77, dtype=np.uint64)
+            for c in b:
+                h = self._step(h, np.array([c], dtype=np.uint8))
+            k = mix64(h)[0]
             s = int(k >> np.uint64(64 - self.bits))
-            while self.values[s] >= 0:
+            while self.values[s] != self.EMPTY:
                 s = (s + 1) % len(self.keys)
-            self.keys[s], self.values[s] = k, i
+            self.keys[s], self.values[s] = k, v
 
     @staticmethod
-    def hashes(part: np.ndarray) -> list[np.ndarray]:
-        """Hashes of the first 1, 2, ... bytes of each row."""
-        h, out = np.full(len(part), 77, dtype=np.uint64), []
-        for k in range(part.shape[1]):
-            h = (h ^ part[:, k].astype(np.uint64)) * _TURN
-            h = h ^ (h >> np.uint64(29))
-            out.append(mix64(h))
-        return out
+    def _step(h: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        h = (h ^ byte) * _TURN
+        return h ^ (h >> np.uint64(29))
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        """Piece numbers of hashes, -1 for none."""
+        """Table values of hashes."""
         s = (h >> np.uint64(64 - self.bits)).astype(np.int64)
-        v = self.values[s]
-        out = np.where(self.keys[s] == h, v, -1)
-        todo = np.flatnonzero((v >= 0) & (out < 0))
+        out = self.values[s]
+        todo = np.flatnonzero((out != self.EMPTY) & (self.keys[s] != h))
         while len(todo):
             s[todo] = (s[todo] + 1) % len(self.keys)
-            v = self.values[s[todo]]
-            hit = (self.keys[s[todo]] == h[todo]) & (v >= 0)
-            out[todo[hit]] = v[hit]
-            todo = todo[(v >= 0) & ~hit]
+            out[todo] = self.values[s[todo]]
+            todo = todo[(out[todo] != self.EMPTY) & (self.keys[s[todo]] != h[todo])]
         return out
 
-    def _edges(self, words: np.ndarray) -> list[list[tuple[int, np.ndarray]]]:
-        """For each end, (start, piece numbers of the rows or -1)."""
-        n = words.shape[1]
-        out: list[list] = [[] for _ in range(n + 1)]
+    def _edges(self, words: np.ndarray) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(start, end, rows, their pieces); of each start the single bytes
+        first, which all rows have. Rows leave as soon as no piece begins
+        with what they have."""
+        m, n = words.shape
+        out = []
         for i in range(n):
-            for k, h in enumerate(self.hashes(words[:, i:i + self.most])):
-                ids = self.find(h)
-                if (ids >= 0).any():
-                    out[i + k + 1].append((i, ids))
+            rows, h = np.arange(m), np.full(m, 77, dtype=np.uint64)
+            for j in range(i, min(n, i + self.most)):
+                h = self._step(h, words[rows, j])
+                v = self.find(mix64(h))
+                hit = v >= 0
+                if hit.any():
+                    out.append((i, j + 1, rows[hit], v[hit]))
+                go = v != self.EMPTY
+                rows, h = rows[go], h[go]
+                if not len(rows):
+                    break
         return out
 
     def _arrays(self, words: np.ndarray, weight: np.ndarray | None, into: np.ndarray | None):
         """Log probability of each row; with ``weight``, adds the expected
-        number of times each piece is used to ``into``."""
-        n = words.shape[1]
-        edges = self._edges(words)
-        p = np.append(self.log_p, -np.inf)  # of piece -1
-        a = np.full((n + 1, len(words)), -np.inf)
-        a[0] = 0
+        number of times each piece is used to ``into``. Sums are kept
+        relative to the way through the last single byte, so that they stay
+        in range."""
+        m, n = words.shape
+        edges, p = self._edges(words), self.log_p
+        by_end: list[list] = [[] for _ in range(n + 1)]
+        for e in edges:
+            by_end[e[1]].append(e)
+        a = np.zeros((n + 1, m))
         for j in range(1, n + 1):
-            step = np.stack([a[i] + p[ids] for i, ids in edges[j]])
-            top = step.max(axis=0)  # finite: single bytes always match
-            a[j] = top + np.log(np.exp(step - top).sum(axis=0))
+            i, _, _, ids = by_end[j][-1]  # the single byte
+            base = a[i] + p[ids]
+            total = np.ones(m)
+            for i, _, rows, ids in by_end[j][:-1]:
+                total[rows] += np.exp(a[i][rows] + p[ids] - base[rows])
+            a[j] = base + np.log(total)
         if weight is not None:
-            b = np.full((n + 1, len(words)), -np.inf)
-            b[n] = 0
-            ahead: list[list] = [[] for _ in range(n)]
-            for j, es in enumerate(edges):
-                for i, ids in es:
-                    ahead[i].append((j, ids))
+            by_start: list[list] = [[] for _ in range(n)]
+            for e in edges:
+                by_start[e[0]].append(e)
+            b = np.zeros((n + 1, m))
+            used, pieces = [], []
             for i in range(n - 1, -1, -1):
-                step = np.stack([b[j] + p[ids] for j, ids in ahead[i]])
-                top = step.max(axis=0)
-                b[i] = top + np.log(np.exp(step - top).sum(axis=0))
-                used = np.exp(step + a[i] - a[n]) * weight
-                into += np.bincount(np.concatenate([ids for _, ids in ahead[i]]) + 1,
-                                    weights=used.ravel(), minlength=len(into) + 1)[1:]
+                j, ids = by_start[i][0][1], by_start[i][0][3]
+                base = b[j] + p[ids]
+                total = np.ones(m)
+                for _, j, rows, ids in by_start[i][1:]:
+                    total[rows] += np.exp(b[j][rows] + p[ids] - base[rows])
+                b[i] = base + np.log(total)
+                for _, j, rows, ids in by_start[i]:
+                    used.append(np.exp(a[i][rows] + p[ids] + b[j][rows] - a[n][rows]) * weight[rows])
+                    pieces.append(ids)
+            into += np.bincount(np.concatenate(pieces), weights=np.concatenate(used),
+                                minlength=len(into))
         return a[n]
 
     def _one(self, word: bytes, weight: float, into: np.ndarray | None) -> float:
@@ -182,7 +204,7 @@ class Lattice:
                 for x in who:
                     out[x] = self._one(b" " + words[x], 0 if weight is None else weight[x], into)
                 continue
-            step = max(1, ARRAY_CELLS // (int(n) + 1) ** 2)
+            step = max(1, ARRAY_CELLS // (int(n) + 1))
             for k in range(0, len(who), step):
                 part = who[k:k + step]
                 rows = np.frombuffer(b"".join([b" " + words[x] for x in part]),
@@ -198,11 +220,12 @@ def _log_add(x: float, y: float) -> float:
 
 
 # -- corpus counts ----------------------------------------------------------
-def _texts(b: pa.RecordBatch) -> list[list[bytes]]:
-    """Words of each text: bytes.lower and bytes.split know ASCII only, which
-    is the contract's lower case and white space."""
-    col = b.column("text").cast(pa.large_binary())
-    return [(t.as_py() or b"").lower().split() for t in col]
+def _words(col: pa.Array) -> tuple[list[bytes], np.ndarray]:
+    """Words of all texts back to back, and the number of each text's:
+    bytes.lower and bytes.split know ASCII only, which is the contract's lower
+    case and white space."""
+    each = [t.lower().split() for t in col.cast(pa.binary()).fill_null(b"").to_pylist()]
+    return list(chain.from_iterable(each)), np.array([len(x) for x in each], dtype=np.int64)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -213,20 +236,22 @@ def word_counts(docs: DataFrame) -> DataFrame:
         train, rest = Counter(), Counter()
 
         def flush():
-            words = list(train.keys() | rest.keys())
-            for a in range(0, len(words), 50_000):
-                w = words[a:a + 50_000]
-                t = [train[x] for x in w]
-                yield pa.RecordBatch.from_pydict(
-                    {"word": pa.array(w, pa.binary()), "n_train": pa.array(t, pa.int64()),
-                     "n_all": pa.array([n + rest[x] for n, x in zip(t, w)], pa.int64())})
-            train.clear()
-            rest.clear()
+            for part, share in ((train, 1), (rest, 0)):
+                words, n = list(part), np.fromiter(part.values(), np.int64, len(part))
+                for a in range(0, len(words), 50_000):
+                    yield pa.RecordBatch.from_pydict(
+                        {"word": pa.array(words[a:a + 50_000], pa.binary()),
+                         "n_train": pa.array(n[a:a + 50_000] * share),
+                         "n_all": pa.array(n[a:a + 50_000])})
+                part.clear()
         for b in batches:
-            for words, out in zip(_texts(b), b.column("out").to_pylist()):
-                (rest if out else train).update(words)
-                if len(train) + len(rest) > FLUSH:
-                    yield from flush()
+            for part, out in ((train, False), (rest, True)):
+                some = pc.equal(b.column("out"), out)
+                for k in range(0, b.num_rows, 1000):
+                    part.update(_words(b.column("text").slice(k, 1000).filter(
+                        some.slice(k, 1000)))[0])
+                    if len(train) + len(rest) > FLUSH:
+                        yield from flush()
         yield from flush()
     return (docs.select("text", held_out(10).alias("out")).mapInArrow(run, schema)
             .groupBy("word").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all")))
@@ -240,7 +265,7 @@ def expected_counts(words: DataFrame, lattice: Lattice) -> np.ndarray:
     def run(batches):
         t = shared.value
         total = np.zeros(len(t.spell))
-        for b in batches:
+        for b in larger(batches, WORD_ROWS):
             if b.num_rows:
                 t.words(b.column("word").to_pylist(), np.ones(b.num_rows), total)
         some = np.flatnonzero(total)
@@ -303,50 +328,50 @@ def lm_scores(docs: DataFrame, vocab: str | None = None, rounds: int = ROUNDS,
         spelled = lattice.value.words(b.column("word").to_pylist())
         return {k: b.column(k) for k in ("word", "n_train", "n_all")} | {
             "log_p": mix.log10(seen, spelled)}
-    words = cut(arrow_out(spell, counts, "word binary, n_train bigint, n_all bigint, log_p double"),
-                "lm-words")
+    words = cut(arrow_out(spell, counts, "word binary, n_train bigint, n_all bigint, log_p double",
+                          WORD_ROWS), "lm-words")
     under = n + 0.1 * (v + 1)
     # a fixed number of words, most of all tokens
     top = words.orderBy(F.desc("n_all"), "word").limit(common).toPandas()
-    near = spark.sparkContext.broadcast(
-        {w: (c > 0, math.log10((c + 0.1) / under), p) for w, c, p in
-         zip(top["word"].map(bytes), top["n_train"].tolist(), top["log_p"].tolist())})
-    end = (n_docs > 0, math.log10((n_docs + 0.1) / under), mix.end(n_docs))
+    seen, p = top["n_train"].to_numpy(), top["log_p"].to_numpy()
+    # known, base score, score by number; the last for words that aren't here
+    near = spark.sparkContext.broadcast((
+        {bytes(w): i for i, w in enumerate(top["word"])},
+        np.stack([np.append(x, 0.0) for x in (seen > 0, np.log10((seen + 0.1) / under), p)])))
+    end = np.array([n_docs > 0, math.log10((n_docs + 0.1) / under), mix.end(n_docs)])
 
     def scored(batches):
-        known, row = near.value, TaskContext.get().partitionId() << 40
-        for b in batches:
-            out = {k: [] for k in ("row", "n_tokens", "n_known", "base", "score", "others")}
-            for words_ in _texts(b):
-                hit, base, p, rest = int(end[0]), end[1], end[2], []
-                for w, m in Counter(words_).items():
-                    got = known.get(w)
-                    if got is None:
-                        rest.append({"word": w, "times": m})
-                    else:
-                        hit += m * got[0]
-                        base += m * got[1]
-                        p += m * got[2]
-                for k, x in zip(out, (row, len(words_) + 1, hit, base, p, rest)):
-                    out[k].append(x)
-                row += 1
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("held_out"), pa.array(out["row"], pa.int64()),
-                 pa.array(out["n_tokens"], pa.int64()), pa.array(out["n_known"], pa.int64()),
-                 pa.array(out["base"], pa.float64()), pa.array(out["score"], pa.float64()),
-                 pa.array(out["others"], pa.list_(pa.struct([("word", pa.binary()),
-                                                             ("times", pa.int64())])))],
-                names=["doc_id", "held_out", *out])
+        number, value = near.value
+        row = TaskContext.get().partitionId() << 40
+        for whole in batches:
+            for k in range(0, whole.num_rows, 1000):
+                b = whole.slice(k, 1000)
+                words_, sizes = _words(b.column("text"))
+                at = np.fromiter(map(number.get, words_, repeat(len(number))), np.int64,
+                                 len(words_))
+                of = np.repeat(np.arange(b.num_rows), sizes)
+                known, base, p = (np.bincount(of, weights=v[at], minlength=b.num_rows) + e
+                                  for v, e in zip(value, end))
+                far = np.flatnonzero(at == len(number))
+                cuts = np.searchsorted(of[far], np.arange(b.num_rows + 1))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), b.column("held_out"),
+                     pa.array(row + np.arange(b.num_rows)), pa.array(sizes + 1),
+                     pa.array(np.rint(known).astype(np.int64)), pa.array(base), pa.array(p),
+                     pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(
+                         [words_[i] for i in far], pa.binary()))],
+                    names=["doc_id", "held_out", "row", "n_tokens", "n_known", "base", "score",
+                           "others"])
+                row += b.num_rows
     rows = cut(docs.select("doc_id", held_out(10).alias("held_out"), "text").mapInArrow(
         scored, "doc_id bigint, held_out boolean, row bigint, n_tokens bigint, n_known bigint, "
-                "base double, score double, others array<struct<word: binary, times: bigint>>"),
-        "lm-rows")
+                "base double, score double, others array<binary>"), "lm-rows")
     c = F.coalesce("n_train", F.lit(0))
-    rest = (rows.select("row", F.inline("others")).join(words.drop("n_all"), "word")
-            .groupBy("row").agg(
-                F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"),
-                F.sum(F.col("times") * F.log10((c + 0.1) / under)).alias("more_base"),
-                F.sum(F.col("times") * F.col("log_p")).alias("more")))
+    rest = (rows.select("row", F.explode("others").alias("word"))
+            .join(words.select("word", (c > 0).cast("bigint").alias("hit"),
+                               F.log10((c + 0.1) / under).alias("base"), "log_p"), "word")
+            .groupBy("row").agg(F.sum("hit").alias("more_known"), F.sum("base").alias("more_base"),
+                                F.sum("log_p").alias("more")))
     zero = F.lit(0)
     return (rows.drop("others").join(rest, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
