@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import byte_bpe, vocabulary
+from .common import byte_bpe, give_back, vocabulary
 
 WINDOW = 2048
 END_ID = 1
@@ -167,4 +167,5 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID,
                 if tokens >= round_tokens:
                     yield from flush(False)
         yield from flush(True)
+        give_back()
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)

@@ -28,9 +28,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, arrow_out, held_out, kinds_of, slices, text_buffer
+from .common import arrow_out, held_out, kinds_of, slices, text_buffer
 
 ORDER = 4
+#: Text bytes whose grams are looked up together (a longer single text takes
+#: several rounds).
+SLICE_BYTES = 1 << 20
 ROWS_PER_LANG = 1500
 UND = "und"
 
@@ -112,8 +115,8 @@ class Trees:
         out = np.zeros((len(off) - 1, len(self.langs)))
         for i, j in slices(off, SLICE_BYTES):
             lo, hi = int(off[i]), int(off[j])
-            for a in range(lo, hi, 2 * SLICE_BYTES):  # more than once only in one long text
-                b = min(hi, a + 2 * SLICE_BYTES)
+            for a in range(lo, hi, SLICE_BYTES):  # more than once only in one long text
+                b = min(hi, a + SLICE_BYTES)
                 if a == lo:
                     g = _slice_codes(raw[a:b], np.minimum(off[i:j + 1], b) - a, self.order)
                 else:
