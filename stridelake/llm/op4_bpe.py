@@ -2,8 +2,8 @@
 
 Two symbols that stand side by side inside no vocabulary token can't be joined
 by any merge, now or later: between them a cut is certain. Words are cut there,
-the fragments are encoded independently (each distinct one once, while it stays
-in a task's bounded cache) and their ids concatenated. Results equal the
+the fragments are encoded independently (those of distinct words and short ones
+once, while they stay in a task's bounded caches) and their ids concatenated. Results equal the
 tokenizers library's for a word-end BPE file with add_special_tokens=False,
 special tokens in the text included.
 
@@ -26,6 +26,7 @@ import heapq
 import json
 import re
 import unicodedata
+from collections.abc import Sequence
 
 import pyarrow as pa
 import regex
@@ -54,6 +55,11 @@ class WordBpe:
         self.ids = model["vocab"]
         self.rank = {tuple(m.split(" ") if isinstance(m, str) else m): k
                      for k, m in enumerate(model["merges"])}
+        # the same by first symbol, and what each rank makes
+        self.after: dict[str, dict[str, int]] = {t: {} for t in self.ids}
+        for (a, b), k in self.rank.items():
+            self.after[a][b] = k
+        self.made = [a + b for a, b in self.rank]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (self.ids | self.special).items()}
         self.joined = {p for t in self.ids for s in [self.symbols(t)] for p in zip(s, s[1:])}
@@ -65,8 +71,9 @@ class WordBpe:
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") \
             if self.special else None
         self.text_ids = {t: str(i) for t, i in self.ids.items()}
-        self.known: dict[str, list[str]] = {}
-        self.chunks: dict[str, tuple[str, str, int]] = {}
+        self.known: dict[str, tuple[str, ...]] = {}
+        self.fragments: dict[tuple[str, ...], tuple[str, ...]] = {}
+        self.chunks: dict[str, tuple[str, str]] = {}
         self._library = None
 
     def symbols(self, token: str) -> list[str]:
@@ -114,16 +121,16 @@ class WordBpe:
             return self._merge_long(fragment)
         if len(fragment) == 1:
             return list(fragment)
-        s, rank = list(fragment), self.rank.get
-        ranks = [rank(p, _NEVER) for p in zip(s, s[1:])]
+        s, after = list(fragment), self.after
+        ranks = [after[a].get(b, _NEVER) for a, b in zip(s, s[1:])]
         while ranks and (low := min(ranks)) < _NEVER:
             k = ranks.index(low)
-            s[k:k + 2] = [s[k] + s[k + 1]]
-            del ranks[k]
+            s[k] = token = self.made[low]
+            del ranks[k], s[k + 1]
             if k:
-                ranks[k - 1] = rank((s[k - 1], s[k]), _NEVER)
+                ranks[k - 1] = after[s[k - 1]].get(token, _NEVER)
             if k < len(ranks):
-                ranks[k] = rank((s[k], s[k + 1]), _NEVER)
+                ranks[k] = after[token].get(s[k + 1], _NEVER)
         return s
 
     def _merge_long(self, fragment: tuple[str, ...]) -> list[str]:
@@ -147,19 +154,40 @@ class WordBpe:
                     heapq.heappush(heap, (rank[p], i, p))
         return [x for x in s if x is not None]
 
-    def chunk(self, chunk: str) -> tuple[str, str, int]:
-        """(ids, tokens, number) of a chunk; both joined by spaces."""
+    def part(self, fragment: tuple[str, ...]) -> Sequence[str]:
+        """``merge``, once for a short fragment that several words share."""
+        if len(fragment) > 12:
+            return self.merge(fragment)
+        got = self.fragments.get(fragment)
+        if got is None:
+            if len(self.fragments) >= WORD_CACHE:
+                self.fragments.clear()
+            got = self.fragments[fragment] = tuple(self.merge(fragment))
+        return got
+
+    def chunk(self, chunk: str) -> tuple[str, str]:
+        """(ids, tokens) of a chunk, joined by spaces."""
         out: list[str] = []
         for word in self.words(chunk):
             got = self.known.get(word)
             if got is None:
-                if len(self.known) >= WORD_CACHE:
-                    self.known.clear()
-                got = [t for f in self.cut(word) for t in self.merge(f)]
-                if len(word) < 200:
+                got = tuple([t for f in self.cut(word) for t in self.part(f)])
+                if len(word) <= 200:
+                    if len(self.known) >= WORD_CACHE:
+                        self.known.clear()
                     self.known[word] = got
             out += got
-        return " ".join([self.text_ids[t] for t in out]), " ".join(out), len(out)
+        return " ".join([self.text_ids[t] for t in out]), " ".join(out)
+
+    def _chunk_once(self, chunk: str) -> tuple[str, str]:
+        got = self.chunks.get(chunk)
+        if got is None:
+            got = self.chunk(chunk)
+            if len(chunk) <= 200:
+                if len(self.chunks) >= CACHE:
+                    self.chunks.clear()
+                self.chunks[chunk] = got
+        return got
 
     # -- texts ----------------------------------------------------------------
     def parts(self, text: str):
@@ -186,26 +214,18 @@ class WordBpe:
         memo = self.chunks
         for special, chunks in self.parts(text):
             if special is not None:
-                got = [(str(self.special[special]), special, 1)]
+                got = [(str(self.special[special]), special)]
             else:
-                try:
-                    got = [memo[c] for c in chunks]
-                except KeyError:
-                    got = []
-                    for c in chunks:
-                        x = memo.get(c)
+                got = list(map(memo.get, chunks))
+                if None in got:
+                    for k, x in enumerate(got):
                         if x is None:
-                            if len(memo) >= CACHE:
-                                memo.clear()
-                            x = self.chunk(c)
-                            if len(c) < 200:
-                                memo[c] = x
-                        got.append(x)
+                            got[k] = self._chunk_once(chunks[k])
             if got:
-                a, b, m = zip(*got)
-                ids.update(sep + " ".join(a).encode())
-                decoded.update(sep + " ".join(b).encode())
-                n += sum(m)
+                a = sep + " ".join([x for x, _ in got]).encode()
+                ids.update(a)
+                decoded.update(sep + " ".join([x for _, x in got]).encode())
+                n += a.count(b" ") + (not sep)
                 sep = b" "
         return n, ids.hexdigest(), decoded.hexdigest()
 
