@@ -23,7 +23,6 @@ HEADLINE = [
     "trial_events", "trial_results", "motion_metrics", "state_runs", "spaced_peaks",
     "quality_tags", "dedup_flags", "pose_flags", "interpolate_marks", "state_fill",
     "session_samples", "chunk_index", "ranked_results", "parse_lines", "path_metadata",
-    "layer_silver", "layer_reuse", "fusion_results", "stream_ingest", "stream_rate_all",
 ]
 
 
