@@ -2,14 +2,16 @@
 
 Each task packs its own documents; nothing is shuffled or collected. A
 document gives its full windows first; what is left of it is routed to the
-smallest context-size tier (window, window/2, window/4, ...) that holds it. The
-tiers are packed from the longest down: a window opens with the longest
-remainder, and its gap is filled from shorter tiers, longest fitting first.
-Where nothing fits, a remainder is cut to the gap and its rest goes back to its
-tier, so windows are full. The last tokens of a task become sequences of
-power-of-two sizes, which need no padding. Step groups of ``group`` sequences
-are balanced by attention cost (the sum of squared piece lengths), dealt in
-snake order within a round.
+smallest context-size tier (window, window/2, ... down to ``least``) that holds
+it. The tiers are packed from the longest down, each into sequences of its own
+size: a sequence opens with the longest remainder of its tier, and its gap is
+filled from shorter tiers (in the least tier from itself), longest fitting
+first. Where nothing fits, the shortest remainder is cut to the gap and its rest
+is routed anew, so sequences are full. What can't fill a sequence of its tier
+waits for the next round; the last tokens of a task become sequences of
+power-of-two sizes, which need no padding. Step groups of ``group`` sequences of
+any tiers are balanced by attention cost (the sum of squared piece lengths),
+dealt in snake order within a round.
 
 A round holds about ``round_tokens`` tokens, so a task's memory is bounded by
 that and its longest document.
@@ -33,6 +35,8 @@ from pyspark.sql import DataFrame
 from .common import byte_bpe, give_back, vocabulary
 
 WINDOW = 2048
+#: The smallest tier; shorter remainders belong to it.
+LEAST = 128
 END_ID = 1
 GROUP = 8
 ROUND_TOKENS = 4_000_000
@@ -44,8 +48,7 @@ SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tok
 
 
 class Remainders:
-    """What is left of documents, as (document, first token) by exact length;
-    lengths lie in tiers of powers of two, of which the longest go first."""
+    """What is left of documents, as (document, first token) by exact length."""
 
     def __init__(self):
         self.by: dict[int, list[tuple[int, int]]] = {}
@@ -77,10 +80,21 @@ def tier(n: int) -> int:
     return 1 << max(n - 1, 0).bit_length()
 
 
-def pack_round(lengths: list[int], window: int, last: bool):
+def route(n: int, window: int, least: int) -> int:
+    """The smallest tier (window, window/2, ... down to ``least``) that holds
+    ``n`` tokens."""
+    size = window
+    while size % 2 == 0 and size // 2 >= max(n, least):
+        size //= 2
+    return size
+
+
+def pack_round(lengths: list[int], window: int, last: bool, least: int | None = None):
     """Sequences (lists of (document, start, length)) of documents with these
-    lengths, and the rest: (document, start, length) that fill no window,
-    unless ``last``: then the rest is cut to sequences of powers of two."""
+    lengths, and the rest: (document, start, length) that fill no sequence of
+    their tier, unless ``last``: then the rest is cut to sequences of powers of
+    two. Without ``least``, the window is the only tier."""
+    least = window if least is None else min(least, window)
     full, rest = [], Remainders()
     for d, n in enumerate(lengths):
         whole = n - n % window
@@ -89,9 +103,11 @@ def pack_round(lengths: list[int], window: int, last: bool):
             rest.add(n - whole, (d, whole))
     total = rest.tokens()
     while total:
-        size = window if total >= window else 1 << (total.bit_length() - 1)
-        if size < window and not last:
-            break
+        size = route(rest.lengths[-1], window, least)  # longer tiers are done
+        if total < size:
+            if not last:
+                break
+            size = 1 << (total.bit_length() - 1)
         total -= size
         seq, gap = [], size
         while gap:
@@ -121,7 +137,7 @@ def step_groups(seqs: list[list[tuple[int, int, int]]], group: int) -> list[int]
 
 def pack(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID,
          vocab: str | None = None, group: int = GROUP,
-         round_tokens: int = ROUND_TOKENS) -> DataFrame:
+         round_tokens: int = ROUND_TOKENS, least: int = LEAST) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, tier (size of its sequence), step_group."""
     path = vocab or vocabulary("byte_bpe_50k.json")
@@ -139,7 +155,7 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID,
 
         def flush(last: bool):
             nonlocal made, groups, held, tokens
-            seqs, rest = pack_round([len(x[1]) for x in held], window, last)
+            seqs, rest = pack_round([len(x[1]) for x in held], window, last, least)
             of = step_groups(seqs, group)
             out = []
             for k, seq in enumerate(seqs):

@@ -79,6 +79,39 @@ def test_rounds():
         assert sum(n for *_, n in rest) < 256
 
 
+def test_each_tier_packs_sequences_of_its_own_size():
+    rnd = random.Random(3)
+    sizes = [rnd.choice([rnd.randint(1, 60), rnd.randint(60, 300), rnd.randint(300, 3000)])
+             for _ in range(600)]
+    for last in (False, True):
+        full, rest = P.pack_round(sizes, 2048, last, 128)
+        at, filled = defaultdict(int), 0
+        seqs = [sum(n for *_, n in q) for q in full]
+        if last:
+            assert not rest
+        else:  # the last sequences of a task have other sizes
+            assert sum(n for *_, n in rest) < 2048 and set(seqs) <= {2048, 1024, 512, 256, 128}
+            for q, size in zip(full, seqs):  # opened from its own tier, filled from shorter ones
+                assert size == 128 or q[0][2] > size // 2
+                filled += any(n <= size // 4 for *_, n in q[1:])
+            assert filled
+        for d, s, n in sorted([x for q in full for x in q] + rest):
+            assert s == at[d]
+            at[d] += n
+        assert [at[d] for d in range(len(sizes))] == sizes
+    short, _ = P.pack_round([200] * 500 + [400] * 500, 2048, False, 128)
+    assert {sum(n for *_, n in q) for q in short} >= {512, 256}
+
+
+def test_documents_of_all_sizes_make_several_tiers(spark, library):
+    rows = [(i, "word " * (30 if i % 3 else 700 if i % 2 else 1500)) for i in range(150)]
+    got = P.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    check(got, rows, library, 2048)
+    size = {p.sequence_id: p.tier for p in got}
+    several = [t for t in set(size.values()) if list(size.values()).count(t) > 1]
+    assert 2048 in several and len(several) > 1
+
+
 def test_step_groups_are_balanced():
     rnd = random.Random(2)
     seqs = [[(0, 0, n), (1, 0, 256 - n)] for n in (rnd.randint(1, 255) for _ in range(80))]
