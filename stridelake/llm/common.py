@@ -159,9 +159,9 @@ def kinds_of(df: DataFrame, columns: list[str]) -> str:
 
 
 def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
-    """At most about ``rows`` rows (binomial; twice that is never reached in
-    practice): those whose id hash falls below a share of the hash range that
-    the exact count sets. All rows when there are fewer."""
+    """About ``rows`` rows (binomial): those whose key hash falls below a share
+    of the hash range that the exact count sets. All rows when there are fewer.
+    For keys that are unique and not null; else see ``row_sample``."""
     n = df.count()
     if n <= rows:
         return df
@@ -169,6 +169,16 @@ def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 31)) < cut)
 
 
+def row_sample(df: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` rows, twice that at the very most; all when there are
+    fewer. Each row is drawn by itself (by a hash of its id, text and place),
+    so rows of one id, or of none, aren't drawn together."""
+    n = df.count()
+    if n <= rows:
+        return df
+    cut = int(rows / n * (1 << 31))
+    drawn = F.xxhash64("doc_id", "text", F.monotonically_increasing_id())
+    return df.where(F.pmod(drawn, F.lit(1 << 31)) < cut).limit(2 * rows)
 
 
 # -- byte-level BPE ids ----------------------------------------------------

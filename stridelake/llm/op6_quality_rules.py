@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .common import bounded_sample
+from .common import row_sample
 
 #: Within an SQL string.
 SPACE = r"\\x20\\x09-\\x0D"
@@ -116,7 +116,7 @@ def with_statistics(df: DataFrame, names, alive: Column | None = None,
 
 def rank_rules(docs: DataFrame, rules: list[Rule], rows: int = SAMPLE_ROWS) -> list[dict]:
     """name, cost (seconds a sample), selectivity, by rejections per cost."""
-    sample = cut(bounded_sample(docs.select("doc_id", "text"), F.col("doc_id"), rows), "rule-sample")
+    sample = cut(row_sample(docs.select("doc_id", "text"), rows), "rule-sample")
     n = max(sample.count(), 1)
 
     def run(rule: Rule | None) -> tuple[float, int]:

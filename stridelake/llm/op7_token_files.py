@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut, full_uri, scratch_path
-from .common import arrow_out, bounded_sample, byte_bpe, vocabulary
+from .common import arrow_out, byte_bpe, row_sample, vocabulary
 
 END_ID = 2
 SAMPLE_DOCS = 2000
@@ -118,7 +118,7 @@ def _open(uri: str):
 def train_dictionary(docs: DataFrame, vocab: str, docs_most: int = SAMPLE_DOCS) -> bytes:
     """Dictionary over the serialized ids of about ``docs_most`` documents;
     empty if there is too little to train on."""
-    picked = bounded_sample(docs.select("doc_id", "text"), F.col("doc_id"), docs_most).where(
+    picked = row_sample(docs.select("doc_id", "text"), docs_most).where(
         F.length("text") <= SAMPLE_CHARS)
 
     def ids(b: pa.RecordBatch):

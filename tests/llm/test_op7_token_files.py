@@ -6,7 +6,7 @@ from pyarrow import fs
 from tokenizers import Tokenizer
 
 from stridelake.llm import op7_token_files as T
-from stridelake.llm.common import vocabulary
+from stridelake.llm.common import row_sample, vocabulary
 from stridelake.session import scratch_path
 
 PATH = vocabulary("byte_bpe_50k.json")
@@ -69,5 +69,21 @@ def test_orphans_of_lost_tasks_are_not_read(spark, sample):
     assert T.read(manifest, path).count() == sample.count()
 
 
+@pytest.mark.parametrize("hot", [None, 3])
+def test_sample_is_bounded_for_a_hot_id(spark, monkeypatch, hot):
+    """xxhash64 of a null is 42, below the cut of any table."""
+    from pyspark.sql import functions as F
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(F.lit(hot)).cast("long")
+        .alias("doc_id"), F.concat(F.lit("one text "), F.col("id") % 7).alias("text"))
+    assert 10 <= row_sample(df, 50).count() <= 100
+    given = []
+    monkeypatch.setattr(T.zstandard, "train_dictionary", lambda size, some: given.extend(some)
+                        or T.zstandard.ZstdCompressionDict(b"x" * 64))
+    T.train_dictionary(df, PATH, 50)
+    assert 10 <= len(given) <= 100
+    assert row_sample(df, 6000).count() == 6000
+
+
 def test_empty_table(none):
     assert T.token_files(none).count() == 0
