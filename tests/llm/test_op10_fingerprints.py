@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -75,6 +76,31 @@ def test_collision_rate_is_the_generalised_jaccard(spark):
     assert len({r.fingerprint for r in P.fingerprints(same, ["doc_id"]).collect()}) == 1
 
 
+def test_error_at_a_threshold_of_08(spark):
+    """The default number of samples tells 0.8 from 0.7; words have weights."""
+    rnd = random.Random(8)
+    pairs = []
+    for i in range(300):
+        a = [f"w{min(rnd.randint(0, 99), rnd.randint(0, 99))}-{i}" for _ in range(120)]
+        b = a[:107] + [f"v{rnd.randint(0, 20)}-{i}" for _ in range(13)]
+        pairs += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
+    df = spark.createDataFrame(pairs, "doc_id long, text string")
+    f = {r.doc_id: r.fingerprint for r in P.fingerprints(df, ["doc_id"]).collect()}
+    got = spark.createDataFrame([(i, f[2 * i], f[2 * i + 1]) for i in range(300)],
+                                "i int, a string, b string").select("i", P.likeness("a", "b"))
+    off = np.array([est - jaccard(pairs[2 * i][1], pairs[2 * i + 1][1])
+                    for i, est in got.collect()])
+    print("mean, deviation", off.mean(), off.std())
+    assert abs(off.mean()) < 0.008 and off.std() < 0.045
+
+
+def test_no_shuffle_of_fingerprints(sample, plan):
+    """Texts are dealt to blocks once; nothing after the samples is shuffled."""
+    text = plan(P.document_fingerprints(sample))
+    final = text.split("== Initial Plan ==")[0]
+    assert "Exchange" not in final[:final.index("Generate")]
+
+
 def test_native_and_one_text_shuffle(sample, plan):
     rows = P.with_next(sample).select("doc_id", "text")
     text = plan(P.fingerprints(rows, ["doc_id"]))
