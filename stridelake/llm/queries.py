@@ -20,6 +20,9 @@ from .op7_token_files import token_files
 from .op8_language import language_id
 from .op9_lm import lm_scores
 from .op10_fingerprints import document_fingerprints
+from .op11_collocations import collocations
+from .op12_whitening import embeddings, whitening
+from .op13_chat_format import chat_digest, conversations
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,13 +67,27 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(documents(spark, sf_dir))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening(embeddings(spark, sf_dir))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_digest(conversations(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_jaccard_join, op2_token_counts, op3_quality, op4_bpe, op5_packing, op6_quality_rules,
-        op7_token_files, op8_language, op9_lm, op10_fingerprints)
+        op7_token_files, op8_language, op9_lm, op10_fingerprints, op11_collocations,
+        op12_whitening, op13_chat_format)
 }
 
-#: The rules' verdict does not depend on their order, so SQL can say it whole.
+#: The rules' verdict does not depend on their order, so SQL can say it whole; so can it
+#: the phrases' counts and scores, and what the chat template gives back.
 SQL: dict[str, str] = {
     "op6_quality_rules": r"""
 with d as (
@@ -106,5 +123,68 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             or word_chars < 2 * n_words or word_chars > 20 * n_words
             or 100 * n_bangs > 25 * n_words) as kept
 from v
+""",
+    "op11_collocations": r"""
+with d as (
+  select row_number() over () as doc, coalesce(lang, 'und') as lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+           as text
+  from documents
+), pieces as (
+  select row_number() over () as p, lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+  from (select lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) as piece from d)
+), places as (
+  select lang, w, unnest(range(1, len(w) + 1)) as i from pieces
+), f as (
+  select lang, k, phrase, count(*) as f from (
+    select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase
+    from places, (select unnest([1, 2, 3, 4, 5]) as k) where i + k - 1 <= len(w))
+  group by all having count(*) >= 100
+), n as (
+  select lang, count(*) as n from places group by lang
+), c as (
+  select lang, phrase, k, f as a, string_split(phrase, ' ') as w from f where k > 1
+), covered as (
+  select distinct c.lang, c.phrase from c join c as b
+  on b.lang = c.lang and b.k > c.k and contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' ')
+     and 100 * b.a >= 100 * c.a
+), cuts as (
+  select c.lang, c.phrase, c.a, n.n, cut, x.f as l, y.f as r,
+         ((1000::hugeint * c.a * n.n) // (x.f::hugeint * y.f))::bigint as score
+  from (select *, unnest(range(1, k)) as cut from c) as c join n using (lang)
+  join f as x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:cut], ' ')
+  join f as y on y.lang = c.lang and y.phrase = array_to_string(c.w[cut + 1:], ' ')
+), best as (
+  select * from cuts anti join covered using (lang, phrase)
+  qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+       phrase, a, l, r, n, score
+from best
+qualify rank <= 2000
+""",
+    "op13_chat_format": r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), w as (
+  select *, regexp_matches(text, '<\|im_(start|end)\|>|<\\+\|')
+         or regexp_matches(role, '<\|im_(start|end)\|>|<\|nl\|>|<\\+\||\n') as conflicts
+  from t
+), s as (
+  select *, 12 + length(role) + 1 + length(text) + 10 + 1 + if(conflicts,
+         len(regexp_extract_all(role || ' ' || text, '<\\*\|')) + 5 * len(regexp_extract_all(role, '\n')),
+         0) as written
+  from w
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), ''
+              order by turn nulls last, role, text)) as turns_sha256,
+       sum(if(role = 'assistant', length(text), 0))::bigint as loss_chars,
+       sha256(string_agg(if(role = 'assistant', text, ''), ''
+              order by turn nulls last, role, text)) as loss_sha256,
+       sum(written)::bigint as formatted_chars
+from s group by conv_id
 """,
 }
