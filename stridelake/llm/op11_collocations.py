@@ -1,19 +1,20 @@
 r"""Phrase collocations: exact phrase counts by HAT-tries, scored by their weakest cut.
 
-Three counting passes, each over whole texts. Words first. Then pairs of words that
-both occur often enough, then phrases of three words and more all of whose
-neighbouring pairs do: a phrase is never more frequent than what it contains, so
-nothing that could be a candidate is left out. What is frequent reaches the next
-pass as a bitmap of hashes whose size is a parameter; an accidental hit costs a
-count and changes none.
-
-A task counts its texts' windows in a trie over its own word ids whose leaves are
-hash tables of what follows (suffix -> count). A table that grows past a bound
-bursts into a node, one table per next word. When the trie holds too many entries,
-its largest subtrees are spilled whole, each as a run of phrases in order; the
-sums of a subtree are the counts of its prefix. Spark merges the runs per prefix
-partition: the first word, or, for the few words with a noticeable share of the
-corpus, the whole phrase, so that no partition follows a hot word.
+Three passes over whole texts. Words are counted first. The second adds up hashes of
+pairs of neighbours that both occur often enough. The third counts phrases of two
+words and more all of whose neighbouring pairs do: a phrase is never more frequent
+than what it contains, so nothing that could be a candidate is left out. What is
+frequent reaches the next pass as a bitmap of hashes whose size is a parameter; an
+accidental hit costs a count and changes none.
+
+In the third pass a task counts its windows in a trie over its own word ids. The
+root is a hash table of windows until it bursts into one table (the rest of the
+window -> count) per first word; a table that grows past a bound bursts again, into
+one per next word, and no deeper. When the trie holds too many entries its largest
+subtrees are spilled whole, as a sorted run; sums over a run's equal beginnings are
+the counts of the phrases. Spark merges the runs per prefix partition: the first
+word, or, for the few words with a noticeable share of the corpus, the whole phrase,
+so that no partition follows a hot word.
 
 Scores take decimals of 38 digits. A candidate is dropped where a candidate one
 word longer contains it and is as frequent; a much longer one that contains it
@@ -29,10 +30,13 @@ candidates, and an empty table, give no row.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,16 +45,20 @@ from ..session import cut
 from .common import give_back, mix64
 
 MIN_COUNT, MAX_WORDS, TOP = 100, 5, 2000
-#: A table of suffixes bursts past this.
-BURST = 4096
+#: Entries past which the root and a table of suffixes burst.
+ROOT_BURST, BURST = 65_536, 4096
 #: Entries of a task's trie (and words of its vocabulary) before it spills.
 MOST_ENTRIES = 400_000
+#: Words (of whole texts) and hashes of pairs that are handled at once.
+WORDS_AT_ONCE, PAIRS_AT_ONCE = 200_000, 2_000_000
+#: Bits of a pair's hash when pairs are counted: few of 10^11 pairs share one.
+PAIR_BITS = 40
 #: Bits of the filters of frequent words and pairs (8 MB each), as a power of 2.
 FILTER_BITS = 26
 #: A word with a greater share of all words is a hot prefix (so there are at most 200).
 HOT_SHARE = 1 / 200
 #: Bounds of the table of frequent phrases that a join may broadcast.
-BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 8 << 20
 
 #: A-Z to a-z, ends of pieces to a line feed, a tab to a space.
 FOLD = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90
@@ -63,30 +71,21 @@ def word_hash(lang: bytes, word: bytes) -> int:
 
 
 def pair_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return mix64(a * np.uint64(0x9E3779B97F4A7C15) + mix64(b))
+    """Of PAIR_BITS bits, from the words' hashes."""
+    h = mix64(a * np.uint64(0x9E3779B97F4A7C15) + mix64(b))
+    return h >> np.uint64(64 - PAIR_BITS)
 
 
-def has(bitmap: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
-    at = hashes >> np.uint64(64 - bits)
+def has(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def phrase_filter(phrases: DataFrame, bits: int) -> np.ndarray:
-    """Bitmap of the hashes of ``phrases`` (lang, phrase of one or two words)."""
-    def places(batches):
-        for b in batches:
-            langs, texts = (b.column(k).cast(pa.binary()).to_pylist() for k in (0, 1))
-            words = [t.split(b" ") for t in texts]
-            first = np.array([word_hash(x, w[0]) for x, w in zip(langs, words)], dtype=np.uint64)
-            last = np.array([word_hash(x, w[-1]) for x, w in zip(langs, words)], dtype=np.uint64)
-            two = np.array([len(w) == 2 for w in words], dtype=bool)
-            h = np.where(two, pair_hashes(first, last), first)
-            at = (h >> np.uint64(64 - bits)).astype(np.int64) + 1  # bitmaps count from 1
-            yield pa.RecordBatch.from_arrays([pa.array(at)], names=["at"])
-    at = phrases.select("lang", "phrase").mapInArrow(places, "at long")
+def bitmap_of(places: DataFrame, bits: int) -> np.ndarray:
+    """The places (``at``, from 0) as a bitmap; no more than its size comes back."""
+    at = places.select((F.col("at") + 1).alias("at"))  # Spark's bitmaps count from 1
     parts = at.groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
-    out = np.zeros(max(1 << bits >> 3, 1), dtype=np.uint8)  # at most this comes back
+    out = np.zeros(max(1 << bits >> 3, 1), dtype=np.uint8)
     for r in parts:
         piece = np.frombuffer(r["bits"], dtype=np.uint8)
         at = (r["bucket"] - 1) * len(piece)
@@ -95,91 +94,109 @@ def phrase_filter(phrases: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
+def word_filter(words: DataFrame, bits: int) -> np.ndarray:
+    def places(batches):
+        for b in batches:
+            langs, texts = (b.column(k).cast(pa.binary()).to_pylist() for k in (0, 1))
+            at = [word_hash(x, w) >> (64 - bits) for x, w in zip(langs, texts)]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64())], names=["at"])
+    return bitmap_of(words.select("lang", "phrase").mapInArrow(places, "at long"), bits)
+
+
 # -- the trie ----------------------------------------------------------------
 class HatTrie:
-    """Counts of windows (tuples of word ids). A node is a dict from a word id to a
-    child; a leaf is a ``Table`` from the rest of the window to its count."""
+    """Counts of windows: tuples of word ids, all of one length, 0 behind their end.
+    Nodes are dicts from a word id to a child; leaves are hash tables from the rest
+    of a window to its count."""
 
     class Table(dict):
-        """Suffix -> count."""
+        """Rest of the window -> count."""
 
-    def __init__(self, burst: int = BURST, depth: int = 2):
+    def __init__(self, burst: int = BURST, root_burst: int = ROOT_BURST, depth: int = 2):
+        self.front: Counter = Counter()  # the root before it bursts
         self.root: dict = {}
-        self.burst, self.depth, self.entries = burst, depth, 0
-
-    def add(self, first: int, rest: tuple, count: int = 1) -> None:
-        node, key, level = self.root, first, 1
-        while True:
-            child = node.get(key)
-            if child is None:
-                child = node[key] = HatTrie.Table()
-            if type(child) is HatTrie.Table or not rest:
-                break
-            node, key, rest, level = child, rest[0], rest[1:], level + 1
-        if type(child) is not HatTrie.Table:  # a window that ends at a burst node
-            child = child.setdefault(None, HatTrie.Table())
-        size = len(child)
-        child[rest] = child.get(rest, 0) + count
-        if len(child) > size:
+        self.burst, self.root_burst, self.depth, self.entries = burst, root_burst, depth, 0
+
+    def add(self, windows) -> None:
+        self.front.update(windows)
+        if len(self.front) > self.root_burst:
+            self.burst_root()
+
+    def burst_root(self) -> None:
+        for window, n in self.front.items():
+            node, rest, level = self.root, window, 1
+            while True:
+                key, rest = rest[0], rest[1:]
+                child = node.get(key)
+                if child is None:
+                    child = node[key] = HatTrie.Table()
+                if type(child) is HatTrie.Table:
+                    break
+                node, level = child, level + 1
+            old = child.get(rest)
+            if old is not None:
+                child[rest] = old + n
+                continue
+            child[rest] = n
             self.entries += 1
-            if size >= self.burst and level < self.depth:
+            if len(child) > self.burst and level < self.depth and len(rest) > 1:
                 node[key] = self._burst(child)
+        self.front.clear()
 
     @staticmethod
     def _burst(table: dict) -> dict:
         node: dict = {}
         for rest, n in table.items():
-            child = node.setdefault(rest[0] if rest else None, HatTrie.Table())
-            child[rest[1:]] = n
+            node.setdefault(rest[0], HatTrie.Table())[rest[1:]] = n
         return node
 
-    def windows(self, first: int):
-        """(window, count) below a first word."""
-        todo = [((first,), self.root[first])]
-        while todo:
-            prefix, node = todo.pop()
-            if type(node) is HatTrie.Table:
-                for rest, n in node.items():
-                    yield prefix + rest, n
-            else:
-                todo += [(prefix if k is None else (*prefix, k), child) for k, child in node.items()]
-
     @staticmethod
-    def size(node) -> int:
-        return len(node) if type(node) is HatTrie.Table else sum(map(HatTrie.size, node.values()))
-
-    def spill(self, keep: int = 0):
-        """Takes the largest subtrees out until ``keep`` entries are left; each
-        comes as a list of (window, count)."""
-        for size, first in sorted(((self.size(c), k) for k, c in self.root.items()), reverse=True):
+    def tables(prefix: tuple, node):
+        """(prefix, table) of all leaves below."""
+        if type(node) is HatTrie.Table:
+            yield prefix, node
+        else:
+            for key, child in node.items():
+                yield from HatTrie.tables((*prefix, key), child)
+
+    def spill(self, keep: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Takes the largest subtrees out, whole, until ``keep`` entries are left:
+        their windows, one a row, and counts, in order."""
+        self.burst_root()
+        size = {k: sum(len(t) for _, t in self.tables((), c)) for k, c in self.root.items()}
+        windows, counts = [], []
+        for first in sorted(size, key=size.__getitem__, reverse=True):
             if self.entries <= keep:
                 break
-            yield list(self.windows(first))
-            del self.root[first]
-            self.entries -= size
-
-
-def run_of(windows: list, names: list, least: int, sep: bytes = b" "):
-    """A subtree's sorted run: phrases of ``least`` words and more, each with the
-    sum of the windows that begin with it."""
-    sums: Counter = Counter()
-    for w, n in windows:
-        for k in range(least, len(w) + 1):
-            sums[w[:k]] += n
-    return sorted((sep.join([names[i] for i in w]), n) for w, n in sums.items())
+            for prefix, table in self.tables((first,), self.root.pop(first)):
+                rest = np.fromiter(chain.from_iterable(table), np.int32).reshape(len(table), -1)
+                windows.append(np.hstack([np.tile(np.int32(prefix), (len(table), 1)), rest]))
+                counts.append(np.fromiter(table.values(), np.int64, len(table)))
+            self.entries -= size[first]
+        if not windows:
+            return np.zeros((0, 1), np.int32), np.zeros(0, np.int64)
+        w, n = np.concatenate(windows), np.concatenate(counts)
+        order = np.lexsort(w.T[::-1])
+        return w[order], n[order]
+
+
+def prefix_sums(windows: np.ndarray, counts: np.ndarray, size: int):
+    """Of a sorted run: its distinct beginnings of ``size`` words and their counts."""
+    if not len(windows):
+        return windows[:, :size], counts
+    new = np.ones(len(windows), dtype=bool)
+    new[1:] = (windows[1:, :size] != windows[:-1, :size]).any(axis=1)
+    starts = np.flatnonzero(new)
+    sums = np.add.reduceat(counts, starts)
+    whole = windows[starts, size - 1] > 0
+    return windows[starts[whole], :size], sums[whole]
 
 
 _RUN = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
+_PAIR = pa.schema([("h", pa.int64()), ("n", pa.int64())])
 
 
-def _batch(langs: list, phrases: list, counts: list) -> pa.RecordBatch:
-    # a null byte is legal in a text, so these go as binary and are text again
-    return pa.RecordBatch.from_arrays(
-        [pa.array(langs, pa.binary()).cast(pa.string()),
-         pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], schema=_RUN)
-
-
-def _texts(batch: pa.RecordBatch):
+def _pieces(batch: pa.RecordBatch):
     """(lang, folded text) as bytes."""
     langs, texts = (batch.column(k).cast(pa.binary()).to_pylist() for k in (0, 1))
     for lang, text in zip(langs, texts):
@@ -187,6 +204,61 @@ def _texts(batch: pa.RecordBatch):
             yield lang, text.translate(FOLD)
 
 
+class Vocabulary:
+    """A task's ids of words (from 1), with their hashes; 0 is no word, and stands
+    for those that aren't in the filter."""
+
+    def __init__(self, words: np.ndarray | None, bits: int):
+        self.words, self.bits = words, bits
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids: dict[bytes, dict[bytes, int]] = {}
+        self.names, self.langs, self.hashes = [b""], [b""], array("Q", [0])
+
+    def __len__(self) -> int:
+        return sum(map(len, self.ids.values()))
+
+    def line(self, lang: bytes, text: bytes) -> list:
+        """The text's ids, a 0 behind each piece."""
+        known = self.ids.setdefault(lang, {})
+        pieces = [w for p in text.split(b"\n") if (w := p.split())]
+        if new := {w for w in chain.from_iterable(pieces) if w not in known}:
+            self._add(lang, known, list(new))
+        out: list = []
+        for p in pieces:
+            out += map(known.__getitem__, p)
+            out.append(0)
+        return out
+
+    def _add(self, lang: bytes, known: dict, new: list) -> None:
+        h = np.array([word_hash(lang, w) for w in new], dtype=np.uint64)
+        good = np.ones(len(new), dtype=bool) if self.words is None else has(
+            self.words, h >> np.uint64(64 - self.bits))
+        for w, x, g in zip(new, h.tolist(), good.tolist()):
+            known[w] = len(self.names) if g else 0
+            if g:
+                self.names.append(w)
+                self.langs.append(lang)
+                self.hashes.append(x)
+
+    def lines(self, batches, at_once: int):
+        """(ids, hashes) of whole texts, about so many words at a time."""
+        line: list = []
+        for b in batches:
+            for lang, text in _pieces(b):
+                line += self.line(lang, text)
+                if len(line) >= at_once:
+                    yield self._arrays(line)
+                    line = []
+        if line:
+            yield self._arrays(line)
+
+    def _arrays(self, line: list) -> tuple[np.ndarray, np.ndarray]:
+        a = np.array(line, dtype=np.int64)
+        return a, np.array(self.hashes, dtype=np.uint64)[a]
+
+
 def words_of(batches, most: int = MOST_ENTRIES):
     """Sums of words, a run for whatever the task held at a time."""
     held: dict[bytes, Counter] = {}
@@ -195,10 +267,13 @@ def words_of(batches, most: int = MOST_ENTRIES):
         for lang, sums in held.items():
             for k in range(0, len(words := sorted(sums)), 20_000):
                 part = words[k:k + 20_000]
-                yield _batch([lang] * len(part), part, [sums[w] for w in part])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([lang] * len(part), pa.binary()).cast(pa.string()),
+                    pa.array(part, pa.binary()).cast(pa.string()),
+                    pa.array([sums[w] for w in part], pa.int64())], schema=_RUN)
         held.clear()
     for b in batches:
-        for lang, text in _texts(b):
+        for lang, text in _pieces(b):
             held.setdefault(lang, Counter()).update(text.split())
             if sum(map(len, held.values())) > most:
                 yield from out()
@@ -206,79 +281,80 @@ def words_of(batches, most: int = MOST_ENTRIES):
     give_back()
 
 
-def windows_of(batches, least: int, longest: int, words: np.ndarray | None,
-               pairs: np.ndarray | None, bits: int, most: int = MOST_ENTRIES, burst: int = BURST):
-    """Runs of phrases of ``least`` to ``longest`` words, of words and neighbouring
-    pairs in the filters."""
-    trie = HatTrie(burst)
-    ids: dict[bytes, dict[bytes, int]] = {}  # lang -> word -> id; 0: not in the filter
-    names: list[bytes] = [b""]
-    langs: list[bytes] = [b""]
-    hashes: list[int] = [0]
+def pairs_of(batches, words: np.ndarray, bits: int, most: int = PAIRS_AT_ONCE,
+             most_words: int = MOST_ENTRIES):
+    """Sums of hashes of neighbouring words that are both in the filter."""
+    known = Vocabulary(words, bits)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def out(keep: int = 0):
-        held: tuple[list, list, list] = ([], [], [])
-        for windows in trie.spill(keep):
-            lang = langs[windows[0][0][0]]
-            for phrase, n in run_of(windows, names, least):
-                for column, value in zip(held, (lang, phrase, n)):
-                    column.append(value)
-            if len(held[0]) > 20_000:
-                yield _batch(*held)
-                held = ([], [], [])
-        if held[0]:
-            yield _batch(*held)
-
-    def number(lang: bytes, known: dict, new: set) -> None:
-        new = list(new)
-        h = np.array([word_hash(lang, w) for w in new], dtype=np.uint64)
-        good = np.ones(len(new), dtype=bool) if words is None else has(words, h, bits)
-        for w, x, g in zip(new, h.tolist(), good.tolist()):
-            known[w] = len(names) if g else 0
-            if g:
-                names.append(w)
-                langs.append(lang)
-                hashes.append(x)
+    def merge():
+        h, n = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(h)
+        h, n = h[order], n[order]
+        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        held[:] = [(h[starts], np.add.reduceat(n, starts))]
+        return len(starts)
 
-    for b in batches:
-        for lang, text in _texts(b):
-            known = ids.setdefault(lang, {})
-            pieces = [p.split() for p in text.split(b"\n")]
-            pieces = [p for p in pieces if len(p) >= least]
-            if new := {w for p in pieces for w in p if w not in known}:
-                number(lang, known, new)
-            line = [0]  # the pieces' ids, 0 between them
-            for p in pieces:
-                line += map(known.__getitem__, p)
-                line.append(0)
-            if pairs is None:
-                stretches = _stretches(line, None, least)
-            else:
-                h = np.array([hashes[i] for i in line], dtype=np.uint64)
-                stretches = _stretches(line, has(pairs, pair_hashes(h[:-1], h[1:]), bits), least)
-            for s in stretches:
-                for k in range(len(s) - least + 1):
-                    trie.add(s[k], tuple(s[k + 1:k + longest]))
-                if trie.entries > most:  # also within a very long text
-                    yield from out(most // 2)
-        if sum(map(len, ids.values())) > most:
+    def out():
+        h, n = held.pop()
+        for k in range(0, len(h), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(h[k:k + 100_000].astype(np.int64)),
+                                              pa.array(n[k:k + 100_000])], schema=_PAIR)
+    size = 0
+    for a, h in known.lines(batches, WORDS_AT_ONCE):
+        both = (a[:-1] > 0) & (a[1:] > 0)
+        pairs = pair_hashes(h[:-1][both], h[1:][both])
+        held.append((pairs, np.ones(len(pairs), dtype=np.int64)))
+        size += len(pairs)
+        if size > most and (size := merge()) > most // 2:
             yield from out()
-            ids.clear()
-            names, langs, hashes = [b""], [b""], [0]
-    yield from out()
+            size = 0
+        if len(known) > most_words:
+            known.clear()
+    if size:
+        merge()
+        yield from out()
     give_back()
 
 
-def _stretches(line: list, joined: np.ndarray | None, least: int):
-    """Runs of ids without a 0, and without a pair that isn't ``joined``."""
-    a = np.array(line, dtype=np.int64)
-    ok = (a[:-1] > 0) & (a[1:] > 0)
-    if joined is not None:
-        ok &= joined
-    edge = np.diff(np.concatenate([[False], ok, [False]]).astype(np.int8))
-    for i, j in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
-        if j - i + 1 >= least:
-            yield line[i:j + 1]
+def windows_of(batches, least: int, longest: int, pairs: np.ndarray | None, bits: int,
+               most: int = MOST_ENTRIES, burst: int = BURST, root_burst: int = ROOT_BURST):
+    """Runs of phrases of ``least`` to ``longest`` words whose neighbouring pairs are
+    in the filter."""
+    trie = HatTrie(burst, root_burst)
+    known = Vocabulary(None, bits)
+
+    def out(keep: int = 0):
+        windows, counts = trie.spill(keep)
+        names, langs = pa.array(known.names, pa.binary()), pa.array(known.langs, pa.binary())
+        for size in range(least, longest + 1):
+            ids, n = prefix_sums(windows, counts, size)
+            for k in range(0, len(ids), 20_000):
+                part = [pa.array(c) for c in ids[k:k + 20_000].T]
+                phrase = pc.binary_join_element_wise(*(names.take(c) for c in part), b" ")
+                yield pa.RecordBatch.from_arrays(
+                    [langs.take(part[0]).cast(pa.string()), phrase.cast(pa.string()),
+                     pa.array(n[k:k + 20_000])], schema=_RUN)
+    for a, h in known.lines(batches, WORDS_AT_ONCE):
+        joined = (a[:-1] > 0) & (a[1:] > 0)
+        if pairs is not None:
+            joined &= has(pairs, pair_hashes(h[:-1], h[1:]) >> np.uint64(PAIR_BITS - bits))
+        joined = np.concatenate([joined, np.zeros(longest, dtype=bool)])
+        a = np.concatenate([a, np.zeros(longest, dtype=np.int64)])
+        at = np.flatnonzero(joined)
+        columns, on = [a[at]], np.ones(len(at), dtype=bool)
+        for k in range(1, longest):
+            on = on & joined[at + k - 1]
+            columns.append(np.where(on, a[at + k], 0))
+        for k in range(0, len(at), WORDS_AT_ONCE):  # also within a very long text
+            trie.add(zip(*(c[k:k + WORDS_AT_ONCE].tolist() for c in columns)))
+            if trie.entries > most:
+                yield from out(most // 2)
+        if len(known) > most:
+            yield from out()
+            known.clear()
+    yield from out()
+    give_back()
 
 
 # -- counting on Spark --------------------------------------------------------
@@ -308,21 +384,15 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
     hot = [(r["lang"], r["phrase"]) for r in words.where(
         F.col("n") > F.lit(total * HOT_SHARE)).collect()]  # at most 1 / HOT_SHARE
     often = words.where(F.col("n") >= min_count)
-    found = [often]
-    for least, most in ((2, 2), (3, longest)):
-        if most < least or longest < least:
-            continue
-        kept = sc.broadcast(phrase_filter(found[-1], bits))
-
-        def count(batches, least=least, most=most, kept=kept):
-            return windows_of(batches, least, most, kept.value if least == 2 else None,
-                              kept.value if least > 2 else None, bits)
-        found.append(cut(merged(texts.mapInArrow(count, schema), hot)
-                         .where(F.col("n") >= min_count), f"collocation-{most}"))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out, sizes
+    if longest < 2:
+        return often, sizes
+    good = sc.broadcast(word_filter(often, bits))
+    pairs = texts.mapInArrow(lambda batches: pairs_of(batches, good.value, bits), "h long, n long")
+    joined = sc.broadcast(bitmap_of(pairs.groupBy("h").agg(F.sum("n").alias("n")).where(
+        F.col("n") >= min_count).select(F.shiftright("h", PAIR_BITS - bits).alias("at")), bits))
+    runs = texts.mapInArrow(lambda batches: windows_of(batches, 2, longest, joined.value, bits), schema)
+    phrases = cut(merged(runs, hot).where(F.col("n") >= min_count), "collocation-phrases")
+    return often.unionByName(phrases), sizes
 
 
 def _small(df: DataFrame) -> DataFrame:

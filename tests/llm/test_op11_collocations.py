@@ -81,44 +81,59 @@ def test_small_filters_and_tries_change_nothing(spark, many, monkeypatch):
                                         "text": [b for _, b in many]})
     whole, parts = Counter(), Counter()
     for sums, most, burst in ((whole, 10 ** 6, 10 ** 6), (parts, 50, 4)):
-        for b in P.windows_of([batch], 2, 5, None, None, 26, most, burst):
+        if sums is parts:
+            monkeypatch.setattr(P, "WORDS_AT_ONCE", 300)
+        for b in P.windows_of([batch], 2, 5, None, 26, most, burst, burst):
             for lang, phrase, n in zip(*(c.to_pylist() for c in b.columns)):
                 sums[lang, phrase] += n
     assert whole == parts
     assert {(lang, p): n for lang, p, n in want if " " in p} == {
         k: n for k, n in whole.items() if n >= 5}
+    full = np.full(1 << 23, 255, dtype=np.uint8)
+    sums = Counter()
+    for most, words in ((60, 5), (10 ** 6, 10 ** 6)):
+        for b in P.pairs_of([batch], full, 26, most, words):
+            for h, n in zip(*(c.to_pylist() for c in b.columns)):
+                sums[h] += n if words > 5 else -n
+    assert sums and not any(sums.values())
 
 
 def test_trie_bursts_and_spills():
     rnd = random.Random(1)
-    want, trie = Counter(), P.HatTrie(burst=8)
+    want, trie = Counter(), P.HatTrie(burst=8, root_burst=20)
     for _ in range(5000):
-        w = tuple(min(rnd.randint(1, 9), rnd.randint(1, 9)) for _ in range(rnd.randint(1, 4)))
+        w = [min(rnd.randint(1, 9), rnd.randint(1, 9)) for _ in range(rnd.randint(1, 4))]
+        w = tuple(w + [0] * (4 - len(w)))
         want[w] += 1
-        trie.add(w[0], w[1:])
+        trie.add([w])
+    trie.burst_root()
     assert trie.entries == len(want)
     assert any(type(c) is dict for c in trie.root.values())
-    some = [x for run in trie.spill(len(want) // 2) for x in run]
-    assert trie.entries <= len(want) // 2 and trie.root
-    rest = [x for run in trie.spill() for x in run]
-    assert trie.entries == 0 and not trie.root
-    assert Counter(dict(some)) + Counter(dict(rest)) == want and len(some) + len(rest) == len(want)
+    got = Counter()
+    for keep in (len(want) // 2, 0):
+        windows, counts = trie.spill(keep)
+        assert trie.entries <= keep and windows.tolist() == sorted(windows.tolist())
+        assert not {w[0] for w in got} & set(windows[:, 0].tolist())  # subtrees go whole
+        got.update(dict(zip(map(tuple, windows.tolist()), counts.tolist())))
+    assert got == want and not trie.root and len(trie.spill()[0]) == 0
 
 
-def test_runs_are_sorted_prefix_sums():
-    names = [b"", b"b", b"a", b"c"]
-    run = P.run_of([((1, 2, 3), 2), ((1, 2), 1), ((1, 3, 3), 4)], names, 2)
-    assert run == [(b"b a", 3), (b"b a c", 2), (b"b c", 4), (b"b c c", 4)]
+def test_prefix_sums():
+    w = np.array([[1, 2, 0], [1, 2, 3], [1, 3, 3], [2, 0, 0]])
+    n = np.array([1, 2, 4, 8])
+    ids, sums = P.prefix_sums(w, n, 2)
+    assert ids.tolist() == [[1, 2], [1, 3]] and sums.tolist() == [3, 4]
+    ids, sums = P.prefix_sums(w, n, 3)
+    assert ids.tolist() == [[1, 2, 3], [1, 3, 3]] and sums.tolist() == [2, 4]
+    assert P.prefix_sums(w, n, 1)[1].tolist() == [7, 8]
 
 
 def test_filter_has_all_it_was_given(spark):
-    df = spark.createDataFrame([("en", f"w{i}") for i in range(500)] +
-                               [("en", f"w{i} v{i}") for i in range(500)], "lang string, phrase string")
-    bitmap = P.phrase_filter(df, 20)
-    h = np.array([P.word_hash(b"en", b"w%d" % i) for i in range(500)], dtype=np.uint64)
-    v = np.array([P.word_hash(b"en", b"v%d" % i) for i in range(500)], dtype=np.uint64)
-    assert P.has(bitmap, h, 20).all() and P.has(bitmap, P.pair_hashes(h, v), 20).all()
-    assert P.has(bitmap, v, 20).mean() < 0.02
+    df = spark.createDataFrame([("en", f"w{i}") for i in range(500)], "lang string, phrase string")
+    bitmap = P.word_filter(df, 20)
+    at = lambda c: np.array([P.word_hash(b"en", b"%s%d" % (c, i)) >> 44
+                             for i in range(500)], dtype=np.uint64)
+    assert P.has(bitmap, at(b"w")).all() and P.has(bitmap, at(b"v")).mean() < 0.02
 
 
 def test_scores_past_64_bits(spark):
