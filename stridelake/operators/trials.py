@@ -49,11 +49,12 @@ def _run_tables(states, params, key, ts, tiebreak):
                  F.col("s_seated").alias("v"), F.lit(None).cast("long").alias("nx")),
         F.struct(F.lit(1).alias("sig"), F.col("run_s_past").alias("run_no"),
                  F.col("s_past").alias("v"),
-                 # row right after the run's first row (needed for t4)
-                 F.when(F.col("start_s_past"), F.col(f"next_{ts}")).alias("nx")))).alias("r"))
+                 # steps to a later time: a frame time may come several times
+                 F.when(F.col(f"next_{ts}") > F.col(ts), F.col(f"next_{ts}")).alias("nx")))
+        ).alias("r"))
     runs = (both.groupBy(key, F.col("r.sig").alias("sig"), F.col("r.run_no").alias("run_no"))
                 .agg(F.max("r.v").alias("value"), F.min(ts).alias("t_start"),
-                     F.max(ts).alias("t_end"), F.max("r.nx").alias("t_second")))
+                     F.max(ts).alias("t_end"), F.min("r.nx").alias("t_second")))
     runs = cut(runs, "runs")
     seated_runs = runs.filter(F.col("sig") == 0).drop("sig", "t_second")
     past_runs = runs.filter(F.col("sig") == 1).drop("sig")
@@ -67,8 +68,8 @@ def event_chain(seated_runs: DataFrame, past_runs: DataFrame, key: str,
     t1 = start of the last standing run (only if there was at least one
     seated -> standing transition); t2 = first instant >= t1 past the mark;
     t3 = first instant > t2 back before the mark; t4 = first instant > t3
-    seated. Timestamps are assumed distinct within a trial (frame names are
-    their timestamps). ``bound_rows`` (rows of the run tables) bounds every
+    seated. A frame time may come several times: the smoothing window goes by
+    time, so frames of one time have one state and are in one run. ``bound_rows`` (rows of the run tables) bounds every
     per-trial table; under the broadcast limit they are broadcast.
     """
     def b(df):
@@ -86,7 +87,7 @@ def event_chain(seated_runs: DataFrame, past_runs: DataFrame, key: str,
     t2 = (past_runs.filter(F.col("value")).join(b(t1), key)
           .filter(F.col("t_end") >= F.col("t1"))
           .groupBy(key).agg(F.min(F.greatest(F.col("t_start"), F.col("t1"))).alias("t2")))
-    # t3: start of the first not-past run after t2, and the row right after it
+    # t3: start of the first not-past run after t2, and the first time after it
     t3 = (past_runs.filter(~F.col("value")).join(b(t2), key)
           .filter(F.col("t_start") > F.col("t2"))
           .groupBy(key).agg(F.min("t_start").alias("t3"),

@@ -52,6 +52,37 @@ def q_trial_events(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(events_of(spark, sf))
 
 
+def _repeated_frames(spark, sf):
+    """Frames at whole six hours, so that times come several times; errors have
+    no known state."""
+    fr = S.event_frames(spark, sf, (F.col("event_type") != "error").alias("_ok"))
+    return fr.select("trial_id", "event_id",
+                     (F.col("frame_ts_ms") - F.col("frame_ts_ms") % (DAY_MS // 4)).alias("frame_ts_ms"),
+                     F.when(F.col("_ok"), F.col("seated")).alias("seated"),
+                     F.when(F.col("_ok"), F.col("past")).alias("past"))
+
+
+def q_repeated_frame_events(spark, sf):
+    """The event chain where frame times repeat and states are unknown."""
+    return round_doubles(T.trial_events(_repeated_frames(spark, sf), E_TRIAL, key="trial_id",
+                                        ts="frame_ts_ms", tiebreak=E_TIEBREAK))
+
+
+def q_state_series(spark, sf):
+    """Every trial's report series, from the same frames."""
+    fr = _repeated_frames(spark, sf)
+    ev = T.trial_events(fr, E_TRIAL, key="trial_id", ts="frame_ts_ms", tiebreak=E_TIEBREAK)
+    return round_doubles(P.state_series(fr, ev, bucket_ms=E_TRIAL.bucket_ms, tiebreak=E_TIEBREAK))
+
+
+def q_imu_series(spark, sf):
+    """Every trial's IMU series: suppliers' samples, the users' times zero."""
+    ev = events_of(spark, sf).withColumn("trial_id", F.col("trial_id").cast("string"))
+    return round_doubles(P.imu_series(S.lineitem_imu(spark, sf), ev).select(
+        "trial_id", "host_timestamp_ms", "imu_timestamp_ms", "l_linenumber", "l_partkey", "t_s",
+        "accel_mag", "gyro_mag"))
+
+
 def _sm(spark, sf):
     return G.smooth_flags(S.event_frames(spark, sf), ["trial_id"], "frame_ts_ms",
                           ["seated", "past"], E_TRIAL.dwell_ms, E_TRIAL.bucket_ms)
@@ -214,6 +245,18 @@ def q_pending_trials(spark, sf):
     return R.pending({"camera": cam, "imu": imu}, _done(spark, sf), "trial_id", "camera")
 
 
+def q_pending_report(spark, sf):
+    """The pending report over a layer of finished trials, its order as a rank."""
+    from ..plans.layers import pending_report, run_layer
+    from ..session import scratch_path
+    done = scratch_path(spark, "finished")
+    run_layer(spark, _done(spark, sf).distinct(), lambda d: d, done, batch_id="1")
+    cam = S.table(spark, sf, "customer").select(F.col("c_custkey").alias("trial_id"))
+    imu = S.table(spark, sf, "events").select((F.col("user_id") + F.lit(1400)).alias("trial_id"))
+    return R.global_rank(pending_report(spark, {"camera": cam, "imu": imu}, done),
+                         [F.col("trial_id")], "place")
+
+
 # -- strings -----------------------------------------------------------------
 def q_path_metadata(spark, sf):
     pg = S.table(spark, sf, "pages").select("page_id", "url")
@@ -617,4 +660,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "camera_chain": q_camera_chain,
     "sample_seconds": q_sample_seconds,
     "rejected_lines": q_rejected_lines,
+    "repeated_frame_events": q_repeated_frame_events,
+    "state_series": q_state_series,
+    "imu_series": q_imu_series,
+    "pending_report": q_pending_report,
 }

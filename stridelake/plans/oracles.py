@@ -556,3 +556,50 @@ FROM e"""
 SQL["stream_rate_all"] = """
 WITH e AS (SELECT CAST(user_id AS VARCHAR) AS trial_id, epoch_us(ts) // 1000 AS ms FROM events)
 SELECT trial_id, ms - (ms % 3600000) AS window_start_ms, count(*) AS n_rows FROM e GROUP BY 1, 2"""
+
+# -- repeated frame times, unknown states, report series ------------------------------
+REPEATED_E = """
+known AS (
+  SELECT user_id AS trial_id, event_id,
+         epoch_us(ts) // 1000 - (epoch_us(ts) // 1000) % 21600000 AS ms,
+         CASE WHEN event_type <> 'error' THEN event_type IN ('view', 'click', 'signup') END AS seated,
+         CASE WHEN event_type <> 'error' THEN value > 28.0 END AS past
+  FROM events
+),
+frames AS (SELECT * FROM known WHERE seated IS NOT NULL AND past IS NOT NULL)"""
+REPEATED_EVENTS_E = REPEATED_E + EVENTS_E[len(FRAMES_E):]
+
+SQL["repeated_frame_events"] = "WITH " + REPEATED_EVENTS_E + """
+SELECT u.trial_id, coalesce(finished, FALSE) AS finished, frail,
+       coalesce(attempts, 0)::INTEGER AS attempts, """ + _r(
+    ["duration_s", "stand_up_s", "to_mark_s", "turn_back_s", "back_to_chair_s"]) + """,
+       t0_ms, t1_ms, t4_ms
+FROM (SELECT DISTINCT trial_id FROM known) u LEFT JOIN ev USING (trial_id)"""
+
+SQL["state_series"] = "WITH " + REPEATED_EVENTS_E + """
+SELECT k.trial_id, event_id, ms AS frame_ts_ms,
+  coalesce(last_value(seated IGNORE NULLS) OVER wu, first_value(seated IGNORE NULLS) OVER wf) AS seated,
+  coalesce(last_value(past IGNORE NULLS) OVER wu, first_value(past IGNORE NULLS) OVER wf) AS past,
+  round((ms - t0_ms) / 1000.0::DOUBLE, 6) AS t_s
+FROM known k LEFT JOIN ev USING (trial_id)
+WINDOW wu AS (PARTITION BY k.trial_id ORDER BY ms, event_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+       wf AS (PARTITION BY k.trial_id ORDER BY ms, event_id
+              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"""
+
+SQL["imu_series"] = "WITH " + EVENTS_E + """,
+t0 AS (SELECT trial_id::VARCHAR AS trial_id, t0_ms FROM ev),
+li AS (
+  SELECT l_suppkey::VARCHAR AS trial_id, CAST(epoch_us(l_shipdate) // 1000 AS DOUBLE) AS host_timestamp_ms,
+         l_orderkey AS imu_timestamp_ms, l_linenumber, l_partkey,
+         l_quantity / 5.0 AS ax, l_discount * 10.0 AS ay, nullif(l_tax, 0.08) * 10.0 AS az,
+         l_discount * 25000.0 AS gx, l_tax * 1000.0 AS gy, l_quantity AS gz
+  FROM lineitem)
+SELECT trial_id, host_timestamp_ms, imu_timestamp_ms, l_linenumber, l_partkey,
+       round((host_timestamp_ms - t0_ms) / 1000.0::DOUBLE, 6) AS t_s,
+       round(sqrt(ax * ax + ay * ay + az * az), 6) AS accel_mag,
+       round(sqrt(gx * gx + gy * gy + gz * gz), 6) AS gyro_mag
+FROM li LEFT JOIN t0 USING (trial_id)"""
+
+SQL["pending_report"] = (SQL["pending_trials"].replace("SELECT trial_id, CASE", "SELECT trial_id, "
+                         "row_number() OVER (ORDER BY trial_id) AS place, CASE"))

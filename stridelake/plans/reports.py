@@ -3,12 +3,15 @@ marks and shares, signal values at the marks, filled state series."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import fmt_or_dash, short_id
 from ..operators.relations import global_rank
 from ..operators.signals import interpolate_at
+from ..session import per_key
 
 PHASES = [("stand_up_s", "end of standing up"), ("to_mark_s", "mark (out)"),
           ("turn_back_s", "mark (back)"), ("back_to_chair_s", "end of test")]
@@ -78,29 +81,41 @@ def values_at_marks(samples: DataFrame, marks: DataFrame, key: str, ts: str, val
 
 
 # -- per-trial series for the report page (FLT-4, PL-6) ------------------------
-def state_series(gold_camera: DataFrame, events: DataFrame, trial_id: str,
-                 key: str = "trial_id", ts: str = "frame_ts_ms") -> DataFrame:
-    """One trial's states, filled forward then backward, with seconds since
-    the trial's t0 (the same zero as the phase marks). The trial filter is a
+def _since_t0(rows: DataFrame, events: DataFrame, trial_id: str | None, key: str, ts: str):
+    """``rows`` (of one trial, or of all) with seconds since the trial's t0."""
+    t0 = events.select(key, "t0_ms")
+    if trial_id is None:
+        t0 = per_key(t0, "t0")  # so that a trial with most of the rows can be split
+    else:
+        t0 = t0.filter(F.col(key) == F.lit(trial_id))
+    return (rows.join(t0, key, "left")
+                .withColumn("t_s", (F.col(ts) - F.col("t0_ms")) / F.lit(1000.0)).drop("t0_ms"))
+
+
+def state_series(gold_camera: DataFrame, events: DataFrame, trial_id: str | None = None,
+                 key: str = "trial_id", ts: str = "frame_ts_ms",
+                 bucket_ms: int = 10 * 60 * 1000, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """A trial's states, filled forward then backward, with seconds since
+    the trial's t0 (the same zero as the phase marks), in time order; without
+    ``trial_id`` those of all trials, in no order. The trial filter is a
     plain predicate, so it reaches the Parquet scan (row-group statistics of
     the trial-clustered layer files)."""
     from ..operators.signals import fill_states
-    one = gold_camera.filter(F.col(key) == F.lit(trial_id))
-    filled = fill_states(one, [key], ts, ["seated", "past"], 10 * 60 * 1000)
-    t0 = events.filter(F.col(key) == F.lit(trial_id)).select(key, "t0_ms")
-    return (filled.join(t0, key, "left")
-                  .withColumn("t_s", (F.col(ts) - F.col("t0_ms")) / F.lit(1000.0))
-                  .drop("t0_ms").orderBy(ts))
+    if trial_id is not None:
+        gold_camera = gold_camera.filter(F.col(key) == F.lit(trial_id))
+    out = _since_t0(fill_states(gold_camera, [key], ts, ["seated", "past"], bucket_ms, tiebreak),
+                    events, trial_id, key, ts)
+    return out if trial_id is None else out.orderBy(ts, *tiebreak)
 
 
-def imu_series(silver_imu: DataFrame, events: DataFrame, trial_id: str,
+def imu_series(silver_imu: DataFrame, events: DataFrame, trial_id: str | None = None,
                key: str = "trial_id", ts: str = "host_timestamp_ms") -> DataFrame:
-    """One trial's IMU samples with accel/gyro magnitudes and seconds since t0."""
+    """A trial's IMU samples with accel/gyro magnitudes and seconds since t0, in
+    time order; without ``trial_id`` those of all trials, in no order."""
     from ..operators.signals import magnitude
-    one = silver_imu.filter(F.col(key) == F.lit(trial_id))
-    t0 = events.filter(F.col(key) == F.lit(trial_id)).select(key, "t0_ms")
-    return (one.join(t0, key, "left")
-               .select("*", ((F.col(ts) - F.col("t0_ms")) / F.lit(1000.0)).alias("t_s"),
-                       magnitude("accel_x_g", "accel_y_g", "accel_z_g").alias("accel_mag"),
-                       magnitude("gyro_x_dps", "gyro_y_dps", "gyro_z_dps").alias("gyro_mag"))
-               .drop("t0_ms").orderBy(ts))
+    if trial_id is not None:
+        silver_imu = silver_imu.filter(F.col(key) == F.lit(trial_id))
+    out = _since_t0(silver_imu, events, trial_id, key, ts).select(
+        "*", magnitude("accel_x_g", "accel_y_g", "accel_z_g").alias("accel_mag"),
+        magnitude("gyro_x_dps", "gyro_y_dps", "gyro_z_dps").alias("gyro_mag"))
+    return out if trial_id is None else out.orderBy(ts)

@@ -66,6 +66,17 @@ def test_trial_case(events, name):
             assert g == pytest.approx(e, abs=1e-9)
 
 
+def test_repeated_frame_times(spark):
+    """t4 lies strictly after t3, also where the frame of t3 is there twice."""
+    one = [(0, True, False), (1000, False, False), (2000, False, True), (3000, True, False),
+           (4000, True, False)]
+    twice = one[:4] + one[3:]
+    rows = [(n, *r) for n, fr in (("one", one), ("twice", twice), ("all", one + one)) for r in fr]
+    df = spark.createDataFrame(rows, "trial_id string, frame_ts_ms long, seated boolean, past boolean")
+    for r in trial_events(df, TrialParams()).collect():
+        assert (r.t4_ms, r.duration_s, r.turn_back_s, r.back_to_chair_s) == (4000, 4.0, 1.0, 1.0)
+
+
 def test_every_trial_has_a_row(events):
     assert set(events) == set(CASES)
 
