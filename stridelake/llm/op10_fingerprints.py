@@ -21,7 +21,8 @@ meets one minimum per sample. A row's words are in its block's task, so nothing
 is shuffled but the texts, once, by block; a text's fingerprint is compared with
 the next one's there too.
 
-Defined results: a null text is an empty one; a text without words has the
+Defined results: rows go by descending doc_id, null ids last, those of one id by a
+hash of their text (equal ones in any order); a null text is an empty one; a text without words has the
 fingerprint ``''``, which is like another such (1) and like no other (0). Equal
 texts have equal fingerprints. Repeated rows each have one. Extra columns are
 ignored. An empty table gives no row.
@@ -38,12 +39,12 @@ from ..session import bounded, cut
 
 #: At a similarity of 0.8 the standard deviation is 0.035.
 SAMPLES = 128
-#: Samples of one aggregate; wider ones leave Spark's generated code.
+#: Samples of one aggregate; wider ones leave Spark's generated code, narrower ones cost
+#: more rows than they save (8 at once: 2590 CPU seconds a GB on the cluster, 32: 1970).
 SAMPLES_AT_ONCE = 32
 #: Bits of a hash of a sample's (word, q) that a fingerprint keeps.
 ID_BITS = 24
-ROWS_PER_BLOCK = 2000
-MOST_BLOCKS = 1024
+ROWS_PER_BLOCK = 500
 
 _WORDS = (r"if(btrim({0}, ' \t\n\u000b\u000c\r') = '', array(), "
           r"split(btrim({0}, ' \t\n\u000b\u000c\r'), '[\\x20\\x09-\\x0D]+'))")
@@ -102,9 +103,8 @@ def likeness(a: str, b: str, samples: int = SAMPLES) -> Column:
         f"substring({b}, i * {n} + 1, {n}))) / {samples}D end")
 
 
-def _order() -> list[Column]:
-    """Descending doc_id, null last, then a hash of the text."""
-    return [F.col("doc_id").isNull(), F.bitwise_not("doc_id"), F.col("k1"), F.col("k2")]
+#: The order of the rows: descending doc_id, null last, a hash of the text, then the row.
+ORDER = ["z", "o", "k1", "k2", "tie"]
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -113,38 +113,67 @@ def with_next(docs: DataFrame) -> DataFrame:
     return in_blocks(docs).where(~F.col("halo")).drop("halo", "block")
 
 
-def in_blocks(docs: DataFrame) -> DataFrame:
-    """The rows of ``with_next``, dealt to blocks of neighbouring ids, so that
-    no task sorts all, and in order within a block. As its last a block also
-    has the first row of the one behind it (halo)."""
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64("text", F.lit(1))})
+def _key() -> Column:
+    return F.struct(*ORDER)
+
+
+def _cuts(docs: DataFrame, blocks: int) -> DataFrame:
+    """The first keys of all blocks but the first (key, j from 1): one small row
+    each, from a range partitioning of the keys alone."""
+    first = cut(docs.select(*ORDER).repartitionByRange(blocks, *ORDER)
+                .groupBy(F.spark_partition_id().alias("p")).agg(F.min(_key()).alias("key")), "cuts")
+    w = Window.orderBy("key")
+    return first.select("key", (F.row_number().over(w) - 1).alias("j")).where("j > 0")
+
+
+def blocked(docs: DataFrame) -> DataFrame:
+    """Adds ``block``: runs of neighbours in the whole order, so that many rows of one
+    doc_id, or of none, are many blocks too. A row is compared with the square root
+    of the number of blocks twice: first with every so many-th cut, then with those
+    between, which a join brings."""
     n = docs.count()
-    blocks = max(1, min(MOST_BLOCKS, math.ceil(n / ROWS_PER_BLOCK)))
-    cuts = docs.agg(F.percentile_approx(
-        F.bitwise_not("doc_id"), [i / blocks for i in range(1, blocks)] or [0.5],
-        100 * MOST_BLOCKS).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-    block = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(F.size(F.filter(
-        F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<bigint>"),
-        lambda c: c < F.bitwise_not("doc_id")))).alias("block")
-    docs = docs.withColumn("block", block)
-    # the first row of each block, then its text
-    first = cut(docs.groupBy("block").agg(F.min(F.struct(
-        F.bitwise_not("doc_id").alias("o"), "k1", "k2")).alias("f")).select("block", "f.*"), "first")
-    heads = (docs.join(bounded(first.select(
-        F.col("block").alias("b"), F.col("o"), F.col("k1").alias("h1"), F.col("k2").alias("h2")),
-        first.count()),  # one row for each block
-        (F.col("block") == F.col("b")) & F.bitwise_not("doc_id").eqNullSafe(F.col("o"))
-        & (F.col("k1") == F.col("h1")) & (F.col("k2") == F.col("h2")))
-        .select("block", "text", "k1", "k2").dropDuplicates(["block"]))
-    ahead = Window.orderBy("block")
+    blocks = math.ceil(n / ROWS_PER_BLOCK)
+    if blocks < 2:
+        return docs.withColumn("block", F.lit(0))
+    cuts = cut(_cuts(docs, blocks), "numbered-cuts")
+    step = max(1, math.isqrt(cuts.count()))
+    cuts = cuts.withColumn("part", F.expr(f"int((j - 1) div {step})"))
+    coarse = [r["key"] for r in cuts.where(F.col("j") % step == 1 % step).orderBy("j").collect()]
+    fine = cut(cuts.groupBy("part").agg(F.sort_array(F.collect_list("key")).alias("keys")), "fine-cuts")
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    heads = F.array(*(F.struct(*(F.lit(k[c]).cast(kinds[c]).alias(c) for c in ORDER))
+                      for k in coarse))
+    key = _key()
+    part = docs.withColumn("part", F.size(F.filter(heads, lambda c: c <= key)) - 1)
+    return part.join(bounded(fine, len(coarse) * step), "part", "left").withColumn(
+        "block", F.when(F.col("part") < 0, 0).otherwise(
+            F.col("part") * step + F.size(F.filter("keys", lambda c: c <= key)))).drop("part", "keys")
+
+
+def in_blocks(docs: DataFrame) -> DataFrame:
+    """The rows of ``with_next``, dealt to blocks of neighbours, so that no task
+    sorts all, and in order within a block. As its last a block also has the first
+    row of the one behind it (halo)."""
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumns({
+        "z": F.col("doc_id").isNull(), "o": F.bitwise_not("doc_id"), "k1": F.xxhash64("text"),
+        "k2": F.xxhash64("text", F.lit(1)), "tie": F.xxhash64(F.monotonically_increasing_id())})
+    docs = blocked(docs)
+    # the first row of each block (its key alone), and which block is behind it
+    first = cut(docs.groupBy("block").agg(F.min(_key()).alias("f")).select("block", "f.*"), "first")
+    ahead = Window.orderBy("block")  # one row for each block, no text
     whole = ahead.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    halo = heads.select("block", *(F.coalesce(F.lead(c).over(ahead), F.first(c).over(whole)).alias(c)
-                                   for c in ("text", "k1", "k2")))
+    before = first.select("block", F.coalesce(F.lead("block").over(ahead), F.first("block").over(whole))
+                          .alias("behind"))
+    same = ((F.col("block") == F.col("b")) & F.col("o").eqNullSafe(F.col("ho"))
+            & (F.col("k1") == F.col("h1")) & (F.col("k2") == F.col("h2")))
+    heads = docs.join(bounded(first.select(
+        F.col("block").alias("b"), F.col("o").alias("ho"), F.col("k1").alias("h1"),
+        F.col("k2").alias("h2")), first.count()), same).select(
+        F.col("block").alias("behind"), "text", *ORDER).dropDuplicates(["behind"])
+    halo = heads.join(before, "behind").drop("behind")
     both = docs.withColumn("halo", F.lit(False)).unionByName(
         halo.withColumns({"halo": F.lit(True), "doc_id": F.lit(None).cast("bigint")}))
-    w = Window.partitionBy("block").orderBy("halo", *_order())
+    w = Window.partitionBy("block").orderBy("halo", *ORDER)
     return both.select("block", "doc_id", "text", "k1", "k2", "halo",
                        F.lead("text").over(w).alias("next_text"))
 

@@ -1,10 +1,13 @@
 import hashlib
+import math
 import random
 import re
+import struct
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from stridelake.llm import op10_fingerprints as P
@@ -107,6 +110,71 @@ def test_native_and_one_text_shuffle(sample, plan):
     assert "Python" not in text and "Arrow" not in text
 
 
+def spark_hash(*values):
+    """Spark's xxhash64 of words (str), longs (int) and ints (tuples of one)."""
+    seed = 42
+    for v in values:
+        raw = v.encode() if isinstance(v, str) else struct.pack("<i", *v) if isinstance(v, tuple) \
+            else struct.pack("<q", v)
+        seed = xxhash.xxh64_intdigest(raw, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_fingerprint(text, samples):
+    """Consistent weighted sampling word by word, from the three exponentials."""
+    out = ""
+    for s in range(samples):
+        best = []
+        for word, w in Counter(WORD.findall(text)).items():
+            t = spark_hash(word)
+            h = spark_hash(t, (s,)) & (1 << 63) - 1
+            g = spark_hash(t, (s,), (1,)) % (1 << 64)
+            v = ((h >> 24) + 0.5) / 2 ** 39
+            e3 = -math.log1p(-v)
+            e4, e2 = -math.log(((g >> 32) + 0.5) / 2 ** 32), -math.log((g % 2 ** 32 + 0.5) / 2 ** 32)
+            c = e3 + e4
+            e1 = -math.log(e3 / c)
+            r, beta = e1 + e2, e2 / (e1 + e2)
+            q = math.floor(math.log(w) / r + beta)
+            a = math.exp(math.log(c) - r * (q - beta) - r)
+            best.append(h if q == 0 else int(-math.expm1(-a) * 2 ** 39) << 24 | h % 2 ** 24)
+        out += "%06x" % (spark_hash(min(best)) % 2 ** 24) if best else ""
+    return out
+
+
+def test_plain_sampler_gives_the_same_strings(spark, odd, rows):
+    texts = sorted({r[1] or "" for r in rows if len(r[1] or "") < 5000})
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.fingerprint for r in P.fingerprints(df, ["doc_id"], 20).collect()}
+    same = [got[i][k:k + 6] == want[k:k + 6] for i, want in
+            enumerate(plain_fingerprint(t, 20) for t in texts) for k in range(0, len(want), 6)]
+    assert len(same) > 500 and sum(same) >= len(same) - 2  # a last bit may round otherwise
+
+
+def test_a_hot_doc_id_spans_blocks(spark):
+    """A third of the rows have one id, a sixth have none, a sixth are one row."""
+    df = spark.range(60_000).select(
+        F.expr("case when id % 3 = 0 then 7 when id % 6 = 1 then null when id % 6 = 2 then 9 "
+               "else id end").alias("doc_id"),
+        F.expr("case when id % 6 = 2 then 'same' else concat('text ', id) end").alias("text"))
+    got = P.in_blocks(df).where("not halo")
+    sizes = [r["count"] for r in got.groupBy("block").count().collect()]
+    assert sum(sizes) == 60_000 and max(sizes) < 4 * P.ROWS_PER_BLOCK
+    rows = sorted(((r.doc_id, r.text, r.next_text) for r in got.collect()),
+                  key=lambda r: (r[0] is None, -(r[0] or 0)))
+    # each text is the next one of one row: the order is one ring
+    assert sorted(r[1] for r in rows) == sorted(r[2] for r in rows)
+    by = {r[1]: r[2] for r in rows if r[1] != "same"}
+    assert len(by) == 50_000
+    text, seen = "text 59999", 0
+    while text != "same":
+        text, seen = by[text], seen + 1
+    assert seen > 0
+    for (i, _, nxt), (j, text, _) in zip(rows, rows[1:]):
+        if i is not None and i > 9 and j is not None and j > 9:
+            assert nxt == text
+
+
 def test_hot_doc_id_and_empty_table(spark, none):
     df = spark.range(300).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id"))
                                  .cast("long").alias("doc_id"),
