@@ -11,7 +11,8 @@ bucket), and joined back on ``(key, bucket)``, which the rows are already
 partitioned by. Results equal the single-window version exactly.
 
 Range frames (centred smoothing) use halo rows instead: a row is copied into
-the neighbouring bucket when a row there has it inside its frame.
+the neighbouring bucket when a row there has it inside its frame. Sums over such
+frames (``frame_sums``) come from a linear sweep over the frames' ends.
 """
 
 from __future__ import annotations
@@ -216,8 +217,9 @@ def halo(df: DataFrame, ts: str, lower: int, upper: int, width: int,
     copies to stay within one bucket on each side.
     """
     t = F.col(ts)
-    lo = bucket_of(t - F.lit(upper), width)
-    hi = bucket_of(t - F.lit(lower), width)
+    # its own bucket too, where the frame lies beside the row
+    lo = bucket_of(t - F.lit(max(upper, 0)), width)
+    hi = bucket_of(t - F.lit(min(lower, 0)), width)
     # a row without a time keeps one copy, in the bucket of such rows (the
     # null peer group of a plain window)
     return (df.withColumn(out, F.explode(F.sequence(lo, hi)))
@@ -241,3 +243,53 @@ def range_frame(df: DataFrame, keys: Sequence[str], ts: str, lower: int, upper:
     d = d.select("*", *[e.over(w).alias(n) for n, e in aggs.items()])
     d = d.filter(F.col("_home")).drop("_home")
     return d if keep_bucket else d.drop(BKT)
+
+
+def frame_sums(df: DataFrame, keys: Sequence[str], ts: str, lower: int, upper: int,
+               width: int, sums: dict[str, Column], keep_bucket: bool = False) -> DataFrame:
+    """``sum(x) OVER (PARTITION BY keys ORDER BY ts RANGE BETWEEN lower AND upper)``
+    for every row, in time linear in the rows, however many a frame holds.
+
+    A sweep over frame edges: next to its value a row puts out the two ends of its
+    frame as events, one ordered pass carries the running sums, and a frame's sum is
+    the difference of the sums at its ends. Rows go to (key, bucket) with halo copies
+    as in ``range_frame``, once; the pass and the meeting of a row with its two ends
+    stay within the bucket's task.
+
+    ``sums`` maps output names to integer or decimal expressions over the row (floats
+    lose digits in the difference); nulls add nothing, and a frame without a value has
+    the sum 0. Rows without a time are one frame, as in a plain window.
+    """
+    keys = list(keys)
+    part = [*keys, BKT]
+    columns = df.columns
+    names = list(sums)
+    d = (halo(df.withColumns({f"_x_{n}": e for n, e in sums.items()}), ts, lower, upper, width)
+         .repartition(*part))
+    low, row, high = F.lit(0), F.lit(1), F.lit(2)
+
+    def event(kind: Column, at: Column) -> Column:
+        return F.struct(kind.alias("_kind"), at.alias("_at"))
+
+    t = F.col(ts)
+    events = F.when(F.col("_home"), F.array(event(low, t + F.lit(lower)), event(row, t),
+                                            event(high, t + F.lit(upper)))
+                    ).otherwise(F.array(event(row, t)))
+    # an end needs its row's time only
+    lean = [F.when(F.col("_e._kind") == row, F.col(c)).alias(c)
+            for c in columns if c not in (*keys, ts)]
+    d = d.select("*", F.explode(events).alias("_e")).select(
+        *part, ts, *lean, "_home", "_e.*",
+        *(F.when(F.col("_e._kind") == row, F.col(f"_x_{n}")).alias(f"_x_{n}") for n in names))
+    upto = (Window.partitionBy(*part).orderBy("_at", "_kind")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    d = d.select("*", *(F.coalesce(F.sum(f"_x_{n}").over(upto), F.lit(0)).alias(f"_r_{n}")
+                        for n in names))
+    peers = Window.partitionBy(*part, ts)  # rows of one time have one frame
+
+    def at(kind: Column, n: str) -> Column:
+        return F.max(F.when(F.col("_kind") == kind, F.col(f"_r_{n}"))).over(peers)
+
+    d = d.select("*", *((at(high, n) - at(low, n)).alias(n) for n in names))
+    return d.where((F.col("_kind") == row) & F.col("_home")).select(
+        *columns, *names, *([BKT] if keep_bucket else []))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut, per_key
 from . import greedy
-from .sequence import range_frame, scan
+from .sequence import frame_sums, scan
 
 
 def magnitude(*cols: str | Column) -> Column:
@@ -42,16 +42,20 @@ def smooth_flags(df: DataFrame, keys: Sequence[str], ts: str, flags: Sequence[st
 
     The reference rolls a centred time window whose left edge is open; on
     integer milliseconds that is ``RANGE BETWEEN w/2 - 1 PRECEDING AND w/2
-    FOLLOWING``. The mean must be strictly above 0.5.
+    FOLLOWING``. The mean must be strictly above 0.5; it is null where no state in
+    the window is known. Linear in the rows, whatever a window holds.
     """
     half = dwell_ms // 2
     lower, upper = -(half - 1), half
     width = max(bucket_ms, upper - lower)
-    aggs = {f"_m_{f}": F.avg(F.col(f).cast("double")) for f in flags}
-    out = range_frame(df, keys, ts, lower, upper, width, aggs, keep_bucket=keep_bucket)
+    sums = {}
     for f in flags:
-        out = out.withColumn(f"{prefix}{f}", F.col(f"_m_{f}") > F.lit(0.5)).drop(f"_m_{f}")
-    return out
+        sums[f"_true_{f}"] = F.col(f).cast("long")
+        sums[f"_known_{f}"] = F.col(f).isNotNull().cast("long")
+    out = frame_sums(df, keys, ts, lower, upper, width, sums, keep_bucket=keep_bucket)
+    return out.withColumns({
+        f"{prefix}{f}": F.when(F.col(f"_known_{f}") > 0, 2 * F.col(f"_true_{f}") > F.col(f"_known_{f}"))
+        for f in flags}).drop(*sums)
 
 
 def state_runs(df: DataFrame, keys: Sequence[str], ts: str, value: str, bucket_ms: int,

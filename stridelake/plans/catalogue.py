@@ -92,6 +92,14 @@ def q_smooth_state(spark, sf):
     return _sm(spark, sf).select("trial_id", "frame_ts_ms", "event_id", "s_seated", "s_past")
 
 
+def q_smooth_dense(spark, sf):
+    """All users' frames as one recording, smoothed over nine days: a window holds a
+    third of all rows."""
+    frames = S.event_frames(spark, sf).withColumn("recording", F.lit("all"))
+    return G.smooth_flags(frames, ["recording"], "frame_ts_ms", ["seated", "past"], 9 * DAY_MS,
+                          E_TRIAL.bucket_ms).select("frame_ts_ms", "event_id", "s_seated", "s_past")
+
+
 def q_state_runs(spark, sf):
     return G.state_runs(_sm(spark, sf), ["trial_id"], "frame_ts_ms", "s_seated",
                         E_TRIAL.bucket_ms, tiebreak=E_TIEBREAK)
@@ -614,6 +622,7 @@ def q_chunk_files(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trial_events": q_trial_events,
     "smooth_state": q_smooth_state,
+    "smooth_dense": q_smooth_dense,
     "state_runs": q_state_runs,
     "stand_attempts": q_stand_attempts,
     "local_peaks": q_local_peaks,

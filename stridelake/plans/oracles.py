@@ -72,6 +72,12 @@ FROM ev"""
 SQL["smooth_state"] = "WITH " + SMOOTH_E + """
 SELECT trial_id, ms AS frame_ts_ms, event_id, s_seated, s_past FROM sm"""
 
+SQL["smooth_dense"] = "WITH " + FRAMES_E + """
+SELECT ms AS frame_ts_ms, event_id, avg(seated::INT) OVER w > 0.5 AS s_seated,
+       avg(past::INT) OVER w > 0.5 AS s_past
+FROM frames
+WINDOW w AS (ORDER BY ms RANGE BETWEEN 388799999 PRECEDING AND 388800000 FOLLOWING)"""
+
 RUNS_E = SMOOTH_E + """,
 ch AS (
   SELECT *, CASE WHEN lag(s_seated) OVER w IS DISTINCT FROM s_seated THEN 1 ELSE 0 END AS c
