@@ -65,22 +65,58 @@ def bucket_ways(batches, keys, ts, gap):
             names=[*keys, "_b", "entry", "exit"])
 
 
+def _step(entry, leave, reach, last, gap):
+    """Thresholds ``reach`` and last kept rows after one more bucket; a threshold
+    beyond the bucket's entries meets no row there."""
+    at = np.searchsorted(entry, reach)
+    meets = at < len(entry)
+    out = leave[np.minimum(at, len(entry) - 1)]
+    return np.where(meets, out + gap, reach), np.where(meets, out, last)
+
+
+def compose(batches, keys, gap):
+    """The ways of a run of buckets (column ``_p``), from those of its buckets: where
+    the walk leaves the run for every place where it may enter. That is in its first
+    bucket, as a threshold lies less than a gap behind the run's start, or at the
+    first row of the second, behind all rows of the first."""
+    for t, cuts in whole_groups(batches):
+        entry, leave = t.column("entry").combine_chunks(), t.column("exit").combine_chunks()
+        entries, exits = [], []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            ways = [(entry[k].values.to_numpy(), leave[k].values.to_numpy())
+                    for k in range(int(a), int(b))]
+            places = ways[0][0] if len(ways) < 2 else np.append(ways[0][0], ways[1][0][0])
+            reach, last = places, places
+            for e, x in ways:
+                reach, last = _step(e, x, reach, last, gap)
+            stands = np.append(last[1:] != last[:-1], True)
+            entries.append(places[stands])
+            exits.append(last[stands])
+        head = t.take(pa.array(cuts[:-1]))
+        kind = entry.type
+        yield pa.RecordBatch.from_arrays(
+            [*(head.column(k).combine_chunks() for k in [*keys, "_p"]), pa.array(entries, kind),
+             pa.array(exits, kind)], names=[*keys, "_b", "entry", "exit"])
+
+
 def follow(batches, keys, gap):
-    """The last row kept before each bucket of a key; null for none."""
+    """The last row kept before each bucket of a run (``_in``: the one before the
+    run's first bucket); null for none."""
     for t, cuts in whole_groups(batches):
-        entry, leave = t.column("entry").to_pylist(), t.column("exit").to_pylist()
+        entry, leave = t.column("entry").combine_chunks(), t.column("exit").combine_chunks()
+        before = t.column("_in")
         out = []
         for a, b in zip(cuts[:-1], cuts[1:]):
-            last = None
-            for k in range(a, b):
+            last = before[int(a)].as_py()
+            for k in range(int(a), int(b)):
                 out.append(last)
-                at = 0 if last is None else int(np.searchsorted(entry[k], last + gap))
-                if at < len(entry[k]):
-                    last = leave[k][at]
-        kind = t.schema.field("entry").type.value_type
+                e = entry[k].values.to_numpy()
+                at = 0 if last is None else int(np.searchsorted(e, last + gap))
+                if at < len(e):
+                    last = leave[k].values[at].as_py()
         yield pa.RecordBatch.from_arrays(
-            [*(t.column(k).combine_chunks() for k in [*keys, "_b"]), pa.array(out, kind)],
-            names=[*keys, "_b", "_last"])
+            [*(t.column(k).combine_chunks() for k in [*keys, "_b"]),
+             pa.array(out, entry.type.value_type)], names=[*keys, "_b", "_last"])
 
 
 def kept_rows(batches, columns, ts, gap):

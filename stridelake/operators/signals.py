@@ -92,6 +92,15 @@ def local_peaks(df: DataFrame, keys: Sequence[str], ts: str, value: str, thresho
     return s.filter(cond).drop(f"prev_{value}", f"next_{value}", "has_prev", "has_next")
 
 
+#: Buckets (or runs of buckets) of one key that a task follows at most.
+WALK_RUN = 512
+
+
+def _most_rows(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the key that has most."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def min_spacing(df: DataFrame, keys: Sequence[str], ts: str, gap, *,
                 tiebreak: Sequence[str] = ()) -> DataFrame:
     """Greedy spacing: walk rows in time order, keep a row when it is at
@@ -104,8 +113,10 @@ def min_spacing(df: DataFrame, keys: Sequence[str], ts: str, gap, *,
     1. In each bucket, where the walk leaves it (its last kept row) is worked
        out for every place where it may enter. Walks merge fast, so a bucket
        gives few (last entry, exit) pairs.
-    2. Per key, the buckets' pairs are followed in order: one small row per
-       bucket, streamed.
+    2. Runs of ``WALK_RUN`` neighbouring buckets compose their ways into one, runs
+       of runs again, until a key has few. The walk is followed over these, then,
+       knowing the last row before each run, over the buckets of every run, so
+       that no task follows all buckets of a key.
     3. Each bucket, now knowing the last row kept before it, marks its rows.
     """
     keys = list(keys)
@@ -123,8 +134,20 @@ def min_spacing(df: DataFrame, keys: Sequence[str], ts: str, gap, *,
     ways = times.mapInArrow(
         lambda batches: greedy.bucket_ways(batches, keys, ts, gap),
         f"{kinds}, _b bigint, entry array<{kind}>, exit array<{kind}>")
-    entered = in_groups(ways, keys, ["_b"]).mapInArrow(
+    run_of = F.expr(f"(_b - pmod(_b, {WALK_RUN})) div {WALK_RUN}")
+    levels = [cut(ways, "ways")]
+    while _most_rows(levels[-1], keys) > WALK_RUN:
+        runs = levels[-1].withColumn("_p", run_of)
+        levels.append(cut(in_groups(runs, [*keys, "_p"], ["_b"]).mapInArrow(
+            lambda batches: greedy.compose(batches, keys, gap), ways.schema), "composed-ways"))
+    top = levels.pop()
+    entered = in_groups(top.withColumn("_in", F.lit(None).cast(kind)), keys, ["_b"]).mapInArrow(
         lambda batches: greedy.follow(batches, keys, gap), f"{kinds}, _b bigint, _last {kind}")
+    for level in reversed(levels):
+        before = per_key(entered.withColumnsRenamed({"_b": "_p", "_last": "_in"}), "run-entries")
+        runs = level.withColumn("_p", run_of).join(before, [*keys, "_p"])
+        entered = in_groups(runs, [*keys, "_p"], ["_b"]).mapInArrow(
+            lambda batches: greedy.follow(batches, keys, gap), f"{kinds}, _b bigint, _last {kind}")
     known = rows.join(per_key(entered, "spacing"), part)
     out = in_groups(known, part, [ts, *tiebreak])
     columns = df.columns

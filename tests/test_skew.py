@@ -1,10 +1,14 @@
 """One hot trial is spread over many tasks, and results stay exact."""
 
+import random
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from stridelake.operators import signals
 from stridelake.operators.sequence import range_frame, scan
+from stridelake.operators.signals import min_spacing
 
 
 @pytest.fixture(autouse=True)
@@ -52,3 +56,44 @@ def test_hot_trial_range_frame_uses_many_tasks(spark):
     ref = df.select("k", "ts", F.avg(F.col("s").cast("int")).over(w).alias("m"))
     assert out.select("k", "ts", "m").exceptAll(ref).isEmpty()
     assert out.count() == df.count()
+
+
+def _walk(times, gap):
+    kept = []
+    for t in sorted(times):
+        if not kept or t >= kept[-1] + gap:
+            kept.append(t)
+    return kept
+
+
+def test_composed_walks_equal_the_walk(spark, monkeypatch):
+    """Runs of three buckets, so that a key has several levels; gaps in time, bursts,
+    repeated times, a key of one row, and times before the epoch."""
+    monkeypatch.setattr(signals, "WALK_RUN", 3)
+    rnd = random.Random(3)
+    times = {"one": [5], "sparse": [-10_000 + 377 * i for i in range(90)],
+             "dense": [rnd.randrange(-500, 4000) for _ in range(3000)],
+             "bursts": [1000 * rnd.randrange(12) + rnd.randrange(25) for _ in range(400)]}
+    df = spark.createDataFrame([(k, t, i) for k, ts in times.items() for i, t in enumerate(ts)],
+                               "k string, t long, i long")
+    for gap in (7, 10, 40):
+        got = {}
+        for r in min_spacing(df, ["k"], "t", gap, tiebreak=["i"]).collect():
+            got.setdefault(r.k, []).append(r.t)
+        assert {k: sorted(v) for k, v in got.items()} == {k: _walk(v, gap) for k, v in times.items()}
+
+
+def test_no_task_follows_all_buckets_of_a_key(spark, monkeypatch):
+    """40,000 buckets of one key: a run holds at most WALK_RUN of them, and the walk
+    is followed over as many runs at most."""
+    written, plain = [], signals.cut
+
+    def watched(df, name):
+        written.append(plain(df, name))
+        return written[-1]
+    monkeypatch.setattr(signals, "cut", watched)
+    df = spark.range(160_000).select(F.lit("hot").alias("k"), (F.col("id") * 10).alias("t"))
+    assert min_spacing(df, ["k"], "t", 10).count() == 160_000
+    rows = [d.count() for d in written]
+    assert rows == [40_000, 79]  # 40,000 / 512
+    assert signals.WALK_RUN == 512 and signals._most_rows(written[-1], ["k"]) <= 512
