@@ -601,6 +601,24 @@ def q_stream_lines(spark, sf):
     return round_doubles(spark.read.parquet(sink))
 
 
+def _streamed_lines(spark, sf):
+    from ..session import scratch_path
+    from ..streaming.ingest import ingest_lines
+    return ingest_lines(spark, _export_lines(spark, sf), scratch_path(spark, "lines-good"),
+                        scratch_path(spark, "lines-bad"), scratch_path(spark, "lines-ckpt"), 2)
+
+
+def q_stream_parsed(spark, sf):
+    """Raw lines streamed to two tables, two files a batch; the table of parsed lines."""
+    return round_doubles(_streamed_lines(spark, sf)[0])
+
+
+def q_stream_rejects(spark, sf):
+    """The same stream's table of rejected lines, counted by reason."""
+    return (_streamed_lines(spark, sf)[1].groupBy("reason")
+            .agg(F.count(F.lit(1)).alias("n_lines")))
+
+
 def q_chunk_files(spark, sf):
     """IMU rows written as CSV chunks of 500 rows per trial folder; returns
     the name and sums over the contents of every written file."""
@@ -661,6 +679,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "camera_layers": q_camera_layers,
     "source_trials": q_source_trials,
     "stream_lines": q_stream_lines,
+    "stream_parsed": q_stream_parsed,
+    "stream_rejects": q_stream_rejects,
     "chunk_files": q_chunk_files,
     "stream_rate_all": q_stream_rate_all,
     "layer_reuse": q_layer_reuse,

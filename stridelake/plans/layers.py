@@ -3,15 +3,18 @@
 A layer step reads its upstream, keeps only trials the target does not have
 yet (left anti join on the trial key), transforms, and appends. It is a
 no-op when the upstream table is missing or nothing is new, and safe to
-re-run: a run writes to a hidden staging folder and publishes it as a
-partition of its own (``batch_id``, ``run_id``) with one rename. Loaded trials
-are never touched, whatever batch id is used again, and a run that fails
-leaves nothing that readers see. Two runs at once on one target are not
+re-run: a run writes to a hidden staging folder, moves it to a partition of its
+own (``batch_id``, ``run_id``), and then writes the run's keys to a small table,
+whose success marker is the run's completion. Readers take completed runs only, so
+a move that an object store carries out as copies, and that breaks half-way, shows
+nothing, and the next run loads those trials. Loaded trials are never touched,
+whatever batch id is used again. Two runs at once on one target are not
 coordinated. Rows inside a run are clustered by (trial, time) so Parquet
 min/max statistics prune single-trial reads; no directory per trial.
 
-What is new is found on the key columns alone: the difference of the two key
-sets is written once, tested, and then picks the rows.
+What is new is found on the key columns alone, on the layer's side on the runs'
+key tables: the difference of the two key sets is written once, tested, and then
+picks the rows.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import chunk_file_name
-from ..session import bounded, cut, full_uri, move, path_exists
+from ..session import bounded, cut, full_uri, matching_paths, move
 
 BATCH = "batch_id"
 RUN = "run_id"
@@ -40,24 +43,45 @@ class StepResult:
     metrics: dict | None = None  # observed during the write (no extra pass)
 
 
+KEYS = "_keys"  # hidden from a plain read of the folder
+
+
+def completed_runs(spark: SparkSession, path: str) -> list[str]:
+    """``batch_id=.../run_id=...`` of the runs that are published whole."""
+    done = matching_paths(spark, f"{path}/{KEYS}/{BATCH}=*/{RUN}=*/_SUCCESS")
+    return sorted("/".join(p.split("/")[-3:-1]) for p in done)
+
+
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None,
                columns: list[str] | None = None, fmt: str = "parquet") -> DataFrame | None:
-    """Column-pruned layer read; an absent table gives an empty frame of
-    ``schema`` (or None without a schema)."""
-    if not path_exists(spark, path):
-        if schema is None:
-            return None
+    """Column-pruned layer read, completed runs only; an absent table gives an empty
+    frame of ``schema`` (or None without a schema). A folder without any run is an
+    ordinary table and read as such."""
+    df = None
+    if fmt == "parquet" and (runs := completed_runs(spark, path)):
+        df = spark.read.option("basePath", path).parquet(*(f"{path}/{r}" for r in runs))
+    elif fmt == "parquet" and matching_paths(spark, f"{path}/{BATCH}=*/{RUN}=*"):
+        pass  # none of its runs is complete
+    elif matching_paths(spark, f"{path}/[^_.]*" if fmt == "parquet" else path):
+        df = spark.read.format(fmt).load(path)
+    if df is not None:
+        df = df.drop(RUN)
+    elif schema is not None:
         df = spark.createDataFrame([], schema)
     else:
-        df = spark.read.format(fmt).load(path).drop(RUN)
+        return None
     return df.select(*columns) if columns else df
 
 
 def loaded_keys(spark: SparkSession, path: str, key: str = "trial_id",
                 fmt: str = "parquet") -> DataFrame | None:
-    if not path_exists(spark, path):
-        return None
-    return spark.read.format(fmt).load(path).select(key).distinct()
+    """Distinct keys of a layer, from its runs' key tables."""
+    if fmt == "parquet" and (runs := completed_runs(spark, path)):
+        keys = spark.read.parquet(*(f"{path}/{KEYS}/{r}" for r in runs))
+        if key in keys.columns:
+            return keys.select(key).distinct()
+    rows = read_layer(spark, path, fmt=fmt)
+    return None if rows is None else rows.select(key).distinct()
 
 
 def run_layer(spark: SparkSession, upstream: DataFrame | None,
@@ -91,7 +115,10 @@ def run_layer(spark: SparkSession, upstream: DataFrame | None,
     if fmt == "parquet":
         staged = f"{target}/_staging-{run}"
         out.write.parquet(staged)
-        move(spark, staged, f"{target}/{BATCH}={bid}/{RUN}={run}")
+        place = f"{BATCH}={bid}/{RUN}={run}"
+        move(spark, staged, f"{target}/{place}")
+        (spark.read.parquet(f"{target}/{place}").select(key).distinct()
+              .write.parquet(f"{target}/{KEYS}/{place}"))
     else:  # a format with commits of its own
         (out.withColumns({BATCH: F.lit(bid), RUN: F.lit(run)}).write.format(fmt).mode("append")
             .partitionBy(BATCH, RUN).save(target))

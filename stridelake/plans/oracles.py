@@ -530,6 +530,8 @@ SQL["source_trials"] = """
 SELECT DISTINCT CAST(user_id AS VARCHAR) AS trial_id FROM events"""
 
 SQL["stream_lines"] = SQL["parse_lines"]
+SQL["stream_parsed"] = SQL["parse_lines"]
+SQL["stream_rejects"] = SQL["rejected_lines"]
 
 SQL["chunk_files"] = "WITH " + IMU_L + """,
 n AS (SELECT *, (row_number() OVER (PARTITION BY trial_id ORDER BY host_timestamp_ms NULLS FIRST,

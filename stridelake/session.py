@@ -103,6 +103,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The files and folders that a Hadoop glob pattern names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [x.getPath().toString() for x in (fs.globStatus(p) or [])]
+
+
 def full_uri(spark: SparkSession, path: str) -> str:
     """The path with scheme and authority, as Hadoop resolves it: Python tasks
     that open it themselves then reach the same store, not a local disk."""

@@ -6,6 +6,8 @@ batch step, a late file of an already loaded trial is picked up.
 ``rate_per_window``: per-trial sample counts per event-time window with a
 watermark, in append mode (a window is emitted once the watermark passes
 its end; windows still open at the end of the input stay pending).
+``ingest_lines``: raw sensor lines to two tables, parsed and rejected ones with
+their reason, each micro-batch in folders of its own.
 ``run_updates``: the same counts in update mode, open windows included.
 All run with ``trigger(availableNow=True)``, i.e. as re-runnable batch jobs.
 """
@@ -16,6 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import computed_once, path_exists
+from ..sources.files import parse_imu_lines, rejected_imu_lines
+
 
 def run_available(df: DataFrame, sink_path: str, checkpoint: str, mode: str = "append",
                   fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
@@ -47,6 +52,30 @@ def run_updates(df: DataFrame, sink_path: str, checkpoint: str, keys: list[str])
                                     .alias("_r")).select(*keys, "_r.*"))
 
 
+def ingest_lines(spark: SparkSession, source: str, sink: str, rejects: str, checkpoint: str,
+                 max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """New text files of ``source`` -> parsed lines in ``sink``, the others with a reason
+    in ``rejects`` (ST-2); returns both tables. A micro-batch writes one folder a table,
+    named by its number, and a batch done again after a failure replaces them: each line
+    is in one of the tables, once."""
+    def both(lines: DataFrame, batch: int) -> None:
+        with computed_once(lines) as held:  # the files are read once for the two tables
+            parse_imu_lines(held).write.mode("overwrite").parquet(f"{sink}/batch={batch}")
+            rejected_imu_lines(held).write.mode("overwrite").parquet(f"{rejects}/batch={batch}")
+
+    r = spark.readStream
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    q = (r.text(source).writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(both).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    empty = spark.createDataFrame([], "value string")
+    return tuple(spark.read.parquet(path).drop("batch") if path_exists(spark, path) else of(empty)
+                 for path, of in ((sink, parse_imu_lines), (rejects, rejected_imu_lines)))
+
+
 def ingest_files(spark: SparkSession, source: str, schema: T.StructType, sink: str,
                  checkpoint: str, fmt: str = "csv", header: bool = True,
                  max_files_per_trigger: int | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from stridelake.operators.inference import detect_landmarks, stub_detector_factory
@@ -214,3 +215,70 @@ def test_rejected_lines_and_frames(spark):
     assert parse_imu_lines(df).count() + len(got) == len(lines)
     f = spark.createDataFrame([("a", 1), ("b", None)], "trial_id string, frame_ts_ms long")
     assert [(r.trial_id, r.reason) for r in rejected_frames(f).collect()] == [("b", "no_time")]
+
+
+def test_a_half_published_run_is_not_read(spark, monkeypatch):
+    """The move breaks after some files, or the marker is missing: readers see nothing
+    of the run, and the next one loads its trials."""
+    from stridelake.plans import layers
+    tgt = scratch_path(spark, "half")
+    df = spark.createDataFrame([("A", 1), ("B", 2)], "trial_id string, v int").repartition(2)
+    assert run_layer(spark, df.where("trial_id = 'A'"), lambda d: d, tgt).status == "written"
+    plain = layers.move
+
+    def breaks(spark, source, target):
+        plain(spark, source, target)
+        part = next(f for f in os.listdir(target) if f.startswith("part-"))
+        with open(os.path.join(target, part), "wb") as f:
+            f.write(b"PAR1 and no more")
+        raise OSError("lost in the middle")
+    monkeypatch.setattr(layers, "move", breaks)
+    with pytest.raises(OSError):
+        run_layer(spark, df, lambda d: d, tgt)
+    monkeypatch.setattr(layers, "move", plain)
+    assert [r.trial_id for r in read_layer(spark, tgt).collect()] == ["A"]
+    assert [r.trial_id for r in layers.loaded_keys(spark, tgt).collect()] == ["A"]
+    assert run_layer(spark, df, lambda d: d, tgt).status == "written"
+    assert sorted((r.trial_id, r.v) for r in read_layer(spark, tgt).collect()) == [("A", 1), ("B", 2)]
+    assert run_layer(spark, df, lambda d: d, tgt).status == "nothing_new"
+
+
+def test_keys_come_from_key_tables(spark):
+    """The set of loaded keys reads no file of the layer's rows."""
+    from stridelake.plans import layers
+    tgt = scratch_path(spark, "keyed")
+    for t in "AB":
+        df = spark.range(50).select(F.lit(t).alias("trial_id"), F.col("id").alias("v"))
+        run_layer(spark, df, lambda d: d, tgt)
+    keys = layers.loaded_keys(spark, tgt)
+    assert sorted(r.trial_id for r in keys.collect()) == ["A", "B"]
+    assert all("/_keys/" in f for f in keys.inputFiles())
+    assert layers.loaded_keys(spark, scratch_path(spark, "absent")) is None
+
+
+def test_lines_stream_to_two_tables_once(spark):
+    """Files come in two drops; the last batch is done again after its commit is lost."""
+    from stridelake.streaming.ingest import ingest_lines
+    src = scratch_path(spark, "lines")
+    good, bad, ck = (scratch_path(spark, n) for n in ("good", "bad", "lines-ck"))
+    os.makedirs(src)
+
+    def drop(name, lines):
+        with open(os.path.join(src, name), "w") as f:
+            f.write("".join(x + "\n" for x in lines))
+    empty = ingest_lines(spark, src, good, bad, ck)
+    assert [t.count() for t in empty] == [0, 0]
+    drop("a.txt", ["1,0,0,1,0,0,0", "1,2", "", "x,0,0,1,0,0,0"])
+    a, b = ingest_lines(spark, src, good, bad, ck)
+    assert [r.millis for r in a.collect()] == [1]
+    assert sorted((r.value, r.reason) for r in b.collect()) == [
+        ("", "fields"), ("1,2", "fields"), ("x,0,0,1,0,0,0", "number")]
+    drop("b.txt", ["2,0,0,1,0,0,0", "3,0,0,1,0,0,nope"])
+    for _ in range(2):
+        a, b = ingest_lines(spark, src, good, bad, ck)
+        assert sorted(r.millis for r in a.collect()) == [1, 2] and b.count() == 4
+        commits = os.path.join(ck, "commits")
+        last = max(int(f) for f in os.listdir(commits) if f.isdigit())
+        for f in (str(last), f".{last}.crc"):
+            if os.path.exists(os.path.join(commits, f)):
+                os.remove(os.path.join(commits, f))
