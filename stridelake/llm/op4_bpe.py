@@ -26,7 +26,7 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
 import regex
@@ -166,7 +166,7 @@ class WordBpe:
         return got
 
     def chunk(self, chunk: str) -> tuple[str, str]:
-        """(ids, tokens) of a chunk, joined by spaces."""
+        """The ids of a chunk, joined by spaces, and the text that they decode to."""
         out: list[str] = []
         for word in self.words(chunk):
             got = self.known.get(word)
@@ -177,7 +177,8 @@ class WordBpe:
                         self.known.clear()
                     self.known[word] = got
             out += got
-        return " ".join([self.text_ids[t] for t in out]), " ".join(out)
+        ids = " ".join([self.text_ids[t] for t in out])
+        return ids, self.decode(map(int, ids.split()))
 
     def _chunk_once(self, chunk: str) -> tuple[str, str]:
         got = self.chunks.get(chunk)
@@ -209,12 +210,13 @@ class WordBpe:
         return
 
     def digest(self, text: str) -> tuple[int, str, str]:
-        """(number of ids, sha256 of the ids, sha256 of the decoded text)."""
+        """(number of ids, sha256 of the ids, sha256 of the text that the ids decode to):
+        chunks are encoded and decoded one by one, as tokens never span two."""
         ids, decoded, n, sep = hashlib.sha256(), hashlib.sha256(), 0, b""
         memo = self.chunks
         for special, chunks in self.parts(text):
             if special is not None:
-                got = [(str(self.special[special]), special)]
+                got = [(str(i := self.special[special]), self.decode([i]))]
             else:
                 got = list(map(memo.get, chunks))
                 if None in got:
@@ -238,7 +240,7 @@ class WordBpe:
                 out += map(int, self.chunk(c)[0].split())
         return out
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         """As the library decodes a file without a decoder: tokens and
         spaces."""
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)

@@ -81,3 +81,18 @@ def test_small_caches_change_nothing(sample, library, monkeypatch):
 
 def test_empty_table(none):
     assert B.encode_decode(none).count() == 0
+
+
+def test_the_decoded_text_comes_from_the_ids():
+    """A wrong id in the table shows in both digests, so the query does decode."""
+    bpe = B.WordBpe(PATH)
+    n, ids, decoded = bpe.digest("one two one")
+    assert decoded == hashlib.sha256(bpe.decode(bpe.encode("one two one")).encode()).hexdigest()
+    wrong = B.WordBpe(PATH)
+    first = str(wrong.encode("one")[0])
+    other = next(i for i in wrong.text_ids.values() if i != first)
+    token = next(t for t, i in wrong.text_ids.items() if i == first)
+    wrong.chunks.clear()
+    wrong.text_ids[token] = other
+    got = wrong.digest("one two one")
+    assert got[0] == n and got[1] != ids and got[2] != decoded
