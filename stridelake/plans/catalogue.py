@@ -444,6 +444,45 @@ def q_stream_rate_all(spark, sf):
     return r.select("trial_id", F.unix_millis("window_start").alias("window_start_ms"), "n_rows")
 
 
+def _event_stream(spark, sf):
+    """The events as a stream of files, their time a timestamp."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "event-files")
+    ev = S.table(spark, sf, "events").select(F.col("user_id").alias("trial_id"), "event_id",
+                                             "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    ev.write.parquet(path)
+    return spark.readStream.schema(ev.schema).parquet(path)
+
+
+def q_stream_running_total(spark, sf):
+    """Hourly counts per trial and the total so far, from a stream: windows that the
+    watermark (last event - 1 h) has passed."""
+    from ..session import scratch_path
+    from ..streaming.stateful import run_stateful, running_total
+    sink = scratch_path(spark, "total-sink")
+    run_stateful(running_total(_event_stream(spark, sf), "trial_id", "ts", "1 hour", "1 hour"),
+                 sink, scratch_path(spark, "total-ckpt"))
+    return spark.read.parquet(sink)
+
+
+def q_stream_sessions(spark, sf):
+    """Samples with the session active then, both from streams: day buckets that the
+    watermark (the lesser of the two last times - 1 h) has passed."""
+    from ..session import scratch_path
+    from ..streaming.stateful import live_sessions, run_stateful
+    ev = _event_stream(spark, sf)
+    starts = ev.where("event_type = 'signup'").select(
+        "trial_id", F.col("event_id").alias("session_id"), F.col("ts").alias("start"),
+        F.timestamp_millis(F.unix_millis("ts") + F.lit(SESSION_MS)).alias("end"))
+    samples = ev.where("event_type <> 'signup'").select(
+        "trial_id", F.col("event_id").alias("sample_id"), "ts")
+    sink = scratch_path(spark, "sessions-sink")
+    run_stateful(live_sessions(samples, starts, "trial_id", "ts", "sample_id", "start", "end",
+                               "session_id", "1 hour", SESSION_MS, DAY_MS),
+                 sink, scratch_path(spark, "sessions-ckpt"))
+    return spark.read.parquet(sink)
+
+
 def q_layer_silver(spark, sf):
     """Bronze -> silver run twice over IMU CSV files exported from lineitem;
     the second run finds nothing new. Returns the silver table."""
@@ -693,4 +732,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_series": q_state_series,
     "imu_series": q_imu_series,
     "pending_report": q_pending_report,
+    "stream_running_total": q_stream_running_total,
+    "stream_sessions": q_stream_sessions,
 }

@@ -611,3 +611,17 @@ FROM li LEFT JOIN t0 USING (trial_id)"""
 
 SQL["pending_report"] = (SQL["pending_trials"].replace("SELECT trial_id, CASE", "SELECT trial_id, "
                          "row_number() OVER (ORDER BY trial_id) AS place, CASE"))
+
+# -- keyed state over streams ----------------------------------------------------------
+SQL["stream_running_total"] = """
+WITH e AS (SELECT user_id AS trial_id, epoch_us(ts) // 1000 AS ms FROM events),
+h AS (SELECT trial_id, ms - (ms % 3600000) AS window_start_ms, count(*) AS n_rows
+      FROM e GROUP BY 1, 2)
+SELECT trial_id, window_start_ms, n_rows,
+       CAST(sum(n_rows) OVER (PARTITION BY trial_id ORDER BY window_start_ms) AS BIGINT) AS running_total
+FROM h WHERE window_start_ms + 3600000 <= (SELECT max(ms) - 3600000 FROM e)"""
+
+SQL["stream_sessions"] = SQL["session_samples"].replace("WHERE rn = 1 AND ms < end_ms", """
+WHERE rn = 1 AND ms < end_ms AND ms - ms % 86400000 + 86400000 <=
+  (SELECT least(max(ms) FILTER (event_type = 'signup'), max(ms) FILTER (event_type <> 'signup'))
+          - 3600000 FROM e)""")
