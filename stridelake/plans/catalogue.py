@@ -393,6 +393,40 @@ def q_detect_landmarks(spark, sf):
                                   F.col("l.visibility").cast("double").alias("visibility")))
 
 
+def _camera_frames(spark, sf):
+    """Frames as a camera gives them: some without a time or content, some torn."""
+    i = F.col("vec_id")
+    text = F.encode(F.concat_ws(",", F.transform("embedding", lambda x: x.cast("string"))), "UTF-8")
+    return S.table(spark, sf, "embeddings").select(
+        F.col("label").cast("string").alias("trial_id"),
+        F.when(i % 17 != 5, i).alias("frame_ts_ms"),
+        F.when(i % 13 == 2, F.encode(F.lit("torn"), "UTF-8"))
+         .when(i % 19 != 7, text).alias("content"))
+
+
+def _batch_stub():
+    from ..operators.inference import one_by_one, stub_detector_factory
+    return one_by_one(stub_detector_factory())
+
+
+def q_detect_batches(spark, sf):
+    """Landmarks per frame and the reason where there are none; frames go to the
+    detector in batches."""
+    from ..operators.inference import detect_batches
+    d = detect_batches(_camera_frames(spark, sf), _batch_stub(), batch_frames=16)
+    return d.select("trial_id", "frame_ts_ms", F.size("landmarks").cast("long").alias("n_landmarks"),
+                    "reason")
+
+
+def q_rejected_frames(spark, sf):
+    """Frames left out or failed, counted by reason."""
+    from ..operators.inference import detect_batches, failed_frames, rejected_frames
+    fr = _camera_frames(spark, sf)
+    bad = failed_frames(detect_batches(fr, _batch_stub())).drop("frame_ts_ms")
+    return (bad.unionByName(rejected_frames(fr)).groupBy("trial_id", "reason")
+            .agg(F.count(F.lit(1)).alias("n_frames")))
+
+
 # -- streaming and layers (files derived from the tables) --------------------
 def _export_events_csv(spark, sf):
     from ..session import scratch_path
@@ -732,6 +766,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_series": q_state_series,
     "imu_series": q_imu_series,
     "pending_report": q_pending_report,
+    "detect_batches": q_detect_batches,
+    "rejected_frames": q_rejected_frames,
     "stream_running_total": q_stream_running_total,
     "stream_sessions": q_stream_sessions,
 }

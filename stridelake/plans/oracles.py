@@ -625,3 +625,20 @@ SQL["stream_sessions"] = SQL["session_samples"].replace("WHERE rn = 1 AND ms < e
 WHERE rn = 1 AND ms < end_ms AND ms - ms % 86400000 + 86400000 <=
   (SELECT least(max(ms) FILTER (event_type = 'signup'), max(ms) FILTER (event_type <> 'signup'))
           - 3600000 FROM e)""")
+
+# -- frames with failures ----------------------------------------------------------------
+CAMERA_FRAMES = """
+frames AS (
+  SELECT CAST(label AS VARCHAR) AS trial_id, CASE WHEN vec_id % 17 <> 5 THEN vec_id END AS frame_ts_ms,
+         len(embedding) AS n,
+         CASE WHEN vec_id % 17 = 5 THEN 'no_time' WHEN vec_id % 13 = 2 THEN 'ValueError'
+              WHEN vec_id % 19 = 7 THEN 'no_content' END AS reason
+  FROM embeddings)"""
+
+SQL["detect_batches"] = "WITH " + CAMERA_FRAMES + """
+SELECT trial_id, frame_ts_ms, reason,
+       CAST(CASE WHEN reason IS NULL THEN least(6, n // 3) ELSE 0 END AS BIGINT) AS n_landmarks
+FROM frames WHERE frame_ts_ms IS NOT NULL"""
+
+SQL["rejected_frames"] = "WITH " + CAMERA_FRAMES + """
+SELECT trial_id, reason, count(*) AS n_frames FROM frames WHERE reason IS NOT NULL GROUP BY 1, 2"""

@@ -282,3 +282,32 @@ def test_lines_stream_to_two_tables_once(spark):
         for f in (str(last), f".{last}.crc"):
             if os.path.exists(os.path.join(commits, f)):
                 os.remove(os.path.join(commits, f))
+
+
+def test_batches_of_frames_are_bounded_and_failures_are_data(spark):
+    from stridelake.operators.inference import (detect_batches, failed_frames, in_batches,
+                                                one_by_one)
+    cuts = [(s.start, s.stop) for s in in_batches([3, 3, 9, 1, 1, 1, 1], 3, 6)]
+    assert cuts == [(0, 2), (2, 3), (3, 6), (6, 7)]
+    assert list(in_batches([], 3, 6)) == []
+    good = ",".join(["0.1"] * 3).encode()
+    rows = [("a", i, good) for i in range(20)] + [
+        ("a", 100, b"\xff\xfe"), ("a", 101, b"x"), ("b", 102, None), ("b", 102, None),
+        ("b", 103, b""), ("c", None, good), (None, 104, good)]
+    frames = spark.createDataFrame([(k, t, None if c is None else bytearray(c)) for k, t, c in rows],
+                                   "trial_id string, frame_ts_ms long, content binary").coalesce(1)
+    out = detect_batches(frames, one_by_one(stub_detector_factory()), model="stub", batch_frames=8)
+    got = out.collect()
+    assert len(got) == 26 and sum(len(r.landmarks) for r in got) == 21
+    assert all((r.reason is None) == (len(r.landmarks) == 1) for r in got)
+    assert sorted((r.trial_id, r.frame_ts_ms, r.reason) for r in failed_frames(out).collect()) == [
+        ("a", 100, "UnicodeDecodeError"), ("a", 101, "ValueError"), ("b", 102, "no_content"),
+        ("b", 102, "no_content"), ("b", 103, "ValueError")]
+    from stridelake.operators.inference import loaded
+    made = []
+    for name in ("m", "m", None):
+        loaded(name, lambda: made.append(1) or list)
+    assert len(made) == 2
+    assert detect_batches(frames.limit(0), one_by_one(stub_detector_factory())).count() == 0
+    short = detect_batches(frames.where("frame_ts_ms < 3"), lambda: lambda some: some[1:])
+    assert {r.reason for r in short.collect()} == {"ValueError"}
