@@ -594,6 +594,25 @@ def q_imu_chain(spark, sf):
     return round_doubles(read_layer(spark, p.silver_imu).drop("batch_id"))
 
 
+def q_chain_late_files(spark, sf):
+    """The IMU chain by files, fed twice: the second files belong to trials that are
+    loaded already. Returns silver."""
+    from ..plans import chains
+    from ..session import scratch_path
+    p = chains.Paths(*[scratch_path(spark, f"late-{n}") for n in
+                       ("imu", "cam", "b-imu", "b-cam", "s-imu", "s-cam", "g-cam", "res")])
+    rows = S.lineitem_imu(spark, sf)
+    late = F.coalesce(F.col("l_linenumber"), F.lit(0)) > 3
+    checkpoint = scratch_path(spark, "late-ckpt")
+    for part in (~late, late):
+        (rows.where(part).repartition("trial_id")
+         .select("host_timestamp_ms", "imu_timestamp_ms", "accel_x_g", "accel_y_g", "accel_z_g",
+                 "gyro_x_dps", "gyro_y_dps", "gyro_z_dps", "trial_id")
+         .write.mode("append").partitionBy("trial_id").option("header", True).csv(p.imu_source))
+        silver = chains.imu_file_chain(spark, p, checkpoint)
+    return round_doubles(silver.drop("batch_id"))
+
+
 def q_camera_chain(spark, sf):
     """The camera chain itself over frame files (one per frame, named by its
     time in a folder per trial); returns the gold flags."""
@@ -766,6 +785,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_series": q_state_series,
     "imu_series": q_imu_series,
     "pending_report": q_pending_report,
+    "chain_late_files": q_chain_late_files,
     "detect_batches": q_detect_batches,
     "rejected_frames": q_rejected_frames,
     "stream_running_total": q_stream_running_total,

@@ -20,9 +20,11 @@ from ..operators.signals import magnitude
 from ..operators.trials import fuse, motion_metrics, trial_events
 from ..params import PoseParams, QualityParams, StepParams, TrialParams
 from ..sources.files import read_frames, read_imu_csv
-from ..session import cut
+from ..session import cut, per_key
 from ..sources.tables import with_row_identity
-from .layers import StepResult, read_layer, run_layer
+from ..streaming.ingest import run_batches
+from .layers import (LayerSource, StepResult, loaded_keys, publish, read_latest, read_layer,
+                     run_layer)
 
 
 @dataclass(frozen=True)
@@ -42,7 +44,6 @@ def imu_chain(spark: SparkSession, p: Paths, batch_id: str | None = None,
     """CSV chunks -> bronze -> silver (quality rules, duplicates removed)."""
     out = [run_layer(spark, read_imu_csv(spark, p.imu_source), lambda d: d, p.bronze_imu,
                      order=["host_timestamp_ms"], batch_id=batch_id)]
-    bronze = read_layer(spark, p.bronze_imu)
     obs = Observation("silver_quality")
 
     def to_silver(d: DataFrame) -> DataFrame:
@@ -52,7 +53,7 @@ def imu_chain(spark: SparkSession, p: Paths, batch_id: str | None = None,
                       F.count_if(~F.col("quality_ok")).alias("rejected"))
         return clean(t).drop("_src_file", "_src_row")
 
-    out.append(run_layer(spark, None if bronze is None else with_row_identity(bronze), to_silver,
+    out.append(run_layer(spark, LayerSource(p.bronze_imu, with_row_identity), to_silver,
                          p.silver_imu, order=["host_timestamp_ms"], batch_id=batch_id,
                          observation=obs))
     return out
@@ -64,7 +65,7 @@ def camera_chain(spark: SparkSession, p: Paths, detector_factory: Callable[[], D
     """Frame files -> bronze -> landmarks (silver) -> per-frame flags (gold)."""
     out = [run_layer(spark, read_frames(spark, p.camera_source), lambda d: d, p.bronze_camera,
                      order=["frame_ts_ms"], batch_id=batch_id)]
-    out.append(run_layer(spark, read_layer(spark, p.bronze_camera),
+    out.append(run_layer(spark, LayerSource(p.bronze_camera),
                          lambda d: detect_landmarks(d, detector_factory), p.silver_camera,
                          order=["frame_ts_ms"], batch_id=batch_id))
 
@@ -72,7 +73,7 @@ def camera_chain(spark: SparkSession, p: Paths, detector_factory: Callable[[], D
         f = pose_features(d, pp)
         return f.select("trial_id", "frame_ts_ms", "seated", "past")
 
-    out.append(run_layer(spark, read_layer(spark, p.silver_camera), to_gold, p.gold_camera,
+    out.append(run_layer(spark, LayerSource(p.silver_camera), to_gold, p.gold_camera,
                          order=["frame_ts_ms"], batch_id=batch_id))
     return out
 
@@ -82,18 +83,44 @@ def fusion(spark: SparkSession, p: Paths, batch_id: str | None = None,
     """Gold camera flags + silver IMU -> one result row per new trial. Driven
     by the camera table; trials with IMU only stay pending (no_camera). A
     result is final, so nothing is written before both tables are there."""
-    imu = read_layer(spark, p.silver_imu)
-    cam = read_layer(spark, p.gold_camera)
-    if cam is None or imu is None:
+    if any(loaded_keys(spark, x) is None for x in (p.gold_camera, p.silver_imu)):
         return StepResult("missing_upstream")
 
     def to_results(frames: DataFrame) -> DataFrame:
         # read for the events and again for the fused rows: one written copy
         ev = cut(trial_events(frames.drop("batch_id"), tp), "events")
+        # the runs of the new trials, no others
+        imu = read_layer(spark, p.silver_imu, keys=ev)
         samples = imu.select(
             "trial_id", F.col("host_timestamp_ms").alias("host_ts_ms"), "imu_timestamp_ms",
             magnitude("accel_x_g", "accel_y_g", "accel_z_g").alias("accel_mag"),
             magnitude("gyro_x_dps", "gyro_y_dps", "gyro_z_dps").alias("gyro_mag"))
         return fuse(ev, motion_metrics(samples, ev, sp, tiebreak=["imu_timestamp_ms"]))
 
-    return run_layer(spark, cam, to_results, p.results, batch_id=batch_id)
+    return run_layer(spark, LayerSource(p.gold_camera), to_results, p.results, batch_id=batch_id)
+
+
+def imu_file_chain(spark: SparkSession, p: Paths, checkpoint: str,
+                   qp: QualityParams = QualityParams(),
+                   max_files_per_trigger: int | None = None) -> DataFrame | None:
+    """The IMU chain by files (D22): new CSV files of any trial, loaded before or not, go
+    to bronze; the trials they belong to are worked out again from all their bronze rows
+    and replace themselves in silver. Returns silver (None before the first file). Both
+    layers are this function's own: ``read_latest`` reads silver.
+
+    Each micro-batch is a run named by its number, and a batch done again after a failure
+    replaces its runs, so a file counts once. A file costs the bronze runs of its trial
+    again, which are few as long as a trial's files come close together."""
+    def step(rows: DataFrame, batch: int) -> None:
+        place = f"batch_id={batch:012d}/run_id=files"
+        publish(rows, p.bronze_imu, place)
+        touched = per_key(spark.read.parquet(f"{p.bronze_imu}/_keys/{place}")
+                          .where(F.col("trial_id").isNotNull()), "touched")
+        bronze = with_row_identity(read_layer(spark, p.bronze_imu, keys=touched))
+        t = tag_imu(bronze.join(touched, "trial_id", "left_semi").drop("batch_id"), qp,
+                    tiebreak=["imu_timestamp_ms", "_src_file", "_src_row"])
+        publish(clean(t).drop("_src_file", "_src_row"), p.silver_imu, place)
+
+    run_batches(read_imu_csv(spark, p.imu_source, streaming=True,
+                             max_files_per_trigger=max_files_per_trigger), step, checkpoint)
+    return read_latest(spark, p.silver_imu)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import chunk_file_name
-from ..session import bounded, cut, full_uri, matching_paths, move
+from ..session import bounded, cut, full_uri, matching_paths, move, per_key, remove
 
 BATCH = "batch_id"
 RUN = "run_id"
@@ -52,14 +52,38 @@ def completed_runs(spark: SparkSession, path: str) -> list[str]:
     return sorted("/".join(p.split("/")[-3:-1]) for p in done)
 
 
+def _key_tables(spark: SparkSession, path: str, runs: list[str]) -> DataFrame:
+    """(batch_id, run_id, key column) of the given runs."""
+    return spark.read.option("basePath", f"{path}/{KEYS}").parquet(
+        *(f"{path}/{KEYS}/{r}" for r in runs))
+
+
+def runs_with(spark: SparkSession, path: str, keys: DataFrame, key: str = "trial_id") -> list[str]:
+    """The completed runs that hold one of ``keys``, from the key tables alone. A list of
+    runs, as the folder's listing is, not of keys, comes to the driver."""
+    runs = completed_runs(spark, path)
+    if not runs:
+        return []
+    tables = _key_tables(spark, path, runs)
+    if key not in tables.columns:
+        return runs
+    hit = tables.join(keys.select(key), key, "left_semi").select(BATCH, RUN).distinct()
+    return sorted(f"{BATCH}={r[BATCH]}/{RUN}={r[RUN]}" for r in hit.collect())
+
+
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               columns: list[str] | None = None, fmt: str = "parquet") -> DataFrame | None:
+               columns: list[str] | None = None, fmt: str = "parquet",
+               keys: DataFrame | None = None, key: str = "trial_id") -> DataFrame | None:
     """Column-pruned layer read, completed runs only; an absent table gives an empty
     frame of ``schema`` (or None without a schema). A folder without any run is an
-    ordinary table and read as such."""
+    ordinary table and read as such. With ``keys`` only the runs that hold one of them
+    are read; these may hold other keys too."""
     df = None
     if fmt == "parquet" and (runs := completed_runs(spark, path)):
-        df = spark.read.option("basePath", path).parquet(*(f"{path}/{r}" for r in runs))
+        some = runs if keys is None else runs_with(spark, path, keys, key)
+        df = spark.read.option("basePath", path).parquet(*(f"{path}/{r}" for r in some or runs[:1]))
+        if not some:
+            df = df.limit(0)
     elif fmt == "parquet" and matching_paths(spark, f"{path}/{BATCH}=*/{RUN}=*"):
         pass  # none of its runs is complete
     elif matching_paths(spark, f"{path}/[^_.]*" if fmt == "parquet" else path):
@@ -73,6 +97,35 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return df.select(*columns) if columns else df
 
 
+def read_latest(spark: SparkSession, path: str, key: str = "trial_id") -> DataFrame | None:
+    """A layer whose runs replace each other: of each key the rows of the run with the
+    greatest batch id (text order). Which run counts is found on the key tables."""
+    runs = completed_runs(spark, path)
+    if not runs:
+        return None
+    last = per_key(_key_tables(spark, path, runs).groupBy(key).agg(F.max(BATCH).alias(BATCH)),
+                   "latest")
+    return read_layer(spark, path).join(last, [key, BATCH], "left_semi")
+
+
+def publish(rows: DataFrame, target: str, place: str, key: str = "trial_id") -> None:
+    """Writes a run under a name of the caller's, its keys last. Done again, it replaces
+    itself: the key table goes first, so that a half-written run doesn't count."""
+    spark = rows.sparkSession
+    remove(spark, f"{target}/{KEYS}/{place}")
+    rows.drop(BATCH, RUN).write.mode("overwrite").parquet(f"{target}/{place}")
+    (spark.read.parquet(f"{target}/{place}").select(key).distinct()
+          .write.mode("overwrite").parquet(f"{target}/{KEYS}/{place}"))
+
+
+@dataclass(frozen=True)
+class LayerSource:
+    """A layer as the upstream of another: a step finds its new keys on the key tables
+    and reads the runs that hold them, no others. ``prepare`` adds columns to the scan."""
+    path: str
+    prepare: Callable[[DataFrame], DataFrame] = lambda d: d
+
+
 def loaded_keys(spark: SparkSession, path: str, key: str = "trial_id",
                 fmt: str = "parquet") -> DataFrame | None:
     """Distinct keys of a layer, from its runs' key tables."""
@@ -84,7 +137,7 @@ def loaded_keys(spark: SparkSession, path: str, key: str = "trial_id",
     return None if rows is None else rows.select(key).distinct()
 
 
-def run_layer(spark: SparkSession, upstream: DataFrame | None,
+def run_layer(spark: SparkSession, upstream: DataFrame | LayerSource | None,
               transform: Callable[[DataFrame], DataFrame], target: str, *,
               key: str = "trial_id", order: list[str] | None = None,
               batch_id: str | None = None, fmt: str = "parquet",
@@ -94,16 +147,24 @@ def run_layer(spark: SparkSession, upstream: DataFrame | None,
     its metrics are read after the write (same pass, no second action)."""
     if upstream is None:
         return StepResult("missing_upstream")
+    layer = upstream if isinstance(upstream, LayerSource) else None
+    there = upstream.select(key).distinct() if layer is None else loaded_keys(spark, layer.path, key)
+    if there is None:
+        return StepResult("missing_upstream")
     done = loaded_keys(spark, target, key, fmt)
-    pending = upstream
     if done is not None:
-        keys = cut(upstream.select(key).distinct().join(cut(done, "done"), key, "left_anti"),
+        # a row without a key can't be told from a loaded one: only a first run takes it
+        keys = cut(there.where(F.col(key).isNotNull()).join(cut(done, "done"), key, "left_anti"),
                    "new-keys")
         if keys.isEmpty():
             return StepResult("nothing_new")
-        pending = upstream.join(bounded(keys, keys.count()), key, "left_semi")
-    elif upstream.isEmpty():
-        return StepResult("nothing_new")
+        rows = upstream if layer is None else layer.prepare(
+            read_layer(spark, layer.path, keys=keys, key=key))
+        pending = rows.join(bounded(keys, keys.count()), key, "left_semi")
+    else:
+        pending = upstream if layer is None else layer.prepare(read_layer(spark, layer.path))
+        if pending.isEmpty():
+            return StepResult("nothing_new")
     out = transform(pending).drop(BATCH, RUN)
     bid = batch_id or time.strftime("%Y%m%dT%H%M%S", time.gmtime())
     run = uuid.uuid4().hex

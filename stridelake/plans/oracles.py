@@ -550,6 +550,7 @@ SQL["layer_reuse"] = "SELECT c_custkey AS trial_id, c_name, c_nationkey FROM cus
 SQL["fusion_results"] = SQL["trial_results"]
 
 SQL["imu_chain"] = SQL["layer_silver"]
+SQL["chain_late_files"] = SQL["layer_silver"]
 
 SQL["camera_chain"] = SQL["camera_layers"]
 

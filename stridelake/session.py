@@ -132,6 +132,13 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"can't rename {source} to {target}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if it is there, through Hadoop's FileSystem."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut(df, name: str = "cut"):
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder
     and continue from the written copy: later uses read it instead of

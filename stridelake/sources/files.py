@@ -35,7 +35,8 @@ FRAME_KEY_PATTERN = r"trial_id=([^/]+)"
 FRAME_TS_PATTERN = r"frame_(\d+)\.jpg$"
 
 
-def read_imu_csv(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def read_imu_csv(spark: SparkSession, path: str, streaming: bool = False,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Hive-partitioned CSV folder ``<path>/trial_id=<id>/*.csv`` with a fixed
     schema; PERMISSIVE: a bad cell becomes null, the row stays. The trial id
     is a string (partition type inference is off)."""
@@ -43,6 +44,8 @@ def read_imu_csv(spark: SparkSession, path: str, streaming: bool = False) -> Dat
     r = r.schema(IMU_SCHEMA).option("header", True).option("mode", "PERMISSIVE")
     if not streaming:
         r = r.option("basePath", path)
+    elif max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.csv(path)
 
 

@@ -14,6 +14,8 @@ All run with ``trigger(availableNow=True)``, i.e. as re-runnable batch jobs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +36,15 @@ def run_available(df: DataFrame, sink_path: str, checkpoint: str, mode: str = "a
         raise RuntimeError(str(q.exception()))
 
 
+def run_batches(df: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """``step`` over each micro-batch of what is there."""
+    q = (df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
 def run_updates(df: DataFrame, sink_path: str, checkpoint: str, keys: list[str]) -> DataFrame:
     """Update mode: each micro-batch's changed rows go to a folder of its own
     (a batch done again replaces it); returns the latest row of each key, open
@@ -66,11 +77,7 @@ def ingest_lines(spark: SparkSession, source: str, sink: str, rejects: str, chec
     r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    q = (r.text(source).writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(both).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    run_batches(r.text(source), both, checkpoint)
     empty = spark.createDataFrame([], "value string")
     return tuple(spark.read.parquet(path).drop("batch") if path_exists(spark, path) else of(empty)
                  for path, of in ((sink, parse_imu_lines), (rejects, rejected_imu_lines)))

@@ -311,3 +311,69 @@ def test_batches_of_frames_are_bounded_and_failures_are_data(spark):
     assert detect_batches(frames.limit(0), one_by_one(stub_detector_factory())).count() == 0
     short = detect_batches(frames.where("frame_ts_ms < 3"), lambda: lambda some: some[1:])
     assert {r.reason for r in short.collect()} == {"ValueError"}
+
+
+def test_reads_go_to_the_runs_of_the_keys(spark):
+    """A step over a layer, and a read by keys, open only the runs that hold the keys."""
+    from stridelake.plans.layers import LayerSource, runs_with
+    up, tgt = scratch_path(spark, "runs-up"), scratch_path(spark, "runs-tgt")
+    df = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3), (None, 4)], "trial_id string, v int")
+    assert run_layer(spark, LayerSource(up), lambda d: d, tgt).status == "missing_upstream"
+    for i, some in enumerate([["A", "B"], ["A", "B", "C"]]):
+        assert run_layer(spark, df.where(F.col("trial_id").isin(some)), lambda d: d, up,
+                         batch_id=str(i)).status == "written"
+    seen = []
+
+    def keep(d):
+        seen.append(d.inputFiles())
+        return d
+    key = lambda *x: spark.createDataFrame([(k,) for k in x], "trial_id string")
+    assert [r.split("/")[0] for r in runs_with(spark, up, key("C", "nobody", None))] == ["batch_id=1"]
+    assert all("/batch_id=1/" in f for f in read_layer(spark, up, keys=key("C")).inputFiles())
+    none = read_layer(spark, up, keys=key("nobody"))
+    assert none.count() == 0 and none.columns == ["trial_id", "v", "batch_id"]
+    run_layer(spark, df.where("trial_id = 'A'"), lambda d: d, tgt)
+    assert run_layer(spark, LayerSource(up), keep, tgt).status == "written"
+    run_layer(spark, df.where("trial_id is null"), lambda d: d, up)  # no key: not loaded again
+    run_layer(spark, df.selectExpr("'D' trial_id", "v").limit(1), lambda d: d, up, batch_id="2")
+    assert run_layer(spark, LayerSource(up), keep, tgt).status == "written"
+    assert seen[1] and all("/batch_id=2/" in f for f in seen[1] if up in f)
+    assert sorted(r.trial_id for r in read_layer(spark, tgt).collect()) == ["A", "B", "C", "D"]
+    assert run_layer(spark, LayerSource(up), keep, tgt).status == "nothing_new"
+
+
+def test_late_files_replace_their_trials(spark, monkeypatch):
+    """Files of a loaded trial come later, one repeats rows, and a batch is done again."""
+    from stridelake.plans import chains
+    from stridelake.plans.layers import read_latest
+    p = chains.Paths(*[scratch_path(spark, f"lf-{i}") for i in range(8)])
+    ck = scratch_path(spark, "lf-ck")
+    os.makedirs(p.imu_source)
+
+    def rows(*ms):
+        return [(m, m, 0.1, 0.2, 0.9, 1, 2, m) for m in ms]
+    write = lambda trial, name, ms: write_csv(p.imu_source, trial, name, rows(*ms))
+    write("A", "a.csv", [10, 20])
+    write("B", "a.csv", [10])
+    silver = chains.imu_file_chain(spark, p, ck)
+    first = sorted((r.trial_id, r.imu_timestamp_ms) for r in silver.collect())
+    assert first == [("A", 10), ("A", 20), ("B", 10)]
+    write("A", "late.csv", [20, 5])  # 20 is there already
+    write("C", "a.csv", [7])
+    real = chains.publish
+
+    def breaks(df, target, *a, **k):
+        if target == p.silver_imu:
+            raise OSError("lost in the middle")
+        real(df, target, *a, **k)
+    monkeypatch.setattr(chains, "publish", breaks)
+    with pytest.raises(Exception, match="lost in the middle"):
+        chains.imu_file_chain(spark, p, ck)
+    got = lambda: sorted((r.trial_id, r.imu_timestamp_ms) for r in
+                         read_latest(spark, p.silver_imu).collect())
+    assert got() == first
+    monkeypatch.setattr(chains, "publish", real)
+    for _ in range(2):
+        chains.imu_file_chain(spark, p, ck, max_files_per_trigger=1)
+        assert got() == [("A", 5), ("A", 10), ("A", 20), ("B", 10), ("C", 7)]
+    assert read_latest(spark, scratch_path(spark, "absent")) is None
