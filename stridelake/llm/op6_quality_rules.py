@@ -4,14 +4,14 @@ A rule rejects a document by statistics of its text. On a bounded sample each
 rule's cost (time to compute its statistics and test) and selectivity (share it
 rejects) are measured; rules run in order of rejections per cost. A document
 that a rule rejects is not looked at by later ones: their statistics are
-computed only for documents still in. ``complete`` fills in the statistics of
-rejected documents too. The order changes the cost and which rule is named as
+computed only for documents still in, but for those that a caller wants of all
+(``always``; the query wants the five of its digest). The order changes the cost and which rule is named as
 the first to reject, never which documents are kept.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. ``n_repeat_words`` counts the words inside
 3-word windows that occur at least twice: windows are hashed, sorted together
-with their positions, neighbours compared. The hash has 64 bits less those of
-a position.
+with their positions, neighbours compared. The hash has 64 bits, however long
+the text.
 
 Defined results: a null, empty or wordless text has statistics of zero and is
 rejected by the length rule. Repeated rows are judged each. Extra columns are
@@ -21,6 +21,7 @@ ignored. Very long texts are judged whole. An empty table gives no row.
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -68,20 +69,17 @@ STATISTICS: dict[str, tuple[str, tuple[str, ...]]] = {
     "n_bangs": ("cast(length(regexp_replace(solid, '[^!]+', '')) as bigint)", ("solid",)),
     "n_lines": ("cast(size(lines) as bigint)", ("lines",)),
     "n_dup_lines": ("cast(size(lines) - size(array_distinct(lines)) as bigint)", ("lines",)),
-    # bits of a position among the windows
-    "shift": ("cast(ceil(log2(greatest(size(words), 2))) as int)", ("words",)),
     "hashes": ("transform(words, w -> xxhash64(w))", ("words",)),
     # (hash of the window from word i, i), sorted
     "windows": ("sort_array(transform(slice(hashes, 1, greatest(size(hashes) - 2, 0)), (x, i) -> "
-                "shiftleft(xxhash64(x, get(hashes, i + 1), get(hashes, i + 2)), shift) "
-                "| cast(i as bigint)))", ("hashes", "shift")),
+                "struct(xxhash64(x, get(hashes, i + 1), get(hashes, i + 2)) as h, i as i)))",
+                ("hashes",)),
     # positions of windows that have an equal neighbour, sorted
     "twice": ("sort_array(transform(filter(if(size(windows) < 2, cast(array() as array<int>), "
               "sequence(0, size(windows) - 1)), j -> "
-              "coalesce(shiftright(get(windows, j), shift) = shiftright(get(windows, j - 1), shift),"
-              " false) or "
-              "coalesce(shiftright(get(windows, j), shift) = shiftright(get(windows, j + 1), shift),"
-              " false)), j -> get(windows, j) & (shiftleft(1L, shift) - 1)))", ("windows", "shift")),
+              "coalesce(get(windows, j).h = get(windows, j - 1).h, false) or "
+              "coalesce(get(windows, j).h = get(windows, j + 1).h, false)), "
+              "j -> cast(get(windows, j).i as bigint)))", ("windows",)),
     "n_repeat_words": ("if(size(twice) = 0, 0L, 3L + aggregate(sequence(1, greatest(size(twice) - 1"
                        ", 1)), 0L, (n, k) -> n + coalesce(least(get(twice, k) - get(twice, k - 1), "
                        "3L), 0L)))", ("twice",)),
@@ -138,16 +136,17 @@ def rank_rules(docs: DataFrame, rules: list[Rule], rows: int = SAMPLE_ROWS) -> l
 
 
 def cascade(docs: DataFrame, rules: list[Rule] | None = None, keep: list[str] | None = None,
-            complete: bool = False, rows: int = SAMPLE_ROWS) -> DataFrame:
+            always: Sequence[str] = (), rows: int = SAMPLE_ROWS) -> DataFrame:
     """keep (doc_id), the statistics of the rules, rejected_by (null if none)
-    and kept of every row."""
+    and kept of every row. A statistic is null where its rules weren't reached,
+    but for those of ``always``."""
     rules = RULES if rules is None else rules
     keep = keep or ["doc_id"]
     order = [x["rule"] for x in rank_rules(docs, rules, rows)]
     df = docs.select(*(F.col(c).alias(f"_{c}") for c in keep), "text")
     names = list(dict.fromkeys(n for r in rules for n in r.needs))
     have: set[str] = set()
-    df = with_statistics(df, names if complete else order[0].needs, have=have)
+    df = with_statistics(df, [*dict.fromkeys([*always, *order[0].needs])], have=have)
     df = df.withColumn("rejected_by", F.expr(f"if({order[0].rejects}, '{order[0].name}', null)"))
     for r in order[1:]:
         df = with_statistics(df, r.needs, F.col("rejected_by").isNull(), have)
@@ -158,10 +157,15 @@ def cascade(docs: DataFrame, rules: list[Rule] | None = None, keep: list[str] |
                      F.col("rejected_by").isNull().alias("kept"))
 
 
+#: The contract wants these of every document; what else the rules need, and their
+#: tests, stop at the first rule that rejects.
+DIGEST = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
 def quality_rules(docs: DataFrame) -> DataFrame:
     """The digest: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, rejected_by of every row."""
     base = " or ".join(f"({r.rejects})" for r in BASE)
-    return cascade(docs, complete=True).select(
+    return cascade(docs, always=DIGEST).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.expr(base).alias("base_failed"), "kept", "rejected_by")

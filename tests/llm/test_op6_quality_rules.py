@@ -60,12 +60,35 @@ def test_short_circuit(sample, monkeypatch):
     assert out.where("n_words < 200 and n_symbols is not null").count() == 0
     assert out.where("n_words >= 200 and n_symbols is null").count() == 0
     assert out.where("n_words < 200 and rejected_by <> 'short'").count() == 0
-    whole = R.cascade(sample, rules, complete=True)
+    whole = R.cascade(sample, rules, always=["n_symbols"])
     assert whole.where("n_symbols is null").count() == 0
     assert sorted(r.doc_id for r in whole.where("kept").collect()) == \
         sorted(r.doc_id for r in out.where("kept").collect())
 
 
+def test_the_query_looks_at_nothing_more_of_rejected_texts(sample, monkeypatch):
+    """Only the digest's own statistics are there for all documents."""
+    monkeypatch.setattr(R, "rank_rules", lambda d, r, n: [{"rule": x} for x in r])
+    out = R.cascade(sample, always=R.DIGEST).toPandas()
+    assert not out[R.DIGEST].isna().any().any()
+    early = out[out.rejected_by.isin(["short", "repeats", "symbols"])]
+    assert len(early) and early.n_lines.isna().all() and early.n_bangs.isna().all()
+    assert not out[out.kept][["n_lines", "n_bangs"]].isna().any().any()
+
+
+def test_repeats_of_a_long_text_are_exact(spark):
+    """300,000 words, nearly all windows different, a few found twice."""
+    w = [f"w{i}" for i in range(300_000)]
+    w[200_000:200_004] = w[10:14]
+    w[290_000:290_003] = w[11:14]
+    seen = {}
+    for i in range(len(w) - 2):
+        seen.setdefault(tuple(w[i:i + 3]), []).append(i)
+    want = {j for at in seen.values() if len(at) > 1 for i in at for j in range(i, i + 3)}
+    r = R.quality_rules(spark.createDataFrame([(1, " ".join(w))], "doc_id long, text string")).first()
+    assert (r.n_words, r.n_repeat_words) == (len(w), len(want)) == (300_000, 11)
+
+
 def test_native(sample, plan):
     text = plan(R.quality_rules(sample))
     assert "Python" not in text and "Arrow" not in text and "Exchange" not in text
