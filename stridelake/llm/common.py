@@ -169,16 +169,23 @@ def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 31)) < cut)
 
 
+def row_draw(df: DataFrame, rows: int, n: int | None = None) -> DataFrame:
+    """About ``rows`` rows (binomial); all when there are fewer. Each row is
+    drawn by itself (by a hash of its id, text and place), so rows of one id, or
+    of none, aren't drawn together. ``n``: the number of rows, if known."""
+    n = df.count() if n is None else n
+    return df if n <= rows else df.where(drawn() < int(rows / n * (1 << 31)))
+
+
+def drawn() -> Column:
+    """An even draw from 0 to 2^31 - 1 for each row by itself."""
+    return F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(1 << 31))
+
+
 def row_sample(df: DataFrame, rows: int) -> DataFrame:
-    """About ``rows`` rows, twice that at the very most; all when there are
-    fewer. Each row is drawn by itself (by a hash of its id, text and place),
-    so rows of one id, or of none, aren't drawn together."""
+    """``row_draw`` of twice ``rows`` at the very most."""
     n = df.count()
-    if n <= rows:
-        return df
-    cut = int(rows / n * (1 << 31))
-    drawn = F.xxhash64("doc_id", "text", F.monotonically_increasing_id())
-    return df.where(F.pmod(drawn, F.lit(1 << 31)) < cut).limit(2 * rows)
+    return df if n <= rows else row_draw(df, rows, n).limit(2 * rows)
 
 
 # -- byte-level BPE ids ----------------------------------------------------

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from .common import (IS_SPACE, arrow_out, bounded_sample, held_out, id_crc, kinds_of, mix64,
-                     slices, text_buffer, word_hashes, word_spans)
+                     row_draw, slices, text_buffer, word_hashes, word_spans)
 
 ROWS = 30_000
 FEATURES = 256
@@ -192,8 +192,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
         at = np.arange(len(s) + 1) * len(STATS)
         return {"doc_id": b.column("doc_id"), "label": b.column("label"),
                 "stats": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(s.ravel()))}
-    # the broadcast side is bounded: about `rows` labels
+    # the broadcast side is bounded: about `rows` labels; a labelled id may have any
+    # number of rows, of which about twice `rows` in all are drawn
     both = docs.select("doc_id", "text").join(F.broadcast(one), "doc_id")
+    both = row_draw(both, 2 * rows)
     return cut(arrow_out(stats, both, "doc_id bigint, label double, stats array<double>")
                .repartition(FIT_PARTITIONS), "quality-train")
 
@@ -223,7 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS, ridge: float = RID
     k = len(model.weights)
     both = partition_sum(train, equations, (k, k + 1))
     model.weights = np.linalg.solve(both[:, :k] + ridge * n * np.eye(k) / k, both[:, k])
-    check = seen.where(unseen).select("stats", "label").toPandas()  # bounded: `rows`
+    check = seen.where(unseen).select("stats", "label").toPandas()  # about 2 x `rows` at most
     if check.empty:
         check = train.select("stats", "label").toPandas()
     raw = model.raw(np.stack(check["stats"].to_numpy()).astype(float))

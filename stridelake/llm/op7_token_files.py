@@ -35,6 +35,8 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from ..session import cut, full_uri, scratch_path
 from .common import arrow_out, byte_bpe, row_sample, vocabulary
@@ -78,6 +80,10 @@ class Writer:
         return self.at
 
 
+#: Documents in a record batch of what is read back.
+READ_ROWS = 2000
+
+
 class Reader:
     """Documents of one file, by position; only the index is held."""
 
@@ -152,8 +158,6 @@ def write(docs: DataFrame, path: str, vocab: str | None = None, end_id: int = EN
                                   *order).sortWithinPartitions(*order).select("doc_id", "text"))
     schema = ("part int, file int, name string, docs bigint, tokens bigint, bytes bigint, "
               "dictionary string")
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
     kind = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches):
@@ -187,26 +191,26 @@ def read(manifest: DataFrame, path: str) -> DataFrame:
     ahead = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.select("name", "dictionary", F.coalesce(  # a row for each file
         F.sum("tokens").over(ahead), F.lit(0)).alias("base"))
-    n = max(1, min(manifest.count(), 4096))
+    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+    kind = to_arrow_schema(_parse_datatype_string(schema))
 
-    def run(b: pa.RecordBatch):
+    def run(batches):
         disk, folder = _open(path)
-        out = {"doc_id": [], "start": [], "n_tokens": [], "ids_crc32": []}
-        for f in b.to_pylist():
+        for f in (f for b in batches for f in b.to_pylist()):
             with disk.open_input_file(f"{folder}/{f['dictionary']}.dict") as d:
                 words = d.read()
             with disk.open_input_file(f"{folder}/{f['name']}") as source:
                 r, start = Reader(source, words), f["base"]
-                for k in range(len(r)):
-                    ids = r.ids(k)
-                    out["ids_crc32"].append(zlib.crc32(ids.astype("<u4").tobytes()))
-                    out["start"].append(start)
-                    out["n_tokens"].append(len(ids))
-                    start += len(ids)
-                out["doc_id"] += r.doc_ids
-        return out
-    return arrow_out(run, files.repartition(n),
-                     "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+                for a in range(0, len(r), READ_ROWS):  # what is held is one file's part
+                    out = []
+                    for k in range(a, min(a + READ_ROWS, len(r))):
+                        ids = r.ids(k)
+                        out.append((r.doc_ids[k], start, len(ids),
+                                    zlib.crc32(ids.astype("<u4").tobytes())))
+                        start += len(ids)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t.type) for c, t in zip(zip(*out), kind)], schema=kind)
+    return files.repartition(max(1, manifest.count())).mapInArrow(run, schema)  # a task a file
 
 
 def token_files(docs: DataFrame, path: str | None = None) -> DataFrame:

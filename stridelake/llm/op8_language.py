@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, held_out, kinds_of, slices, text_buffer
+from .common import arrow_out, drawn, held_out, kinds_of, slices, text_buffer
 
 ORDER = 4
 #: Text bytes whose grams are looked up together (a longer single text takes
@@ -136,7 +136,8 @@ def _folded(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG, order: int = ORDER) -> Trees:
     """Context trees from rows with a lang and fold other than 0; about
-    ``rows_per_lang`` rows of each language, chosen by a hash of the id."""
+    ``rows_per_lang`` rows of each language, each drawn by itself, so a repeated id
+    fills no sample."""
     rows = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(5))
     per = {r["lang"]: r["n"] for r in
@@ -145,7 +146,7 @@ def train(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG, order: int = ORDE
         return Trees(pd.DataFrame({"lang": [], "gram": [], "n": []}), order)
     share = F.create_map(*[x for k, n in per.items() for x in
                            (F.lit(k), F.lit(int(min(1.0, rows_per_lang / n) * (1 << 31))))])
-    picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < share[F.col("lang")])
+    picked = rows.where(drawn() < share[F.col("lang")])
 
     def count(b: pa.RecordBatch):
         raw, off = _folded(b.column("text"))

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -307,6 +307,25 @@ class Mixture:
 
 
 # -- scores -----------------------------------------------------------------
+def step_of(count: str) -> Column:
+    """Counts in steps: each by itself up to 256, then 16 steps to a doubling."""
+    c = F.col(count)
+    return F.when(c <= 256, c).otherwise(
+        F.lit(256) + F.ceil(F.log2(c / F.lit(256.0)) * F.lit(16))).cast("bigint")
+
+
+def least_step(words: DataFrame, rows: int) -> int:
+    """The least step of ``n_all`` that at most ``rows`` words reach: a histogram
+    of some hundred steps comes to the driver, no words are sorted."""
+    held = 0
+    steps = words.groupBy(step_of("n_all").alias("step")).count().collect()
+    for r in sorted(steps, key=lambda r: -r["step"]):
+        held += r["count"]
+        if held > rows:
+            return r["step"] + 1
+    return 0
+
+
 def lm_scores(docs: DataFrame, vocab: str | None = None, rounds: int = ROUNDS,
               common: int = COMMON) -> DataFrame:
     """The digest: doc_id, held_out, n_tokens, n_known, train_tokens,
@@ -331,8 +350,8 @@ def lm_scores(docs: DataFrame, vocab: str | None = None, rounds: int = ROUNDS,
     words = cut(arrow_out(spell, counts, "word binary, n_train bigint, n_all bigint, log_p double",
                           WORD_ROWS), "lm-words")
     under = n + 0.1 * (v + 1)
-    # a fixed number of words, most of all tokens
-    top = words.orderBy(F.desc("n_all"), "word").limit(common).toPandas()
+    # at most `common` words, most of all tokens
+    top = words.where(step_of("n_all") >= least_step(words, common)).toPandas()
     seen, p = top["n_train"].to_numpy(), top["log_p"].to_numpy()
     # known, base score, score by number; the last for words that aren't here
     near = spark.sparkContext.broadcast((

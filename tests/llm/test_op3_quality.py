@@ -90,3 +90,13 @@ def test_statistics_do_not_depend_on_neighbours(sample):
     whole = Q.statistics(*text_buffer(pa.array(texts)))
     for i in (0, 7, 39):
         assert np.allclose(whole[i], Q.statistics(*text_buffer(pa.array([texts[i]])))[0])
+
+
+def test_training_rows_are_bounded_for_a_repeated_id(spark):
+    """A third of all rows have one labelled id."""
+    ids = "case when id % 3 = 0 then 2 else id end as doc_id"
+    docs = spark.range(9000).selectExpr(ids, "concat('some text ', id % 7) as text")
+    labels = spark.range(1, 201).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    got = Q.training_rows(docs, labels, 100).count()
+    assert 130 < got < 270  # about twice 100 of the 3,000 and more that have a label
+    assert Q.training_rows(docs, labels, 10_000).count() > 2500

@@ -101,3 +101,23 @@ def test_ties_go_to_the_first_language():
     trees, _ = trees_of([("b", "same text"), ("a", "same text")])
     assert trees.text_bits(*text_buffer(pa.array(["some text"]))).argmin(axis=1)[0] == 0
     assert trees.langs == ["a", "b"]
+
+
+def test_the_sample_is_bounded_for_a_repeated_id(spark):
+    """Half of all rows are one row; about 50 of the rows of each language are read."""
+    docs = spark.range(4000).selectExpr(
+        "case when id % 2 = 0 then 1 else id end as doc_id",
+        "case when id % 2 = 0 then 'aaaa' else concat('bb', id) end as text", "'en' as lang")
+    trees = L.train(docs, rows_per_lang=50)
+    seen = []
+    real = L.arrow_out
+
+    def keep(fn, df, *a):
+        seen.append(df.count())
+        return real(fn, df, *a)
+    L.arrow_out = keep
+    try:
+        L.train(docs, rows_per_lang=50)
+    finally:
+        L.arrow_out = real
+    assert trees.langs and 15 < seen[0] < 100

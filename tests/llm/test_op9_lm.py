@@ -113,3 +113,16 @@ def test_untrained_and_empty(spark, none):
     for r in M.lm_scores(df).collect():
         assert (r.train_tokens, r.n_known, r.n_tokens) == (0, 0, 4)
         assert r.base_score == 0.0 and math.isfinite(r.score)
+
+
+def test_frequent_words_are_found_without_a_sort(spark):
+    from stridelake.llm.op9_lm import least_step, step_of
+    n = [1] * 50 + [2] * 20 + [256] * 3 + [257, 300, 10_000, 10 ** 12]
+    w = spark.createDataFrame([(x,) for x in n], "n_all long")
+    steps = {r.n_all: r.s for r in w.select("n_all", step_of("n_all").alias("s")).collect()}
+    assert sorted(steps, key=lambda x: (steps[x], x)) == sorted(steps) and steps[256] == 256
+    assert max(steps.values()) < 1000
+    for rows in (0, 1, 3, 6, 7, 27, 76, 77, 500):
+        got = w.where(step_of("n_all") >= least_step(w, rows)).count()
+        assert got == max(k for k in (0, 1, 2, 3, 4, 7, 27, 77) if k <= rows)
+    assert least_step(w.limit(0), 5) == 0
