@@ -28,7 +28,7 @@ from stridelake.llm.op3_quality import fit, labels_table
 from stridelake.llm.op5_packing import pack
 from stridelake.llm.op8_language import UND, train
 from stridelake.llm.op8_language import classify as classify_language
-from stridelake.session import bounded, configure, cut
+from stridelake.session import bounded, configure, cut, per_key
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -53,8 +53,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS, F.xxhash64("text").alias("text_hash"))
     me = ["doc_id", "text_hash"]
     linked = cut(jaccard_join(docs, keep=me).where("n_links > 0"), "pipeline-linked")
-    stays = linked.groupBy("root").agg(F.min(F.struct(
-        F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first"))
+    stays = per_key(linked.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")), "pipeline-stays")
     others = cut(linked.join(stays, "root").where(
         ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) &
           (F.col("text_hash") == F.col("first.text_hash"))))
