@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import StepParams, TrialParams
-from ..session import bounded, computed_once, cut
+from ..session import BROADCAST_MAX_ROWS, bounded, computed_once, cut, per_key
 from .sequence import BKT, scan
 from .signals import interval_variation, local_peaks, min_spacing, smooth_flags
 
@@ -70,10 +70,14 @@ def event_chain(seated_runs: DataFrame, past_runs: DataFrame, key: str,
     t3 = first instant > t2 back before the mark; t4 = first instant > t3
     seated. A frame time may come several times: the smoothing window goes by
     time, so frames of one time have one state and are in one run. ``bound_rows`` (rows of the run tables) bounds every
-    per-trial table; under the broadcast limit they are broadcast.
+    per-trial table; under the broadcast limit they are broadcast. Above it each is
+    written once, as the next search and the result both read it: a stage then holds
+    one search, not all before it again.
     """
     def b(df):
-        return df if bound_rows is None else bounded(df, bound_rows)
+        if bound_rows is None or bound_rows <= BROADCAST_MAX_ROWS:
+            return df if bound_rows is None else bounded(df, bound_rows)
+        return per_key(df, "chain")
 
     a = (seated_runs.groupBy(key).agg(
         F.min("t_start").alias("t0"),
@@ -81,24 +85,24 @@ def event_chain(seated_runs: DataFrame, past_runs: DataFrame, key: str,
         F.max(F.when(~F.col("value"), F.col("t_start"))).alias("_t1_any")))
     a = a.select(key, "t0", "attempts",
                  F.when(F.col("attempts") > 0, F.col("_t1_any")).alias("t1"))
-    t1 = a.filter(F.col("t1").isNotNull()).select(key, "t1")
+    t1 = b(a.filter(F.col("t1").isNotNull()).select(key, "t1"))
 
     # t2: inside a past run that ends at/after t1 -> max(start, t1)
-    t2 = (past_runs.filter(F.col("value")).join(b(t1), key)
-          .filter(F.col("t_end") >= F.col("t1"))
-          .groupBy(key).agg(F.min(F.greatest(F.col("t_start"), F.col("t1"))).alias("t2")))
+    t2 = b(past_runs.filter(F.col("value")).join(t1, key)
+           .filter(F.col("t_end") >= F.col("t1"))
+           .groupBy(key).agg(F.min(F.greatest(F.col("t_start"), F.col("t1"))).alias("t2")))
     # t3: start of the first not-past run after t2, and the first time after it
-    t3 = (past_runs.filter(~F.col("value")).join(b(t2), key)
-          .filter(F.col("t_start") > F.col("t2"))
-          .groupBy(key).agg(F.min("t_start").alias("t3"),
-                            F.min_by("t_second", "t_start").alias("t3_next")))
+    t3 = b(past_runs.filter(~F.col("value")).join(t2, key)
+           .filter(F.col("t_start") > F.col("t2"))
+           .groupBy(key).agg(F.min("t_start").alias("t3"),
+                             F.min_by("t_second", "t_start").alias("t3_next")))
     # t4: first seated instant after t3
-    t4 = (seated_runs.filter(F.col("value")).join(b(t3), key)
-          .filter(F.col("t_end") > F.col("t3"))
-          .groupBy(key).agg(F.min(F.when(F.col("t_start") > F.col("t3"), F.col("t_start"))
-                                  .otherwise(F.col("t3_next"))).alias("t4")))
-    return (a.join(b(t2), key, "left").join(b(t3.select(key, "t3")), key, "left")
-             .join(b(t4), key, "left"))
+    t4 = b(seated_runs.filter(F.col("value")).join(t3, key)
+           .filter(F.col("t_end") > F.col("t3"))
+           .groupBy(key).agg(F.min(F.when(F.col("t_start") > F.col("t3"), F.col("t_start"))
+                                   .otherwise(F.col("t3_next"))).alias("t4")))
+    return (a.join(t2, key, "left").join(t3.drop("t3_next"), key, "left")
+             .join(t4, key, "left"))
 
 
 def trial_events(frames: DataFrame, params: TrialParams = TrialParams(), key: str = "trial_id",

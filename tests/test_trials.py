@@ -88,3 +88,21 @@ def test_flagship_plan_has_no_python_and_no_single_partition(spark):
     assert "FlatMapGroupsInPandas" not in plan and "BatchEvalPython" not in plan
     assert "SinglePartition" not in plan
     assert df.count() > 0
+
+
+def test_event_chain_over_the_broadcast_limit_writes_each_search(spark):
+    from stridelake.operators.trials import event_chain
+    from stridelake.session import BROADCAST_MAX_ROWS
+    seated = spark.createDataFrame(
+        [("a", 1, True, 0, 10), ("a", 2, False, 11, 60), ("a", 3, True, 61, 70), ("b", 1, True, 0, 5)],
+        "k string, run_no long, value boolean, t_start long, t_end long")
+    past = spark.createDataFrame(
+        [("a", 1, False, 0, 20, 1), ("a", 2, True, 21, 40, 22), ("a", 3, False, 41, 70, 42)],
+        "k string, run_no long, value boolean, t_start long, t_end long, t_second long")
+    few, many = (event_chain(seated, past, "k", n) for n in (10, BROADCAST_MAX_ROWS + 1))
+    got = sorted(map(tuple, many.collect()), key=str)
+    assert got == sorted(map(tuple, few.collect()), key=str)
+    assert ("a", 0, 1, 11, 21, 41, 61) in got
+    # the last stage joins what the searches wrote, and holds none of them again
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1
