@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut, per_key
+
 BKT = "_bkt"
 
 
@@ -293,3 +295,53 @@ def frame_sums(df: DataFrame, keys: Sequence[str], ts: str, lower: int, upper: i
     d = d.select("*", *((at(high, n) - at(low, n)).alias(n) for n in names))
     return d.where((F.col("_kind") == row) & F.col("_home")).select(
         *columns, *names, *([BKT] if keep_bucket else []))
+
+
+#: Events (three a time) of one bucket in ``wide_frame_sums``, about.
+WIDE_EVENTS = 250_000
+
+
+def _narrow_width(d: DataFrame, keys: Sequence[str], at: str, width: int) -> int:
+    """A width at which no bucket of a key holds much more than ``WIDE_EVENTS`` rows, or
+    1: found by counting, as rows may lie close together anywhere."""
+    while width > 1:
+        most = (d.where(F.col(at).isNotNull()).groupBy(*keys, bucket_of(at, width))
+                .agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0])
+        if most is None or most <= 2 * WIDE_EVENTS:
+            break
+        width = max(1, width * WIDE_EVENTS // most)
+    return width
+
+
+def wide_frame_sums(df: DataFrame, keys: Sequence[str], ts: str, lower: int, upper: int,
+                    width: int, sums: dict[str, Column]) -> DataFrame:
+    """``frame_sums`` for frames wider than a bucket, whose rows no bucket's task should
+    hold: a frame's sum is the difference of the key's running sums at its two ends, and
+    these come from an ordered scan over buckets made narrow by counting. Rows of one
+    time have one frame: values are summed per time first, and the frames' sums joined
+    back on it.
+    """
+    names = list(sums)
+    at_row = F.struct(*[F.col(c) for c in keys], F.col(ts))  # equal where nulls are
+    x = df.withColumns({f"_x_{n}": e for n, e in sums.items()}).withColumn("_row", at_row)
+    per_time = cut(x.groupBy("_row").agg(*(F.sum(f"_x_{n}").alias(f"_x_{n}") for n in names)),
+                   "per-time")
+    t = F.col("_row")[ts]
+    low, row, high = F.lit(0), F.lit(1), F.lit(2)
+    ends = F.array(*(F.struct(k.alias("_kind"), a.alias("_at")) for k, a in
+                     ((low, t + F.lit(lower)), (row, t), (high, t + F.lit(upper)))))
+    e = per_time.select(F.struct(*[F.col("_row")[c].alias(c) for c in keys], F.lit(0).alias("_"))
+                        .alias("_key"), "_row", F.explode(ends).alias("_e"),
+                        *(f"_x_{n}" for n in names))
+    e = e.select("_key", "_row", "_e.*",
+                 *(F.when(F.col("_e._kind") == row, F.col(f"_x_{n}")).alias(f"x_{n}")
+                   for n in names))
+    s = scan(e, ["_key"], "_at", _narrow_width(e, ["_key"], "_at", width), tiebreak=["_kind"],
+             cumsum=[f"x_{n}" for n in names])
+
+    def end(kind: Column, n: str) -> Column:
+        return F.max(F.when(F.col("_kind") == kind, F.col(f"cum_x_{n}")))
+
+    frames = per_key(s.where(F.col("_kind") != row).groupBy("_row").agg(
+        *((end(high, n) - end(low, n)).alias(n) for n in names)), "frames")
+    return (df.withColumn("_row", at_row).join(frames, "_row").select(*df.columns, *names))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut, per_key
 from . import greedy
-from .sequence import frame_sums, scan
+from .sequence import BKT, bucket_of, frame_sums, scan, wide_frame_sums
 
 
 def magnitude(*cols: str | Column) -> Column:
@@ -52,7 +52,11 @@ def smooth_flags(df: DataFrame, keys: Sequence[str], ts: str, flags: Sequence[st
     for f in flags:
         sums[f"_true_{f}"] = F.col(f).cast("long")
         sums[f"_known_{f}"] = F.col(f).isNotNull().cast("long")
-    out = frame_sums(df, keys, ts, lower, upper, width, sums, keep_bucket=keep_bucket)
+    if upper - lower > bucket_ms:  # a bucket of such a width may hold most of the rows
+        out = wide_frame_sums(df, keys, ts, lower, upper, bucket_ms, sums)
+        out = out.withColumn(BKT, bucket_of(ts, width)) if keep_bucket else out
+    else:
+        out = frame_sums(df, keys, ts, lower, upper, width, sums, keep_bucket=keep_bucket)
     return out.withColumns({
         f"{prefix}{f}": F.when(F.col(f"_known_{f}") > 0, 2 * F.col(f"_true_{f}") > F.col(f"_known_{f}"))
         for f in flags}).drop(*sums)

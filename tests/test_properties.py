@@ -274,3 +274,39 @@ def test_local_peaks_equal_brute_force(spark, keys, thr):
             if sub[i][1] > sub[i - 1][1] and sub[i][1] > sub[i + 1][1] and sub[i][1] > thr:
                 exp.append((k, sub[i][0]))
     assert got == sorted(exp)
+
+
+@given(st.lists(st.tuples(st.sampled_from([None, "a", "b"]), st.one_of(st.none(), st.integers(0, 900)),
+                          st.one_of(st.none(), st.integers(-5, 5))), min_size=1, max_size=60))
+@settings(**SETTINGS)
+def test_wide_frame_sums_equal_a_plain_window(spark, rows):
+    """Frames wider than their buckets; times and keys repeat or are null."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from stridelake.operators import sequence
+    d = spark.createDataFrame([(k, t, x, i) for i, (k, t, x) in enumerate(rows)],
+                              "k string, t long, x long, i long")
+    w = Window.partitionBy("k").orderBy("t").rangeBetween(-120, 200)
+    want = d.select("i", F.coalesce(F.sum("x").over(w), F.lit(0)))
+    before, sequence.WIDE_EVENTS = sequence.WIDE_EVENTS, 4  # buckets are made narrow
+    try:
+        got = sequence.wide_frame_sums(d, ["k"], "t", -120, 200, 50, {"s": F.col("x")})
+        assert sorted(map(tuple, got.select("i", "s").collect())) == sorted(map(tuple, want.collect()))
+    finally:
+        sequence.WIDE_EVENTS = before
+
+
+def test_a_dense_recording_is_smoothed_by_many_small_buckets(spark):
+    """All rows lie in one bucket and a frame holds most of them."""
+    from pyspark.sql import functions as F
+
+    from stridelake.operators import sequence
+    events = spark.range(3000).select(F.lit("all").alias("k"), F.struct("id").alias("_row"),
+                                      F.col("id").alias("_at"))
+    before, sequence.WIDE_EVENTS = sequence.WIDE_EVENTS, 100
+    try:
+        width = sequence._narrow_width(events, ["k"], "_at", 100_000)
+    finally:
+        sequence.WIDE_EVENTS = before
+    assert 1 <= width <= 200
