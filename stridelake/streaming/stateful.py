@@ -10,8 +10,9 @@ come in order, so the total of closed windows equals the batch one.
 sessions being a stream too (JN-7). Samples and sessions meet per (key, time bucket), so
 a hot key is many groups. A group waits for the watermark, the lesser of the two
 streams', to pass its bucket: a timer then merges both in time order and frees the
-state. The state of a group is what one bucket holds of the key: a sensor's rate times
-the bucket's width.
+state. Keys are dealt over ``slots`` by hash and a group holds the keys of one slot, as
+calls, timers and state cost more a group than a row; more keys ask for more slots. The
+state of a group is what one bucket holds of its slot's keys.
 
 Defined results: rows without a key, time, id or (sessions) end are left out, as are rows
 later than the watermark. Repeated samples are each given their session. Of sessions
@@ -85,29 +86,30 @@ def running_total(stream: DataFrame, key: str, ts: str, window: str,
         timeMode="None").withColumnRenamed("k", key)
 
 
-def _meetings(sample_type: T.DataType, session_type: T.DataType,
+def _meetings(key_type: T.DataType, sample_type: T.DataType, session_type: T.DataType,
               width_ms: int) -> StatefulProcessor:
     class Sessions(StatefulProcessor):
-        """(key, bucket): holds samples and sessions until the bucket's timer."""
+        """(slot, bucket): holds its keys' samples and sessions until the bucket's timer."""
 
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            ms = T.StructField("ms", LONG)
+            k, ms = T.StructField("k", key_type), T.StructField("ms", LONG)
             self.samples = handle.getListState("samples", T.StructType(
-                [ms, T.StructField("id", sample_type)]))
+                [k, ms, T.StructField("id", sample_type)]))
             self.sessions = handle.getListState("sessions", T.StructType(
-                [ms, T.StructField("id", session_type), T.StructField("end", LONG)]))
+                [k, ms, T.StructField("id", session_type), T.StructField("end", LONG)]))
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
             for p in rows:
                 held = p["held"].astype(bool)
                 x = p[~held]
                 if len(x):
-                    self.samples.appendList(list(zip(x["ms"].tolist(), x["sample"].tolist())))
+                    self.samples.appendList(list(zip(x["k"].tolist(), x["ms"].tolist(),
+                                                     x["sample"].tolist())))
                 x = p[held]
                 if len(x):
-                    self.sessions.appendList(list(zip(x["ms"].tolist(), x["session"].tolist(),
-                                                      x["till"].tolist())))
+                    self.sessions.appendList(list(zip(x["k"].tolist(), x["ms"].tolist(),
+                                                      x["session"].tolist(), x["till"].tolist())))
             # the same timer however often it is set
             self.handle.registerTimer((int(key[1]) + 1) * width_ms)
             return iter(())
@@ -115,12 +117,15 @@ def _meetings(sample_type: T.DataType, session_type: T.DataType,
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
             sessions = sorted(self.sessions.get()) if self.sessions.exists() else []
             samples = sorted(self.samples.get()) if self.samples.exists() else []
-            found, at = [], 0
-            for ms, sample in samples:
-                while at < len(sessions) and sessions[at][0] <= ms:
+            found, at, last = [], 0, None  # ``last``: of this key, started at or before ``ms``
+            for k, ms, sample in samples:
+                if last is not None and last[0] != k:
+                    last = None
+                while at < len(sessions) and sessions[at][:2] <= (k, ms):
+                    last = sessions[at] if sessions[at][0] == k else None
                     at += 1
-                if at and ms < sessions[at - 1][2]:
-                    found.append((key[0], sessions[at - 1][1], sample))
+                if last is not None and ms < last[3]:
+                    found.append((k, last[2], sample))
             self.sessions.clear()
             self.samples.clear()
             if found:
@@ -134,7 +139,7 @@ def _meetings(sample_type: T.DataType, session_type: T.DataType,
 
 def live_sessions(samples: DataFrame, sessions: DataFrame, key: str, ts: str, sample: str,
                   start: str, end: str, session: str, watermark: str, longest_ms: int,
-                  width_ms: int) -> DataFrame:
+                  width_ms: int, slots: int = 512) -> DataFrame:
     """(key, session, sample); ``ts``, ``start`` and ``end`` are timestamps, ids are
     integers or strings."""
     kinds = sessions.schema[session].dataType, samples.schema[sample].dataType
@@ -159,7 +164,8 @@ def live_sessions(samples: DataFrame, sessions: DataFrame, key: str, ts: str, sa
         bucket, F.floor((ms + F.lit(longest_ms)) / F.lit(width_ms)).cast("bigint"))))
     out = T.StructType([T.StructField("k", samples.schema[key].dataType),
                         T.StructField("session", kinds[0]), T.StructField("sample", kinds[1])])
-    return (a.unionByName(b).withColumn("ms", ms).groupBy("k", "bucket")
+    slot = F.pmod(F.xxhash64("k"), F.lit(slots))
+    return (a.unionByName(b).withColumns({"ms": ms, "slot": slot}).groupBy("slot", "bucket")
             .transformWithStateInPandas(
-                _meetings(kinds[1], kinds[0], width_ms), outputStructType=out,
+                _meetings(samples.schema[key].dataType, kinds[1], kinds[0], width_ms), outputStructType=out,
                 outputMode="Append", timeMode="EventTime").toDF(key, session, sample))

@@ -100,3 +100,20 @@ def test_live_sessions_equal_the_batch_join_when_all_has_come(spark, width):
     want = active_session(smp, ses, ["trial_id"], "ms", "start_ms", "end_ms", 24 * HOUR,
                           "session_id", tiebreak=["sample_id"])
     assert got == sorted(map(tuple, want.select("trial_id", "session_id", "sample_id").collect()))
+
+
+def test_sessions_of_many_keys_share_groups(spark):
+    """A group is a slot of keys, not a key: 300 keys make few groups, each key its own rows."""
+    src, sink, ck = (scratch_path(spark, n) for n in ("sl-src", "sl-sink", "sl-ck"))
+    rows = [(f"k{k}", 10 * k + j, 1000 * j + k, "start" if j in (1, 3) else "s")
+            for k in range(300) for j in range(5)]
+    drop(spark, src, rows + [("end", 9998, 9 * HOUR, "s"), ("end", 9999, 9 * HOUR, "start")])
+    ev = stream(spark, src)
+    starts = ev.where("kind = 'start'").select(
+        "trial_id", F.col("id").alias("session_id"), F.col("ts").alias("start"),
+        F.timestamp_millis(F.col("ms") + 1500).alias("end"))
+    samples = ev.where("kind = 's'").select("trial_id", F.col("id").alias("sample_id"), "ts")
+    run_stateful(live_sessions(samples, starts, "trial_id", "ts", "sample_id", "start", "end",
+                               "session_id", "0 seconds", HOUR, HOUR, slots=3), sink, ck)
+    got = {tuple(r) for r in spark.read.parquet(sink).where("trial_id <> 'end'").collect()}
+    assert got == {(f"k{k}", 10 * k + j - 1, 10 * k + j) for k in range(300) for j in (2, 4)}
