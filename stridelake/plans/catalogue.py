@@ -428,13 +428,18 @@ def q_rejected_frames(spark, sf):
 
 
 # -- streaming and layers (files derived from the tables) --------------------
+def _events_csv_rows(spark, sf):
+    return S.table(spark, sf, "events").select(
+        epoch_ms("ts").alias("ms"), "event_id", "value",
+        F.col("user_id").cast("string").alias("trial_id"))
+
+
 def _export_events_csv(spark, sf):
+    """Files of many trials each, the trial a column: a folder a trial would make as many
+    files as there are trials."""
     from ..session import scratch_path
     path = scratch_path(spark, "events-csv")
-    ev = S.table(spark, sf, "events").select(
-        F.col("user_id").cast("string").alias("trial_id"), epoch_ms("ts").alias("ms"),
-        "event_id", "value")
-    ev.write.partitionBy("trial_id").option("header", True).csv(path)
+    _events_csv_rows(spark, sf).write.option("header", True).csv(path)
     return path
 
 
@@ -527,7 +532,7 @@ def q_layer_silver(spark, sf):
     li = S.lineitem_imu(spark, sf)
     (li.select("host_timestamp_ms", "imu_timestamp_ms", "accel_x_g", "accel_y_g", "accel_z_g",
                "gyro_x_dps", "gyro_y_dps", "gyro_z_dps", "trial_id")
-       .write.partitionBy("trial_id").option("header", True).csv(src))
+       .write.option("header", True).csv(src))
     bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
 
     def to_silver(df):
@@ -599,16 +604,16 @@ def q_chain_late_files(spark, sf):
     loaded already. Returns silver."""
     from ..plans import chains
     from ..session import scratch_path
+    from ..sources.files import write_trial_csv
     p = chains.Paths(*[scratch_path(spark, f"late-{n}") for n in
                        ("imu", "cam", "b-imu", "b-cam", "s-imu", "s-cam", "g-cam", "res")])
     rows = S.lineitem_imu(spark, sf)
     late = F.coalesce(F.col("l_linenumber"), F.lit(0)) > 3
     checkpoint = scratch_path(spark, "late-ckpt")
     for part in (~late, late):
-        (rows.where(part).repartition("trial_id")
-         .select("host_timestamp_ms", "imu_timestamp_ms", "accel_x_g", "accel_y_g", "accel_z_g",
-                 "gyro_x_dps", "gyro_y_dps", "gyro_z_dps", "trial_id")
-         .write.mode("append").partitionBy("trial_id").option("header", True).csv(p.imu_source))
+        write_trial_csv(rows.where(part).select(
+            "host_timestamp_ms", "imu_timestamp_ms", "accel_x_g", "accel_y_g", "accel_z_g",
+            "gyro_x_dps", "gyro_y_dps", "gyro_z_dps", "trial_id"), p.imu_source)
         silver = chains.imu_file_chain(spark, p, checkpoint)
     return round_doubles(silver.drop("batch_id"))
 
@@ -669,8 +674,11 @@ def q_camera_layers(spark, sf):
 
 def q_source_trials(spark, sf):
     """Distinct trial ids under a source folder, from file paths only."""
-    from ..sources.files import source_trial_ids
-    return source_trial_ids(spark, _export_events_csv(spark, sf))
+    from ..session import scratch_path
+    from ..sources.files import source_trial_ids, write_trial_csv
+    path = scratch_path(spark, "events-csv")
+    write_trial_csv(_events_csv_rows(spark, sf), path)
+    return source_trial_ids(spark, path)
 
 
 def _export_lines(spark, sf):

@@ -3,12 +3,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import frame_file_name
-from ..session import full_uri
+from ..session import full_uri, per_key
 
 # Columns of an IMU CSV chunk, by position (the header text is not used).
 IMU_CSV_SCHEMA = T.StructType([
@@ -22,6 +24,7 @@ IMU_CSV_SCHEMA = T.StructType([
     T.StructField("gyro_z_dps", T.DoubleType()),
 ])
 KEY = "trial_id"
+NO_TRIAL = "__HIVE_DEFAULT_PARTITION__"  # the folder of rows without a trial
 IMU_SCHEMA = T.StructType(IMU_CSV_SCHEMA.fields + [T.StructField(KEY, T.StringType())])
 
 FRAME_SCHEMA = T.StructType([
@@ -89,6 +92,42 @@ def write_frames(frames: DataFrame, path: str) -> None:
      .mapInArrow(run, f"{KEY} string").write.format("noop").mode("overwrite").save())
 
 
+def write_trial_csv(rows: DataFrame, path: str, key: str = KEY,
+                    rows_per_file: int = 100_000) -> None:
+    """CSV files with a header in a folder per trial, added to what is there. A trial's
+    rows are one file, those of a long one several of about ``rows_per_file`` rows, so that
+    no task holds a hot trial. Written by Arrow: a file costs one call of the store, no
+    commit of its own."""
+    path = full_uri(rows.sparkSession, path)
+    run = uuid.uuid4().hex[:12]  # a file written again by a repeated task is the same file
+    columns = [c for c in rows.columns if c != key]
+    one = rows.withColumn("_k", F.struct(key))  # equal where the key is null
+    n = per_key(one.groupBy("_k").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file))
+                                      .alias("_n")), "trial-files")
+    part = F.pmod(F.xxhash64(*columns), F.col("_n"))
+    d = (one.join(n, "_k").withColumn("_part", part)
+         .withColumn("_g", F.xxhash64(key, "_part"))
+         # as text, as Spark's own writer has them
+         .select(F.col(key).cast("string").alias(key),
+                 *(F.col(c).cast("string").alias(c) for c in columns), "_part", "_g")
+         .repartition(key, "_part").sortWithinPartitions("_g", key, "_part"))
+
+    def write(batches):
+        from pyarrow import csv, fs
+
+        from ..operators.greedy import whole_groups
+        store, top = fs.FileSystem.from_uri(path)
+        for t, cuts in whole_groups(batches):
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                trial, i = (t.column(c)[int(a)].as_py() for c in (key, "_part"))
+                folder = f"{top}/{key}={NO_TRIAL if trial is None else trial}"
+                store.create_dir(folder, recursive=True)
+                with store.open_output_stream(f"{folder}/part-{run}-{i}.csv") as f:
+                    csv.write_csv(t.select(columns).slice(a, b - a), f)
+            yield from t.select([key]).to_batches()
+    d.mapInArrow(write, f"{key} string").write.format("noop").mode("overwrite").save()
+
+
 def rejected_imu_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """(value, reason) of the lines that ``parse_imu_lines`` drops: ``fields``
     (not seven) or ``number`` (a field is none)."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stridelake.operators.inference import detect_landmarks, stub_detector_factory
 from stridelake.plans.layers import read_layer, run_layer
 from stridelake.session import scratch_path
-from stridelake.sources.files import parse_imu_lines, read_frames, read_imu_csv
+from stridelake.sources.files import IMU_SCHEMA, parse_imu_lines, read_frames, read_imu_csv
 from stridelake.streaming.ingest import ingest_files
 
 CSV_HEADER = ("host_timestamp_ms,imu_timestamp_ms,accel_x_g,accel_y_g,accel_z_g,"
@@ -377,3 +377,31 @@ def test_late_files_replace_their_trials(spark, monkeypatch):
         chains.imu_file_chain(spark, p, ck, max_files_per_trigger=1)
         assert got() == [("A", 5), ("A", 10), ("A", 20), ("B", 10), ("C", 7)]
     assert read_latest(spark, scratch_path(spark, "absent")) is None
+
+
+def test_trial_csv_has_a_file_a_trial_and_several_for_a_long_one(spark):
+    from stridelake.sources.files import source_trial_ids, write_trial_csv
+    path = scratch_path(spark, "trial-csv")
+    rows = [(float(i), i, 1.5, None, float("nan"), 0.0, 0.0, 0.0, t)
+            for t, n in (("a", 3), ("b", 90), (None, 2)) for i in range(n)]
+    d = spark.createDataFrame(rows, IMU_SCHEMA).repartition(8)
+    write_trial_csv(d, path, rows_per_file=30)
+    back = read_imu_csv(spark, path)
+    assert sorted(map(str, back.collect())) == sorted(map(str, d.collect()))
+    files = {t: len(os.listdir(os.path.join(path, t))) for t in os.listdir(path)}
+    assert files["trial_id=a"] == 1 and 2 <= files["trial_id=b"] <= 3
+    write_trial_csv(d.where("trial_id = 'a'"), path)  # added to what is there
+    assert read_imu_csv(spark, path).where("trial_id = 'a'").count() == 6
+    assert {"a", "b"} <= {r.trial_id for r in source_trial_ids(spark, path).collect()}
+
+
+def test_exported_events_are_files_of_many_trials(spark, tmp_path):
+    from stridelake.plans import catalogue
+    (spark.range(400).selectExpr("id event_id", "timestamp_millis(id * 1000) ts", "id user_id",
+                                 "'view' event_type", "1.0D value").coalesce(2)
+     .write.parquet(str(tmp_path / "events.parquet")))
+    out = catalogue._export_events_csv(spark, str(tmp_path))
+    n = sum(f.endswith(".csv") for _, _, fs in os.walk(out) for f in fs)
+    assert n <= 8
+    back = spark.read.schema(catalogue.EV_CSV_SCHEMA).option("header", True).csv(out)
+    assert back.count() == 400 and back.select("trial_id").distinct().count() == 400
