@@ -35,6 +35,9 @@ SESSION_CONF = {
     # does not follow the length of the texts.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    # A source of many folders is listed by as many tasks as a cluster has cores
+    # some times over, not by one per folder: a task costs more than a listing.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
 }
 
 

@@ -42,3 +42,22 @@ def test_per_key_side_of_a_join_is_counted(spark, monkeypatch):
     monkeypatch.setattr(session.bounded, "__defaults__", (5,))
     text = plan()
     assert "BroadcastHashJoin" not in text and text.count("Exchange hashpartitioning") == 2
+
+
+def test_a_source_of_many_folders_is_listed_by_few_tasks(spark, tmp_path):
+    """Tasks of a listing don't follow the number of folders."""
+    for i in range(400):
+        (tmp_path / f"trial_id={i}").mkdir()
+        (tmp_path / f"trial_id={i}" / "a.csv").write_text("x\n1\n")
+    session.configure(spark)
+    sc = spark.sparkContext
+    sc.setJobGroup("listing", "listing")
+    try:
+        df = spark.read.schema("x long, trial_id string").csv(str(tmp_path))
+        status = sc.statusTracker()
+        tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("listing")
+                 for s in status.getJobInfo(j).stageIds]
+        assert tasks and max(tasks) <= 200
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert df.select("trial_id").distinct().count() == 400
