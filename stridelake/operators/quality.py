@@ -73,10 +73,13 @@ def duplicate_flag(df: DataFrame, group: Sequence[str], order: Sequence[str],
     kcols = [x for g in group for x in (f"_gn_{g}", f"_gv_{g}")]
     d = df.select("*", *[k for g in group for k in _null_safe_key(df, g)])
     okey = F.struct(*[F.col(c) for c in order])
-    # written, so that AQE can split the join where a group is hot
-    first = cut(d.groupBy(*kcols).agg(F.min(okey).alias("_first")), "first-rows")
+    # written, so that AQE can split the join where a group is hot; a row alone in its
+    # group needs no partner
+    first = cut(d.groupBy(*kcols).agg(F.min(okey).alias("_first"), F.count(F.lit(1)).alias("_n"))
+                .where("_n > 1").drop("_n"), "first-rows")
     j = d.join(first, kcols, "left")
-    return j.withColumn(out, ~okey.eqNullSafe(F.col("_first"))).drop("_first", *kcols)
+    return j.withColumn(out, F.col("_first").isNotNull() & ~okey.eqNullSafe(F.col("_first"))) \
+            .drop("_first", *kcols)
 
 
 def tag_rules(df: DataFrame, rules: Sequence[Rule], duplicate_col: str | None = None,

@@ -65,3 +65,21 @@ def test_valid_first_dedup_keeps_a_valid_twin(spark):
                                                   dedup="valid_first")).collect())
     # r8 (valid) now wins over r7 (accel out of range) at host time 1050
     assert kept == ["r1", "r11", "r13", "r4", "r8"]
+
+
+def test_only_groups_of_several_rows_are_written(spark, monkeypatch):
+    """A row alone in its group costs no row of the written table; results stay."""
+    written = []
+
+    def cut(df, name):
+        written.append(df.count())
+        return df
+    monkeypatch.setattr(Q, "cut", cut)
+    rows = [("a", float(i), i) for i in range(50)] + [("b", None, 1), ("b", None, 2), (None, 3.0, 2),
+                                                      (None, 3.0, 1), (None, None, 9)]
+    df = spark.createDataFrame(rows, "trial_id string, h double, i long")
+    d = Q.duplicate_flag(df, ["trial_id", "h"], ["i"]).collect()
+    assert len(d) == len(rows) and written == [2]
+    assert not any(r.is_duplicate is None for r in d)
+    assert sorted((str(r.trial_id), str(r.h), r.i) for r in d if r.is_duplicate) == [
+        ("None", "3.0", 2), ("b", "None", 2)]
