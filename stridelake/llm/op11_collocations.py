@@ -1,13 +1,15 @@
 r"""Phrase collocations: exact phrase counts by HAT-tries, scored by their weakest cut.
 
-Three passes over whole texts. Words are counted first. The second adds up hashes of
-pairs of neighbours that both occur often enough. The third counts phrases of two
-words and more all of whose neighbouring pairs do: a phrase is never more frequent
-than what it contains, so nothing that could be a candidate is left out. What is
-frequent reaches the next pass as a bitmap of hashes whose size is a parameter; an
-accidental hit costs a count and changes none.
-
-In the third pass a task counts its windows in a trie over its own word ids. The
+Four passes over whole texts. Words are counted first. The second adds up hashes of
+pairs of neighbours that both occur often enough, the third those of three words
+whose two pairs do. The fourth counts phrases all of whose neighbouring pairs and
+threes do: a phrase is never more frequent than what it contains, so nothing that
+could be a candidate is left out. What is frequent reaches the next pass as a bitmap
+of hashes whose size is a parameter; an accidental hit costs a count and changes
+none. So the phrases that a task puts out are nearly all frequent ones, not the far
+more that chain frequent pairs, whose number grows faster than the texts.
+
+In the fourth pass a task counts its windows in a trie over its own word ids. The
 root is a hash table of windows until it bursts into one table (the rest of the
 window -> count) per first word; a table that grows past a bound bursts again, into
 one per next word, and no deeper. When the trie holds too many entries its largest
@@ -49,11 +51,11 @@ MIN_COUNT, MAX_WORDS, TOP = 100, 5, 2000
 ROOT_BURST, BURST = 65_536, 4096
 #: Entries of a task's trie (and words of its vocabulary) before it spills.
 MOST_ENTRIES = 400_000
-#: Words (of whole texts) and hashes of pairs that are handled at once.
+#: Words (of whole texts) and hashes of pairs or threes that are handled at once.
 WORDS_AT_ONCE, PAIRS_AT_ONCE = 200_000, 2_000_000
 #: Bits of a pair's hash when pairs are counted: few of 10^11 pairs share one.
 PAIR_BITS = 40
-#: Bits of the filters of frequent words and pairs (8 MB each), as a power of 2.
+#: Bits of the filters of frequent words, pairs and threes (8 MB each), as a power of 2.
 FILTER_BITS = 26
 #: A word with a greater share of all words is a hot prefix (so there are at most 200).
 HOT_SHARE = 1 / 200
@@ -76,6 +78,18 @@ def pair_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h >> np.uint64(64 - PAIR_BITS)
 
 
+def three_hashes(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return pair_hashes(pair_hashes(a, b), c)
+
+
+def joined_pairs(a: np.ndarray, h: np.ndarray, pairs: np.ndarray | None, bits: int) -> np.ndarray:
+    """Whether a place and the next hold words, and a pair of the filter."""
+    joined = (a[:-1] > 0) & (a[1:] > 0)
+    if pairs is not None:
+        joined &= has(pairs, pair_hashes(h[:-1], h[1:]) >> np.uint64(PAIR_BITS - bits))
+    return joined
+
+
 def has(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
@@ -281,9 +295,10 @@ def words_of(batches, most: int = MOST_ENTRIES):
     give_back()
 
 
-def pairs_of(batches, words: np.ndarray, bits: int, most: int = PAIRS_AT_ONCE,
-             most_words: int = MOST_ENTRIES):
-    """Sums of hashes of neighbouring words that are both in the filter."""
+def pairs_of(batches, words: np.ndarray | None, bits: int, most: int = PAIRS_AT_ONCE,
+             most_words: int = MOST_ENTRIES, pairs: np.ndarray | None = None):
+    """Sums of hashes of neighbouring words that are both in the filter; given a filter
+    of pairs, of three words whose two pairs are in it."""
     known = Vocabulary(words, bits)
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -302,10 +317,14 @@ def pairs_of(batches, words: np.ndarray, bits: int, most: int = PAIRS_AT_ONCE,
                                               pa.array(n[k:k + 100_000])], schema=_PAIR)
     size = 0
     for a, h in known.lines(batches, WORDS_AT_ONCE):
-        both = (a[:-1] > 0) & (a[1:] > 0)
-        pairs = pair_hashes(h[:-1][both], h[1:][both])
-        held.append((pairs, np.ones(len(pairs), dtype=np.int64)))
-        size += len(pairs)
+        both = joined_pairs(a, h, pairs, bits)
+        if pairs is None:
+            found = pair_hashes(h[:-1][both], h[1:][both])
+        else:
+            at = np.flatnonzero(both[:-1] & both[1:])
+            found = three_hashes(h[at], h[at + 1], h[at + 2])
+        held.append((found, np.ones(len(found), dtype=np.int64)))
+        size += len(found)
         if size > most and (size := merge()) > most // 2:
             yield from out()
             size = 0
@@ -318,9 +337,10 @@ def pairs_of(batches, words: np.ndarray, bits: int, most: int = PAIRS_AT_ONCE,
 
 
 def windows_of(batches, least: int, longest: int, pairs: np.ndarray | None, bits: int,
-               most: int = MOST_ENTRIES, burst: int = BURST, root_burst: int = ROOT_BURST):
-    """Runs of phrases of ``least`` to ``longest`` words whose neighbouring pairs are
-    in the filter."""
+               most: int = MOST_ENTRIES, burst: int = BURST, root_burst: int = ROOT_BURST,
+               threes: np.ndarray | None = None):
+    """Runs of phrases of ``least`` to ``longest`` words whose neighbouring pairs, and
+    threes, are in the filters."""
     trie = HatTrie(burst, root_burst)
     known = Vocabulary(None, bits)
 
@@ -336,15 +356,17 @@ def windows_of(batches, least: int, longest: int, pairs: np.ndarray | None, bits
                     [langs.take(part[0]).cast(pa.string()), phrase.cast(pa.string()),
                      pa.array(n[k:k + 20_000])], schema=_RUN)
     for a, h in known.lines(batches, WORDS_AT_ONCE):
-        joined = (a[:-1] > 0) & (a[1:] > 0)
-        if pairs is not None:
-            joined &= has(pairs, pair_hashes(h[:-1], h[1:]) >> np.uint64(PAIR_BITS - bits))
-        joined = np.concatenate([joined, np.zeros(longest, dtype=bool)])
+        joined = joined_pairs(a, h, pairs, bits)
+        further = joined[:-1] & joined[1:]  # from a place to the second next
+        if threes is not None:
+            further[further] = has(threes, three_hashes(*(
+                x[further] for x in (h[:-2], h[1:-1], h[2:]))) >> np.uint64(PAIR_BITS - bits))
+        further = np.concatenate([further, np.zeros(longest, dtype=bool)])
         a = np.concatenate([a, np.zeros(longest, dtype=np.int64)])
         at = np.flatnonzero(joined)
-        columns, on = [a[at]], np.ones(len(at), dtype=bool)
-        for k in range(1, longest):
-            on = on & joined[at + k - 1]
+        columns, on = [a[at], a[at + 1]][:longest], np.ones(len(at), dtype=bool)
+        for k in range(2, longest):
+            on = on & further[at + k - 2]
             columns.append(np.where(on, a[at + k], 0))
         for k in range(0, len(at), WORDS_AT_ONCE):  # also within a very long text
             trie.add(zip(*(c[k:k + WORDS_AT_ONCE].tolist() for c in columns)))
@@ -387,10 +409,16 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
     if longest < 2:
         return often, sizes
     good = sc.broadcast(word_filter(often, bits))
-    pairs = texts.mapInArrow(lambda batches: pairs_of(batches, good.value, bits), "h long, n long")
-    joined = sc.broadcast(bitmap_of(pairs.groupBy("h").agg(F.sum("n").alias("n")).where(
-        F.col("n") >= min_count).select(F.shiftright("h", PAIR_BITS - bits).alias("at")), bits))
-    runs = texts.mapInArrow(lambda batches: windows_of(batches, 2, longest, joined.value, bits), schema)
+
+    def hash_filter(words, pairs):
+        found = texts.mapInArrow(lambda batches: pairs_of(
+            batches, words and words.value, bits, pairs=pairs and pairs.value), "h long, n long")
+        return sc.broadcast(bitmap_of(found.groupBy("h").agg(F.sum("n").alias("n")).where(
+            F.col("n") >= min_count).select(F.shiftright("h", PAIR_BITS - bits).alias("at")), bits))
+    joined = hash_filter(good, None)
+    threes = hash_filter(None, joined) if longest > 2 else None
+    runs = texts.mapInArrow(lambda batches: windows_of(
+        batches, 2, longest, joined.value, bits, threes=threes and threes.value), schema)
     phrases = cut(merged(runs, hot).where(F.col("n") >= min_count), "collocation-phrases")
     return often.unionByName(phrases), sizes
 

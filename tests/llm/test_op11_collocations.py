@@ -168,3 +168,34 @@ def test_sql(spark):
     con.sql(f"create view documents as select * from '{d}/documents.parquet'")
     want = sorted(con.sql(SQL["op11_collocations"].strip()).fetchall())
     assert want and collected(P.collocations(spark.read.parquet(d + "/documents.parquet"))) == want
+
+
+def test_chains_of_frequent_pairs_are_not_put_out(spark, monkeypatch):
+    """All pairs of ten words are frequent, of their chains only some: the runs hold the
+    frequent phrases, whatever the number of chains."""
+    rnd = random.Random(3)
+    rows = [("en", " ".join(rnd.choice("abcdefghij") for _ in range(40))) for _ in range(100)]
+    rows += [("en", "a b c d e")] * 40
+    runs = []
+
+    def merged(found, hot, old=P.merged):
+        runs.append(found.collect())
+        return old(found, hot)
+    monkeypatch.setattr(P, "merged", merged)
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    got = collected(P.collocations(df, 25))
+    assert got == brute(rows, 25) and any(r[2] == "a b c d e" for r in got)
+    by_size = Counter(r["phrase"].count(" ") + 1 for r in runs[0])
+    assert by_size[2] == 100 and sum(by_size.values()) < 130
+
+
+def test_threes_go_by_both_pairs():
+    """Of three words with two frequent pairs the hash is summed, across pieces never."""
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 3, "text": ["a b c", "a b. c", "x b c"]})
+    h = {w: np.array([P.word_hash(b"en", w)], dtype=np.uint64) for w in (b"a", b"b", b"c", b"x")}
+    pairs = np.zeros(1 << 23, dtype=np.uint8)
+    for v, w in ((b"a", b"b"), (b"b", b"c")):
+        at = int(P.pair_hashes(h[v], h[w])[0]) >> P.PAIR_BITS - 26
+        pairs[at >> 3] |= 1 << (at & 7)
+    got = [r for b in P.pairs_of([batch], None, 26, pairs=pairs) for r in b.to_pylist()]
+    assert got == [{"h": int(P.three_hashes(h[b"a"], h[b"b"], h[b"c"])[0]), "n": 1}]
