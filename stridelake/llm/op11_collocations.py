@@ -16,7 +16,9 @@ one per next word, and no deeper. When the trie holds too many entries its large
 subtrees are spilled whole, as a sorted run; sums over a run's equal beginnings are
 the counts of the phrases. Spark merges the runs per prefix partition: the first
 word, or, for the few words with a noticeable share of the corpus, the whole phrase,
-so that no partition follows a hot word.
+so that no partition follows a hot word. A task of this pass takes several partitions
+of the texts, where there are more than cores: a run has each phrase once, so fewer
+runs of more texts are fewer rows.
 
 Scores take decimals of 38 digits. A candidate is dropped where a candidate one
 word longer contains it and is as frequent; a much longer one that contains it
@@ -53,6 +55,8 @@ ROOT_BURST, BURST = 65_536, 4096
 MOST_ENTRIES = 400_000
 #: Words (of whole texts) and hashes of pairs or threes that are handled at once.
 WORDS_AT_ONCE, PAIRS_AT_ONCE = 200_000, 2_000_000
+#: Partitions of texts that a task of the last pass takes, if as many tasks as cores remain.
+PARTS_A_TASK = 4
 #: Bits of a pair's hash when pairs are counted: few of 10^11 pairs share one.
 PAIR_BITS = 40
 #: Bits of the filters of frequent words, pairs and threes (8 MB each), as a power of 2.
@@ -233,6 +237,10 @@ class Vocabulary:
     def __len__(self) -> int:
         return sum(map(len, self.ids.values()))
 
+    def forget(self) -> None:
+        """Words that aren't in the filter; the ids of the others stay."""
+        self.ids = {lang: {w: i for w, i in known.items() if i} for lang, known in self.ids.items()}
+
     def line(self, lang: bytes, text: bytes) -> list:
         """The text's ids, a 0 behind each piece."""
         known = self.ids.setdefault(lang, {})
@@ -338,11 +346,11 @@ def pairs_of(batches, words: np.ndarray | None, bits: int, most: int = PAIRS_AT_
 
 def windows_of(batches, least: int, longest: int, pairs: np.ndarray | None, bits: int,
                most: int = MOST_ENTRIES, burst: int = BURST, root_burst: int = ROOT_BURST,
-               threes: np.ndarray | None = None):
-    """Runs of phrases of ``least`` to ``longest`` words whose neighbouring pairs, and
-    threes, are in the filters."""
+               threes: np.ndarray | None = None, words: np.ndarray | None = None):
+    """Runs of phrases of ``least`` to ``longest`` words that, as their neighbouring pairs
+    and threes, are in the filters. Rare words end no run: they have no ids in the trie."""
     trie = HatTrie(burst, root_burst)
-    known = Vocabulary(None, bits)
+    known = Vocabulary(words, bits)
 
     def out(keep: int = 0):
         windows, counts = trie.spill(keep)
@@ -373,8 +381,10 @@ def windows_of(batches, least: int, longest: int, pairs: np.ndarray | None, bits
             if trie.entries > most:
                 yield from out(most // 2)
         if len(known) > most:
-            yield from out()
-            known.clear()
+            known.forget()
+            if len(known) > most // 2:
+                yield from out()
+                known.clear()
     yield from out()
     give_back()
 
@@ -417,8 +427,11 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
             F.col("n") >= min_count).select(F.shiftright("h", PAIR_BITS - bits).alias("at")), bits))
     joined = hash_filter(good, None)
     threes = hash_filter(None, joined) if longest > 2 else None
-    runs = texts.mapInArrow(lambda batches: windows_of(
-        batches, 2, longest, joined.value, bits, threes=threes and threes.value), schema)
+    parts = texts.select(F.spark_partition_id().alias("p")).agg(F.countDistinct("p")).first()[0]
+    wide = texts.coalesce(max(sc.defaultParallelism, parts // PARTS_A_TASK))
+    runs = wide.mapInArrow(lambda batches: windows_of(
+        batches, 2, longest, joined.value, bits, threes=threes and threes.value,
+        words=good.value), schema)
     phrases = cut(merged(runs, hot).where(F.col("n") >= min_count), "collocation-phrases")
     return often.unionByName(phrases), sizes
 

@@ -199,3 +199,31 @@ def test_threes_go_by_both_pairs():
         pairs[at >> 3] |= 1 << (at & 7)
     got = [r for b in P.pairs_of([batch], None, 26, pairs=pairs) for r in b.to_pylist()]
     assert got == [{"h": int(P.three_hashes(h[b"a"], h[b"b"], h[b"c"])[0]), "n": 1}]
+
+
+def test_small_partitions_share_a_run(spark, monkeypatch):
+    """Rows of the last pass follow its tasks, and those neither small files nor splits."""
+    parts = 4 * spark.sparkContext.defaultParallelism
+    rows = [("en", " ".join(f"a{i} b{i} c{i}." for i in range(30)))] * parts
+    runs = []
+
+    def merged(found, hot, old=P.merged):
+        runs.append(found.count())
+        return old(found, hot)
+    monkeypatch.setattr(P, "merged", merged)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(parts)
+    assert collected(P.collocations(df, parts)) == brute(rows, parts)
+    assert runs[0] <= 3 * 30 * parts // 4
+
+
+def test_rare_words_end_no_run(monkeypatch):
+    """A vocabulary full of rare words is emptied of them; the trie's counts go on."""
+    monkeypatch.setattr(P, "WORDS_AT_ONCE", 50)
+    texts = ["a b c. " + " ".join(f"r{i}x{j}" for j in range(60)) for i in range(40)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 40, "text": texts})
+    words = np.zeros(1 << 23, dtype=np.uint8)
+    for w in (b"a", b"b", b"c"):
+        at = P.word_hash(b"en", w) >> 38
+        words[at >> 3] |= 1 << (at & 7)
+    got = [r for b in P.windows_of([batch], 2, 5, None, 26, 100, words=words) for r in b.to_pylist()]
+    assert sorted((r["phrase"], r["n"]) for r in got) == [("a b", 40), ("a b c", 40), ("b c", 40)]
