@@ -19,10 +19,10 @@ from ..operators.quality import clean, tag_imu
 from ..operators.signals import magnitude
 from ..operators.trials import fuse, motion_metrics, trial_events
 from ..params import PoseParams, QualityParams, StepParams, TrialParams
-from ..sources.files import read_frames, read_imu_csv
-from ..session import cut, per_key
+from ..sources.files import arrow_reads, read_frames, read_imu_csv, read_imu_files
+from ..session import cut, path_exists, per_key
 from ..sources.tables import with_row_identity
-from ..streaming.ingest import run_batches
+from ..streaming.ingest import new_files, run_batches
 from .layers import (LayerSource, StepResult, loaded_keys, publish, read_latest, read_layer,
                      run_layer)
 
@@ -110,7 +110,11 @@ def imu_file_chain(spark: SparkSession, p: Paths, checkpoint: str,
 
     Each micro-batch is a run named by its number, and a batch done again after a failure
     replaces its runs, so a file counts once. A file costs the bronze runs of its trial
-    again, which are few as long as a trial's files come close together."""
+    again, which are few as long as a trial's files come close together.
+
+    What streams are the files' names, found and opened by tasks: Spark's own file stream
+    holds every file of the source on the driver. It stays for stores that Arrow can't
+    open and for checkpoints that it began."""
     def step(rows: DataFrame, batch: int) -> None:
         place = f"batch_id={batch:012d}/run_id=files"
         publish(rows, p.bronze_imu, place)
@@ -121,6 +125,11 @@ def imu_file_chain(spark: SparkSession, p: Paths, checkpoint: str,
                     tiebreak=["imu_timestamp_ms", "_src_file", "_src_row"])
         publish(clean(t).drop("_src_file", "_src_row"), p.silver_imu, place)
 
-    run_batches(read_imu_csv(spark, p.imu_source, streaming=True,
-                             max_files_per_trigger=max_files_per_trigger), step, checkpoint)
+    if path_exists(spark, f"{checkpoint}/offsets") or not arrow_reads(spark, p.imu_source):
+        run_batches(read_imu_csv(spark, p.imu_source, streaming=True,
+                                 max_files_per_trigger=max_files_per_trigger), step, checkpoint)
+    elif (found := new_files(spark, p.imu_source, f"{checkpoint}/files",
+                             max_files_per_trigger)) is not None:
+        run_batches(found, lambda files, batch: step(read_imu_files(files, p.imu_source), batch),
+                    f"{checkpoint}/stream")
     return read_latest(spark, p.silver_imu)

@@ -3,14 +3,17 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import frame_file_name
-from ..session import full_uri, per_key
+from ..session import full_uri, path_exists, per_key
 
 # Columns of an IMU CSV chunk, by position (the header text is not used).
 IMU_CSV_SCHEMA = T.StructType([
@@ -52,6 +55,202 @@ def read_imu_csv(spark: SparkSession, path: str, streaming: bool = False,
     return r.csv(path)
 
 
+# Files of a source, by their path below it; the time is of the last change.
+FILE_SCHEMA = "path string, size long, time long"
+READ_BYTES = 32 << 20  # of files to a reading task, at most
+OPEN_BYTES = 64 << 10  # what opening a file counts for
+BLOCK_BYTES = 4 << 20
+FILE_BYTES = 2 << 10  # what the lines of a small file take beside their text
+BLANK = "".join(map(chr, range(33)))  # what a blank line may hold
+PACKED = r"\.(gz|bz2|zst)$"  # compressed files that Arrow reads as they are
+OTHER_PACKED = r"\.(deflate|snappy|lz4|lzo)$"
+FOLDER_PATTERN = rf"(?:^|/){KEY}=([^/]+)/"
+
+
+def arrow_reads(spark: SparkSession, path: str) -> bool:
+    """Whether Python tasks can list and open a folder themselves. Not so for a pattern, for
+    a table that a stream writes (its log names the files), for stores unknown to Arrow."""
+    from pyarrow import fs
+    if re.search(r"[*?\[{%]", path) or path_exists(spark, f"{path}/_spark_metadata"):
+        return False
+    try:
+        fs.FileSystem.from_uri(full_uri(spark, path))
+    except (OSError, ValueError, NotImplementedError):
+        return False
+    return True
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, size, time) of the files below a folder, hidden ones left out. One task lists
+    the folder itself, many list what is in its folders; no list comes to the driver."""
+    path = full_uri(spark, path)
+    kinds = f"{FILE_SCHEMA}, folder boolean"
+
+    def shown(name):  # as Spark's readers have it
+        return not (name[0] == "." or name[0] == "_" and "=" not in name
+                    or name.endswith("._COPYING_"))
+
+    def listed(store, top, sub, deep):
+        from pyarrow import fs
+        at = f"{top}/{sub}" if sub else top
+        # a folder may go after it was listed, as for Spark's readers; the source may not
+        for x in store.get_file_info(fs.FileSelector(at, allow_not_found=deep, recursive=deep)):
+            below = x.path[len(at) + 1:]
+            if all(map(shown, below.split("/"))):
+                yield (f"{sub}/{below}" if sub else below, x.size, x.mtime_ns,
+                       x.type == fs.FileType.Directory)
+
+    def batches(rows):
+        import pyarrow as pa
+        names = ["path", "size", "time", "folder"]
+        types = [pa.string(), pa.int64(), pa.int64(), pa.bool_()]
+        held = []
+        for r in rows:
+            held.append(r)
+            if len(held) == 2000:
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*held), types)), names)
+                held = []
+        if held:
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*held), types)), names)
+
+    def first(_):
+        from pyarrow import fs
+        store, top = fs.FileSystem.from_uri(path)
+        yield from batches(listed(store, top, "", False))
+
+    def rest(parts):
+        from pyarrow import fs
+        store, top = fs.FileSystem.from_uri(path)
+
+        def rows():
+            for b in parts:
+                for r in b.to_pylist():
+                    if r["folder"]:
+                        yield from listed(store, top, r["path"], True)
+                    else:
+                        yield tuple(r.values())
+        yield from batches(rows())
+
+    # by number: Spark would put rows as few as a listing's together again
+    n = 4 * spark.sparkContext.defaultParallelism
+    top = spark.range(1, numPartitions=1).mapInArrow(first, kinds)
+    return (top.repartition(n, "path").mapInArrow(rest, kinds)
+            .where(~F.col("folder")).drop("folder"))
+
+
+def whole_lines(f, start: int, stop: int | None) -> Iterator[bytes]:
+    """The lines of a file that begin from ``start`` on and before ``stop``, some whole lines
+    at a time. A line ends at a line feed or a carriage return; both give a blank line more."""
+    def end(b: bytes, at: int = 0) -> int:  # after the first end of a line, or 0
+        return min((i + 1 for i in (b.find(b"\n", at), b.find(b"\r", at)) if i >= 0), default=0)
+
+    at, rest, inside = start, b"", start > 0
+    if inside:  # the line that goes on at start is another part's
+        at -= 1
+        f.seek(at)
+    while b := f.read(BLOCK_BYTES):
+        after = at + len(b)
+        if inside:
+            if not (cut := end(b)):
+                at = after
+                if stop is not None and at >= stop:
+                    return
+                continue
+            b, at, inside = b[cut:], at + cut, False
+            if stop is not None and at >= stop:
+                return
+        if stop is not None and after >= stop:
+            cut = end(b, max(0, stop - 1 - at))
+            if cut:
+                yield rest + b[:cut]
+                return
+        else:
+            cut = max(b.rfind(b"\n"), b.rfind(b"\r")) + 1
+            if cut:
+                yield rest + b[:cut]
+                rest, b = b"", b[cut:]
+        rest += b
+        at = after
+    if rest:
+        yield rest
+
+
+def read_imu_files(files: DataFrame, path: str) -> DataFrame:
+    """The rows of CSV files listed by ``list_files``, as ``read_imu_csv`` has them: first
+    line left out, columns by position, a bad cell null, the trial from the folder's name
+    (from the column after the others where no folder names it). Tasks open the files
+    themselves, a large one in parts, so that no list of them is held in one place."""
+    spark, most = files.sparkSession, READ_BYTES
+    path = full_uri(spark, path)
+    packed = F.col("path").rlike(PACKED)
+    files = files.withColumn("size", F.when(
+        F.col("path").rlike(OTHER_PACKED), F.raise_error(F.concat(F.lit("not readable: "), "path")))
+        .otherwise(F.col("size")))
+    n, size = files.agg(F.count(F.lit(1)), F.sum(F.col("size") + F.lit(OPEN_BYTES))).first()
+    tasks = max(1, min(n, spark.sparkContext.defaultParallelism), -(-(size or 0) // most))
+    starts = F.when(packed, F.array(F.lit(0).cast("long"))).otherwise(
+        F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)),
+                   F.lit(most).cast("long")))
+    parts = (files.select("path", packed.alias("packed"), F.explode(starts).alias("start"))
+             .repartition(tasks))
+
+    def read(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyarrow import fs
+        store, top = fs.FileSystem.from_uri(path)
+
+        def lines(name, packed, start):
+            if packed:
+                opened, stop = store.open_input_stream(f"{top}/{name}"), None
+            else:
+                opened, stop = store.open_input_file(f"{top}/{name}"), start + most
+            header = start == 0
+            with opened as f:
+                for i, b in enumerate(whole_lines(f, start, stop)):
+                    text = b.decode("utf-8", "replace").replace("\r", "\n")
+                    if header and i == 0:
+                        text = text.removeprefix("\ufeff")
+                    x = pc.split_pattern(pa.array([text]), "\n").flatten()
+                    x = x.filter(pc.not_equal(pc.utf8_trim(x, BLANK), ""))
+                    if header and len(x):
+                        x, header = x[1:], False
+                    if len(x):
+                        yield x, len(b)
+
+        def batch(held):
+            trials, named, texts = zip(*held)
+            of = [len(x) for x in texts]
+            index = pa.array([i for i, k in enumerate(of) for _ in range(k)], pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(trials, pa.string()).take(index), pa.array(named, pa.bool_()).take(index),
+                 pa.concat_arrays(texts)], ["folder", "named", "line"])
+
+        held, size = [], 0
+        for b in batches:
+            for name, packed, start in zip(*(c.to_pylist() for c in b.columns)):
+                m = re.search(FOLDER_PATTERN, name)
+                trial = unquote(m[1], "latin-1") if m and m[1] != NO_TRIAL else None
+                for x, k in lines(name, packed, start):
+                    held.append((trial, m is not None, x))
+                    size += k + FILE_BYTES
+                    if size >= BLOCK_BYTES:
+                        yield batch(held)
+                        held, size = [], 0
+        if held:
+            yield batch(held)
+
+    def parsed(schema):
+        ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+        return F.from_csv("line", ddl, {"mode": "PERMISSIVE"})
+
+    trial = F.when(F.col("named"), F.col("folder")).otherwise(parsed(IMU_SCHEMA)[KEY])
+    # parsed once, as in parse_imu_lines
+    return (parts.mapInArrow(read, "folder string, named boolean, line string")
+            .select(trial.alias(KEY), F.inline(F.array(parsed(IMU_CSV_SCHEMA))))
+            .select(*IMU_SCHEMA.names))
+
+
 def frames_from_files(files: DataFrame) -> DataFrame:
     """Path -> (trial_id, frame_ts_ms, content). An unmatched path gives an
     empty id and a null timestamp (kept; callers reject it, D24)."""

@@ -6,6 +6,8 @@ batch step, a late file of an already loaded trial is picked up.
 ``rate_per_window``: per-trial sample counts per event-time window with a
 watermark, in append mode (a window is emitted once the watermark passes
 its end; windows still open at the end of the input stay pending).
+``new_files``: the names of new source files as a stream, for steps that open them in
+their tasks.
 ``ingest_lines``: raw sensor lines to two tables, parsed and rejected ones with
 their reason, each micro-batch in folders of its own.
 ``run_updates``: the same counts in update mode, open windows included.
@@ -20,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import computed_once, path_exists
-from ..sources.files import parse_imu_lines, rejected_imu_lines
+from ..session import computed_once, cut, path_exists
+from ..sources.files import FILE_SCHEMA, list_files, parse_imu_lines, rejected_imu_lines
 
 
 def run_available(df: DataFrame, sink_path: str, checkpoint: str, mode: str = "append",
@@ -45,6 +47,30 @@ def run_batches(df: DataFrame, step: Callable[[DataFrame, int], None], checkpoin
         raise RuntimeError(str(q.exception()))
 
 
+def new_files(spark: SparkSession, source: str, known: str,
+              max_files_per_trigger: int | None = None) -> DataFrame | None:
+    """A stream of the files of ``source`` (FILE_SCHEMA); None before the first file. What is not in ``known`` yet, a
+    table by the stream's checkpoint, is added to it and is the stream's input: which files
+    are there is never held on the driver, as Spark's own file stream has it. With a limit
+    the files found now are dealt out by it, the oldest first."""
+    found = list_files(spark, source)
+    if path_exists(spark, known):
+        found = found.join(spark.read.schema(FILE_SCHEMA).parquet(known).select("path"), "path",
+                           "left_anti")
+    found = cut(found, "new-files")
+    if not found.isEmpty():
+        if max_files_per_trigger:
+            found = found.orderBy("time", "path").coalesce(1)
+        (found.write.mode("append").option("maxRecordsPerFile", max_files_per_trigger or 0)
+         .parquet(known))
+    elif not path_exists(spark, known):
+        return None
+    r = spark.readStream.schema(FILE_SCHEMA)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", 1)
+    return r.parquet(known)
+
+
 def run_updates(df: DataFrame, sink_path: str, checkpoint: str, keys: list[str]) -> DataFrame:
     """Update mode: each micro-batch's changed rows go to a folder of its own
     (a batch done again replaces it); returns the latest row of each key, open

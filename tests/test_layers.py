@@ -379,6 +379,122 @@ def test_late_files_replace_their_trials(spark, monkeypatch):
     assert read_latest(spark, scratch_path(spark, "absent")) is None
 
 
+def test_file_chain_holds_no_list_of_files_on_the_driver(spark):
+    """The stream's own log, which the driver holds, does not grow with the source's files."""
+    from stridelake.plans import chains
+    p = chains.Paths(*[scratch_path(spark, f"many-{i}") for i in range(8)])
+    ck = scratch_path(spark, "many-ck")
+    os.makedirs(p.imu_source)
+    assert chains.imu_file_chain(spark, p, ck) is None  # no file yet
+    for drop in ("a", "b"):
+        for i in range(60):
+            write_csv(p.imu_source, i, f"{drop}.csv", [(ord(drop), i, 0.1, 0.2, 0.9, 1, 2, 3)])
+        silver = chains.imu_file_chain(spark, p, ck)
+    assert silver.count() == 120
+    logs = [os.path.join(d, f) for d, _, fs in os.walk(ck) if "/sources/" in d for f in fs
+            if not f.endswith(".crc")]
+    assert logs and sum(open(f).read().count('"path"') for f in logs) < 60
+
+
+def test_file_chain_goes_on_with_a_checkpoint_of_sparks_file_stream(spark, monkeypatch):
+    from stridelake.plans import chains
+    p = chains.Paths(*[scratch_path(spark, f"old-{i}") for i in range(8)])
+    ck = scratch_path(spark, "old-ck")
+    write_csv(p.imu_source, "A", "a.csv", [(10, 10, 0, 0, 1, 0, 0, 0)])
+    with monkeypatch.context() as m:
+        m.setattr(chains, "arrow_reads", lambda *_: False)
+        chains.imu_file_chain(spark, p, ck)
+    write_csv(p.imu_source, "A", "b.csv", [(20, 20, 0, 0, 1, 0, 0, 0)])
+    assert chains.imu_file_chain(spark, p, ck).count() == 2
+    assert read_layer(spark, p.bronze_imu).count() == 2  # no file twice
+
+
+def test_new_files_are_streamed_once_the_oldest_first(spark):
+    from stridelake.streaming.ingest import new_files, run_batches
+    src, known, ck = (scratch_path(spark, f"new-{i}") for i in "skc")
+    got = []
+
+    def run():
+        run_batches(new_files(spark, src, known, 2),
+                    lambda d, _: got.append(sorted(r.path for r in d.collect())), ck)
+    for i, name in enumerate("cabde"):
+        write_csv(src, name, "x.csv", [])
+        os.utime(os.path.join(src, f"trial_id={name}", "x.csv"), (1000 + i, 1000 + i))
+    for hidden in ("_tmp.csv", ".x.csv", "y.csv._COPYING_", "_temporary/0/z.csv"):
+        f = os.path.join(src, "trial_id=a", hidden)
+        os.makedirs(os.path.dirname(f), exist_ok=True)
+        open(f, "w").close()
+    run()
+    assert sum(got, []) and sorted(map(len, got)) == [1, 2, 2]
+    assert {"trial_id=a/x.csv", "trial_id=c/x.csv"} == set(got[0])
+    run()
+    assert len(got) == 3  # nothing new
+    write_csv(src, "a", "late.csv", [])
+    run()
+    assert got[3:] == [["trial_id=a/late.csv"]]
+    with pytest.raises(Exception, match="new-absent"):
+        new_files(spark, scratch_path(spark, "new-absent"), known)
+
+
+@pytest.mark.parametrize("block", [1, 3, 64])
+def test_parts_of_a_file_have_each_line_once(monkeypatch, block):
+    import io
+
+    from stridelake.sources import files
+    monkeypatch.setattr(files, "BLOCK_BYTES", block)
+    for text in (b"", b"a", b"a\n", b"\n\na\nbb\n\nccc", b"a\r\nbb\r\n", b"a\rbb\rccc\r", b"aaaaaaaaaa\nb"):
+        for size in range(1, len(text) + 2):
+            got = [x for at in range(0, max(len(text), 1), size)
+                   for piece in files.whole_lines(io.BytesIO(text), at, at + size)
+                   for x in piece.replace(b"\r", b"\n").split(b"\n") if x]
+            assert got == [x for x in text.replace(b"\r", b"\n").split(b"\n") if x]
+        assert b"".join(files.whole_lines(io.BytesIO(text), 0, None)) == text
+
+
+@pytest.mark.parametrize("part", [32 << 20, 40])
+def test_files_opened_by_tasks_read_as_sparks_reader_has_them(spark, monkeypatch, part):
+    import gzip
+
+    from stridelake.sources import files
+    monkeypatch.setattr(files, "READ_BYTES", part)
+    monkeypatch.setattr(files, "OPEN_BYTES", min(part, files.OPEN_BYTES))
+    src = scratch_path(spark, "odd-csv")
+    row = "10.5,7,0.1,0.2,0.9,1,2,3\n"
+    odd = {
+        "trial_id=A/plain.csv": CSV_HEADER + row * 30, "trial_id=A/no-end.csv": CSV_HEADER + row[:-1],
+        "trial_id=B/crlf.csv": (CSV_HEADER + row * 3).replace("\n", "\r\n"),
+        "trial_id=B/cr.csv": (CSV_HEADER + row * 3).replace("\n", "\r"),
+        "trial_id=0001/bad.csv": CSV_HEADER + "x,7,0.1,,0.9,NaN,Infinity,3\n1,2\n" + row[:-1] + ",9,9\n"
+        + "1,2.5,3,4,5,6,7,8\n\n \t\n,,,,,,,\n\"1\",\"2\",\"3\",4,5,6,7,\"8\n",
+        "trial_id=a%3Ab%zz/bom.csv": "\ufeff\n" + CSV_HEADER + row, "trial_id=é/x.csv": CSV_HEADER + row,
+        "trial_id=__HIVE_DEFAULT_PARTITION__/null.csv": CSV_HEADER + row * 2,
+        "trial_id=E/header.csv": CSV_HEADER, "trial_id=E/empty.csv": "", "trial_id=E/_no.csv": row,
+        "trial_id=E/f.csv.gz": CSV_HEADER + row * 9,
+    }
+    for name, text in odd.items():
+        f = os.path.join(src, name)
+        os.makedirs(os.path.dirname(f), exist_ok=True)
+        with (gzip.open if name.endswith(".gz") else open)(f, "wb") as out:
+            out.write(text.encode())
+    assert files.arrow_reads(spark, src)
+    assert not files.arrow_reads(spark, f"{src}/trial_id=*")
+    got = files.read_imu_files(files.list_files(spark, src), src)
+    want = read_imu_csv(spark, src)
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+    flat = scratch_path(spark, "flat-csv")  # the trial as a column
+    os.makedirs(flat)
+    with open(os.path.join(flat, "x.csv"), "w") as out:
+        out.write(CSV_HEADER + row[:-1] + ",T\n" + row[:-1] + ",\n" + row)
+    got = files.read_imu_files(files.list_files(spark, flat), flat)
+    assert sorted(map(str, got.collect())) == sorted(map(str, read_imu_csv(spark, flat).collect()))
+    with open(os.path.join(flat, "x.csv.snappy"), "w") as out:
+        out.write("?")
+    with pytest.raises(Exception, match="not readable: x.csv.snappy"):
+        files.read_imu_files(files.list_files(spark, flat), flat).collect()
+
+
 def test_trial_csv_has_a_file_a_trial_and_several_for_a_long_one(spark):
     from stridelake.sources.files import source_trial_ids, write_trial_csv
     path = scratch_path(spark, "trial-csv")
